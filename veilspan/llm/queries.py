@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veilspan.llm import exact_dedup, mixing
+from veilspan.llm import exact_dedup, langid, mixing, near_dedup, quality, tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,12 +25,34 @@ FROM d JOIN g USING (norm)
 """
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.classify(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
+def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.read(spark, tokens.write(table(spark, sf_dir, "documents")))
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.Mix(table(spark, sf_dir, "documents")).taken()
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_quality": op3_quality,
+    "op4_near_dedup": op4_near_dedup,
+    "op6_tokens": op6_tokens,
+    "op8_language": op8_language,
     "op9_mix_sources": op9_mix_sources,
 }
 
