@@ -1,0 +1,24 @@
+import pytest
+from pyspark.sql import types as T
+
+DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType())])
+
+
+@pytest.fixture(scope="session")
+def make_docs(spark):
+    """Documents from (doc_id, text[, lang[, source]]), with columns whose names may clash with an operator's own."""
+
+    def make(rows, clash=True):
+        full = [(r[0], r[1], r[2] if len(r) > 2 else "en", r[3] if len(r) > 3 else "s", len(r[1] or "")) for r in rows]
+        df = spark.createDataFrame(full, DOCS)
+        if clash:
+            for name in ("id", "n", "norm", "digest", "keep_id", "score", "size", "bucket", "v", "sketch", "words", "block", "h", "item_id", "seed", "text_hash", "start", "rank"):
+                df = df.withColumn(name, df["lang"])
+        return df
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def small():
+    return "/root/testdata/sf0.001"

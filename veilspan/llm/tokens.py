@@ -14,8 +14,8 @@ to a byte, then the exceptions: uint16 places and uint32 whole differences of th
 don't fit ``width``. The width is that of the ``PERCENTILE``th percentile of the block's
 differences, or of their maximum where that takes fewer bytes.
 
-Encoding splits a text at single spaces between other characters, where no byte-level
-BPE token can reach over, and encodes each distinct part once for a while.
+Encoding splits a text where no token of a byte-level BPE can reach over, and encodes each
+distinct part once for a while.
 
 Defined results:
 
@@ -27,9 +27,11 @@ Defined results:
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,15 +40,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilspan import scratch
-from veilspan.llm.arrow import get, slices
+from veilspan.llm.arrow import get, slices, text_bytes
+from veilspan.llm.near_dedup import powers
 
 BLOCK, PERCENTILE, SEGMENT_IDS, END_ID = 1024, 98.0, 1 << 17, 0
 #: Text bytes for each shard, and distinct parts that a worker remembers.
-SHARD_BYTES, REMEMBERED = 32 << 20, 300_000
+SHARD_BYTES, REMEMBERED = 32 << 20, 1_000_000
 HEADER = struct.Struct("<IHBH")
 SCHEMA = "shard int, seq int, first long, doc_ids array<long>, counts array<long>, starts array<int>, data binary"
-_TIGHT = re.compile(r"\s\s")
-_LOOSE = re.compile(r"(?<=\S)(?= \S)")
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_BLANK = frozenset(b"\t\n\x0b\x0c\r ")
+_ALNUM = np.zeros(256, bool)
+_ALNUM[48:58] = _ALNUM[65:91] = _ALNUM[97:123] = True
+_MARK = np.zeros(256, bool)
+_MARK[list(b".,;:!?|*#%&$\"()[]")] = True
+#: First bytes of other white space: texts with any are encoded whole.
+_ODD = np.zeros(256, bool)
+_ODD[[0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3]] = True
+_OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 def default_path() -> str:
@@ -56,66 +68,166 @@ def default_path() -> str:
 
 
 class Encoder:
-    """Ids of whole texts as little-endian uint32 bytes."""
+    """Ids of whole texts. Distinct parts are encoded by the library once, until too many are remembered."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-
-    def parts(self, text: str) -> list[str]:
-        if _TIGHT.search(text):
-            return _LOOSE.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + p for p in rest]] if first else [" " + p for p in rest]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self.parts(t) if t else [] for t in texts]
+        # a byte-level token has a character for each of its bytes
+        size = self.tokenizer.get_vocab_size()
+        self.lengths = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)])
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.starts, self.sizes, self.pool, self.used = array("q"), array("i"), np.zeros(1 << 20, np.uint32), 0
+
+    def remember(self, parts: list[bytes], sizes: np.ndarray, ids: np.ndarray) -> None:
+        while self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        self.pool[self.used : self.used + len(ids)] = ids
+        self.known.update(zip(parts, range(len(self.starts), len(self.starts) + len(parts)), strict=True))
+        self.starts.frombytes((self.used + np.cumsum(sizes) - sizes).astype(np.int64).tobytes())
+        self.sizes.frombytes(sizes.astype(np.int32).tobytes())
+        self.used += len(ids)
+
+    def learn(self, parts: list[bytes]) -> None:
+        """Parts that begin with white space and end with something else are encoded many in a row, as no token reaches over; how many ids are whose follows from the ids' lengths in bytes."""
+        lone = [p for p in parts if p[0] not in _BLANK or p[-1] in _BLANK or p[-1] > 127]
+        row = [p for p in parts if not (p[0] not in _BLANK or p[-1] in _BLANK or p[-1] > 127)]
+        for lo in range(0, len(row), 4096):
+            some = row[lo : lo + 4096]
+            joined = [b"".join(some[k : k + 64]).decode() for k in range(0, len(some), 64)]
+            ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)])
+            ends = np.cumsum([len(p) for p in some])
+            upto = np.cumsum(self.lengths[ids])
+            last = np.searchsorted(upto, ends)
+            if upto[-1] == ends[-1] and (upto[last] == ends).all():
+                self.remember(some, np.diff(last + 1, prepend=0), ids)
+            else:
+                lone += some
+        for lo in range(0, len(lone), 4096):
+            some = lone[lo : lo + 4096]
+            own = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in some], add_special_tokens=False)]
+            self.remember(some, np.array([len(i) for i in own]), np.array([x for i in own for x in i], np.uint32))
+
+    def cuts(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Places where parts begin: before white space that follows something else, and before a mark that follows a letter or digit. No token of a byte-level BPE reaches over these. Texts with other white space than ASCII's are one part."""
+        space = _SPACE[data]
+        cut = np.zeros(len(data), bool)
+        cut[1:] = (space[1:] & ~space[:-1]) | (_MARK[data[1:]] & _ALNUM[data[:-1]])
+        odd = np.flatnonzero(_ODD[data])
+        for d in np.unique(np.searchsorted(at, odd, "right") - 1).tolist() if len(odd) else []:
+            if _OTHER_SPACE.search(data[at[d] : at[d + 1]].tobytes().decode("utf-8", "replace")):
+                cut[at[d] : at[d + 1]] = False
+        cut[at[:-1][at[:-1] < at[1:]]] = True
+        return np.flatnonzero(cut)
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and the n+1 places where they begin and end."""
+        data, at = text_bytes(column)
+        if not len(data):
+            return np.zeros(0, np.uint32), np.zeros(len(at), np.int64)
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        new = list({p for parts in split for p in parts if p not in known})
-        for lo in range(0, len(new), 4096):
-            some = new[lo : lo + 4096]
-            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                known[p] = np.array(e.ids, dtype="<u4").tobytes()
-        return [b"".join([known[p] for p in parts]) for parts in split]
-
-
-def pack_block(ids: np.ndarray) -> bytes:
-    low = int(ids.min())
-    diff = (ids - np.uint32(low)).astype(np.uint32)
-    top = int(diff.max()).bit_length()
-    width = int(np.percentile(diff, PERCENTILE, method="higher")).bit_length()
-    over = np.flatnonzero(diff >> np.uint32(width)) if width < 32 else np.zeros(0, np.int64)
-    if len(over) * 48 >= len(diff) * (top - width):
-        width, over = top, over[:0]
-    bits = ((diff[:, None] >> np.arange(width, dtype=np.uint32)) & np.uint32(1)).astype(np.uint8)
-    return HEADER.pack(low, len(ids), width, len(over)) + np.packbits(bits.ravel(), bitorder="little").tobytes() + over.astype("<u2").tobytes() + diff[over].astype("<u4").tobytes()
-
-
-def unpack_block(data: bytes, at: int) -> np.ndarray:
-    low, n, width, n_over = HEADER.unpack_from(data, at)
-    at += HEADER.size
-    size = (n * width + 7) // 8
-    if width:
-        bits = np.unpackbits(np.frombuffer(data, np.uint8, size, at), bitorder="little")[: n * width].reshape(n, width)
-        padded = np.zeros((n, 32), np.uint8)
-        padded[:, :width] = bits
-        diff = np.packbits(padded, axis=1, bitorder="little").view("<u4").ravel().astype(np.uint32)
-    else:
-        diff = np.zeros(n, np.uint32)
-    at += size
-    if n_over:
-        places = np.frombuffer(data, "<u2", n_over, at)
-        diff[places] = np.frombuffer(data, "<u4", n_over, at + 2 * n_over)
-    return diff + np.uint32(low)
+            self.forget()
+        begin = self.cuts(data, at)
+        end = np.append(begin[1:], len(data))
+        up, down = powers(len(data))
+        total = np.zeros(len(data) + 1, np.uint64)
+        total[1:] = data
+        total[1:] += np.uint64(1)
+        total[1:] *= up[:-1]
+        np.cumsum(total, out=total)
+        h = (total[end] - total[begin]) * down[begin]
+        del total
+        _, first, inverse = np.unique(h, return_index=True, return_inverse=True)
+        same = begin[first][inverse]
+        # equal hashes must be equal bytes: else each part is looked up by itself
+        size = end - begin
+        gap = np.repeat((same - begin).astype(np.int32), size)
+        if (size != size[first][inverse]).any() or (data != data[np.arange(len(data), dtype=np.int32) + gap]).any():
+            first = inverse = np.arange(len(begin))
+        del gap
+        raw, known = data.tobytes(), self.known
+        parts = [raw[x:y] for x, y in zip(begin[first].tolist(), end[first].tolist(), strict=True)]
+        place = [known.get(p, -1) for p in parts]
+        if -1 in place:
+            self.learn(list(dict.fromkeys(p for p, k in zip(parts, place, strict=True) if k < 0)))
+            place = [known[p] for p in parts]
+        place = np.array(place, np.int64)
+        start, count = np.frombuffer(self.starts, np.int64)[place][inverse], np.frombuffer(self.sizes, np.int32)[place][inverse].astype(np.int64)
+        ends = np.cumsum(count)
+        ids = self.pool[np.repeat(start - ends + count, count) + np.arange(ends[-1])]
+        return ids, np.append(0, ends)[np.searchsorted(begin, at)]
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """One for each worker, kept over its tasks."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
+def pack(ids: np.ndarray) -> tuple[list[int], bytes]:
+    """Starts of blocks, and the blocks. Those of equal length and width are packed together."""
+    out: list[bytes] = []
+    whole = len(ids) // BLOCK
+    for flat in (ids[: whole * BLOCK].reshape(whole, BLOCK), ids[whole * BLOCK :].reshape(1, -1)):
+        if not flat.size:
+            continue
+        low = flat.min(1)
+        diff = flat - low[:, None]
+        n = flat.shape[1]
+        order = np.sort(diff, axis=1)
+        bits = lambda v: np.frexp(v.astype(np.float64))[1].astype(np.int64)  # noqa: E731  bit length, exact below 2**53
+        width, top = bits(order[:, int(np.ceil((n - 1) * PERCENTILE / 100))]), bits(order[:, -1])
+        over = (diff >> np.minimum(width, 31).astype(np.uint32)[:, None] >> (width > 31).astype(np.uint32)[:, None]) != 0
+        n_over = over.sum(1)
+        plain = n_over * 48 >= n * (top - width)
+        width[plain], n_over[plain], over[plain] = top[plain], 0, False
+        packed: list[bytes] = [b""] * len(flat)
+        for w in np.unique(width).tolist():
+            rows = np.flatnonzero(width == w)
+            cell = "<u2" if w <= 16 else "<u4"
+            bit = np.unpackbits(diff[rows].astype(cell).view(np.uint8), axis=1, bitorder="little").reshape(len(rows), n, -1)[:, :, :w]
+            for r, b in zip(rows.tolist(), np.packbits(bit.reshape(len(rows), -1), axis=1, bitorder="little"), strict=True):
+                packed[r] = b.tobytes()
+        for r, p in enumerate(packed):
+            tail = b""
+            if n_over[r]:
+                where = np.flatnonzero(over[r])
+                tail = where.astype("<u2").tobytes() + diff[r, where].astype("<u4").tobytes()
+            out.append(HEADER.pack(int(low[r]), n, int(width[r]), int(n_over[r])) + p + tail)
+    return np.concatenate([[0], np.cumsum([len(b) for b in out])])[:-1].astype(int).tolist(), b"".join(out)
 
 
 def unpack(data: bytes, starts: list[int]) -> np.ndarray:
-    return np.concatenate([unpack_block(data, s) for s in starts]) if len(starts) else np.zeros(0, np.uint32)
+    """The ids of the blocks that begin at ``starts``."""
+    heads = [HEADER.unpack_from(data, s) for s in starts]
+    out: list[np.ndarray | None] = [None] * len(starts)
+    shapes: dict[tuple[int, int], list[int]] = {}
+    for k, (_, n, w, _) in enumerate(heads):
+        shapes.setdefault((n, w), []).append(k)
+    for (n, w), rows in shapes.items():
+        size, cell = (n * w + 7) // 8, 16 if w <= 16 else 32
+        raw = np.frombuffer(b"".join([data[starts[k] + HEADER.size : starts[k] + HEADER.size + size] for k in rows]), np.uint8).reshape(len(rows), size)
+        bit = np.zeros((len(rows), n, cell), np.uint8)
+        if w:
+            bit[:, :, :w] = np.unpackbits(raw, axis=1, bitorder="little")[:, : n * w].reshape(len(rows), n, w)
+        diff = np.packbits(bit.reshape(len(rows), -1), axis=1, bitorder="little").view(f"<u{cell // 8}").astype(np.uint32)
+        for k, d in zip(rows, diff, strict=True):
+            low, _, _, n_over = heads[k]
+            if n_over:
+                at = starts[k] + HEADER.size + size
+                d[np.frombuffer(data, "<u2", n_over, at)] = np.frombuffer(data, "<u4", n_over, at + 2 * n_over)
+            out[k] = d + np.uint32(low)
+    return np.concatenate(out) if out else np.zeros(0, np.uint32)
 
 
 def ids_at(data: bytes, starts: list[int], lo: int, hi: int) -> np.ndarray:
@@ -127,14 +239,9 @@ def ids_at(data: bytes, starts: list[int], lo: int, hi: int) -> np.ndarray:
     return got[lo - first * BLOCK : hi - first * BLOCK]
 
 
-def _segment(shard: int, seq: int, first: int, doc_ids: list, counts: list[int], ids: bytes) -> pa.RecordBatch:
-    flat = np.frombuffer(ids, "<u4")
-    starts, parts, at = [], [], 0
-    for lo in range(0, len(flat), BLOCK):
-        starts.append(at)
-        parts.append(pack_block(flat[lo : lo + BLOCK]))
-        at += len(parts[-1])
-    cells = [[shard], [seq], [first], [doc_ids], [counts], [starts], [b"".join(parts)]]
+def _segment(shard: int, seq: int, first: int, doc_ids: list, counts: list[int], ids: list[np.ndarray]) -> pa.RecordBatch:
+    starts, data = pack(np.concatenate(ids))
+    cells = [[shard], [seq], [first], [doc_ids], [counts], [starts], [data]]
     kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cells, kinds, strict=True)], ["shard", "seq", "first", "doc_ids", "counts", "starts", "data"])
 
@@ -142,7 +249,6 @@ def _segment(shard: int, seq: int, first: int, doc_ids: list, counts: list[int],
 def write(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID) -> DataFrame:
     """Encode all ``docs`` into a token table in the shared folder and return it as read back."""
     spark, path = docs.sparkSession, tokenizer or default_path()
-    end = np.array([end_id], "<u4").tobytes()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(spark.sparkContext.defaultParallelism, -(-size // SHARD_BYTES))
@@ -150,20 +256,28 @@ def write(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID) -
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        shard, encoder = TaskContext.get().partitionId(), Encoder(path)
+        shard, own = TaskContext.get().partitionId(), encoder(path)
         seq = first = held = 0
         doc_ids, counts, ids = [], [], []
-        for batch in slices(batches, "text", 1 << 20):
-            for doc_id, own in zip(get(batch, "doc_id").to_pylist(), encoder.encode(get(batch, "text").to_pylist()), strict=True):
-                doc_ids.append(doc_id)
-                counts.append(len(own) // 4 + 1)
-                ids += [own, end]
-                held += counts[-1]
+        for batch in slices(batches, "text", 4 << 20):
+            flat, at = own.encode(get(batch, "text"))
+            docs_here = get(batch, "doc_id").to_pylist()
+            with_end = np.insert(flat, at[1:], end_id)
+            at = at + np.arange(len(at))
+            lo = 0
+            while lo < len(docs_here):  # as many whole documents as fill the segment
+                hi = min(len(docs_here), int(np.searchsorted(at, at[lo] + SEGMENT_IDS - held, "left")))
+                hi = max(hi, lo + 1)
+                doc_ids += docs_here[lo:hi]
+                counts += np.diff(at[lo : hi + 1]).tolist()
+                ids.append(with_end[at[lo] : at[hi]])
+                held += int(at[hi] - at[lo])
                 if held >= SEGMENT_IDS:
-                    yield _segment(shard, seq, first, doc_ids, counts, b"".join(ids))
+                    yield _segment(shard, seq, first, doc_ids, counts, ids)
                     seq, first, held, doc_ids, counts, ids = seq + 1, first + held, 0, [], [], []
+                lo = hi
         if doc_ids:
-            yield _segment(shard, seq, first, doc_ids, counts, b"".join(ids))
+            yield _segment(shard, seq, first, doc_ids, counts, ids)
 
     ordered = rows.repartitionByRange(shards, F.col("doc_id").asc_nulls_first(), "text").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     return scratch.written(ordered.mapInArrow(encode, SCHEMA), "tokens", compression="uncompressed")
