@@ -8,8 +8,9 @@
    node under its rarest retained values, as many as leave fewer than that out. Values
    that one node alone retains need no list.
 3. Lists of at most ``SHORT`` nodes give all their pairs. A longer list first gives pairs
-   with its first node; once links have joined nodes to components, only its pairs
-   between different components are left.
+   with one lead node; once links have joined nodes to components, its nodes outside the
+   lead's component are compared with all its nodes of other components, in blocks of
+   bounded size that emit no pairs, only the links that join components.
 4. The sketch of the union of a pair estimates its index and drops pairs far below the
    threshold; whole sets confirm the others.
 5. Components of the links: smallest reachable id, by propagation with pointer jumps.
@@ -39,6 +40,8 @@ from veilspan.llm.arrow import get, slices, text_bytes
 K, SHORT, MISS = 64, 24, 1e-10
 #: Lists of ids up to this length are broadcast for semi joins (8 bytes each); longer ones are shuffled.
 BROADCAST_IDS = 1_000_000
+#: Rows and hashes of each side of a block.
+BLOCK_ROWS, BLOCK_HASHES = 512, 1 << 18
 
 
 def least_shared(percent: int, k: int = K) -> int:
@@ -141,7 +144,7 @@ def chosen(rows: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame
 
 
 def index(nodes: DataFrame, percent: int, k: int = K) -> DataFrame:
-    """The inverted lists: v, id, n. nodes: id, n, sketch."""
+    """The inverted lists: v, id, n, shared (how many of the node's retained values others retain). nodes: id, n, sketch."""
     smallest = math.ceil(percent / (100 - percent)) if percent < 100 else 1 << 62  # smaller sets have no partner but equals
     values = nodes.where(F.col("n") >= smallest).select("id", "n", F.explode("sketch").alias("v"))
     shared = values.groupBy("v").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
@@ -152,7 +155,7 @@ def index(nodes: DataFrame, percent: int, k: int = K) -> DataFrame:
     # with n * 100 <= k * percent, a partner's sketch is its whole set too
     prefix = F.when(F.col("n") * 100 <= k * percent, exact).otherwise(F.greatest(sketched, F.when(F.col("n") <= k, exact).otherwise(1)))
     lists = lists.withColumn("take", prefix - (held - F.size("own")))
-    return lists.where("take > 0").select("id", "n", F.explode(F.expr("slice(own, 1, cast(take as int))")).alias("e")).select("e.v", "id", "n")
+    return lists.where("take > 0").select("id", "n", F.size("own").alias("shared"), F.explode(F.expr("slice(own, 1, cast(take as int))")).alias("e")).select("e.v", "id", "n", "shared")
 
 
 def _estimated(pairs: DataFrame, nodes: DataFrame, percent: int, k: int = K) -> DataFrame:
@@ -188,10 +191,6 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, percent: int, k: int = K) ->
 def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Pairs whose whole sets reach the threshold. docs: id, text."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([get(batch, "id"), pa.array([s.tobytes() for s in shingle_sets(get(batch, "text"), words)], pa.binary())], ["id", "s"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -203,7 +202,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> D
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     ids = scratch.written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "near-ids")
-    found = scratch.written(chosen(docs, ids).mapInArrow(sets, "id long, s binary"), "near-sets")
+    found = _sets(docs, ids, words)
     joined = pairs.join(found.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(found.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
     links = scratch.written(joined.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long").distinct(), "near-links")
     scratch.drop(found)
@@ -225,32 +224,122 @@ def components(links: DataFrame) -> DataFrame:
             return label
 
 
+def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """id, s (sorted hashes as bytes) for the documents that ``ids``, a written table, names."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            yield pa.RecordBatch.from_arrays([get(batch, "id"), pa.array([s.tobytes() for s in shingle_sets(get(batch, "text"), words)], pa.binary())], ["id", "s"])
+
+    return scratch.written(chosen(docs, ids).mapInArrow(run, "id long, s binary"), "near-sets")
+
+
+def block_links(sides: np.ndarray, ids: np.ndarray, comps: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links between different components of a block that join what its whole sets join: at most one less than its rows. Rows of side 0 are compared with those of side 1."""
+    left, right = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
+    if not len(left) or not len(right):
+        return []
+    size = np.array([len(s) for s in sets])
+    a = np.concatenate([sets[i] for i in left])
+    b = np.concatenate([sets[i] for i in right])
+    shared = np.intersect1d(a, b)
+    rows_a, rows_b = np.repeat(np.arange(len(left)), size[left]), np.repeat(np.arange(len(right)), size[right])
+    keep_a, keep_b = np.isin(a, shared), np.isin(b, shared)
+    at_a, at_b = np.searchsorted(shared, a[keep_a]), np.searchsorted(shared, b[keep_b])
+    rows_a, rows_b = rows_a[keep_a], rows_b[keep_b]
+    same = np.zeros((len(left), len(right)), np.float32)
+    for lo in range(0, len(shared), 2048):  # counts of shared shingles, some columns at a time
+        m = min(2048, len(shared) - lo)
+        x, y = np.zeros((len(left), m), np.float32), np.zeros((len(right), m), np.float32)
+        own = (at_a >= lo) & (at_a < lo + m)
+        x[rows_a[own], at_a[own] - lo] = 1
+        own = (at_b >= lo) & (at_b < lo + m)
+        y[rows_b[own], at_b[own] - lo] = 1
+        same += x @ y.T
+    same = np.rint(same).astype(np.int64)
+    good = (100 * same >= percent * (size[left][:, None] + size[right][None, :] - same)) & (comps[left][:, None] != comps[right][None, :])
+    up: dict[int, int] = {}
+
+    def find(c: int) -> int:
+        while up.get(c, c) != c:
+            c = up[c]
+        return c
+
+    out = []
+    for i, j in zip(*np.nonzero(good), strict=True):
+        x, y = find(int(comps[left[i]])), find(int(comps[right[j]]))
+        if x != y:
+            up[max(x, y)] = min(x, y)
+            out.append((int(ids[left[i]]), int(ids[right[j]])))
+    return out
+
+
+def _between(groups: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links between different components of one list's nodes. groups: lead, id, n, comp, main (of the lead's component).
+
+    Nodes outside the main component are compared with all, in blocks of bounded size, by
+    products of matrices; a block gives only the links that join components in it.
+    """
+    outer = groups.where("not main").groupBy("lead").agg(F.count(F.lit(1)).alias("m_out"), F.sum("n").alias("n_out"))
+    inner = groups.where("main").groupBy("lead").agg(F.count(F.lit(1)).alias("m_in"), F.sum("n").alias("n_in"))
+
+    def parts(m: str, n: str):
+        return F.greatest(F.ceil(F.coalesce(m, F.lit(0)) / F.lit(BLOCK_ROWS)), F.ceil(F.coalesce(n, F.lit(0)) / F.lit(BLOCK_HASHES)), F.lit(1)).cast("int")
+
+    plan = outer.join(inner, "lead", "left").select("lead", parts("m_out", "n_out").alias("k_out"), parts("m_in", "n_in").alias("k_in"))
+    rows = scratch.written(groups.join(plan, "lead"), "near-groups")
+    sets = _sets(docs, scratch.written(rows.select("id").distinct(), "near-ids"), words)
+    h = F.xxhash64("id", "lead")
+    own = F.pmod(h, F.when(F.col("main"), F.col("k_in")).otherwise(F.col("k_out"))).cast("int")
+    rows = rows.withColumn("own", own)
+
+    def cell(i, j, side: int):
+        return F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(side).alias("side"))
+
+    every_out, every_in = F.sequence(F.lit(0), F.col("k_out") - 1), F.sequence(F.lit(0), F.col("k_in") - 1)
+    # cells (i, j): block i of the outer nodes by block j of the outer nodes (j < k_out) or of the main ones
+    as_main = F.transform(every_out, lambda i: cell(i, F.col("k_out") + F.col("own"), 1))
+    as_left = F.concat(F.transform(F.filter(every_out, lambda j: j >= F.col("own")), lambda j: cell(F.col("own"), j, 0)), F.transform(every_in, lambda j: cell(F.col("own"), F.col("k_out") + j, 0)))
+    as_right = F.transform(F.filter(every_out, lambda i: i <= F.col("own")), lambda i: cell(i, F.col("own"), 1))
+    placed = rows.withColumn("cell", F.explode(F.when(F.col("main"), as_main).otherwise(F.concat(as_left, as_right))))
+    full = placed.select("lead", "id", "comp", "cell.*").join(sets, "id")
+
+    def run(table: pa.Table) -> pa.Table:
+        links = block_links(table["side"].to_numpy(), table["id"].to_numpy(), table["comp"].to_numpy(), [np.frombuffer(x.as_buffer(), np.uint64) for x in table["s"]], percent)
+        return pa.table({"a": pa.array([x[0] for x in links], pa.int64()), "b": pa.array([x[1] for x in links], pa.int64())})
+
+    links = scratch.written(full.groupBy("lead", "i", "j").applyInArrow(run, "a long, b long"), "near-links")
+    scratch.drop(sets)
+    return links
+
+
 def linked(docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
     """Links between nodes, enough for their components: a, b, each of them confirmed."""
     lists = scratch.written(index(nodes, percent), "near-index")
-    sizes = lists.groupBy("v").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("lead")).where("m > 1")
+    # the lead of a list: the node that shares most of its retained values with others, by far the middle one of a group of copies
+    rank = F.shiftleft(F.col("shared").cast("long"), 56) + F.shiftrightunsigned(F.xxhash64("id"), 8)
+    sizes = lists.groupBy("v").agg(F.count(F.lit(1)).alias("m"), F.max_by("id", rank).alias("lead")).where("m > 1")
     rows = scratch.written(lists.join(sizes, "v"), "near-lists")
     short = rows.where(F.col("m") <= SHORT)
     other = short.select("v", F.col("id").alias("b"), F.col("n").alias("nb"))
-    near = (F.least("n", "nb") * 100 >= F.greatest("n", "nb") * percent)
+    near = F.least("n", "nb") * 100 >= F.greatest("n", "nb") * percent
     pairs = short.select("v", F.col("id").alias("a"), "n").join(other, "v").where((F.col("a") < F.col("b")) & near).select("a", "b")
-    star = rows.where((F.col("m") > SHORT) & (F.col("id") > F.col("lead"))).select(F.col("lead").alias("a"), F.col("id").alias("b"))
+    group = scratch.written(rows.where(F.col("m") > SHORT).select("lead", "id", "n").distinct(), "near-groups")
+    star = group.where("id <> lead").select(F.least("lead", "id").alias("a"), F.greatest("lead", "id").alias("b"))
     first = scratch.written(_estimated(pairs.union(star).distinct(), nodes, percent), "near-pairs")
     links = _confirmed(first, docs, words, percent)
-
-    long = rows.where(F.col("m") > SHORT)
-    if long.isEmpty():
+    if group.isEmpty():
         return links
+
     label = components(links)
-    placed = long.join(label, "id", "left").select("v", "id", "n", "lead", F.coalesce("comp", "id").alias("comp"))
-    apart = placed.groupBy("v").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("v")
-    placed = scratch.written(placed.join(apart, "v").where("id <> lead"), "near-long")
-    other = placed.select("v", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("other"))
-    cross = placed.select("v", F.col("id").alias("a"), "n", "comp").join(other, "v").where((F.col("a") < F.col("b")) & (F.col("comp") != F.col("other")) & near).select("a", "b").distinct()
-    rest = scratch.written(_estimated(cross, nodes, percent), "near-pairs")
-    if rest.isEmpty():
+    placed = group.join(label, "id", "left").select("lead", "id", "n", F.coalesce("comp", "id").alias("comp"))
+    main = label.select(F.col("id").alias("lead"), F.col("comp").alias("main_comp"))
+    placed = placed.join(main, "lead", "left").withColumn("main", F.col("comp") == F.coalesce("main_comp", "lead")).drop("main_comp")
+    split = placed.where("not main").select("lead").distinct()
+    placed = scratch.written(placed.join(split, "lead", "left_semi"), "near-split")
+    if placed.isEmpty():
         return links
-    return scratch.written(links.union(_confirmed(rest, docs, words, percent)), "near-links")
+    return scratch.written(links.union(_between(placed, docs, words, percent)), "near-links")
 
 
 def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
