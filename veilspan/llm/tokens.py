@@ -279,7 +279,8 @@ def write(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID) -
         if doc_ids:
             yield _segment(shard, seq, first, doc_ids, counts, ids)
 
-    ordered = rows.repartitionByRange(shards, F.col("doc_id").asc_nulls_first(), "text").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    # by the id alone: the texts of a sample would go to the driver
+    ordered = rows.repartitionByRange(shards, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     return scratch.written(ordered.mapInArrow(encode, SCHEMA), "tokens", compression="uncompressed")
 
 
