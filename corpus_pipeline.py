@@ -1,8 +1,61 @@
-"""The corpus pipeline (filled in below as its operators come)."""
+"""The corpus pipeline: quality, near duplicates, benchmark leaks, mix, token files.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet
+and read again as the next one's docs. All but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from veilspan import scratch
+from veilspan.llm import decontam, mixing, near_dedup, quality, tokens
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier doesn't reject. It learns from the labels of documents that are still there."""
+    network = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score(docs, network, out="__score").where(F.col("__score") >= quality.THRESHOLD).drop("__score")
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near duplicates, the one with the smallest id."""
+    gone = near_dedup.near_dedup(docs).where("not kept").select(F.col("doc_id").alias("id")).distinct()
+    gone = scratch.written(gone, "near-gone")
+    return near_dedup.chosen(docs.withColumn("id", F.col("doc_id").cast("long")), gone, "left_anti").select(*docs.columns)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that leak no benchmark item."""
+    return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix, a row for each piece of a document that it takes."""
+    return mixing.mixed_documents(docs)
+
+
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of all pieces, and what their documents are in them."""
+    return tokens.read(spark, tokens.write(docs))
+
+
+STAGES = [
+    ("quality", quality_stage),
+    ("near_dedup", near_dedup_stage),
+    ("decontamination", decontamination_stage),
+    ("mixing", mixing_stage),
+    ("tokens", token_stage),
+]
+
+#: SQL can't express the stages; tests/llm/test_pipeline.py holds each against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; what each returns is written to the shared folder."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = scratch.written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

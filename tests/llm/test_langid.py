@@ -1,0 +1,45 @@
+import zlib
+
+import numpy as np
+import pyarrow as pa
+
+from veilspan.llm import langid
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    lang = {r.doc_id: r.lang for r in docs.collect()}
+    out = langid.identify(docs, langid.fit(docs)).collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 for r in out)
+    held = [r for r in out if r.held_out and lang[r.doc_id]]
+    assert np.mean([r.lang_pred == lang[r.doc_id] for r in held]) > 0.97
+
+
+def test_a_text_scores_the_same_alone_and_in_a_batch(monkeypatch):
+    monkeypatch.setattr(langid, "WINDOW", 64)
+    rng = np.random.default_rng(1)
+    model = langid.Model(["a", "b", "c"], rng.integers(0, 9, (3, langid.BUCKETS)))
+    texts = ["hello there " * 20, "", "x", None, "😀 öä", "123", "word" * 50, ""]
+    langs, scores = model.predict(pa.array(texts))
+    for t, l, s in zip(texts, langs, scores, strict=True):
+        one, own = model.predict(pa.array([t], pa.string()))
+        assert one == [l] and abs(own[0] - s) < 1e-6
+    assert [langs[i] for i in (1, 3, 5, 7)] == ["und"] * 4 and scores[1] == 0
+
+
+def test_grams_keep_to_their_text():
+    from veilspan.llm.arrow import text_bytes
+
+    ids, at, has = langid.grams(*langid.code_points(*text_bytes(pa.array(["ab", "c", "1"]))))
+    assert at.tolist() == [0, 2, 3, 4] and has.tolist() == [True, True, False]
+    assert (ids[0, 1:] == langid.BUCKETS).all() and ids[1, 1] < langid.BUCKETS and ids[1, 2] == langid.BUCKETS
+
+
+def test_cases(make_docs):
+    rows = [(0, "bonjour le monde", "fr"), (1, "hello the world", "en"), (2, None), (None, "x"), (3, "the", None), (3, "the", None), (4, "le " * 200_000, "fr"), (5, "42")]
+    docs = make_docs(rows)
+    out = langid.identify(docs, langid.fit(docs)).collect()
+    assert len(out) == len(rows) and {r.lang_pred for r in out if r.doc_id in (2, 5)} == {"und"}
+    empty = make_docs([])
+    assert langid.identify(empty, langid.fit(empty)).count() == 0
+    assert {r.lang_pred for r in langid.identify(docs, langid.fit(empty)).collect()} == {"und"}
