@@ -45,7 +45,7 @@ from veilspan.llm.near_dedup import powers
 
 BLOCK, PERCENTILE, SEGMENT_IDS, END_ID = 1024, 98.0, 1 << 17, 0
 #: Text bytes for each shard, and distinct parts that a worker remembers.
-SHARD_BYTES, REMEMBERED = 32 << 20, 1_000_000
+SHARD_BYTES, REMEMBERED = 32 << 20, 500_000
 HEADER = struct.Struct("<IHBH")
 SCHEMA = "shard int, seq int, first long, doc_ids array<long>, counts array<long>, starts array<int>, data binary"
 _SPACE = np.zeros(256, bool)
@@ -168,7 +168,7 @@ _encoders: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """One for each worker, kept over its tasks."""
+    """One for each worker."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
@@ -259,7 +259,7 @@ def write(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID) -
         shard, own = TaskContext.get().partitionId(), encoder(path)
         seq = first = held = 0
         doc_ids, counts, ids = [], [], []
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text"):
             flat, at = own.encode(get(batch, "text"))
             docs_here = get(batch, "doc_id").to_pylist()
             with_end = np.insert(flat, at[1:], end_id)
@@ -276,6 +276,7 @@ def write(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID) -
                     yield _segment(shard, seq, first, doc_ids, counts, ids)
                     seq, first, held, doc_ids, counts, ids = seq + 1, first + held, 0, [], [], []
                 lo = hi
+        own.forget()  # the worker goes on to other tasks
         if doc_ids:
             yield _segment(shard, seq, first, doc_ids, counts, ids)
 
