@@ -5,6 +5,324 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from veilspan.functions import blocks, spans
+from veilspan.functions.text import literal_array
+from veilspan.operators import anonymize, detect, docs, layout, markdown, redact, regions, restore, words
+from veilspan.plans.oracles import ORACLES
+from veilspan.sources import relations as R
+
+PAGE, LINE = R.PAGE, [*R.PAGE, "line_no"]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+
+
+def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    QUERIES[fn.__name__] = fn
+    return fn
+
+
+def long(*names: str) -> list:
+    return [F.col(n).cast("long").alias(n) for n in names]
+
+
+def _entities(df: DataFrame, column: str, *key: str) -> DataFrame:
+    return df.select(*key, F.explode(column).alias("e")).select(*key, "e.entity_type", F.col("e.start").alias("span_start"), F.col("e.end").alias("span_end"), "e.score", F.col("e.text").alias("span_text"))
+
+
+@query
+def score_floor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = R.span_pages(spark, sf_dir).select("doc_id", spans.above_floor(F.col("entities")).alias("kept"))
+    return _entities(df, "kept", "doc_id").drop("span_text")
+
+
+@query
+def resolve_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = R.span_pages(spark, sf_dir).select("doc_id", spans.resolve(spans.above_floor(F.col("entities")))["resolved"].alias("kept"))
+    return _entities(df, "kept", "doc_id").drop("span_text")
+
+
+@query
+def overlap_exposure_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = R.span_pages(spark, sf_dir).select("doc_id", F.explode(spans.resolve(spans.above_floor(F.col("entities")))["warnings"]).alias("w"))
+    exposed = F.array_join(F.transform("w.exposed", lambda x: F.concat(x["start"].cast("string"), F.lit("-"), x["end"].cast("string"))), ",")
+    return df.select("doc_id", "w.dropped_type", "w.dropped_start", "w.dropped_end", "w.winner_type", "w.winner_start", "w.winner_end", exposed.alias("exposed"))
+
+
+@query
+def detect_regex_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = R.table(spark, sf_dir, "documents").select("doc_id", detect.detect(F.col("text")).alias("found"))
+    return _entities(df, "found", "doc_id")
+
+
+@query
+def case_number_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = R.decrees(spark, sf_dir).select("doc_id", detect.detect(F.col("text"), detect.CASES).alias("found"))
+    return _entities(df, "found", "doc_id").drop("span_text")
+
+
+@query
+def normalize_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = anonymize.normalized_rows(R.decrees(spark, sf_dir), PAGE)
+    return rows.select("doc_id", "entity_type", F.col("start0").alias("span_start"), F.col("end0").alias("span_end"), F.col("start").alias("new_start"), F.col("end").alias("new_end"), "value")
+
+
+@query
+def boundary_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = anonymize.normalized_rows(R.decrees(spark, sf_dir), PAGE)
+    said = F.transform("actions", lambda a: F.concat_ws(":", a["action"], a["token"], a["reason"], a["count"].cast("string")))
+    return rows.select("doc_id", "entity_type", F.col("start0").alias("span_start"), F.array_join(said, ";").alias("actions"))
+
+
+def _numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anonymize.numbered(anonymize.normalized_rows(R.decrees(spark, sf_dir), PAGE), PAGE)
+
+
+@query
+def placeholder_numbering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _numbered(spark, sf_dir).select("doc_id", "entity_type", F.col("start").alias("span_start"), "value", "placeholder", "first_start")
+
+
+@query
+def newline_preservation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = anonymize.propose(R.decrees(spark, sf_dir), PAGE).withColumn("new_text", anonymize.apply(F.col("text"), F.col("substitutions")))
+    return df.select("doc_id", "new_text", docs.line_parity(F.col("new_text"), F.size(F.split("text", "\n"))).alias("same_lines"))
+
+
+def _anonymized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, page_index, text, restore_map, substitutions, anonymized_text of whole documents."""
+    df = R.table(spark, sf_dir, "documents").select("doc_id", F.lit(0).alias("page_index"), F.coalesce("text", F.lit("")).alias("text"))
+    df = df.withColumn("entities", detect.detect(F.col("text")))
+    return anonymize.propose(df, PAGE).withColumn("anonymized_text", anonymize.apply(F.col("text"), F.col("substitutions")))
+
+
+@query
+def apply_substitution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _anonymized(spark, sf_dir).select("doc_id", "anonymized_text", F.size("substitutions").cast("long").alias("n_subs"))
+
+
+@query
+def restore_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _anonymized(spark, sf_dir)
+    back, n, *_ = restore.page_columns(F.col("anonymized_text"), F.col("restore_map"))
+    return df.select("doc_id", "text", back, n).select("doc_id", *long("restored_count"), (F.col("restored_text") == F.col("text")).alias("same"))
+
+
+@query
+def residual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = redact.residual(_anonymized(spark, sf_dir), ["doc_id"], detect.detect(F.col("anonymized_text")))
+    return left.select("doc_id", "entity_type", F.col("start").alias("span_start"), F.col("text").alias("span_text"))
+
+
+def _mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anonymize.propose(R.decrees(spark, sf_dir), PAGE).withColumn("out", anonymize.apply(F.col("text"), F.col("substitutions")))
+
+
+@query
+def missing_placeholders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A translator that loses each placeholder whose number has the document's remainder by 3."""
+    df = _mapped(spark, sf_dir)
+    lost = F.filter("restore_map", lambda m: F.regexp_extract(m["placeholder"], r"_(\d+)\]", 1).cast("long") % 3 == F.col("doc_id") % 3)
+    sent = F.aggregate(lost, F.col("out"), lambda a, m: F.replace(a, m["placeholder"], F.lit("")))
+    gone = restore.missing(sent, F.col("restore_map"))
+    return df.select("doc_id", gone.alias("gone")).select("doc_id", F.size("gone").cast("long").alias("n_missing"), F.array_join("gone", ",").alias("missing"))
+
+
+@query
+def unresolved_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A translator that makes up tokens."""
+    df = _mapped(spark, sf_dir)
+    sent = F.concat("out", F.when(F.col("doc_id") % 2 == 0, " [PERSON_77] [STRAY_1] [ILLEGIBLE]").otherwise(f" [STRAY_1] [STRAY_1] {blocks.REVIEW_MARKER}"))
+    return df.select("doc_id", F.array_join(restore.unresolved(restore.restored(sent, F.col("restore_map"))), ",").alias("unresolved"))
+
+
+def _words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return words.kept_words(R.raw_words(spark, sf_dir))
+
+
+def _spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return words.with_char_spans(_words(spark, sf_dir), PAGE)
+
+
+@query
+def word_char_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spans(spark, sf_dir).select(*PAGE, *long("seq"), F.col("start").alias("span_start"), F.col("end").alias("span_end"), "text")
+
+
+@query
+def char_span_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = _spans(spark, sf_dir)
+    return words.span_violations(w, words.page_text(words.line_rows(w, PAGE), PAGE), PAGE).select(*PAGE, *long("seq"))
+
+
+@query
+def char_span_mutations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same check on spans moved by one."""
+    w = _spans(spark, sf_dir)
+    moved = w.withColumn("start", F.col("start") + 1).withColumn("end", F.col("end") + 1)
+    return words.span_violations(moved, words.page_text(words.line_rows(w, PAGE), PAGE), PAGE).select(*PAGE, *long("seq"))
+
+
+@query
+def line_union_box(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return words.line_rows(_words(spark, sf_dir), PAGE).select(*PAGE, "line_id", "text", *long("x", "y", "w", "h"))
+
+
+@query
+def conf_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return words.confidence_summary(_words(spark, sf_dir), PAGE)
+
+
+@query
+def redaction_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = _spans(spark, sf_dir)
+    pages = words.page_text(words.line_rows(w, PAGE), PAGE)
+    found = pages.select(*PAGE, F.explode(detect.detect(F.col("text"))).alias("e")).select(*PAGE, "e.entity_type", "e.start", "e.end", "e.score")
+    boxes = redact.with_pads(redact.redaction_boxes(w, found, PAGE), F.lit(2550), F.lit(3300))
+    return boxes.select(*PAGE, *long("seq"), "text", *[F.col(c).cast("long").alias(f"box_{c}") for c in ("left", "top", "right", "bottom")], "entity_types")
+
+
+def _regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    y = 40 * F.col("line_no")
+
+    def box(x, top, w, h):
+        return F.struct(x.cast("int").alias("x"), top.cast("int").alias("y"), w.cast("int").alias("w"), h.cast("int").alias("h"))
+
+    n = F.lit
+    made = F.array(box(n(290), 295 + y, 100 + F.col("doc_id") % 200, n(40)), box(n(2300), 300 + y, n(100), n(30)), box(n(290), 295 + y, n(19), n(21)), box(n(0), n(0), n(2550), 1485 + F.col("line_no")))
+    df = R.page_lines(spark, sf_dir).select(*PAGE, F.explode(made).alias("b")).select(*PAGE, "b.*")
+    return regions.sized(df.withColumn("page_width", n(2550)).withColumn("page_height", n(3300))).drop("page_width", "page_height")
+
+
+@query
+def regions_accounted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return regions.accounted(_regions(spark, sf_dir), _words(spark, sf_dir), PAGE)
+
+
+@query
+def regions_unaccounted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return regions.unaccounted(_regions(spark, sf_dir), _words(spark, sf_dir), PAGE)
+
+
+def _gapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.gaps(_words(spark, sf_dir), LINE)
+
+
+@query
+def line_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.bands(_gapped(spark, sf_dir), LINE, F.lit(layout.GAP)).select(*PAGE, *long("line_no"), F.array_join("bands", ",").alias("bands"))
+
+
+@query
+def gap_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.gap_quantiles(_gapped(spark, sf_dir), PAGE)
+
+
+@query
+def largest_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.largest_gaps(_gapped(spark, sf_dir)).select("gap", *PAGE, "text")
+
+
+@query
+def continuation_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = layout.bands(_gapped(spark, sf_dir), LINE, F.lit(layout.GAP))
+    return layout.verdicts(layout.runs(lines, PAGE), ["doc_id"]).select(*PAGE, "next_page_index", "tail_lines", "next_head_lines", "fires")
+
+
+@query
+def threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = layout.sweep(_gapped(spark, sf_dir), PAGE, ["doc_id"])
+    return v.groupBy("threshold").agg(F.count(F.lit(1)).alias("boundaries"), F.count_if("fires").alias("firing"))
+
+
+def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markdown.with_kinds(markdown.page_blocks(R.markdown_pages(spark, sf_dir), ["doc_id"]), ["doc_id"])
+
+
+@query
+def md_block_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _blocks(spark, sf_dir).select(*PAGE, "block_idx", "kind")
+
+
+@query
+def table_splice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    page = F.struct(F.col("page_index").alias("page"), blocks.split_blocks(F.col("text")).alias("blocks"))
+    df = R.markdown_pages(spark, sf_dir).groupBy("doc_id").agg(F.array_sort(F.collect_list(page)).alias("pages")).withColumn("s", blocks.splice(F.col("pages")))
+    events = F.arrays_zip(F.col("s.popped").alias("popped"), F.col("s.added").alias("added"))
+    df = df.select("doc_id", F.explode("pages.page").alias("page_index"), events.alias("events"))
+    mine = F.try_element_at(F.filter("events", lambda x: x["popped"]["page"] == F.col("page_index")), F.lit(1))
+    return df.select("doc_id", "page_index", mine.alias("m")).select("doc_id", "page_index", F.coalesce("m.popped.n", F.lit(0)).alias("popped_blocks"), F.coalesce(F.size("m.added.rows"), F.lit(0)).alias("spliced_rows"), F.coalesce("m.added.page", F.lit(-1)).alias("target_page")).withColumn("spliced_rows", F.greatest("spliced_rows", F.lit(0)))
+
+
+@query
+def ragged_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _blocks(spark, sf_dir).where("kind = 'table'").select(*PAGE, "block_idx", "ragged")
+
+
+@query
+def column_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _blocks(spark, sf_dir).where("kind = 'table'").select(*PAGE, "block_idx", F.array_join(blocks.column_widths(F.col("rows")), ",").alias("widths"))
+
+
+@query
+def caption_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _blocks(spark, sf_dir).where("in_caption").select(*PAGE, "block_idx")
+
+
+@query
+def doc_aggregate_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages are flagged for placeholders that are left, and for the lack of one that each should have."""
+    entry = F.array(F.struct(F.lit("Sayfa").alias("placeholder"), F.lit("Sayfa").alias("value")))
+    _, _, gone, left = restore.page_columns(F.col("text"), entry)
+    return docs.documents(R.markdown_pages(spark, sf_dir).select(*PAGE, gone, left), ["doc_id"])
+
+
+@query
+def structured_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return docs.structured_text(words.line_rows(_words(spark, sf_dir), PAGE), PAGE)
+
+
+@query
+def direction_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = F.coalesce("text", F.lit(""))
+    t = F.when(F.col("doc_id") % 3 == 0, F.replace(F.replace(t, F.lit("en"), F.lit("ğı")), F.lit("an"), F.lit("şİ"))).otherwise(t)
+    return R.table(spark, sf_dir, "documents").select("doc_id", docs.direction(t).alias("direction"))
+
+
+@query
+def glossary_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = R.table(spark, sf_dir, "nation").select(F.concat(F.element_at(literal_array(["IS", "İs", "ıs", "is"]), (F.col("n_nationkey") % 4 + 1).cast("int")), F.expr("n_nationkey div 4").cast("string")).alias("term"), F.col("n_name").alias("translation"), (F.col("n_nationkey") % 3 == 0).alias("verified"))
+    c = R.table(spark, sf_dir, "supplier").select(F.concat(F.element_at(literal_array(["ıS", "iS"]), (F.col("s_suppkey") % 2 + 1).cast("int")), (F.col("s_suppkey") % 9).cast("string")).alias("term"), F.concat(F.lit("new "), F.col("s_suppkey").cast("string")).alias("translation"))
+    return docs.glossary_upsert(g, c)
+
+
+@query
+def bookmark_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = R.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("doc_id"), F.col("o_orderkey").alias("part"), F.lit("part").alias("label"), (1 + F.col("o_orderkey") % 6).cast("long").alias("pages"))
+    return docs.bookmarks(parts, ["doc_id"]).drop("label")
+
+
+@query
+def survival_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A translator that loses each placeholder whose number has the document's remainder by 4."""
+    r = _numbered(spark, sf_dir)
+    said = F.when(F.col("doc_id") % 4 != F.col("number") % 4, F.concat(F.lit("x "), "placeholder", F.lit("'nin y"))).otherwise("x y")
+    return docs.survival(r.select("entity_type", said.alias("text"), F.col("placeholder").alias("token")), ["entity_type"])
+
+
+@query
+def outcome_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = R.markdown_pages(spark, sf_dir)
+    any_table = F.exists(blocks.split_blocks(F.col("text")), lambda b: blocks.is_table(F.filter(F.split(b, "\n"), lambda x: F.trim(x) != "")))
+    verdict = docs.attribution(F.col("text"), "[PERSON_2]", "[PERSON_3]", ("davac", "ashworth"), ("daval", "whitfield"))
+    rows = pages.select(docs.outcome(F.col("text"), blocks.REVIEW_MARKER, any_table).alias("outcome"), verdict.alias("attribution"))
+    return rows.groupBy("outcome", "attribution").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def table_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = R.markdown_pages(spark, sf_dir).select(*PAGE, docs.table_score(F.col("text"), blocks.REVIEW_MARKER, "[[TABLE").alias("s"))
+    return s.select(*PAGE, "s.n_rows", "s.n_separators", F.array_join("s.col_counts", ",").alias("col_counts"), "s.hatch_fired", "s.hint_leaked")
+
+
+__all__ = ["ORACLES", "QUERIES"]
