@@ -42,7 +42,7 @@ def test_as_of_join(spark):
     for i in range(600):
         u = "http://hot.net/" if rng.random() < 0.5 else rng.choice(urls)
         kind = "response" if rng.random() < 0.2 else "revisit"
-        headers = {k: v for k, v in {"ETag": rng.choice(['"1"', 'W/"1"', '"2"']), "Last-Modified": rng.choice(["m", "n"]), "Content-Type": kind, "X": str(i)}.items() if rng.random() < 0.7}
+        headers = {k: v for k, v in {"ETag": rng.choice(['"1"', 'W/"1"', '"2"']), "Last-Modified": rng.choice(["m", "n"]), "Content-Type": kind, "X": str(i), "x": str(i)}.items() if rng.random() < 0.7}
         rows.append({"record_id": i, "url": u, "ts": rng.choice([None, *range(40)]) if rng.random() < 0.05 else rng.randrange(40) * 50, "kind": kind, "headers": headers if rng.random() < 0.95 else None, "payload": f"p{i}" if kind == "response" else None})
     df = spark.createDataFrame([tuple(r.values()) for r in rows], "record_id long, url string, ts long, kind string, headers map<string,string>, payload string").withColumn("key", F.lit(1)).withColumn("ref", F.lit(2)).withColumn("span", F.lit(3))
     key = {r.url: r.k for r in df.select("url", warc.canonical_url(F.col("url")).alias("k")).distinct().collect()}

@@ -31,11 +31,11 @@ j AS (SELECT *, last_value(CASE WHEN full_ THEN record_id END IGNORE NULLS) OVER
 k AS (SELECT j.record_id, j.key, j.crawl, j.full_, j.sent, j.before_, j.html, j.tag, o.html AS old_html, o.tag AS old_tag FROM j LEFT JOIN c o ON o.record_id = j.before_ AND o.full_)
 SELECT record_id, key,
   CASE WHEN full_ THEN 'full' WHEN before_ IS NULL THEN 'unresolved' WHEN sent IS NULL THEN 'unchecked' WHEN sent = old_tag THEN 'match' ELSE 'mismatch' END AS status,
-  CASE WHEN full_ THEN record_id ELSE before_ END AS ref,
+  CASE WHEN full_ THEN record_id ELSE coalesce(before_, -1) END AS ref,
   CASE WHEN full_ THEN 'cache-control=max-age=60;content-length=' || length(coalesce(html, '')) || ';content-type=text/html;etag=' || tag
     WHEN before_ IS NULL OR sent <> old_tag THEN 'cache-control=max-age=600' || CASE WHEN sent IS NULL THEN ';date=' || crawl ELSE ';content-length=0;date=' || crawl || ';etag=W/' || sent END
     ELSE 'cache-control=max-age=600;content-length=' || length(coalesce(old_html, '')) || ';content-type=text/html;date=' || crawl || ';etag=' || CASE WHEN sent IS NULL THEN old_tag ELSE 'W/' || sent END END AS header_text,
-  CASE WHEN full_ THEN md5(html) WHEN before_ IS NOT NULL AND (sent IS NULL OR sent = old_tag) THEN md5(old_html) END AS payload_md5
+  coalesce(CASE WHEN full_ THEN md5(html) WHEN before_ IS NOT NULL AND (sent IS NULL OR sent = old_tag) THEN md5(old_html) END, '') AS payload_md5
 FROM k
 """
 

@@ -18,6 +18,7 @@ Defined results:
   Last-Modified on both sides; without validators on both sides the revisit is
   ``unchecked`` and resolved; where they differ it is ``mismatch`` and not resolved
 * records at the same time come in the order of their ids; a null id comes first
+* header names that differ in case only are one header, with the last value
 * responses are returned as they are, ``full``; an empty table gives an empty one
 """
 
@@ -50,7 +51,10 @@ def canonical_url(url: Column) -> Column:
 
 
 def _low(headers: Column) -> Column:
-    return F.transform_keys(F.coalesce(headers, F.create_map().cast(HEADERS)), lambda k, _: F.lower(k))
+    """Names in lower case; of names that are then equal, the last one counts."""
+    entries = F.transform(F.map_entries(F.coalesce(headers, F.create_map().cast(HEADERS))), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
+    later = F.transform(entries, lambda e, i: F.struct(e.alias("e"), F.slice(F.transform(entries, lambda x: x["key"]), i + 2, F.size(entries)).alias("rest")))
+    return F.map_from_entries(F.transform(F.filter(later, lambda x: ~F.array_contains(x["rest"], x["e"]["key"])), lambda x: x["e"]))
 
 
 def merged_headers(stored: Column, fresh: Column) -> Column:
@@ -123,6 +127,6 @@ def captures_of(pages: DataFrame) -> DataFrame:
 
 
 def digest(resolved: DataFrame) -> DataFrame:
-    """record_id, key, status, ref, header_text (name=value, by name), payload_md5."""
+    """record_id, key, status, ref (-1 for none), header_text (name=value, by name), payload_md5 (empty for none)."""
     lines = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
-    return resolved.select("record_id", "key", "status", "ref", F.array_join(lines, ";").alias("header_text"), F.md5("payload").alias("payload_md5"))
+    return resolved.select("record_id", "key", "status", F.coalesce("ref", F.lit(-1).cast("long")).alias("ref"), F.array_join(lines, ";").alias("header_text"), F.coalesce(F.md5("payload"), F.lit("")).alias("payload_md5"))
