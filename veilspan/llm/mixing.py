@@ -145,14 +145,21 @@ class Mix:
         slots = slots.join(F.broadcast(self.sources.select("sid", "blocks")), "sid").select("shard", "sid", "blocks", F.explode(F.expr("sequence(first, first + n - 1)")).alias("slot"))
         passes = F.expr("slot div blocks")
         slots = slots.withColumn("epoch", passes).withColumn("block", permuted(F.col("slot") % F.col("blocks"), F.col("blocks"), F.struct(F.lit(recipe.seed), F.col("sid"), F.col("epoch"))))
-        first, last = F.expr("at div len"), F.expr("(at + size - 1) div len")
-        parts = self.sized.where("size > 0").select("sid", "bucket", "rank", "doc_id", "at", "size", "len", *(["text", "lang"] if keep_text else []), F.explode(F.sequence(first, last)).alias("block"))
-        low = F.greatest(F.col("at"), F.col("block") * F.col("len"))
-        high = F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * F.col("len"))
-        parts = parts.withColumn("from_word", low - F.col("at")).withColumn("to_word", high - F.col("at")).withColumn("place", low - F.col("block") * F.col("len"))
-        if keep_text:  # each part moves its own words only
-            words = F.regexp_extract_all(F.col("text"), F.lit(f"{SPACE}*{WORD}"), F.lit(0))
-            parts = parts.withColumn("text", F.array_join(F.slice(words, (F.col("from_word") + 1).cast("int"), (F.col("to_word") - F.col("from_word")).cast("int")), ""))
+        def cut(words: Column | None) -> Column:
+            """A document's parts by block, each with its own words only."""
+
+            def one(block: Column) -> Column:
+                lo = F.greatest(F.col("at"), block * F.col("len")) - F.col("at")
+                hi = F.least(F.col("at") + F.col("size"), (block + 1) * F.col("len")) - F.col("at")
+                text = [] if words is None else [F.array_join(F.slice(words, (lo + 1).cast("int"), (hi - lo).cast("int")), "").alias("text")]
+                return F.struct(block.alias("block"), lo.alias("from_word"), hi.alias("to_word"), F.greatest(F.col("at") - block * F.col("len"), F.lit(0)).alias("place"), *text)
+
+            return F.transform(F.sequence(F.expr("at div len"), F.expr("(at + size - 1) div len")), one)
+
+        # the words of a text are found once, however many blocks it lies in
+        words = F.regexp_extract_all(F.col("text"), F.lit(f"{SPACE}*{WORD}"), F.lit(0))
+        cells = F.element_at(F.transform(F.array(words), cut), 1) if keep_text else cut(None)
+        parts = self.sized.where("size > 0").select("sid", "bucket", "rank", "doc_id", *(["lang"] if keep_text else []), F.explode(cells).alias("cell")).select("*", "cell.*").drop("cell")
         self.pieces = slots.join(parts, ["sid", "block"])
 
     def taken(self) -> DataFrame:
