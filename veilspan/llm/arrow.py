@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
+_libc = ctypes.CDLL(None)
+
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All texts of a string column one after the other as UTF-8, and the n+1 places where they begin and end. Null is empty."""
@@ -22,7 +26,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
-    """The rows of ``batches`` in parts of at most ``most`` bytes of text, or of one row."""
+    """The rows of ``batches`` in parts of at most ``most`` bytes of text, or of one row. At the end, freed memory goes back to the system: the worker lives on."""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
         if not len(column):
@@ -34,6 +38,15 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 2 << 20) ->
             last = min(last, len(column))
             yield batch.slice(first, last - first)
             first = last
+    batch = column = at = None
+    release()
+
+
+def release() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
 
 
 def get(batch: pa.RecordBatch, name: str) -> pa.Array:

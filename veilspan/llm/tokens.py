@@ -40,12 +40,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilspan import scratch
-from veilspan.llm.arrow import get, slices, text_bytes
+from veilspan.llm.arrow import get, release, slices, text_bytes
 from veilspan.llm.near_dedup import powers
 
 BLOCK, PERCENTILE, SEGMENT_IDS, END_ID = 1024, 98.0, 1 << 17, 0
 #: Text bytes for each shard, and distinct parts that a worker remembers.
-SHARD_BYTES, REMEMBERED = 32 << 20, 500_000
+SHARD_BYTES, REMEMBERED = 32 << 20, 600_000
 HEADER = struct.Struct("<IHBH")
 SCHEMA = "shard int, seq int, first long, doc_ids array<long>, counts array<long>, starts array<int>, data binary"
 _SPACE = np.zeros(256, bool)
@@ -96,8 +96,11 @@ class Encoder:
 
     def learn(self, parts: list[bytes]) -> None:
         """Parts that begin with white space and end with something else are encoded many in a row, as no token reaches over; how many ids are whose follows from the ids' lengths in bytes."""
-        lone = [p for p in parts if p[0] not in _BLANK or p[-1] in _BLANK or p[-1] > 127]
-        row = [p for p in parts if not (p[0] not in _BLANK or p[-1] in _BLANK or p[-1] > 127)]
+        lone, row = [], []
+        for p in parts:
+            # white space that isn't ASCII ends in c2 and a byte, or in e1 to e3 and two bytes
+            odd = p[-1] > 127 and (p[-2] == 0xC2 or 0xE1 <= p[-3:][0] <= 0xE3)
+            (lone if odd or p[0] not in _BLANK or p[-1] in _BLANK else row).append(p)
         for lo in range(0, len(row), 4096):
             some = row[lo : lo + 4096]
             joined = [b"".join(some[k : k + 64]).decode() for k in range(0, len(some), 64)]
@@ -143,7 +146,12 @@ class Encoder:
         np.cumsum(total, out=total)
         h = (total[end] - total[begin]) * down[begin]
         del total
-        _, first, inverse = np.unique(h, return_index=True, return_inverse=True)
+        order = np.argsort(h)
+        h = h[order]
+        new = np.concatenate([[True], h[1:] != h[:-1]])
+        first, inverse = order[new], np.empty(len(h), np.int64)
+        inverse[order] = np.cumsum(new) - 1
+        del h, order, new
         same = begin[first][inverse]
         # equal hashes must be equal bytes: else each part is looked up by itself
         size = end - begin
@@ -276,9 +284,10 @@ def write(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID) -
                     yield _segment(shard, seq, first, doc_ids, counts, ids)
                     seq, first, held, doc_ids, counts, ids = seq + 1, first + held, 0, [], [], []
                 lo = hi
-        own.forget()  # the worker goes on to other tasks
         if doc_ids:
             yield _segment(shard, seq, first, doc_ids, counts, ids)
+        own.forget()  # the worker goes on to other tasks
+        release()
 
     # by the id alone: the texts of a sample would go to the driver
     ordered = rows.repartitionByRange(shards, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
