@@ -5,9 +5,11 @@ from __future__ import annotations
 import ctypes
 import gc
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 _libc = ctypes.CDLL(None)
 
@@ -42,6 +44,18 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 2 << 20) ->
     release()
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 2000) -> Iterator[None]:
+    """Within it, Arrow batches of what is planned and run have at most so many rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def release() -> None:
     gc.collect()
     pa.default_memory_pool().release_unused()

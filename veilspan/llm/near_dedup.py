@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veilspan import scratch
-from veilspan.llm.arrow import get, slices, text_bytes
+from veilspan.llm.arrow import get, slices, small_batches, text_bytes
 
 K, SHORT, MISS = 64, 24, 1e-10
 #: Lists of ids up to this length are broadcast for semi joins (8 bytes each); longer ones are shuffled.
@@ -231,7 +231,8 @@ def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
         for batch in slices(batches, "text"):
             yield pa.RecordBatch.from_arrays([get(batch, "id"), pa.array([s.tobytes() for s in shingle_sets(get(batch, "text"), words)], pa.binary())], ["id", "s"])
 
-    return scratch.written(chosen(docs, ids).mapInArrow(run, "id long, s binary"), "near-sets")
+    with small_batches(docs.sparkSession):
+        return scratch.written(chosen(docs, ids).mapInArrow(run, "id long, s binary"), "near-sets")
 
 
 def block_links(sides: np.ndarray, ids: np.ndarray, comps: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -345,7 +346,8 @@ def linked(docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataF
 def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """For each row of ``docs``: doc_id, n_shingles, component_id, kept. See the module for the cases."""
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    all_ = scratch.written(sketches(texts, words), "near-sketches")
+    with small_batches(docs.sparkSession):
+        all_ = scratch.written(sketches(texts, words), "near-sketches")
     some = all_.where("n > 0 and id is not null")
     classes = scratch.written(some.groupBy("d1", "d2", "n").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("m")), "near-classes")
     copies = classes.where("m > 1")

@@ -40,12 +40,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilspan import scratch
-from veilspan.llm.arrow import get, release, slices, text_bytes
+from veilspan.llm.arrow import get, release, slices, small_batches, text_bytes
 from veilspan.llm.near_dedup import powers
 
 BLOCK, PERCENTILE, SEGMENT_IDS, END_ID = 1024, 98.0, 1 << 17, 0
 #: Text bytes for each shard, and distinct parts that a worker remembers.
-SHARD_BYTES, REMEMBERED = 32 << 20, 600_000
+SHARD_BYTES, REMEMBERED = 24 << 20, 400_000
 HEADER = struct.Struct("<IHBH")
 SCHEMA = "shard int, seq int, first long, doc_ids array<long>, counts array<long>, starts array<int>, data binary"
 _SPACE = np.zeros(256, bool)
@@ -291,7 +291,8 @@ def write(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID) -
 
     # by the id alone: the texts of a sample would go to the driver
     ordered = rows.repartitionByRange(shards, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    return scratch.written(ordered.mapInArrow(encode, SCHEMA), "tokens", compression="uncompressed")
+    with small_batches(spark):
+        return scratch.written(ordered.mapInArrow(encode, SCHEMA), "tokens", compression="uncompressed")
 
 
 def read(spark: SparkSession, tokens: DataFrame) -> DataFrame:
