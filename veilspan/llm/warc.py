@@ -58,17 +58,17 @@ def _low(headers: Column) -> Column:
 
 
 def merged_headers(stored: Column, fresh: Column) -> Column:
-    """The stored headers, with those of the 304 that it may update put over them."""
-    allowed = F.map_filter(_low(fresh), lambda k, _: ~k.isin(*NOT_UPDATED))
-    left = F.map_filter(_low(stored), lambda k, _: ~F.map_contains_key(allowed, k))
+    """The stored headers, with those of the 304 that it may update put over them; both with names in lower case."""
+    allowed = F.map_filter(fresh, lambda k, _: ~k.isin(*NOT_UPDATED))
+    left = F.map_filter(stored, lambda k, _: ~F.map_contains_key(allowed, k))
     return F.map_from_entries(F.array_sort(F.concat(F.map_entries(left), F.map_entries(allowed))))
 
 
 def check(stored: Column, fresh: Column) -> Column:
-    """match, mismatch or unchecked."""
+    """match, mismatch or unchecked, from headers with names in lower case."""
 
     def pair(name: str) -> tuple[Column, Column]:
-        return tuple(F.regexp_replace(F.element_at(_low(h), name), "^W/", "") for h in (stored, fresh))
+        return tuple(F.regexp_replace(F.element_at(h, name), "^W/", "") for h in (stored, fresh))
 
     (e1, e2), (m1, m2) = pair("etag"), pair("last-modified")
 
@@ -96,7 +96,7 @@ def latest_response(captures: DataFrame) -> DataFrame:
 
 def resolve(records: DataFrame) -> DataFrame:
     """For each record (record_id, url, ts long, kind 'response' or 'revisit', headers map, payload): record_id, key, status, ref, headers, payload."""
-    rows = records.select(F.col("record_id").cast("long").alias("record_id"), canonical_url(F.col("url")).alias("key"), F.col("ts").cast("long").alias("ts"), F.coalesce(F.col("kind") == "response", F.lit(False)).alias("is_full"), "headers", "payload")
+    rows = records.select(F.col("record_id").cast("long").alias("record_id"), canonical_url(F.col("url")).alias("key"), F.col("ts").cast("long").alias("ts"), F.coalesce(F.col("kind") == "response", F.lit(False)).alias("is_full"), _low(F.col("headers")).alias("headers"), "payload")
     placed = rows.where("key is not null and ts is not null")
     found = latest_response(placed.select("record_id", "key", "ts", "is_full", F.when(~F.col("is_full"), F.col("headers")).alias("fresh")))
     revisits = found.where("not is_full").select("record_id", "key", "fresh", "ref")
@@ -105,9 +105,9 @@ def resolve(records: DataFrame) -> DataFrame:
     status = F.when(F.col("ref").isNull(), "unresolved").otherwise(check(F.col("stored"), F.col("fresh")))
     done = joined.withColumn("status", status)
     good = F.col("status").isin("match", "unchecked")
-    done = done.select("record_id", "key", "status", "ref", F.when(good, merged_headers(F.col("stored"), F.col("fresh"))).otherwise(_low(F.col("fresh"))).alias("headers"), F.when(good, F.col("payload")).alias("payload"))
-    plain = rows.where("is_full").select("record_id", "key", F.lit("full").alias("status"), F.col("record_id").alias("ref"), _low(F.col("headers")).alias("headers"), "payload")
-    lost = rows.where("not is_full and (key is null or ts is null)").select("record_id", "key", F.lit("unresolved").alias("status"), F.lit(None).cast("long").alias("ref"), _low(F.col("headers")).alias("headers"), F.lit(None).cast("string").alias("payload"))
+    done = done.select("record_id", "key", "status", "ref", F.when(good, merged_headers(F.col("stored"), F.col("fresh"))).otherwise(F.col("fresh")).alias("headers"), F.when(good, F.col("payload")).alias("payload"))
+    plain = rows.where("is_full").select("record_id", "key", F.lit("full").alias("status"), F.col("record_id").alias("ref"), "headers", "payload")
+    lost = rows.where("not is_full and (key is null or ts is null)").select("record_id", "key", F.lit("unresolved").alias("status"), F.lit(None).cast("long").alias("ref"), "headers", F.lit(None).cast("string").alias("payload"))
     return plain.unionByName(done).unionByName(lost)
 
 
