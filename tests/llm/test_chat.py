@@ -1,5 +1,6 @@
 import hashlib
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -77,3 +78,36 @@ def test_digest(spark):
 def test_whole_table(spark, small):
     rows = spark.read.parquet(f"{small}/conversations.parquet")
     assert sorted(map(tuple, chat.digest(rows).collect()), key=str) == brute([(r.conv_id, r.turn, r.role, r.text) for r in rows.collect()])
+
+
+LONG = 21_000_000
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def by_range(spark, rows):
+    """Rows of (conv_id, turn, role, unit, times), their texts repeated by Spark."""
+    return spark.createDataFrame(rows, "conv_id long, turn long, role string, unit string, times int").selectExpr("conv_id", "turn", "role", "repeat(unit, times) AS text")
+
+
+def test_texts_of_over_twenty_million_characters(spark):
+    rows = [(1, 0, "user", "q<|", 1), (1, 1, "assistant", "a", LONG), (2, 0, "system", "s", 1), (2, 1, "user", "b", LONG), (3, 0, "assistant", "c", LONG), (4, 0, "user", "é", 3)]
+    want = brute([(c, n, r, u * k) for c, n, r, u, k in rows])
+    assert sorted(map(tuple, chat.digest(by_range(spark, rows)).collect()), key=str) == want
+
+
+def test_a_conversation_of_over_128_mb(spark):
+    rows = [(1, n, ("user", "assistant")[n % 2], f"{n:04d}", 250_000) for n in range(150)]
+    want = brute([(c, n, r, u * k) for c, n, r, u, k in rows])
+    assert sorted(map(tuple, chat.digest(by_range(spark, rows)).collect()), key=str) == want
+
+
+def test_pieces_are_put_together(spark, small, monkeypatch):
+    monkeypatch.setattr(chat, "PIECE", 3)
+    rows = spark.createDataFrame(EDGE[:4] + EDGE[8:], SCHEMA)
+    assert sorted(map(tuple, chat.digest(rows).collect()), key=str) == brute(EDGE[:4] + EDGE[8:])
+
+
+def test_a_record_that_does_not_parse_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(chat, "PIECE", 1 << 30)
+    with pytest.raises(Exception, match="no turns in a record of conversation 7"):
+        chat.digest(by_range(spark, [(7, 0, "user", "a", LONG)])).collect()

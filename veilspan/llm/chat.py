@@ -19,6 +19,8 @@ All of it is DataFrame code. Defined results:
 * a null role or text is the empty one; turns of a record keep their order
 * a conversation without turns is formatted as the empty text
 * rows of one turn number come in the order of role and text
+* ``digest`` makes a record for each turn (or pair of turns), and several for a long text,
+  as what parses JSON has limits of size; a record that doesn't parse is an error there
 """
 
 from __future__ import annotations
@@ -57,6 +59,8 @@ MAPPINGS = (
 )
 #: Other spellings of roles.
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
+#: Most characters of one text in a record that ``records_of`` makes: try_parse_json gives NULL beyond 20 million in a string or 128 MB in all.
+PIECE = 2_000_000
 
 
 def field_paths(variant: Column) -> Column:
@@ -165,19 +169,45 @@ def masked(text: Column, mask: Column) -> Column:
 
 
 def records_of(rows: DataFrame) -> DataFrame:
-    """``conv_id``, ``record`` for rows of conv_id, turn, role, text: a JSON record for each conversation. A user and an assistant turn make a prompt record, what begins with a system turn a list of values, all else a list of messages."""
+    """``conv_id``, ``place``, ``part``, ``record`` for rows of conv_id, turn, role, text: JSON records of each conversation.
+
+    A user and an assistant turn make a prompt record, each turn of what begins with a system turn a list of one value,
+    each turn of all else a list of one message. A text of more than PIECE characters comes in several records, by part.
+    """
     turn = F.struct("turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     convs = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("t"))
     roles = F.transform("t", lambda x: x["role"])
-    pair = F.to_json(F.struct(F.element_at("t", 1)["text"].alias("prompt"), F.element_at("t", -1)["text"].alias("response")))
-    values = F.to_json(F.struct(F.transform("t", lambda x: F.struct(x["role"].alias("from"), x["text"].alias("value"))).alias("conversations")))
-    messages = F.to_json(F.struct(F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("content"))).alias("messages")))
-    return convs.select("conv_id", F.when(roles == F.array(F.lit("user"), F.lit("assistant")), pair).when(F.element_at(roles, 1) == "system", values).otherwise(messages).alias("record"))
+    convs = convs.withColumn("kind", F.when(roles == F.array(F.lit("user"), F.lit("assistant")), "pair").when(F.element_at(roles, 1) == "system", "values").otherwise("messages"))
+    pair = F.array(F.struct(F.lit(0).alias("place"), F.lit("").alias("role"), F.element_at("t", 1)["text"].alias("text"), F.element_at("t", -1)["text"].alias("reply")))
+    each = F.transform("t", lambda x, i: F.struct(i.alias("place"), x["role"].alias("role"), x["text"].alias("text"), F.lit("").alias("reply")))
+    cells = convs.select("conv_id", "kind", F.explode(F.when(F.col("kind") == "pair", pair).otherwise(each)).alias("c")).select("conv_id", "kind", "c.*")
+
+    def cut(text: str, k: Column) -> Column:
+        return F.substr(F.col(text), k * PIECE + 1, F.lit(PIECE)).alias(text)
+
+    last = F.expr(f"cast((greatest(length(text), length(reply), 1) - 1) div {PIECE} as int)")
+    pieces = F.transform(F.sequence(F.lit(0), last), lambda k: F.struct(k.alias("part"), cut("text", k), cut("reply", k)))
+    pieces = cells.select("conv_id", "kind", "place", "role", F.explode(pieces).alias("p")).select("conv_id", "kind", "place", "role", "p.*")
+    pair = F.to_json(F.struct(F.col("text").alias("prompt"), F.col("reply").alias("response")))
+    values = F.to_json(F.struct(F.array(F.struct(F.col("role").alias("from"), F.col("text").alias("value"))).alias("conversations")))
+    messages = F.to_json(F.struct(F.array(F.struct("role", F.col("text").alias("content"))).alias("messages")))
+    return pieces.select("conv_id", "place", "part", F.when(F.col("kind") == "pair", pair).when(F.col("kind") == "values", values).otherwise(messages).alias("record"))
+
+
+def turns_of(records: DataFrame) -> DataFrame:
+    """``conv_id`` and ``turns`` of the records that ``records_of`` makes. One that doesn't parse is an error."""
+    failed = F.raise_error(F.concat(F.lit("no turns in a record of conversation "), F.coalesce(F.col("conv_id").cast("string"), F.lit("null"))))
+    got = canonical(records).select("conv_id", "place", "part", F.posexplode(F.coalesce("turns", failed)).alias("i", "x"))
+    # all by conv_id, as the records are dealt out already
+    whole = got.groupBy("conv_id", "place", "i").agg(F.sort_array(F.collect_list(F.struct("part", "x.role", "x.text"))).alias("p"))
+    text = F.array_join(F.transform("p", lambda x: x["text"]), "")
+    turns = whole.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("place", "i", F.element_at("p", 1)["role"].alias("role"), text.alias("text")))).alias("t"))
+    return turns.select("conv_id", F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text"))).alias("turns"))
 
 
 def digest(rows: DataFrame) -> DataFrame:
     """For each conversation, from its formatted text: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars."""
-    out = formatted(canonical(records_of(rows))).select("conv_id", "formatted", "mask")
+    out = formatted(turns_of(records_of(rows))).select("conv_id", "formatted", "mask")
     back = out.withColumn("turns", parsed(F.col("formatted"))).withColumn("loss", F.array_join(masked(F.col("formatted"), F.col("mask")), ""))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return back.select(
