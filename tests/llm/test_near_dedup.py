@@ -75,6 +75,16 @@ def test_null_and_repeated_ids(make_docs):
     assert by[(7, 49)] == (3, False) and by[(7, 2)] == (3, False) and by[(9, 2)] == (3, False) and by[(3, 50)] == (3, True)
 
 
+@pytest.mark.parametrize("short", [24, 2])
+def test_all_texts_of_a_repeated_id_link_it(make_docs, monkeypatch, short):
+    monkeypatch.setattr(nd, "SHORT", short)
+    x, y, u, v = ([f"{name}{i}" for i in range(200)] for name in "xyuv")
+    near = [[*t[:90], "other", *t[91:]] for t in (x, y, u, v)]
+    rows = [(2, x), (7, x), (7, y), (7, y), (3, near[1]), (5, near[1][:-1]), (20, u), (20, v), (15, near[2]), (11, near[3]), (30, ["lone", "words"]), (30, ["lone", "words"])]
+    out = nd.near_dedup(make_docs([(i, " ".join(t)) for i, t in rows]), 2).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in out) == sorted((i, c, i == c) for i, _ in rows for c in [2 if i < 10 else 11 if i < 30 else 30])
+
+
 def test_empty(make_docs):
     assert nd.near_dedup(make_docs([])).count() == 0
 

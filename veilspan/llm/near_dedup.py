@@ -1,7 +1,7 @@
 """Near-duplicate documents by bottom-k sketches from one hash function.
 
 1. A document's set is its distinct word shingles, hashed to 64 bits. Its sketch is the
-   ``K`` smallest hashes. Documents with equal sets are one node, named by its smallest id.
+   ``K`` smallest hashes. Rows with equal sets are one node, named by a number of one of its rows.
 2. Inverted lists of retained values: two sketches of sets with a Jaccard index of 0.8
    share many values (for sets of at most K all that the index asks for; beyond, fewer
    than ``least_shared`` in K have a chance below 1e-10). So it is enough to list a
@@ -13,7 +13,8 @@
    bounded size that emit no pairs, only the links that join components.
 4. The sketch of the union of a pair estimates its index and drops pairs far below the
    threshold; whole sets confirm the others.
-5. Components of the links: smallest reachable id, by propagation with pointer jumps.
+5. Components of the links, between documents: smallest reachable id, by propagation with
+   pointer jumps. A doc_id with rows of different texts is in several nodes and joins them.
 
 Defined results:
 
@@ -27,7 +28,7 @@ Defined results:
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ from veilspan import scratch
 from veilspan.llm.arrow import get, slices, small_batches, text_bytes
 
 K, SHORT, MISS = 64, 24, 1e-10
-#: Lists of ids up to this length are broadcast for semi joins (8 bytes each); longer ones are shuffled.
+#: Lists of ids up to this length are broadcast (8 bytes each for semi joins, 24 where rows are found by them); longer ones are shuffled.
 BROADCAST_IDS = 1_000_000
 #: Rows and hashes of each side of a block.
 BLOCK_ROWS, BLOCK_HASHES = 512, 1 << 18
@@ -120,7 +121,7 @@ def shingle_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
 
 
 def sketches(docs: DataFrame, words: int, k: int = K) -> DataFrame:
-    """For each row: id, n (set size), d1 and d2 (a digest of the set), sketch."""
+    """For each row: id and h, as they come, n (set size), d1 and d2 (a digest of the set), sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
@@ -132,9 +133,9 @@ def sketches(docs: DataFrame, words: int, k: int = K) -> DataFrame:
                 low.append(own[:k].view(np.int64))
             ends = np.concatenate([[0], np.cumsum([len(x) for x in low])]).astype(np.int32)
             sketch = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(low)))
-            yield pa.RecordBatch.from_arrays([get(batch, "id"), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), sketch], ["id", "n", "d1", "d2", "sketch"])
+            yield pa.RecordBatch.from_arrays([get(batch, "id"), get(batch, "h"), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), sketch], ["id", "h", "n", "d1", "d2", "sketch"])
 
-    return docs.mapInArrow(run, "id long, n long, d1 long, d2 long, sketch array<long>")
+    return docs.mapInArrow(run, "id long, h long, n long, d1 long, d2 long, sketch array<long>")
 
 
 def chosen(rows: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
@@ -188,8 +189,21 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, percent: int, k: int = K) ->
     return joined.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long").distinct()
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs whose whole sets reach the threshold. docs: id, text."""
+def texts_of(docs: DataFrame, rows: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """What gives id, text, a row for each node in a written table of id. docs: doc, h, text; rows, a written table: id, doc, h (a hash of doc and text)."""
+    repeated = not rows.groupBy("doc", "h").count().where("count > 1").isEmpty()
+
+    def texts(ids: DataFrame) -> DataFrame:
+        own = scratch.written(chosen(rows, ids).withColumnRenamed("doc", "own"), "near-rows")
+        small = own.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+        found = docs.join(F.broadcast(own) if small else own, "h").where("doc = own").select("id", "text")
+        return found.dropDuplicates(["id"]) if repeated else found
+
+    return texts
+
+
+def _confirmed(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], words: int, percent: int) -> DataFrame:
+    """Pairs whose whole sets reach the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,7 +216,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> D
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     ids = scratch.written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "near-ids")
-    found = _sets(docs, ids, words)
+    found = _sets(texts, ids, words)
     joined = pairs.join(found.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(found.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
     links = scratch.written(joined.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long").distinct(), "near-links")
     scratch.drop(found)
@@ -224,15 +238,15 @@ def components(links: DataFrame) -> DataFrame:
             return label
 
 
-def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """id, s (sorted hashes as bytes) for the documents that ``ids``, a written table, names."""
+def _sets(texts: Callable[[DataFrame], DataFrame], ids: DataFrame, words: int) -> DataFrame:
+    """id, s (sorted hashes as bytes) for the nodes that ``ids``, a written table, names."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             yield pa.RecordBatch.from_arrays([get(batch, "id"), pa.array([s.tobytes() for s in shingle_sets(get(batch, "text"), words)], pa.binary())], ["id", "s"])
 
-    with small_batches(docs.sparkSession):
-        return scratch.written(chosen(docs, ids).mapInArrow(run, "id long, s binary"), "near-sets")
+    with small_batches(ids.sparkSession):
+        return scratch.written(texts(ids).mapInArrow(run, "id long, s binary"), "near-sets")
 
 
 def block_links(sides: np.ndarray, ids: np.ndarray, comps: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -275,7 +289,7 @@ def block_links(sides: np.ndarray, ids: np.ndarray, comps: np.ndarray, sets: lis
     return out
 
 
-def _between(groups: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+def _between(groups: DataFrame, texts: Callable[[DataFrame], DataFrame], words: int, percent: int) -> DataFrame:
     """Links between different components of one list's nodes. groups: lead, id, n, comp, main (of the lead's component).
 
     Nodes outside the main component are compared with all, in blocks of bounded size, by
@@ -289,7 +303,7 @@ def _between(groups: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
 
     plan = outer.join(inner, "lead", "left").select("lead", parts("m_out", "n_out").alias("k_out"), parts("m_in", "n_in").alias("k_in"))
     rows = scratch.written(groups.join(plan, "lead"), "near-groups")
-    sets = _sets(docs, scratch.written(rows.select("id").distinct(), "near-ids"), words)
+    sets = _sets(texts, scratch.written(rows.select("id").distinct(), "near-ids"), words)
     h = F.xxhash64("id", "lead")
     own = F.pmod(h, F.when(F.col("main"), F.col("k_in")).otherwise(F.col("k_out"))).cast("int")
     rows = rows.withColumn("own", own)
@@ -314,7 +328,7 @@ def _between(groups: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     return links
 
 
-def linked(docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
+def linked(texts: Callable[[DataFrame], DataFrame], nodes: DataFrame, words: int, percent: int) -> DataFrame:
     """Links between nodes, enough for their components: a, b, each of them confirmed."""
     lists = scratch.written(index(nodes, percent), "near-index")
     # the lead of a list: the node that shares most of its retained values with others, by far the middle one of a group of copies
@@ -328,7 +342,7 @@ def linked(docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataF
     group = scratch.written(rows.where(F.col("m") > SHORT).select("lead", "id", "n").distinct(), "near-groups")
     star = group.where("id <> lead").select(F.least("lead", "id").alias("a"), F.greatest("lead", "id").alias("b"))
     first = scratch.written(_estimated(pairs.union(star).distinct(), nodes, percent), "near-pairs")
-    links = _confirmed(first, docs, words, percent)
+    links = _confirmed(first, texts, words, percent)
     if group.isEmpty():
         return links
 
@@ -340,24 +354,27 @@ def linked(docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataF
     placed = scratch.written(placed.join(split, "lead", "left_semi"), "near-split")
     if placed.isEmpty():
         return links
-    return scratch.written(links.union(_between(placed, docs, words, percent)), "near-links")
+    return scratch.written(links.union(_between(placed, texts, words, percent)), "near-links")
 
 
 def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """For each row of ``docs``: doc_id, n_shingles, component_id, kept. See the module for the cases."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text")).withColumn("h", F.xxhash64("doc", "text"))
     with small_batches(docs.sparkSession):
-        all_ = scratch.written(sketches(texts, words), "near-sketches")
-    some = all_.where("n > 0 and id is not null")
-    classes = scratch.written(some.groupBy("d1", "d2", "n").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("m")), "near-classes")
+        all_ = sketches(docs.withColumnRenamed("doc", "id"), words).withColumnRenamed("id", "doc")
+        all_ = scratch.written(all_.withColumn("id", F.monotonically_increasing_id()), "near-sketches")  # id: the row's number
+    some = all_.where("n > 0 and doc is not null")
+    classes = scratch.written(some.groupBy("d1", "d2", "n").agg(F.min("id").alias("node"), F.min("doc").alias("first"), F.count(F.lit(1)).alias("m")), "near-classes")
     copies = classes.where("m > 1")
-    member = some.select("id", "d1", "d2", "n").join(copies.select("d1", "d2", "n", "node"), ["d1", "d2", "n"]).select("id", "node")
-    member = scratch.written(member.where("id <> node").distinct(), "near-members")  # id is a copy of node
-    nodes = chosen(some.select("id", "n", "sketch"), scratch.written(member.select("id").distinct(), "near-copies"), "left_anti")
-
-    links = linked(texts, nodes, words, percent)
-    edges = scratch.written(links.union(member.select(F.col("node").alias("a"), F.col("id").alias("b"))), "near-edges")
+    member = some.select("id", "doc", "d1", "d2", "n").join(copies.select("d1", "d2", "n", "node", "first"), ["d1", "d2", "n"]).select("id", "doc", "node", "first")
+    member = scratch.written(member, "near-members")  # row id is one of node, whose smallest doc_id is first
+    nodes = chosen(some.select("id", "n", "sketch"), scratch.written(member.where("id <> node").select("id"), "near-copies"), "left_anti")
+
+    links = linked(texts_of(docs, some.select("id", "doc", "h")), nodes, words, percent)
+    named = some.select(F.col("id").alias("a"), F.col("doc").alias("doc_a")), some.select(F.col("id").alias("b"), F.col("doc").alias("doc_b"))
+    between = links.join(named[0], "a").join(named[1], "b").select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))
+    edges = scratch.written(between.union(member.select(F.col("first").alias("a"), F.col("doc").alias("b"))).where("a <> b").distinct(), "near-edges")
     label = components(edges)
-    out = all_.select("id", "n").join(label, "id", "left")
+    out = all_.select(F.col("doc").alias("id"), "n").join(label, "id", "left")
     out = out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("comp", "id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
