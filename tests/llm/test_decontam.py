@@ -75,6 +75,17 @@ def test_clean_keeps_the_rest(case):
     assert {r.doc_id for r in kept.select("doc_id").collect()} == {r.doc_id for r in docs.select("doc_id").collect()} - {d for d, _ in want}
 
 
+@pytest.mark.parametrize("broadcast_bytes", [dc.BROADCAST_BYTES, 0])
+def test_a_long_passage_of_a_longer_item(spark, make_docs, broadcast_bytes):
+    rng = random.Random(8)
+    items = [passage(rng, 59), passage(rng, 2000), passage(rng, 300)]
+    copies = [items[0][20:48], items[1][300:1200], items[2][100:200], items[2][:16], items[2][:15], items[2][:10] + ["x"] + items[2][50:60]]
+    rows = [(k, " ".join(passage(rng, 50) + c + passage(rng, 50))) for k, c in enumerate(copies)]
+    bench = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(items)], "item_id long, text string")
+    found = dc.leaks(make_docs(rows), bench, broadcast_bytes=broadcast_bytes).collect()
+    assert sorted((r.doc_id, r.item_id, r.longest) for r in found) == [(0, 0, 28), (1, 1, 900), (2, 2, 100), (3, 2, 16)]
+
+
 def test_empty(spark, make_docs):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert dc.leaks(make_docs([(1, "a b c d e f")]), bench).count() == 0

@@ -5,7 +5,8 @@ items that share a seed, ``least`` words in a row, are tiled: the longest common
 unmarked words are marked one after the other, found by running Karp-Rabin hashes of
 falling lengths, until none of at least ``least`` words is left. Tiles don't overlap and
 may come in any order, so a reordered passage is covered as well. A document leaks an
-item when its tiles cover at least ``coverage`` of the item's words.
+item when its tiles cover at least ``coverage`` of the item's words, or when one tile has
+``long`` words or more, however little of a long item that is.
 
 The items are broadcast up to ``BROADCAST_BYTES`` of text. Beyond that, a bitmap of fixed
 size picks the documents' seeds, these are joined to the items' seeds by shuffle, and the
@@ -35,7 +36,7 @@ from veilspan import scratch
 from veilspan.llm.arrow import get, slices, text_bytes
 from veilspan.llm.near_dedup import mix, powers
 
-LEAST, COVERAGE, BROADCAST_BYTES, BITMAP_BITS = 5, 0.5, 32 << 20, 24
+LEAST, COVERAGE, LONG, BROADCAST_BYTES, BITMAP_BITS = 5, 0.5, 16, 32 << 20, 24
 SCHEMA = "doc_id long, text_hash long, item_id long, coverage double, n_tiles int, longest int"
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -135,19 +136,19 @@ class Items:
         self.bitmap = np.zeros(1 << BITMAP_BITS, bool)
         self.bitmap[(flat >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)] = True
 
-    def leaks(self, words: np.ndarray, shared: np.ndarray, coverage: float) -> Iterator[tuple[int, float, int, int]]:
+    def leaks(self, words: np.ndarray, shared: np.ndarray, coverage: float, long: int = LONG) -> Iterator[tuple[int, float, int, int]]:
         """shared: seeds of the document that may be the items'. Yields item number, coverage, tiles, longest tile."""
         got = np.unique(shared)
         lo, hi = np.searchsorted(self.seeds, got, "left"), np.searchsorted(self.seeds, got, "right")
         some = hi > lo
         near = np.unique(np.concatenate([self.owner[x:y] for x, y in zip(lo[some], hi[some], strict=True)])) if some.any() else []
         for k in near:
-            found = leak(self.words[k], words, self.least, coverage)
+            found = leak(self.words[k], words, self.least, coverage, long)
             if found:
                 yield (int(k), *found)
 
 
-def leak(item: np.ndarray, words: np.ndarray, least: int, coverage: float) -> tuple[float, int, int] | None:
+def leak(item: np.ndarray, words: np.ndarray, least: int, coverage: float, long: int = LONG) -> tuple[float, int, int] | None:
     """Coverage, number of tiles and longest tile, if the document leaks the item."""
     seeds = rolling(item, least)
     if not len(seeds):
@@ -156,11 +157,13 @@ def leak(item: np.ndarray, words: np.ndarray, least: int, coverage: float) -> tu
     reach = np.zeros(len(item) + 1, np.int64)
     np.add.at(reach, hit, 1)
     np.add.at(reach, hit + least, -1)
-    if (np.cumsum(reach)[:-1] > 0).sum() < coverage * len(item):  # tiles can't cover more than shared seeds do
+    held = np.cumsum(reach)[:-1] > 0
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], held, [False]]).astype(np.int8)))
+    if held.sum() < coverage * len(item) and np.diff(edge)[::2].max(initial=0) < long:  # tiles can't cover more than shared seeds do
         return None
     tiles = tile(item, words, least)
     covered = sum(t[2] for t in tiles) / len(item)
-    return (covered, len(tiles), max(t[2] for t in tiles)) if tiles and covered >= coverage else None
+    return (covered, len(tiles), tiles[0][2]) if tiles and (covered >= coverage or tiles[0][2] >= long) else None
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -168,13 +171,13 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, coverage: float = COVERAGE, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, coverage: float = COVERAGE, broadcast_bytes: int = BROADCAST_BYTES, long: int = LONG) -> DataFrame:
     """A row for each document and item that it leaks: doc_id, text_hash, item_id, coverage, n_tiles, longest."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("item"))
     size = items.agg(F.sum(F.octet_length("item") + 16)).first()[0] or 0
     if size > broadcast_bytes:
-        return _leaks_by_join(_rows(docs), items, least, coverage)
+        return _leaks_by_join(_rows(docs), items, least, coverage, long)
     shared = spark.sparkContext.broadcast([(r["item_id"], r["item"]) for r in items.collect()])
     held: dict[int, Items] = {}
 
@@ -189,7 +192,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, coverage: f
             doc = np.searchsorted(at, maybe, "right") - 1
             inside = maybe + least <= at[doc + 1]
             maybe, doc = maybe[inside], doc[inside]
-            out = [(int(d), *found) for d in np.unique(doc) for found in own.leaks(h[at[d] : at[d + 1]], seeds[maybe[doc == d]], coverage)]
+            out = [(int(d), *found) for d in np.unique(doc) for found in own.leaks(h[at[d] : at[d + 1]], seeds[maybe[doc == d]], coverage, long)]
             if out:
                 d = pa.array([x[0] for x in out])
                 yield pa.RecordBatch.from_arrays([get(batch, "doc_id").take(d), get(batch, "text_hash").take(d), pa.array([own.ids[x[1]] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.float64()), pa.array([x[3] for x in out], pa.int32()), pa.array([x[4] for x in out], pa.int32())], ["doc_id", "text_hash", "item_id", "coverage", "n_tiles", "longest"])
@@ -219,7 +222,7 @@ def _seeds(rows: DataFrame, key: list[str], text: str, least: int, bitmap: np.nd
     return rows.mapInArrow(run, ", ".join(f"{k} {kinds[k]}" for k in key) + ", seed long")
 
 
-def _leaks_by_join(rows: DataFrame, items: DataFrame, least: int, coverage: float) -> DataFrame:
+def _leaks_by_join(rows: DataFrame, items: DataFrame, least: int, coverage: float, long: int) -> DataFrame:
     items = items.withColumn("item_hash", F.xxhash64("item"))
     item_seeds = scratch.written(_seeds(items, ["item_id", "item_hash"], "item", least, None), "decontam-seeds")
     byte = F.expr(f"cast(shiftrightunsigned(seed, {64 - BITMAP_BITS + 3}) as int)")
@@ -236,7 +239,7 @@ def _leaks_by_join(rows: DataFrame, items: DataFrame, least: int, coverage: floa
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             (h, at), (g, to) = tokens(*text_bytes(get(batch, "text"))), tokens(*text_bytes(get(batch, "item")))
-            found = [leak(g[to[k] : to[k + 1]], h[at[k] : at[k + 1]], least, coverage) for k in range(batch.num_rows)]
+            found = [leak(g[to[k] : to[k + 1]], h[at[k] : at[k + 1]], least, coverage, long) for k in range(batch.num_rows)]
             take = pa.array([k for k, x in enumerate(found) if x], pa.int64())
             got = [x for x in found if x]
             yield pa.RecordBatch.from_arrays([*[get(batch, k).take(take) for k in ("doc_id", "text_hash", "item_id")], pa.array([x[0] for x in got], pa.float64()), pa.array([x[1] for x in got], pa.int32()), pa.array([x[2] for x in got], pa.int32())], ["doc_id", "text_hash", "item_id", "coverage", "n_tiles", "longest"])
