@@ -86,6 +86,16 @@ def test_a_long_passage_of_a_longer_item(spark, make_docs, broadcast_bytes):
     assert sorted((r.doc_id, r.item_id, r.longest) for r in found) == [(0, 0, 28), (1, 1, 900), (2, 2, 100), (3, 2, 16)]
 
 
+@pytest.mark.parametrize("broadcast_bytes", [dc.BROADCAST_BYTES, 0])
+def test_short_items_and_scripts_without_spaces(spark, make_docs, broadcast_bytes):
+    items = ["Paris, France!", "who", "one two three four", "東京は日本の首都です", "กรุงเทพ", "", "...", "𠀀𠀁", "no one has it"]
+    texts = ["paris france", "in Paris -- France, we", "Paris in France", "WHO?", "whoever", "one two three", "zero one two three four five", "x東京は日本の首都y", "首都は京都", "ไปกรุงเทพแล้ว", "กรุง", "", None, "a𠀀𠀁b", "𠀁𠀀"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = dc.leaks(make_docs(list(enumerate(texts))), bench, broadcast_bytes=broadcast_bytes).collect()
+    want = [(0, 0, 1.0), (1, 0, 1.0), (3, 1, 1.0), (6, 2, 1.0), (7, 3, 0.8), (9, 4, 1.0), (13, 7, 1.0)]
+    assert sorted((r.doc_id, r.item_id, r.coverage) for r in found) == want
+
+
 def test_empty(spark, make_docs):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert dc.leaks(make_docs([(1, "a b c d e f")]), bench).count() == 0

@@ -1,6 +1,7 @@
 """Benchmark decontamination by greedy string tiling.
 
-Words are compared in lower case (A-Z) without ASCII punctuation. Documents and test
+Words are compared in lower case (A-Z) without ASCII punctuation; in scripts that put no
+spaces between words each character is a word. Documents and test
 items that share a seed, ``least`` words in a row, are tiled: the longest common runs of
 unmarked words are marked one after the other, found by running Karp-Rabin hashes of
 falling lengths, until none of at least ``least`` words is left. Tiles don't overlap and
@@ -15,7 +16,8 @@ pairs are tiled with both texts joined to them.
 Defined results:
 
 * null and empty texts leak nothing
-* items of fewer than ``least`` words can't be told from ordinary text: nothing leaks them
+* an item of fewer than ``least`` words is its own seed: it is leaked by what has all of its
+  words in a row, and by nothing less; an item without words is never leaked
 * among equally long runs, the one that is first in the item, then in the document, is
   marked first
 * rows with a null or repeated doc_id are looked at one by one; repeated items count each
@@ -41,10 +43,27 @@ SCHEMA = "doc_id long, text_hash long, item_id long, coverage double, n_tiles in
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+#: Code points of scripts without spaces: Thai to Tibetan, Myanmar, Khmer, Tai, Chinese and Japanese.
+ALONE = ((0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF), (0x2E80, 0x312F), (0x31A0, 0x9FFF), (0xA9E0, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1AFF0, 0x1B16F), (0x20000, 0x3FFFF))
 _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[65:91] = _WORD[97:123] = _WORD[128:] = True
 
 
+def alone(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where characters of scripts without spaces begin in UTF-8, and where they end."""
+    begin, end = [], []
+    for size, lo, hi, mask in ((3, 0xE0, 0xEF, 15), (4, 0xF0, 0xF7, 7)):
+        at = np.flatnonzero((data >= lo) & (data <= hi))
+        at = at[at + size <= len(data)]
+        code = (data[at] & mask).astype(np.int64)
+        for k in range(1, size):
+            code = code << 6 | data[at + k] & 63
+        at = at[np.any([(code >= x) & (code <= y) for x, y in ALONE], axis=0)]
+        begin.append(at)
+        end.append(at + size)
+    return np.concatenate(begin), np.concatenate(end)
+
+
 def tokens(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words, and the documents' places among them."""
     if not len(data):
@@ -52,6 +71,8 @@ def tokens(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     word = _WORD[data]
     bounds = np.zeros(len(data) + 1, bool)
     bounds[at] = True
+    for cut in alone(data):
+        bounds[cut] = True
     starts = np.flatnonzero(word & (~np.concatenate([[False], word[:-1]]) | bounds[:-1]))
     ends = np.flatnonzero(word & (~np.concatenate([word[1:], [False]]) | bounds[1:])) + 1
     up, down = powers(len(data))
@@ -128,7 +149,8 @@ class Items:
         self.least, self.ids = least, ids
         h, at = tokens(*text_bytes(pa.array(texts, pa.string())))
         self.words = [h[x:y] for x, y in zip(at[:-1], at[1:], strict=True)]
-        seeds = [np.unique(rolling(w, least)) for w in self.words]
+        seeds = [own_seeds(w, least) for w in self.words]
+        self.lengths = sorted({min(least, len(w)) for w in self.words if len(w)})
         flat = np.concatenate([*seeds, np.zeros(0, np.uint64)])
         owner = np.repeat(np.arange(len(seeds)), [len(s) for s in seeds])
         order = np.argsort(flat, kind="stable")
@@ -148,11 +170,18 @@ class Items:
                 yield (int(k), *found)
 
 
+def own_seeds(item: np.ndarray, least: int) -> np.ndarray:
+    """The distinct seeds of an item: of fewer than ``least`` words, the whole of it."""
+    return np.unique(rolling(item, min(least, len(item)))) if len(item) else np.zeros(0, np.uint64)
+
+
 def leak(item: np.ndarray, words: np.ndarray, least: int, coverage: float, long: int = LONG) -> tuple[float, int, int] | None:
     """Coverage, number of tiles and longest tile, if the document leaks the item."""
-    seeds = rolling(item, least)
-    if not len(seeds):
+    if not len(item):
         return None
+    if len(item) < least:
+        least, coverage = len(item), 1.0
+    seeds = rolling(item, least)
     hit = np.flatnonzero(np.isin(seeds, rolling(words, least)))
     reach = np.zeros(len(item) + 1, np.int64)
     np.add.at(reach, hit, 1)
@@ -187,12 +216,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, coverage: f
         own = held[0]
         for batch in slices(batches, "text"):
             h, at = tokens(*text_bytes(get(batch, "text")))
-            seeds = rolling(h, least)
-            maybe = np.flatnonzero(own.bitmap[(seeds >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)])
-            doc = np.searchsorted(at, maybe, "right") - 1
-            inside = maybe + least <= at[doc + 1]
-            maybe, doc = maybe[inside], doc[inside]
-            out = [(int(d), *found) for d in np.unique(doc) for found in own.leaks(h[at[d] : at[d + 1]], seeds[maybe[doc == d]], coverage, long)]
+            of, shared_seeds = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+            for length in own.lengths:
+                seeds = rolling(h, length)
+                maybe = np.flatnonzero(own.bitmap[(seeds >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)])
+                doc = np.searchsorted(at, maybe, "right") - 1
+                inside = maybe + length <= at[doc + 1]
+                of.append(doc[inside])
+                shared_seeds.append(seeds[maybe[inside]])
+            doc, seeds = np.concatenate(of), np.concatenate(shared_seeds)
+            out = [(int(d), *found) for d in np.unique(doc) for found in own.leaks(h[at[d] : at[d + 1]], seeds[doc == d], coverage, long)]
             if out:
                 d = pa.array([x[0] for x in out])
                 yield pa.RecordBatch.from_arrays([get(batch, "doc_id").take(d), get(batch, "text_hash").take(d), pa.array([own.ids[x[1]] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.float64()), pa.array([x[3] for x in out], pa.int32()), pa.array([x[4] for x in out], pa.int32())], ["doc_id", "text_hash", "item_id", "coverage", "n_tiles", "longest"])
@@ -200,37 +233,43 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, coverage: f
     return _rows(docs).mapInArrow(run, SCHEMA)
 
 
-def _seeds(rows: DataFrame, key: list[str], text: str, least: int, bitmap: np.ndarray | None) -> DataFrame:
-    """key columns and seed, for each distinct seed of each row; of those in the bitmap, if there is one."""
+def _seeds(rows: DataFrame, key: list[str], text: str, lengths: list[int], bitmap: np.ndarray | None) -> DataFrame:
+    """key columns, seed and its length, for each distinct seed of each row: of these lengths and in the bitmap, or where there is none, an item's own seeds with one length as the least."""
     shared = rows.sparkSession.sparkContext.broadcast(bitmap)
     kinds = dict(rows.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
             h, at = tokens(*text_bytes(get(batch, text)))
-            own, count = [], []
-            for x, y in zip(at[:-1], at[1:], strict=True):
-                s = np.unique(rolling(h[x:y], least))
-                if shared.value is not None:
-                    bit = (s >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
-                    s = s[(shared.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1]
-                own.append(s.view(np.int64))
-                count.append(len(s))
-            take = pa.array(np.repeat(np.arange(len(count)), count))
-            yield pa.RecordBatch.from_arrays([*[get(batch, k).take(take) for k in key], pa.array(np.concatenate(own))], [*key, "seed"])
-
-    return rows.mapInArrow(run, ", ".join(f"{k} {kinds[k]}" for k in key) + ", seed long")
+            own, count, row, size = [np.zeros(0, np.int64)], [], [], []
+            for k, (x, y) in enumerate(zip(at[:-1], at[1:], strict=True)):
+                for length in lengths:
+                    if shared.value is None:
+                        s, length = own_seeds(h[x:y], length), min(length, int(y - x))
+                    else:
+                        s = np.unique(rolling(h[x:y], length))
+                        bit = (s >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+                        s = s[(shared.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1]
+                    own.append(s.view(np.int64))
+                    count.append(len(s))
+                    row.append(k)
+                    size.append(length)
+            take = pa.array(np.repeat(np.array(row, np.int64), count))
+            yield pa.RecordBatch.from_arrays([*[get(batch, k).take(take) for k in key], pa.array(np.concatenate(own)), pa.array(np.repeat(np.array(size, np.int32), count))], [*key, "seed", "length"])
+
+    return rows.mapInArrow(run, ", ".join(f"{k} {kinds[k]}" for k in key) + ", seed long, length int")
 
 
 def _leaks_by_join(rows: DataFrame, items: DataFrame, least: int, coverage: float, long: int) -> DataFrame:
     items = items.withColumn("item_hash", F.xxhash64("item"))
-    item_seeds = scratch.written(_seeds(items, ["item_id", "item_hash"], "item", least, None), "decontam-seeds")
+    item_seeds = scratch.written(_seeds(items, ["item_id", "item_hash"], "item", [least], None), "decontam-seeds")
     byte = F.expr(f"cast(shiftrightunsigned(seed, {64 - BITMAP_BITS + 3}) as int)")
     bits = item_seeds.groupBy(byte.alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1, cast(shiftrightunsigned(seed, {64 - BITMAP_BITS}) & 7 as int))")).alias("b"))
     bitmap = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
     for r in bits.toLocalIterator():  # at most 2 MB of bits, whatever the benchmark's size
         bitmap[r["at"]] = r["b"]
-    pairs = _seeds(rows, ["doc_id", "text_hash"], "text", least, bitmap).join(item_seeds, "seed").select("doc_id", "text_hash", "item_id", "item_hash").distinct()
+    lengths = sorted(r["length"] for r in item_seeds.select("length").distinct().collect())  # at most as many as least
+    pairs = _seeds(rows, ["doc_id", "text_hash"], "text", lengths, bitmap).join(item_seeds, ["seed", "length"]).select("doc_id", "text_hash", "item_id", "item_hash").distinct()
     a, b = pairs.alias("p"), rows.alias("r")
     same = F.expr("p.doc_id <=> r.doc_id and p.text_hash = r.text_hash")
     texts = a.join(b, same).select("p.*", "r.text")
