@@ -67,6 +67,21 @@ def test_pieces_are_the_words_taken(spark, small):
     assert got == {i: n for i, n in taken.items() if n}
 
 
+def test_blocks_of_small_sources_are_as_long(make_docs):
+    size = {"a": 5000, "b": 300, "c": 700, "d": 256, "e": 3}
+    docs = make_docs([(k, " ".join(f"{s}{i}" for i in range(n)), "en", s) for k, (s, n) in enumerate(size.items())], clash=False)
+    want = {s: round(t) for s, t in zip(size, targets(list(size.values()), Recipe()), strict=True)}
+    got = {s: [] for s in size}
+    for r in mixed_documents(docs).collect():
+        own = words(r.text)
+        assert own == [f"{r.source}{i}" for i in range(int(own[0][1:]), int(own[0][1:]) + len(own))]
+        got[r.source].append(len(own))
+    assert {s: sum(n) for s, n in got.items()} == want
+    for s, n in got.items():  # all pieces but the last of each pass, and of the mix, are whole blocks
+        assert sum(x < 256 for x in n) <= 3 and max(n) == min(256, size[s])
+    assert {r.source: r.taken for r in Mix(docs).taken().join(docs.select("doc_id", "source"), "doc_id").collect()} == want
+
+
 def test_cases(make_docs):
     rows = [(1, None, "en", "a"), (2, "", "en", "a"), (3, " \n ", "en", "b"), (4, " x\ty ", "en", None), (None, "p q r", "en", "b"), (5, "same", "en", "b"), (5, "same", "en", "b"), (6, "w " * 30_000, "en", "c")]
     out = Mix(make_docs(rows)).taken().collect()

@@ -1,12 +1,14 @@
 """Mixing sources to target weights.
 
 The words of each source form one stream, in a pseudorandom but fixed order of its
-documents, cut into blocks of a fixed length for each source (``block`` words, fewer where that
-would leave a source under ``least_blocks`` blocks). The mix is a number of output shards;
+documents, cut into blocks of ``block`` words, whatever the source's size; the last one is what
+is left. The mix is a number of output shards;
 for each shard the counts of blocks by source are a multinomial draw over what each
 source has still to give. The slots of a source, counted over all shards, are mapped
 through a pseudorandom permutation of the source's block indexes (one pass after the
-other), and the blocks are joined to the slots by that index.
+other, each of them ending with the last block), and the blocks are joined to the slots by
+that index. A source's last slot takes only so many words of its block as its target still
+lacks, so that totals are exact to a word.
 
 Defined results:
 
@@ -47,7 +49,6 @@ class Recipe:
     max_epochs: int = 2
     block: int = 256
     shard_slots: int = 8192
-    least_blocks: int = 512
     rows_per_bucket: int = 2_000
     most_buckets: int = 100_000
     seed: int = 17
@@ -121,14 +122,18 @@ class Mix:
         by_source.sort(key=lambda r: (r[0] is None, (r[0] or "").encode("utf-8", "surrogatepass")))
         sizes = [r[1] or 0 for r in by_source]
         self.targets = targets(sizes, recipe)
-        lengths = [max(1, min(recipe.block, s // recipe.least_blocks)) for s in sizes]
-        blocks = [math.ceil(s / n) for s, n in zip(sizes, lengths, strict=True)]
-        # the last block may be short: each pass gives exactly its source's words
-        quota = [min(recipe.max_epochs * b, round(t * b / s)) if s else 0 for s, t, b in zip(sizes, self.targets, blocks, strict=True)]
+        blocks = [math.ceil(s / recipe.block) for s in sizes]
+        # whole passes, each of exactly its source's words, whole blocks of one more, and words of one more block
+        quota, cut_to = [], []
+        for s, t, n in zip(sizes, self.targets, blocks, strict=True):
+            passes, rest = divmod(round(t), s) if s else (0, 0)
+            whole, words = divmod(rest, recipe.block)
+            quota.append(passes * n + whole + (words > 0))
+            cut_to.append(words or recipe.block)
         buckets = [min(recipe.most_buckets, max(1, math.ceil(r[2] / recipe.rows_per_bucket))) for r in by_source]
-        table = [(k, name, size, float(t), n, b, u) for k, ((name, _, _), size, t, n, b, u) in enumerate(zip(by_source, sizes, self.targets, lengths, blocks, buckets, strict=True))]
-        self.sources = spark.createDataFrame(table, "sid int, source string, source_size long, target double, len long, blocks long, buckets int").coalesce(1)
-        src = F.broadcast(self.sources)
+        table = [(k, name, size, float(t), recipe.block, b, u, q, c) for k, ((name, _, _), size, t, b, u, q, c) in enumerate(zip(by_source, sizes, self.targets, blocks, buckets, quota, cut_to, strict=True))]
+        self.sources = spark.createDataFrame(table, "sid int, source string, source_size long, target double, len long, blocks long, buckets int, quota long, cut_to long").coalesce(1)
+        src = F.broadcast(self.sources.drop("quota", "cut_to"))
 
         # places in the streams: a prefix sum within each bucket, and one over the buckets' totals
         rows = base.join(src, base.source.eqNullSafe(self.sources.source)).drop(self.sources.source)
@@ -142,9 +147,13 @@ class Mix:
 
         plan = draws(quota, recipe)
         slots = spark.createDataFrame(plan, "shard int, sid int, first long, n long") if plan else spark.createDataFrame([], "shard int, sid int, first long, n long")
-        slots = slots.join(F.broadcast(self.sources.select("sid", "blocks")), "sid").select("shard", "sid", "blocks", F.explode(F.expr("sequence(first, first + n - 1)")).alias("slot"))
-        passes = F.expr("slot div blocks")
-        slots = slots.withColumn("epoch", passes).withColumn("block", permuted(F.col("slot") % F.col("blocks"), F.col("blocks"), F.struct(F.lit(recipe.seed), F.col("sid"), F.col("epoch"))))
+        slots = slots.join(F.broadcast(self.sources.select("sid", "blocks", "quota", "cut_to")), "sid").select("shard", "sid", "blocks", "quota", "cut_to", F.explode(F.expr("sequence(first, first + n - 1)")).alias("slot"))
+        slots = slots.withColumn("epoch", F.expr("slot div blocks"))
+        whole = F.greatest(F.col("blocks") - 1, F.lit(1))  # the last block, which may be short, ends each pass
+        place = F.col("slot") % F.col("blocks")
+        slots = slots.withColumn("block", F.when(place == F.col("blocks") - 1, place).otherwise(permuted(place % whole, whole, F.struct(F.lit(recipe.seed), F.col("sid"), F.col("epoch")))))
+        slots = slots.withColumn("most", F.when(F.col("slot") == F.col("quota") - 1, F.col("cut_to")).otherwise(F.lit(recipe.block))).drop("quota", "cut_to")
+
         def cut(words: Column | None) -> Column:
             """A document's parts by block, each with its own words only."""
 
@@ -158,9 +167,14 @@ class Mix:
 
         # the words of a text are found once, however many blocks it lies in
         words = F.regexp_extract_all(F.col("text"), F.lit(f"{SPACE}*{WORD}"), F.lit(0))
+        left = F.col("most") - F.col("place")
         cells = F.element_at(F.transform(F.array(words), cut), 1) if keep_text else cut(None)
         parts = self.sized.where("size > 0").select("sid", "bucket", "rank", "doc_id", *(["lang"] if keep_text else []), F.explode(cells).alias("cell")).select("*", "cell.*").drop("cell")
-        self.pieces = slots.join(parts, ["sid", "block"])
+        self.pieces = slots.join(parts, ["sid", "block"]).where(left > 0)
+        short = left < F.col("to_word") - F.col("from_word")
+        if keep_text:
+            self.pieces = self.pieces.withColumn("text", F.when(short, F.array_join(F.slice(words, F.lit(1), left.cast("int")), "")).otherwise(F.col("text")))
+        self.pieces = self.pieces.withColumn("to_word", F.when(short, F.col("from_word") + left).otherwise(F.col("to_word")))
 
     def taken(self) -> DataFrame:
         """For each document: doc_id, size, source_size, target, taken."""
