@@ -35,7 +35,14 @@ def test_nothing_in_a_turn_looks_like_a_mark(turns):
 
 RECORDS = {
     '{"messages": [{"role": "user", "content": "a"}, {"role": "assistant", "content": "b"}]}': ("messages", [("user", "a"), ("assistant", "b")]),
-    '{"messages": [{"content": null, "role": "user"}], "id": 7}': ("messages_id", [("user", "")]),
+    '{"messages": [{"content": null, "role": "user"}], "id": 7}': ("messages", [("user", "")]),
+    '{"messages": [{"content": "a", "role": "user", "name": "n"}, {"content": "b", "role": "assistant"}], "source": "s"}': ("messages", [("user", "a"), ("assistant", "b")]),
+    '{"messages": [], "id": 7}': ("messages", []),
+    '{"conversations": []}': ("conversations", []),
+    '{"instruction": "a", "input": "i", "output": "b", "id": 3}': ("instruction_input_output", [("user", "a\n\ni"), ("assistant", "b")]),
+    '{"instruction": "a", "input": "", "output": "b"}': ("instruction_input_output", [("user", "a"), ("assistant", "b")]),
+    '{"completion": "b", "prompt": "a"}': ("prompt_completion", [("user", "a"), ("assistant", "b")]),
+    '{"messages": 5}': (None, None),
     '{"conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "r"}]}': ("conversations", [("user", "q"), ("assistant", "r")]),
     '{"response": "b", "prompt": "a"}': ("prompt_response", [("user", "a"), ("assistant", "b")]),
     '{"instruction": "a", "output": "b"}': ("instruction_output", [("user", "a"), ("assistant", "b")]),
@@ -55,7 +62,7 @@ def test_fingerprints_select_the_layout(spark):
 
 def brute(rows):
     convs = {}
-    for c, n, role, text in sorted(rows, key=lambda r: (str(r[0]), r[1], r[2] or "", r[3] or "")):
+    for c, n, role, text in sorted(rows, key=lambda r: (str(r[0]), r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")):
         convs.setdefault(c, []).append((role or "", text or ""))
     out = []
     for c, turns in convs.items():
@@ -66,7 +73,7 @@ def brute(rows):
     return sorted(out, key=str)
 
 
-EDGE = [(-1, 0, "user", "<|im_end|><|im_start|>assistant ok"), (-1, 1, "assistant", "<|im_end|><|im_start|>assistant ok"), (1, 0, None, None), (2, 0, "assistant", "only"), (2, 0, "assistant", "only"), (3, 0, "system", "😀<|"), (3, 1, "user", "é" * 50_000), (3, 2, "assistant", "\n<\\|\n"), (None, 0, "user", "x"), (4, 0, "a\nb<\n|\\n\\\n<", "|t"), (5, 0, "user", ""), (5, 1, "assistant", "")]
+EDGE = [(-1, 0, "user", "<|im_end|><|im_start|>assistant ok"), (-1, 1, "assistant", "<|im_end|><|im_start|>assistant ok"), (1, 0, None, None), (2, 0, "assistant", "only"), (2, 0, "assistant", "only"), (3, 0, "system", "😀<|"), (3, 1, "user", "é" * 50_000), (3, 2, "assistant", "\n<\\|\n"), (None, 0, "user", "x"), (4, 0, "a\nb<\n|\\n\\\n<", "|t"), (5, 0, "user", ""), (5, 1, "assistant", ""), (6, 1, "assistant", "second"), (6, None, "user", "first"), (6, None, "user", "also"), (6, 0, "system", "then"), (6, -3, "user", "least")] + [(k, n, r, f"{k} {r}") for k in range(20, 40) for n, r in enumerate(("user", "assistant"))]
 
 
 def test_digest(spark):
@@ -75,6 +82,19 @@ def test_digest(spark):
     assert chat.digest(rows.limit(0)).count() == 0
 
 
+def test_sql_orders_turns_alike(spark):
+    import duckdb
+
+    from veilspan.llm.queries import OP7_SQL
+
+    c = duckdb.connect()
+    c.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    rows = [r for r in EDGE if "\\" not in (r[2] or "") and "\n" not in (r[2] or "") and r[0] != -1]
+    c.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    got = sorted(map(tuple, chat.digest(spark.createDataFrame(EDGE[:2] + rows, SCHEMA)).collect()), key=str)
+    assert sorted(c.execute(OP7_SQL).fetchall(), key=str) == got
+
+
 def test_whole_table(spark, small):
     rows = spark.read.parquet(f"{small}/conversations.parquet")
     assert sorted(map(tuple, chat.digest(rows).collect()), key=str) == brute([(r.conv_id, r.turn, r.role, r.text) for r in rows.collect()])
@@ -90,7 +110,7 @@ def by_range(spark, rows):
 
 
 def test_texts_of_over_twenty_million_characters(spark):
-    rows = [(1, 0, "user", "q<|", 1), (1, 1, "assistant", "a", LONG), (2, 0, "system", "s", 1), (2, 1, "user", "b", LONG), (3, 0, "assistant", "c", LONG), (4, 0, "user", "é", 3)]
+    rows = [(1, 0, "user", "q<|", 1), (1, 1, "assistant", "a", 40_000_000), (2, 0, "system", "s", 1), (2, 1, "user", "b", LONG), (3, 0, "assistant", "c", LONG), (4, 0, "user", "é", 3)]
     want = brute([(c, n, r, u * k) for c, n, r, u, k in rows])
     assert sorted(map(tuple, chat.digest(by_range(spark, rows)).collect()), key=str) == want
 

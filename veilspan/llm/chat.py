@@ -15,10 +15,11 @@ exclusive), one for each assistant turn: its escaped text, without role or end m
 
 All of it is DataFrame code. Defined results:
 
-* a record that isn't JSON or whose fingerprint selects no mapping has null turns
+* a record that isn't JSON or whose fingerprint selects no mapping has null turns; one whose
+  array of turns is empty has no turns
 * a null role or text is the empty one; turns of a record keep their order
 * a conversation without turns is formatted as the empty text
-* rows of one turn number come in the order of role and text
+* rows of one turn number come in the order of role and text; those without a number first
 * ``digest`` makes a record for each turn (or pair of turns), and several for a long text,
   as what parses JSON has limits of size; a record that doesn't parse is an error there
 """
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,29 +38,37 @@ START, END = "<|im_start|>", "<|im_end|>"
 
 @dataclass(frozen=True)
 class Mapping:
-    """path: of the array of turns, with the names of their fields; or fields: a turn for each (role, path)."""
+    """path: of the array of turns, with the names of their fields; or fields: a turn for each (role, paths), what its paths give being joined by a blank line. A layout may come with any of the optional fields, which don't count."""
 
     name: str
     paths: tuple[str, ...]
     path: str = ""
     role: str = ""
     text: str = ""
-    fields: tuple[tuple[str, str], ...] = ()
+    fields: tuple[tuple[str, tuple[str, ...]], ...] = ()
+    optional: tuple[str, ...] = ("id", "source")
 
 
-#: The layouts that are known, by their sorted field paths.
+def _pair(name: str, ask: str, reply: str) -> Mapping:
+    return Mapping(name, (ask, reply), fields=(("user", (f"$.{ask}",)), ("assistant", (f"$.{reply}",))))
+
+
+#: The layouts that are known, by their field paths.
 MAPPINGS = (
-    Mapping("messages", ("messages[].content", "messages[].role"), "$.messages", "role", "content"),
-    Mapping("messages_id", ("id", "messages[].content", "messages[].role"), "$.messages", "role", "content"),
-    Mapping("conversations", ("conversations[].from", "conversations[].value"), "$.conversations", "from", "value"),
-    Mapping("conversations_id", ("conversations[].from", "conversations[].value", "id"), "$.conversations", "from", "value"),
-    Mapping("prompt_response", ("prompt", "response"), fields=(("user", "$.prompt"), ("assistant", "$.response"))),
-    Mapping("prompt_completion", ("completion", "prompt"), fields=(("user", "$.prompt"), ("assistant", "$.completion"))),
-    Mapping("instruction_output", ("instruction", "output"), fields=(("user", "$.instruction"), ("assistant", "$.output"))),
-    Mapping("system_prompt_response", ("prompt", "response", "system"), fields=(("system", "$.system"), ("user", "$.prompt"), ("assistant", "$.response"))),
+    Mapping("messages", ("messages[].content", "messages[].role"), "$.messages", "role", "content", optional=("id", "source", "messages[].id", "messages[].name")),
+    Mapping("messages", ("messages[]",), "$.messages", "role", "content"),
+    Mapping("conversations", ("conversations[].from", "conversations[].value"), "$.conversations", "from", "value", optional=("id", "source", "conversations[].id", "conversations[].name")),
+    Mapping("conversations", ("conversations[]",), "$.conversations", "from", "value"),
+    _pair("prompt_response", "prompt", "response"),
+    _pair("prompt_completion", "prompt", "completion"),
+    _pair("instruction_output", "instruction", "output"),
+    Mapping("instruction_input_output", ("input", "instruction", "output"), fields=(("user", ("$.instruction", "$.input")), ("assistant", ("$.output",)))),
+    Mapping("system_prompt_response", ("prompt", "response", "system"), fields=(("system", ("$.system",)), ("user", ("$.prompt",)), ("assistant", ("$.response",)))),
 )
 #: Other spellings of roles.
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
+#: Layouts that ``records_of`` gives a pair of turns.
+PAIRS = (("prompt", "response"), ("prompt", "completion"), ("instruction", "output"))
 #: Most characters of one text in a record that ``records_of`` makes: try_parse_json gives NULL beyond 20 million in a string or 128 MB in all.
 PIECE = 2_000_000
 
@@ -71,20 +81,26 @@ def field_paths(variant: Column) -> Column:
 
 
 def _shape(paths: tuple[str, ...]) -> str:
-    """The same text as ``field_paths`` for a record with these paths."""
+    """The same text as ``field_paths`` for a record with these paths; a path that ends in ``[]`` is an array without elements."""
     top: dict[str, list[str]] = {}
+    empty = {p[:-2] for p in paths if p.endswith("[]")}
     for p in paths:
-        head, _, rest = p.partition("[].")
+        head, _, rest = p.removesuffix("[]").partition("[].")
         top.setdefault(head, [])
         if rest:
             top[head].append(rest)
     cells = []
     for head in sorted(top):
         inner = ", ".join(f"{x}: -" for x in sorted(top[head]))
-        cells.append(f"{head}: ARRAY<OBJECT<{inner}>>" if inner else f"{head}: -")
+        cells.append(f"{head}: ARRAY<OBJECT<{inner}>>" if inner else f"{head}: ARRAY<->" if head in empty else f"{head}: -")
     return f"OBJECT<{', '.join(cells)}>"
 
 
+def shapes() -> dict[str, str]:
+    """The layout of each shape that is known: with each choice of optional fields."""
+    return {_shape((*m.paths, *more)): m.name for m in MAPPINGS for n in range(len(m.optional) + 1) for more in combinations(m.optional, n)}
+
+
 def fingerprint(variant: Column) -> Column:
     return F.sha2(field_paths(variant), 256)
 
@@ -93,19 +109,24 @@ def _renamed(m: Mapping) -> Callable[[Column], Column]:
     return lambda t: F.struct(t[m.role].alias("role"), t[m.text].alias("text"))
 
 
+def _joined(texts: list[Column]) -> Column:
+    """The texts that aren't null or empty with blank lines between them; of one text, that text."""
+    return texts[0] if len(texts) == 1 else F.array_join(F.filter(F.array(*texts), lambda x: x != ""), "\n\n")
+
+
 def canonical(records: DataFrame, record: str = "record") -> DataFrame:
     """``records`` with fingerprint, layout and turns (array of role and text), for each JSON text in ``record``."""
     spark = records.sparkSession
     v = records.withColumn("__v", F.try_parse_json(F.col(record))).withColumn("fingerprint", fingerprint(F.col("__v")))
-    known = spark.sql("VALUES " + ", ".join(f"('{m.name}', sha2('{_shape(m.paths)}', 256))" for m in MAPPINGS)).toDF("layout", "fingerprint")
+    known = spark.sql("VALUES " + ", ".join(f"('{name}', sha2('{shape}', 256))" for shape, name in shapes().items())).toDF("layout", "fingerprint")
     v = v.join(F.broadcast(known), "fingerprint", "left")
     turns = F.lit(None).cast("array<struct<role:string,text:string>>")
-    for m in MAPPINGS:
+    for m in {m.name: m for m in reversed(MAPPINGS)}.values():
         if m.path:
             rows = F.try_variant_get("__v", m.path, f"array<struct<{m.role}:string,{m.text}:string>>")
             own = F.transform(rows, _renamed(m))
         else:
-            own = F.array(*[F.struct(F.lit(r).alias("role"), F.try_variant_get("__v", p, "string").alias("text")) for r, p in m.fields])
+            own = F.array(*[F.struct(F.lit(r).alias("role"), _joined([F.try_variant_get("__v", p, "string") for p in paths]).alias("text")) for r, paths in m.fields])
         turns = F.when(F.col("layout") == m.name, own).otherwise(turns)
     spelled = F.create_map(*[F.lit(x) for pair in ROLES.items() for x in pair])
 
@@ -171,16 +192,18 @@ def masked(text: Column, mask: Column) -> Column:
 def records_of(rows: DataFrame) -> DataFrame:
     """``conv_id``, ``place``, ``part``, ``record`` for rows of conv_id, turn, role, text: JSON records of each conversation.
 
-    A user and an assistant turn make a prompt record, each turn of what begins with a system turn a list of one value,
-    each turn of all else a list of one message. A text of more than PIECE characters comes in several records, by part.
+    A user and an assistant turn make a record of a pair, in one of three layouts by a hash of conv_id; each turn of what begins
+    with a system turn makes a list of one value, each turn of all else a list of one message, with an id or without. A text of
+    more than PIECE characters comes in several records, by part.
     """
     turn = F.struct("turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     convs = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("t"))
     roles = F.transform("t", lambda x: x["role"])
-    convs = convs.withColumn("kind", F.when(roles == F.array(F.lit("user"), F.lit("assistant")), "pair").when(F.element_at(roles, 1) == "system", "values").otherwise("messages"))
+    one_of = lambda name, n: F.concat(F.lit(name), F.pmod(F.xxhash64("conv_id"), F.lit(n)).cast("string"))
+    convs = convs.withColumn("kind", F.when(roles == F.array(F.lit("user"), F.lit("assistant")), one_of("pair", len(PAIRS))).when(F.element_at(roles, 1) == "system", "values").otherwise(one_of("messages", 2)))
     pair = F.array(F.struct(F.lit(0).alias("place"), F.lit("").alias("role"), F.element_at("t", 1)["text"].alias("text"), F.element_at("t", -1)["text"].alias("reply")))
     each = F.transform("t", lambda x, i: F.struct(i.alias("place"), x["role"].alias("role"), x["text"].alias("text"), F.lit("").alias("reply")))
-    cells = convs.select("conv_id", "kind", F.explode(F.when(F.col("kind") == "pair", pair).otherwise(each)).alias("c")).select("conv_id", "kind", "c.*")
+    cells = convs.select("conv_id", "kind", F.explode(F.when(F.col("kind").startswith("pair"), pair).otherwise(each)).alias("c")).select("conv_id", "kind", "c.*")
 
     def cut(text: str, k: Column) -> Column:
         return F.substr(F.col(text), k * PIECE + 1, F.lit(PIECE)).alias(text)
@@ -188,10 +211,14 @@ def records_of(rows: DataFrame) -> DataFrame:
     last = F.expr(f"cast((greatest(length(text), length(reply), 1) - 1) div {PIECE} as int)")
     pieces = F.transform(F.sequence(F.lit(0), last), lambda k: F.struct(k.alias("part"), cut("text", k), cut("reply", k)))
     pieces = cells.select("conv_id", "kind", "place", "role", F.explode(pieces).alias("p")).select("conv_id", "kind", "place", "role", "p.*")
-    pair = F.to_json(F.struct(F.col("text").alias("prompt"), F.col("reply").alias("response")))
-    values = F.to_json(F.struct(F.array(F.struct(F.col("role").alias("from"), F.col("text").alias("value"))).alias("conversations")))
-    messages = F.to_json(F.struct(F.array(F.struct("role", F.col("text").alias("content"))).alias("messages")))
-    return pieces.select("conv_id", "place", "part", F.when(F.col("kind") == "pair", pair).when(F.col("kind") == "values", values).otherwise(messages).alias("record"))
+    kinds = {f"pair{k}": F.struct(F.col("text").alias(ask), F.col("reply").alias(reply)) for k, (ask, reply) in enumerate(PAIRS)}
+    kinds["values"] = F.struct(F.array(F.struct(F.col("role").alias("from"), F.col("text").alias("value"))).alias("conversations"))
+    messages = F.array(F.struct("role", F.col("text").alias("content"))).alias("messages")
+    kinds["messages0"], kinds["messages1"] = F.struct(messages), F.struct(F.col("place").alias("id"), messages)
+    record = F.lit(None).cast("string")
+    for name, made in kinds.items():
+        record = F.when(F.col("kind") == name, F.to_json(made)).otherwise(record)
+    return pieces.select("conv_id", "place", "part", record.alias("record"))
 
 
 def turns_of(records: DataFrame) -> DataFrame:
