@@ -1,7 +1,7 @@
 """Token-ID output: patched frame-of-reference files.
 
 File format. A token table is a Parquet folder whose rows are segments; a segment holds
-whole documents, in ascending order of doc_id over the table (shard, then seq):
+whole rows of documents, in ascending order over the table (shard, then seq):
 
 * ``shard``, ``seq``: place of the segment; ``first``: ids of the shard before it
 * ``doc_ids``, ``counts``: its documents and their numbers of ids (end id included)
@@ -15,13 +15,18 @@ don't fit ``width``. The width is that of the ``PERCENTILE``th percentile of the
 differences, or of their maximum where that takes fewer bytes.
 
 Encoding splits a text where no token of a byte-level BPE can reach over, and encodes each
-distinct part once for a while.
+distinct part once for a while; the ids are those that the library gives for the whole text
+by its plain call. Rows are dealt out by range of their order, also within one doc_id, so
+that no id is one task's work.
 
 Defined results:
 
 * a null text is empty: its only id is the end id
-* a null doc_id comes first; rows with equal doc_ids come in the order of their texts
-* strings of special tokens in a text are ordinary text
+* rows come in the order of doc_id, a null one first; with equal doc_ids in the order of the
+  xxhash64 of their texts, then of the texts
+* ``order`` names other columns to order by; ``ends`` a boolean column that says after which
+  rows an end id comes: a row without one goes on into the next
+* strings of added tokens in a text are those tokens, as the library has it
 * an empty table gives an empty token table
 """
 
@@ -38,6 +43,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from veilspan import scratch
 from veilspan.llm.arrow import get, release, slices, small_batches, text_bytes
@@ -46,6 +52,8 @@ from veilspan.llm.near_dedup import powers
 BLOCK, PERCENTILE, SEGMENT_IDS, END_ID = 1024, 98.0, 1 << 17, 0
 #: Text bytes for each shard, and distinct parts that a worker remembers.
 SHARD_BYTES, REMEMBERED = 24 << 20, 400_000
+#: Shards for each group of the sums over shards, and most shards whose starts are broadcast (12 bytes each).
+GROUP, MOST_BROADCAST = 4096, 1_000_000
 HEADER = struct.Struct("<IHBH")
 SCHEMA = "shard int, seq int, first long, doc_ids array<long>, counts array<long>, starts array<int>, data binary"
 _SPACE = np.zeros(256, bool)
@@ -75,7 +83,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # texts that hold an added token are encoded whole
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         # a byte-level token has a character for each of its bytes
         size = self.tokenizer.get_vocab_size()
         self.lengths = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)])
@@ -118,13 +127,23 @@ class Encoder:
             self.remember(some, np.array([len(i) for i in own]), np.array([x for i in own for x in i], np.uint32))
 
     def cuts(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Places where parts begin: before white space that follows something else, and before a mark that follows a letter or digit. No token of a byte-level BPE reaches over these. Texts with other white space than ASCII's are one part."""
+        """Places where parts begin: before white space that follows something else, and before a mark that follows a letter or digit. No token of a byte-level BPE reaches over these. Texts with other white space than ASCII's, or with an added token, are one part."""
         space = _SPACE[data]
         cut = np.zeros(len(data), bool)
         cut[1:] = (space[1:] & ~space[:-1]) | (_MARK[data[1:]] & _ALNUM[data[:-1]])
+        raw = data.tobytes()
+        for token in self.special:
+            place = raw.find(token)
+            while place >= 0:
+                d = int(np.searchsorted(at, place, "right")) - 1
+                if place + len(token) <= at[d + 1]:
+                    cut[at[d] : at[d + 1]] = False
+                    place = raw.find(token, int(at[d + 1]))
+                else:  # it reaches over the text's end
+                    place = raw.find(token, place + 1)
         odd = np.flatnonzero(_ODD[data])
         for d in np.unique(np.searchsorted(at, odd, "right") - 1).tolist() if len(odd) else []:
-            if _OTHER_SPACE.search(data[at[d] : at[d + 1]].tobytes().decode("utf-8", "replace")):
+            if _OTHER_SPACE.search(raw[at[d] : at[d + 1]].decode("utf-8", "replace")):
                 cut[at[d] : at[d + 1]] = False
         cut[at[:-1][at[:-1] < at[1:]]] = True
         return np.flatnonzero(cut)
@@ -254,10 +273,12 @@ def _segment(shard: int, seq: int, first: int, doc_ids: list, counts: list[int],
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cells, kinds, strict=True)], ["shard", "seq", "first", "doc_ids", "counts", "starts", "data"])
 
 
-def write(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID) -> DataFrame:
+def write(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, order: tuple[str, ...] = (), ends: str | None = None) -> DataFrame:
     """Encode all ``docs`` into a token table in the shared folder and return it as read back."""
     spark, path = docs.sparkSession, tokenizer or default_path()
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    names = [f"o{k}" for k in range(len(order))]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.coalesce(F.col(ends), F.lit(True)).alias("ends") if ends else F.lit(True).alias("ends"), *[F.col(c).alias(n) for c, n in zip(order, names, strict=True)])
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(spark.sparkContext.defaultParallelism, -(-size // SHARD_BYTES))
 
@@ -270,8 +291,9 @@ def write(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID) -
         for batch in slices(batches, "text"):
             flat, at = own.encode(get(batch, "text"))
             docs_here = get(batch, "doc_id").to_pylist()
-            with_end = np.insert(flat, at[1:], end_id)
-            at = at + np.arange(len(at))
+            ending = get(batch, "ends").to_numpy(zero_copy_only=False)
+            with_end = np.insert(flat, at[1:][ending], end_id)
+            at = at + np.concatenate([[0], np.cumsum(ending)])
             lo = 0
             while lo < len(docs_here):  # as many whole documents as fill the segment
                 hi = min(len(docs_here), int(np.searchsorted(at, at[lo] + SEGMENT_IDS - held, "left")))
@@ -289,18 +311,26 @@ def write(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID) -
         own.forget()  # the worker goes on to other tasks
         release()
 
-    # by the id alone: the texts of a sample would go to the driver
-    ordered = rows.repartitionByRange(shards, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    # by numbers alone: the texts of a sample would go to the driver
+    by = [F.col(n).asc_nulls_first() for n in (*names, "doc_id")]
+    h = F.xxhash64("text")
+    ordered = rows.repartitionByRange(shards, *by, h).sortWithinPartitions(*by, h, "text").select("doc_id", "text", "ends")
     with small_batches(spark):
         return scratch.written(ordered.mapInArrow(encode, SCHEMA), "tokens", compression="uncompressed")
 
 
+def shard_starts(tokens: DataFrame) -> DataFrame:
+    """shard and before: the ids of all shards before it. Sums within groups of GROUP shards, and over the groups."""
+    n = F.expr("aggregate(counts, 0L, (a, x) -> a + x)")
+    per = tokens.select("shard", n.alias("n")).groupBy("shard").agg(F.sum("n").alias("n")).withColumn("grp", F.expr(f"shard div {GROUP}"))
+    groups = per.groupBy("grp").agg(F.sum("n").alias("all"))
+    at = groups.select("grp", (F.sum("all").over(Window.orderBy("grp")) - F.col("all")).alias("grp_at"))  # a row for each GROUP shards
+    within = F.sum("n").over(Window.partitionBy("grp").orderBy("shard")) - F.col("n")
+    return per.withColumn("within", within).join(at, "grp").select("shard", (F.col("grp_at") + F.col("within")).alias("before"))
+
+
 def read(spark: SparkSession, tokens: DataFrame) -> DataFrame:
-    """For each document of a token table: doc_id, start, n_tokens, ids_crc32, decoded from its files."""
-    totals = [(r["shard"], r["ids"]) for r in tokens.select("shard", F.expr("aggregate(counts, 0L, (a, x) -> a + x)").alias("n")).groupBy("shard").agg(F.sum("n").alias("ids")).collect()]  # a row for each shard
-    before, at = {}, 0
-    for shard, ids in sorted(totals):
-        before[shard], at = at, at + ids
+    """For each row of documents in a token table: doc_id, start, n_tokens, ids_crc32, decoded from its files."""
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -310,6 +340,10 @@ def read(spark: SparkSession, tokens: DataFrame) -> DataFrame:
                 ends = np.cumsum(counts)
                 starts = ends - counts
                 crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.array(starts + row["first"] + before[row["shard"]]), pa.array(counts), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.array(starts + row["first"]), pa.array(counts), pa.array(crc, pa.int64()), pa.array([row["shard"]] * len(crc), pa.int32())], ["doc_id", "own_start", "n_tokens", "ids_crc32", "shard"])
 
-    return tokens.mapInArrow(decode, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    rows = tokens.mapInArrow(decode, "doc_id long, own_start long, n_tokens long, ids_crc32 long, shard int")
+    before = scratch.written(shard_starts(tokens), "token-starts")
+    small = before.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
+    joined = rows.join(F.broadcast(before) if small else before, "shard")
+    return joined.select("doc_id", (F.col("before") + F.col("own_start")).alias("start"), "n_tokens", "ids_crc32")
