@@ -6,18 +6,23 @@ time and record id. The revisit's validators (ETag, Last-Modified) are checked a
 that response's; where they agree, the payload is the response's, and the headers are the
 response's, overwritten by those of the revisit that a 304 may update.
 
-The as-of join is in two steps, so that a URL with very many captures isn't one task's
-work: the latest response within each (URL, span of time), and then the latest of the
-spans before, over at most ``SPANS`` rows for each URL. Each capture carries the id of
-the response it refers to; payloads are joined by that id.
+The as-of join deals out all captures by range of (URL, time, record id, row digest), so
+that a URL with very many captures, even at one moment, is split over tasks. The latest
+response is found within each part and URL; for the URLs that a cut runs through, at most
+one for each part, the latest of the parts before is added. Each revisit then has the
+place of the response it refers to, by which the payload is joined; revisits of a response
+with very many of them are salted.
 
 Defined results:
 
+* each record of the input comes out once, however often records or their ids are repeated
 * a record with a null URL or time, and a revisit before any response, is ``unresolved``
 * an ETag on both sides decides, compared weakly (without ``W/``); with none,
   Last-Modified on both sides; without validators on both sides the revisit is
   ``unchecked`` and resolved; where they differ it is ``mismatch`` and not resolved
-* records at the same time come in the order of their ids; a null id comes first
+* records at the same time come in the order of their ids, a null id first; with equal ids
+  in the order of a hash of their contents
+* a response without an id is referred to like others; ``ref`` is null then
 * header names that differ in case only are one header, with the last value
 * responses are returned as they are, ``full``; an empty table gives an empty one
 """
@@ -28,8 +33,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Spans of time that the whole range of captures is cut into.
-SPANS = 256
+from veilspan import scratch
+
+#: A response with more than this share of all revisits is salted; there are at most 1/share of them.
+HOT_SHARE, HOT_LEAST = 0.001, 1000
 #: Headers that a 304 doesn't update, lower case.
 NOT_UPDATED = ("connection", "content-encoding", "content-length", "content-range", "content-type", "keep-alive", "proxy-authenticate", "proxy-authorization", "te", "trailer", "transfer-encoding", "upgrade")
 #: Query parameters that name where a visit came from.
@@ -78,36 +85,57 @@ def check(stored: Column, fresh: Column) -> Column:
     return F.when(e1.isNotNull() & e2.isNotNull(), say(e1, e2)).when(m1.isNotNull() & m2.isNotNull(), say(m1, m2)).otherwise("unchecked")
 
 
-def latest_response(captures: DataFrame) -> DataFrame:
-    """``captures`` (record_id, key, ts, is_full) with ``ref``: the id of the latest full response of the key before each row, by (ts, record_id)."""
-    span = captures.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
-    lo, hi = span["lo"] or 0, span["hi"] or 0
-    width = max(1, -(-(hi - lo + 1) // SPANS))
-    rows = captures.withColumn("span", F.expr(f"(ts - {lo}L) div {width}L"))
-    own = F.when(F.col("is_full"), F.struct("record_id"))
-    within = Window.partitionBy("key", "span").orderBy("ts", "record_id")
-    rows = rows.withColumn("near", F.last(own, ignorenulls=True).over(within.rowsBetween(Window.unboundedPreceding, -1)))
-    per_span = rows.where("is_full").groupBy("key", "span").agg(F.max(F.struct("ts", "record_id")).alias("top"))
-    spans = rows.select("key", "span").distinct().join(per_span, ["key", "span"], "left")
-    before = Window.partitionBy("key").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
-    spans = spans.select("key", "span", F.last("top", ignorenulls=True).over(before).alias("far"))
-    return rows.join(spans, ["key", "span"], "left").withColumn("ref", F.coalesce(F.col("near.record_id"), F.col("far.record_id"))).drop("span", "near", "far")
+def latest_response(captures: DataFrame, parts: int | None = None) -> DataFrame:
+    """``captures`` (record_id, key, ts, uid, is_full, ...), a written table, with ``ref``: place (record_id, ts, uid) of the latest full response of the key before each row, by (ts, record_id, uid)."""
+    spark = captures.sparkSession
+    order = [F.col("ts").asc(), F.col("record_id").asc_nulls_first(), F.col("uid").asc()]
+    dealt = captures.repartitionByRange(parts or int(spark.conf.get("spark.sql.shuffle.partitions")), F.col("key"), *order).withColumn("part", F.spark_partition_id())
+    rows = scratch.written(dealt, "revisit-parts")
+    own = F.when(F.col("is_full"), F.struct("record_id", "ts", "uid"))
+    within = Window.partitionBy("part", "key").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("near", F.last(own, ignorenulls=True).over(within))
+    sort_key = F.struct("ts", F.col("record_id").isNotNull().alias("known"), "record_id", "uid")
+    ends = rows.groupBy("key", "part").agg(F.max_by(own, F.when(F.col("is_full"), sort_key)).alias("top"))
+    cut = ends.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.collect_list(F.struct("part", "top")).alias("t")).where("n > 1")  # at most a row for each part
+    cut = cut.select("key", F.explode("t").alias("t")).select("key", "t.*")
+    before = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    far = scratch.written(cut.select("key", "part", F.last("top", ignorenulls=True).over(before).alias("far")), "revisit-cuts")
+    return rows.join(F.broadcast(far), ["key", "part"], "left").withColumn("ref", F.coalesce("near", "far")).drop("part", "near", "far")
 
 
 def resolve(records: DataFrame) -> DataFrame:
     """For each record (record_id, url, ts long, kind 'response' or 'revisit', headers map, payload): record_id, key, status, ref, headers, payload."""
-    rows = records.select(F.col("record_id").cast("long").alias("record_id"), canonical_url(F.col("url")).alias("key"), F.col("ts").cast("long").alias("ts"), F.coalesce(F.col("kind") == "response", F.lit(False)).alias("is_full"), _low(F.col("headers")).alias("headers"), "payload")
-    placed = rows.where("key is not null and ts is not null")
-    found = latest_response(placed.select("record_id", "key", "ts", "is_full", F.when(~F.col("is_full"), F.col("headers")).alias("fresh")))
-    revisits = found.where("not is_full").select("record_id", "key", "fresh", "ref")
-    stored = rows.where("is_full").select(F.col("record_id").alias("ref"), F.col("headers").alias("stored"), F.col("payload"))
-    joined = revisits.join(stored, "ref", "left")
+    rows = records.select(F.col("record_id").cast("long").alias("record_id"), canonical_url(F.col("url")).alias("key"), F.col("ts").cast("long").alias("ts"), F.coalesce(F.col("kind") == "response", F.lit(False)).alias("is_full"), _low(F.col("headers")).alias("headers"), F.col("payload").cast("string").alias("payload"))
+    rows = rows.withColumn("uid", F.xxhash64("record_id", "key", "ts", F.array_sort(F.map_entries("headers")), "payload"))
+    light = rows.select("record_id", "key", "ts", "uid", "is_full", F.when(~F.col("is_full"), F.col("headers")).alias("fresh"))
+    light = scratch.written(light, "revisit-records")
+    placed = light.where("key is not null and ts is not null")
+    found = latest_response(placed).where("not is_full").select("record_id", "key", "uid", "fresh", "ref")
+    found = scratch.written(found, "revisit-found")
+
+    total = found.count()
+    per = max(HOT_LEAST, int(total * HOT_SHARE))
+    refs = found.where("ref is not null").groupBy("ref", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > per)
+    hot = scratch.written(refs.select(F.col("ref").alias("hot_ref"), F.col("key").alias("hot_key"), F.ceil(F.col("n") / per).cast("int").alias("salts")), "revisit-hot")  # at most 1 / HOT_SHARE rows
+    salts = F.coalesce("salts", F.lit(1))
+    revisits = found.join(F.broadcast(hot), (F.col("ref") == F.col("hot_ref")) & (F.col("key") == F.col("hot_key")), "left")
+    revisits = revisits.select("record_id", "key", "fresh", "ref", F.pmod(F.xxhash64("record_id", "uid", F.lit("salt")), salts).cast("int").alias("salt"))
+    same = ("record_id", "ts", "uid")
+    for c in same:
+        revisits = revisits.withColumn(f"ref_{c}", F.col(f"ref.{c}"))
+    stored = rows.where("is_full and key is not null and ts is not null").select(F.struct(*same).alias("own"), "key", F.col("headers").alias("stored"), "payload")
+    stored = stored.join(F.broadcast(hot), (F.col("own") == F.col("hot_ref")) & (F.col("key") == F.col("hot_key")), "left")
+    stored = stored.select(*[F.col(f"own.{c}").alias(f"ref_{c}") for c in same], F.col("key").alias("ref_key"), "stored", "payload", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
+    # rows of one place are equal in all that counts: one of them is enough
+    stored = stored.dropDuplicates([*[f"ref_{c}" for c in same], "ref_key", "salt"])
+    on = (F.col("key") == F.col("ref_key")) & (revisits.salt == stored.salt) & F.col("near_id").eqNullSafe(stored.ref_record_id) & (revisits.ref_ts == stored.ref_ts) & (revisits.ref_uid == stored.ref_uid)
+    joined = revisits.withColumnRenamed("ref_record_id", "near_id").join(stored, on, "left")
     status = F.when(F.col("ref").isNull(), "unresolved").otherwise(check(F.col("stored"), F.col("fresh")))
     done = joined.withColumn("status", status)
     good = F.col("status").isin("match", "unchecked")
-    done = done.select("record_id", "key", "status", "ref", F.when(good, merged_headers(F.col("stored"), F.col("fresh"))).otherwise(F.col("fresh")).alias("headers"), F.when(good, F.col("payload")).alias("payload"))
+    done = done.select("record_id", "key", "status", F.col("ref.record_id").alias("ref"), F.when(good, merged_headers(F.col("stored"), F.col("fresh"))).otherwise(F.col("fresh")).alias("headers"), F.when(good, F.col("payload")).alias("payload"))
     plain = rows.where("is_full").select("record_id", "key", F.lit("full").alias("status"), F.col("record_id").alias("ref"), "headers", "payload")
-    lost = rows.where("not is_full and (key is null or ts is null)").select("record_id", "key", F.lit("unresolved").alias("status"), F.lit(None).cast("long").alias("ref"), "headers", F.lit(None).cast("string").alias("payload"))
+    lost = light.where("not is_full and (key is null or ts is null)").select("record_id", "key", F.lit("unresolved").alias("status"), F.lit(None).cast("long").alias("ref"), F.col("fresh").alias("headers"), F.lit(None).cast("string").alias("payload"))
     return plain.unionByName(done).unionByName(lost)
 
 
