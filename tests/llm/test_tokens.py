@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from veilspan.llm import tokens
+from veilspan.llm import sums, tokens
 
 
 @settings(max_examples=60, deadline=None)
@@ -82,7 +82,7 @@ def test_other_order_and_ends(spark, make_docs):
 
 
 def test_starts_over_groups_of_shards(spark, monkeypatch):
-    monkeypatch.setattr(tokens, "GROUP", 3)
+    monkeypatch.setattr(sums, "GROUP", 3)
     table = spark.createDataFrame([(k, s, [k + 1, s]) for k in range(11) if k != 4 for s in range(2)], "shard int, seq int, counts array<long>")
     n = {k: 2 * k + 3 for k in range(11) if k != 4}
     assert {r.shard: r.before for r in tokens.shard_starts(table).collect()} == {k: sum(v for j, v in n.items() if j < k) for k in n}

@@ -2,14 +2,19 @@
 
 The words of each source form one stream, in a pseudorandom but fixed order of its
 documents, cut into blocks of ``block`` words, whatever the source's size; the last one is what
-is left. The mix is a number of output shards;
-for each shard the counts of blocks by source are a multinomial draw over what each
-source has still to give. The slots of a source, counted over all shards, are mapped
+is left. The mix is a number of output shards of ``shard_slots`` slots. Each slot of a
+shard draws its source, in proportion to what each source has to give, so that a shard's
+counts by source are a multinomial draw. What a source is drawn beyond what it has to give
+is left out, and what is missing is drawn in further shards in the same way, until one
+shard holds all that is left. The slots of a source, counted over all shards, are mapped
 through a pseudorandom permutation of the source's block indexes (one pass after the
 other, each of them ending with the last block), and the blocks are joined to the slots by
 that index. A source's last slot takes only so many words of its block as its target still
 lacks, so that totals are exact to a word.
 
+All of it is DataFrame code over tables of sources, shards and slots; the driver gets sums
+only, and nothing depends on how many sources, shards or documents there are.
+
 Defined results:
 
 * a null text has no words; rows without words are never taken
@@ -22,22 +27,21 @@ Defined results:
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from veilspan import scratch
+from veilspan.llm import sums
 
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rounds of the swap-or-not shuffle.
 ROUNDS = 24
-#: The list of sources goes to the driver; more than these are refused.
-MOST_SOURCES = 100_000
+#: What ``mixed_documents`` adds to the columns of documents.
+PLACE = ("mix_shard", "mix_slot", "mix_place", "mix_ends")
 
 
 @dataclass(frozen=True)
@@ -50,7 +54,6 @@ class Recipe:
     block: int = 256
     shard_slots: int = 8192
     rows_per_bucket: int = 2_000
-    most_buckets: int = 100_000
     seed: int = 17
 
 
@@ -61,40 +64,49 @@ def n_words(text: Column) -> Column:
     return (parts - F.when(t.rlike(f"^{SPACE}"), 1).otherwise(0) - F.when(t.rlike(f"{SPACE}\\z") | (t == ""), 1).otherwise(0)).cast("long")
 
 
-def targets(sizes: list[int], recipe: Recipe) -> list[float]:
-    """Words for each source: by weight, at most ``max_epochs`` times its own; what is over goes to the others by weight."""
-    total = recipe.share * sum(sizes)
-    weight = [recipe.weights[i % len(recipe.weights)] for i in range(len(sizes))]
-    caps = [recipe.max_epochs * float(s) for s in sizes]
-    out, free, left = [0.0] * len(sizes), set(range(len(sizes))), total
-    while free:
-        unit = left / sum(weight[i] for i in free)
-        over = {i for i in free if weight[i] * unit > caps[i]}
-        if not over:
-            for i in free:
-                out[i] = weight[i] * unit
-            break
-        for i in sorted(over):
-            out[i] = caps[i]
-            left -= caps[i]
-        free -= over
-    return out
-
-
-def draws(quota: list[int], recipe: Recipe) -> list[tuple[int, int, int, int]]:
-    """(shard, source, first slot of the source, count): a multinomial draw for each shard over the quotas that are left, held to them."""
-    left = np.array(quota, dtype=np.int64)
-    rng = np.random.default_rng(recipe.seed)
-    size = max(recipe.shard_slots, math.ceil(int(left.sum()) / 20_000) or 1)
-    given, out, shard = np.zeros_like(left), [], 0
-    while (rest := int(left.sum())) > 0:
-        slots, take = min(size, rest), np.zeros_like(left)
-        while (missing := slots - int(take.sum())) > 0:
-            open_ = left - take
-            take = take + np.minimum(rng.multinomial(missing, open_ / open_.sum()), open_)
-        out += [(shard, int(s), int(given[s]), int(take[s])) for s in np.flatnonzero(take)]
-        given, left, shard = given + take, left - take, shard + 1
-    return out
+def with_targets(sources: DataFrame, recipe: Recipe) -> DataFrame:
+    """``sources`` (rank, size) with ``target``: words for each by weight, at most ``max_epochs`` times its own; what is over goes to the others by weight.
+
+    The words for a unit of weight rise until no further source is over; the driver gets a
+    row for each weight of the recipe, of whole numbers, so that reruns agree.
+    """
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in recipe.weights]), (F.col("rank") % len(recipe.weights) + 1).cast("int"))
+    table = sources.withColumn("weight", weight).withColumn("most", recipe.max_epochs * F.col("size"))
+    total = recipe.share * (sources.agg(F.sum("size")).first()[0] or 0)
+    unit, before = 0.0, -1
+    while True:
+        over = F.col("weight") * F.lit(unit) > F.col("most")
+        found = table.groupBy("weight").agg(F.count_if(~over).alias("free"), F.count_if(over).alias("over"), F.sum(F.when(over, F.col("most")).otherwise(0)).alias("held")).collect()
+        free, held, n_over = sum(r["weight"] * r["free"] for r in sorted(found)), sum(r["held"] for r in found), sum(r["over"] for r in found)
+        if n_over == before or not free:
+            return table.withColumn("target", F.when(over, F.col("most").cast("double")).otherwise(F.col("weight") * F.lit(unit))).drop("weight", "most")
+        unit, before = (total - held) / free, n_over
+
+
+def draws(quotas: DataFrame, recipe: Recipe) -> DataFrame:
+    """shard, sid, first, n: how many slots of a shard are a source's, and the first of them in the source's count. ``quotas``: sid, quota, a written table."""
+    spark = quotas.sparkSession
+    left = quotas.select("sid", F.col("quota").alias("left"), F.lit(0).cast("long").alias("given")).where("quota > 0")
+    out, shard, turn = None, 0, 0
+    while total := left.agg(F.sum("left")).first()[0] or 0:
+        if total <= recipe.shard_slots:
+            plan = left.select(F.lit(shard).cast("long").alias("shard"), "sid", F.col("given").alias("first"), F.col("left").alias("n"))
+            return plan if out is None else out.unionByName(plan)
+        shards = total // recipe.shard_slots
+        width = -(-total // (4 * left.count()))
+        lots = sums.before(left, [], "sid", "left", "lo").withColumn("hi", F.col("lo") + F.col("left"))
+        cells = lots.select("sid", "lo", "hi", F.explode(F.expr(f"sequence(lo div {width}, (hi - 1) div {width})")).alias("cell"))
+        slots = spark.range(shards * recipe.shard_slots).withColumn("lot", F.pmod(F.xxhash64(F.lit(recipe.seed), F.lit(turn), "id"), F.lit(total))).withColumn("cell", F.expr(f"lot div {width}"))
+        drawn = slots.join(cells, "cell").where("lo <= lot and lot < hi").groupBy(F.expr(f"id div {recipe.shard_slots}").alias("at"), "sid").agg(F.count(F.lit(1)).alias("drawn"))
+        drawn = sums.before(scratch.written(drawn, "mix-drawn"), ["sid"], "at", "drawn", "upto").join(left, "sid")
+        held = F.least(F.col("drawn"), F.greatest(F.col("left") - F.col("upto"), F.lit(0)))
+        plan = drawn.select((F.lit(shard) + F.col("at")).alias("shard"), "sid", (F.col("given") + F.col("upto")).alias("first"), held.alias("n")).where("n > 0")
+        plan = scratch.written(plan, "mix-plan")
+        got = plan.groupBy("sid").agg(F.sum("n").alias("got"))
+        left = left.join(got, "sid", "left").select("sid", (F.col("left") - F.coalesce("got", F.lit(0))).alias("left"), (F.col("given") + F.coalesce("got", F.lit(0))).alias("given")).where("left > 0")
+        left = scratch.written(left, "mix-left")
+        out, shard, turn = plan if out is None else out.unionByName(plan), shard + shards, turn + 1
+    return out if out is not None else spark.createDataFrame([], "shard long, sid long, first long, n long")
 
 
 def permuted(index: Column, n: Column, key: Column) -> Column:
@@ -108,73 +120,76 @@ def permuted(index: Column, n: Column, key: Column) -> Column:
 
 
 class Mix:
-    """``sized``: a row for each document; ``pieces``: what the mix takes, a row for each part of a document in each slot."""
+    """``sized``: a row for each document; ``slots``: a row for each block of each shard; ``pieces``: what the mix takes, a row for each part of a document in each slot."""
 
     def __init__(self, docs: DataFrame, recipe: Recipe = Recipe(), keep_text: bool = False):
-        spark, self.recipe, self.docs = docs.sparkSession, recipe, docs
-        base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), F.xxhash64("text", "source").alias("h"), *(["text", "lang"] if keep_text else []))
-        base = base.withColumn("spot", F.xxhash64(F.lit(recipe.seed), "doc_id", "h"))
-        base = scratch.written(base, "mix-sized")
-
-        by_source = [(r["source"], r["size"], r["n"]) for r in base.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).limit(MOST_SOURCES + 1).collect()]
-        if len(by_source) > MOST_SOURCES:
-            raise ValueError(f"over {MOST_SOURCES} sources")
-        by_source.sort(key=lambda r: (r[0] is None, (r[0] or "").encode("utf-8", "surrogatepass")))
-        sizes = [r[1] or 0 for r in by_source]
-        self.targets = targets(sizes, recipe)
-        blocks = [math.ceil(s / recipe.block) for s in sizes]
+        self.recipe = recipe
+        own = F.struct(*docs.columns).alias("row")
+        base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), F.xxhash64("text", "source").alias("h"), *([own] if keep_text else []))
+        base = scratch.written(base.withColumn("spot", F.xxhash64(F.lit(recipe.seed), "doc_id", "h")), "mix-sized")
+
+        # sources by code point: their targets, blocks and slots
+        sources = base.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
+        sources = scratch.written(sums.numbered(sources, [F.col("source").asc_nulls_last()], "rank"), "mix-sources")
+        sources = with_targets(sources, recipe)
+        whole, block = F.bround("target").cast("long"), recipe.block
+        sources = sources.withColumn("blocks", F.ceil(F.col("size") / block).cast("long")).withColumn("whole", whole)
         # whole passes, each of exactly its source's words, whole blocks of one more, and words of one more block
-        quota, cut_to = [], []
-        for s, t, n in zip(sizes, self.targets, blocks, strict=True):
-            passes, rest = divmod(round(t), s) if s else (0, 0)
-            whole, words = divmod(rest, recipe.block)
-            quota.append(passes * n + whole + (words > 0))
-            cut_to.append(words or recipe.block)
-        buckets = [min(recipe.most_buckets, max(1, math.ceil(r[2] / recipe.rows_per_bucket))) for r in by_source]
-        table = [(k, name, size, float(t), recipe.block, b, u, q, c) for k, ((name, _, _), size, t, b, u, q, c) in enumerate(zip(by_source, sizes, self.targets, blocks, buckets, quota, cut_to, strict=True))]
-        self.sources = spark.createDataFrame(table, "sid int, source string, source_size long, target double, len long, blocks long, buckets int, quota long, cut_to long").coalesce(1)
-        src = F.broadcast(self.sources.drop("quota", "cut_to"))
+        sources = sources.withColumn("rest", F.when(F.col("size") > 0, F.expr("whole % size")).otherwise(0)).withColumn("words", F.expr(f"rest % {block}"))
+        passes = F.when(F.col("size") > 0, F.expr("whole div size * blocks")).otherwise(0)
+        quota = (passes + F.expr(f"rest div {block}") + (F.col("words") > 0).cast("long")).cast("long")
+        cut_to = F.when(F.col("words") > 0, F.col("words")).otherwise(block).cast("long")
+        buckets = F.greatest(F.ceil(F.col("n") / recipe.rows_per_bucket), F.lit(1)).cast("long")
+        sources = sources.select(F.col("rank").alias("sid"), "source", "n", F.col("size").alias("source_size"), "target", "blocks", buckets.alias("buckets"), quota.alias("quota"), cut_to.alias("cut_to"))
+        sources = scratch.written(sources, "mix-targets")
 
         # places in the streams: a prefix sum within each bucket, and one over the buckets' totals
-        rows = base.join(src, base.source.eqNullSafe(self.sources.source)).drop(self.sources.source)
-        rows = rows.withColumn("bucket", F.pmod(F.col("spot"), F.col("buckets")))
-        totals = rows.groupBy("sid", "bucket").agg(F.sum("size").alias("words"))
-        before = totals.select("sid", "bucket", (F.sum("words").over(Window.partitionBy("sid").orderBy("bucket")) - F.col("words")).alias("bucket_at"))
+        rows = sums.lookup(base, sources.drop("blocks", "quota", "cut_to"), "source", "n").drop("n", "source")
+        rows = rows.withColumn("bucket", F.pmod(F.col("spot"), F.col("buckets"))).drop("buckets")
+        light = rows.select("sid", "bucket", "size")
+        totals = sums.before(light.groupBy("sid", "bucket").agg(F.sum("size").alias("words")), ["sid"], "bucket", "words", "bucket_at").drop("words")
         within = Window.partitionBy("sid", "bucket").orderBy("spot", "doc_id", "size", "h")
         rows = rows.withColumn("rank", F.row_number().over(within)).withColumn("upto", F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, 0)))
-        rows = rows.join(F.broadcast(before) if len(by_source) * max(buckets, default=1) <= 200_000 else before, ["sid", "bucket"])
-        self.sized = rows.withColumn("at", F.col("bucket_at") + F.col("upto") - F.col("size"))
-
-        plan = draws(quota, recipe)
-        slots = spark.createDataFrame(plan, "shard int, sid int, first long, n long") if plan else spark.createDataFrame([], "shard int, sid int, first long, n long")
-        slots = slots.join(F.broadcast(self.sources.select("sid", "blocks", "quota", "cut_to")), "sid").select("shard", "sid", "blocks", "quota", "cut_to", F.explode(F.expr("sequence(first, first + n - 1)")).alias("slot"))
-        slots = slots.withColumn("epoch", F.expr("slot div blocks"))
-        whole = F.greatest(F.col("blocks") - 1, F.lit(1))  # the last block, which may be short, ends each pass
-        place = F.col("slot") % F.col("blocks")
-        slots = slots.withColumn("block", F.when(place == F.col("blocks") - 1, place).otherwise(permuted(place % whole, whole, F.struct(F.lit(recipe.seed), F.col("sid"), F.col("epoch")))))
-        slots = slots.withColumn("most", F.when(F.col("slot") == F.col("quota") - 1, F.col("cut_to")).otherwise(F.lit(recipe.block))).drop("quota", "cut_to")
+        rows = rows.join(totals, ["sid", "bucket"])
+        self.sized = rows.withColumn("at", F.col("bucket_at") + F.col("upto") - F.col("size")).drop("bucket_at", "upto", "spot", "h")
+
+        plan = draws(sources.select("sid", "quota"), recipe)
+        slots = plan.select("shard", "sid", F.explode(F.expr("sequence(first, first + n - 1)")).alias("count"))
+        held = scratch.written(plan.groupBy("sid").agg(F.sum("n").alias("n")).join(sources.select("sid", "blocks", "quota", "cut_to"), "sid"), "mix-slots")
+        slots = sums.lookup(slots, held, "sid", "n").drop("n")
+        slots = slots.withColumn("epoch", F.expr("count div blocks"))
+        most = F.greatest(F.col("blocks") - 1, F.lit(1))  # the last block, which may be short, ends each pass
+        place = F.col("count") % F.col("blocks")
+        slots = slots.withColumn("block", F.when(place == F.col("blocks") - 1, place).otherwise(permuted(place % most, most, F.struct(F.lit(recipe.seed), F.col("sid"), F.col("epoch")))))
+        slots = slots.withColumn("most", F.when(F.col("count") == F.col("quota") - 1, F.col("cut_to")).otherwise(F.lit(block).cast("long")))
+        # the blocks of a shard in a pseudorandom order
+        in_shard = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(recipe.seed), "sid", "count"), "sid", "count")
+        self.slots = slots.withColumn("slot", (F.row_number().over(in_shard) - 1).cast("long")).select("shard", "slot", "sid", "block", "most")
 
         def cut(words: Column | None) -> Column:
             """A document's parts by block, each with its own words only."""
 
-            def one(block: Column) -> Column:
-                lo = F.greatest(F.col("at"), block * F.col("len")) - F.col("at")
-                hi = F.least(F.col("at") + F.col("size"), (block + 1) * F.col("len")) - F.col("at")
+            def one(k: Column) -> Column:
+                lo = F.greatest(F.col("at"), k * block) - F.col("at")
+                hi = F.least(F.col("at") + F.col("size"), (k + 1) * block) - F.col("at")
                 text = [] if words is None else [F.array_join(F.slice(words, (lo + 1).cast("int"), (hi - lo).cast("int")), "").alias("text")]
-                return F.struct(block.alias("block"), lo.alias("from_word"), hi.alias("to_word"), F.greatest(F.col("at") - block * F.col("len"), F.lit(0)).alias("place"), *text)
+                return F.struct(k.alias("block"), lo.alias("from_word"), hi.alias("to_word"), F.greatest(F.col("at") - k * block, F.lit(0)).alias("place"), *text)
 
-            return F.transform(F.sequence(F.expr("at div len"), F.expr("(at + size - 1) div len")), one)
+            return F.transform(F.sequence(F.expr(f"at div {block}"), F.expr(f"(at + size - 1) div {block}")), one)
 
         # the words of a text are found once, however many blocks it lies in
-        words = F.regexp_extract_all(F.col("text"), F.lit(f"{SPACE}*{WORD}"), F.lit(0))
+        def found(text: Column) -> Column:
+            return F.regexp_extract_all(text, F.lit(f"{SPACE}*{WORD}"), F.lit(0))
+
+        cells = F.element_at(F.transform(F.array(found(F.col("row.text"))), cut), 1) if keep_text else cut(None)
+        rest = [F.struct(*[F.col("row").getField(c).alias(c) for c in docs.columns if c != "text"]).alias("row")] if keep_text else []
+        parts = self.sized.where("size > 0").select("sid", "bucket", "rank", "size", *rest, F.explode(cells).alias("cell")).select("*", "cell.*").drop("cell")
         left = F.col("most") - F.col("place")
-        cells = F.element_at(F.transform(F.array(words), cut), 1) if keep_text else cut(None)
-        parts = self.sized.where("size > 0").select("sid", "bucket", "rank", "doc_id", *(["lang"] if keep_text else []), F.explode(cells).alias("cell")).select("*", "cell.*").drop("cell")
-        self.pieces = slots.join(parts, ["sid", "block"]).where(left > 0)
+        pieces = self.slots.join(parts, ["sid", "block"]).where(left > 0)
         short = left < F.col("to_word") - F.col("from_word")
         if keep_text:
-            self.pieces = self.pieces.withColumn("text", F.when(short, F.array_join(F.slice(words, F.lit(1), left.cast("int")), "")).otherwise(F.col("text")))
-        self.pieces = self.pieces.withColumn("to_word", F.when(short, F.col("from_word") + left).otherwise(F.col("to_word")))
+            pieces = pieces.withColumn("text", F.when(short, F.array_join(F.slice(found(F.col("text")), F.lit(1), left.cast("int")), "")).otherwise(F.col("text")))
+        self.pieces = pieces.withColumn("to_word", F.when(short, F.col("from_word") + left).otherwise(F.col("to_word")))
 
     def taken(self) -> DataFrame:
         """For each document: doc_id, size, source_size, target, taken."""
@@ -184,7 +199,20 @@ class Mix:
 
 
 def mixed_documents(docs: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
-    """The mix in the columns of documents: a row for each piece, with its document's id, source and lang and its own words. A document that is taken twice comes twice, one that isn't taken doesn't come."""
-    mix = Mix(docs, recipe, keep_text=True)
-    named = mix.pieces.join(F.broadcast(mix.sources.select("sid", "source")), "sid")
-    return named.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
+    """The mix: a row for each piece, with all columns of its document, its own words as ``text`` and their ``n_chars``, and PLACE.
+
+    PLACE is the shard, the slot in it, the word of the slot at which the piece begins, and
+    whether the piece ends its document: in the order of the first three, the pieces are the
+    mix. Columns of these names in ``docs`` are replaced. A document that is taken twice comes
+    twice, one that isn't taken doesn't come.
+    """
+    clean = docs.drop(*PLACE)
+    pieces = Mix(clean, recipe, keep_text=True).pieces
+
+    def column(name: str) -> Column:
+        if name == "text":
+            return F.col("text")
+        return F.length("text").cast(dict(clean.dtypes)[name]).alias(name) if name == "n_chars" else F.col("row").getField(name).alias(name)
+
+    place = (F.col("shard"), F.col("slot"), F.col("place"), F.col("to_word") == F.col("size"))
+    return pieces.select(*[column(c) for c in clean.columns], *[v.alias(n) for v, n in zip(place, PLACE, strict=True)])

@@ -43,17 +43,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from veilspan import scratch
+from veilspan.llm import sums
 from veilspan.llm.arrow import get, release, slices, small_batches, text_bytes
 from veilspan.llm.near_dedup import powers
 
 BLOCK, PERCENTILE, SEGMENT_IDS, END_ID = 1024, 98.0, 1 << 17, 0
 #: Text bytes for each shard, and distinct parts that a worker remembers.
 SHARD_BYTES, REMEMBERED = 24 << 20, 400_000
-#: Shards for each group of the sums over shards, and most shards whose starts are broadcast (12 bytes each).
-GROUP, MOST_BROADCAST = 4096, 1_000_000
+#: Most shards whose starts are broadcast (12 bytes each).
+MOST_BROADCAST = 1_000_000
 HEADER = struct.Struct("<IHBH")
 SCHEMA = "shard int, seq int, first long, doc_ids array<long>, counts array<long>, starts array<int>, data binary"
 _SPACE = np.zeros(256, bool)
@@ -320,13 +320,10 @@ def write(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, o
 
 
 def shard_starts(tokens: DataFrame) -> DataFrame:
-    """shard and before: the ids of all shards before it. Sums within groups of GROUP shards, and over the groups."""
+    """shard and before: the ids of all shards before it."""
     n = F.expr("aggregate(counts, 0L, (a, x) -> a + x)")
-    per = tokens.select("shard", n.alias("n")).groupBy("shard").agg(F.sum("n").alias("n")).withColumn("grp", F.expr(f"shard div {GROUP}"))
-    groups = per.groupBy("grp").agg(F.sum("n").alias("all"))
-    at = groups.select("grp", (F.sum("all").over(Window.orderBy("grp")) - F.col("all")).alias("grp_at"))  # a row for each GROUP shards
-    within = F.sum("n").over(Window.partitionBy("grp").orderBy("shard")) - F.col("n")
-    return per.withColumn("within", within).join(at, "grp").select("shard", (F.col("grp_at") + F.col("within")).alias("before"))
+    per = tokens.select("shard", n.alias("n")).groupBy("shard").agg(F.sum("n").alias("n"))
+    return sums.before(per, [], "shard", "n", "before").drop("n")
 
 
 def read(spark: SparkSession, tokens: DataFrame) -> DataFrame:
