@@ -1,7 +1,11 @@
 """The corpus pipeline: quality, near duplicates, benchmark leaks, mix, token files.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet
-and read again as the next one's docs. All but the last return the columns of documents.
+and read again as the next one's docs. All but the last return the columns of documents,
+whatever further ones there are among them; the mixing stage adds the place of each piece in
+the mix (shard, slot, place, and whether it ends its document), and the token files are
+written in that order, with an end id after the pieces that end a document and no others.
+A piece that is cut by the end of its slot is followed by the next slot's words at once.
 """
 
 from __future__ import annotations
@@ -37,7 +41,10 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of all pieces, and what their documents are in them."""
+    """Token files of the mix, in its order, and what its pieces are in them. Documents without places in a mix are written in the order of their ids."""
+    if set(mixing.PLACE) <= set(docs.columns):
+        *order, ends = mixing.PLACE
+        return tokens.read(spark, tokens.write(docs, order=tuple(order), ends=ends))
     return tokens.read(spark, tokens.write(docs))
 
 
@@ -54,8 +61,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what each returns is written to the shared folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; what each returns is written to the shared folder, and its own tables are removed."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = scratch.written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch.fresh(spark, f"pipeline-{name}")
+        with scratch.scope(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        if before:
+            scratch.remove(spark, before)
+        docs, before = spark.read.schema(out.schema).parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
