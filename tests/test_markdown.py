@@ -1,79 +1,154 @@
+"""Blocks, the splice over pages and written elements, on generated pages whose content is known."""
+
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from veilspan.functions import blocks
 from veilspan.operators import markdown
 
-TABLE = "| Item | Amount / Detail |\n| :--- | :--- |\n| base support | $1,240.00 |"
-FOOT, PAGE_FOOT = "Sayfa 2 — Synthetic", "Page 2 — Synthetic"
-ROWS = "| Payor | [PERSON_1] |\n| Payee | [PERSON_2] |\n| Effective date | July 1, 2025 |"
-
-CASES = {
-    "rows after a footer": ([f"Body.\n\n{TABLE}\n\n{FOOT}", f"{ROWS}\n\n## V. NEXT"], 3),
-    "three columns": ([f"{TABLE}\n\n{FOOT}", "| a | b | c |\n| d | e | f |"], 0),
-    "closed by prose": ([f"{TABLE}\n\nClosing prose.\n\n{FOOT}", ROWS], 0),
-    "own separator": ([f"{TABLE}\n\n{FOOT}", "| H1 | H2 |\n| :--- | :--- |\n| x | y |"], 0),
-    "three pages": ([f"{TABLE}\n\n{FOOT}", f"{ROWS}\n\n{FOOT}", "| Payment | order |\n\n## V. NEXT"], 4),
-    "english footer": ([f"{TABLE}\n\n{PAGE_FOOT}", ROWS], 3),
-    "empty page closes": ([TABLE, "", ROWS], 0),
-    "footer page keeps open": ([TABLE, FOOT, ROWS], 3),
-    "page of rows only keeps open": ([TABLE, ROWS, ROWS], 6),
-}
+NAMES = ("Cargo", "Tonnes", "Berth", "Crane", "Seal")
+
+
+def row(rng, n):
+    return "| " + " | ".join(f"{rng.choice(NAMES).lower()} {rng.randrange(99)}" for _ in range(n)) + " |"
+
+
+def block(rng, kind):
+    """(kind, cells, rows, text)"""
+    n, k = rng.choice((2, 2, 2, 3)), rng.randrange(1, 5)
+    rows = [row(rng, n) for _ in range(k)]
+    if kind == "table":
+        return kind, n, k, "\n".join(["| " + " | ".join(NAMES[:n]) + " |", "|" + " --- |" * n, *rows])
+    if kind == "rows":
+        return kind, n, k, "\n".join(rows)
+    return kind, 0, 0, {"prose": f"The hold was swept at {k} bells.", "foot": f"Page {k}", "head": f"## Voyage {k}"}[kind]
+
+
+def pages_of(rng):
+    """Pages as lists of blocks; two blocks of pipe rows never follow each other on a page, as these would be one."""
+    out = []
+    for _ in range(rng.randrange(1, 6)):
+        page = []
+        for _ in range(rng.randrange(0, 4)):
+            pipes = page and page[-1][0] in ("table", "rows")
+            page.append(block(rng, rng.choice(("prose", "foot", "head") if pipes else ("prose", "foot", "table", "table", "rows", "rows"))))
+        out.append(page)
+    return out
+
+
+def spliced(pages):
+    """(page, number of blocks taken from its start) and, for each table that gains rows, (page, block): rows."""
+    open_, taken, gained = None, [], {}
+    for p, page in enumerate(pages):
+        k = 0
+        while open_ and k < len(page) and page[k][0] == "rows" and page[k][1] == open_[2]:
+            gained[open_[:2]] = gained.get(open_[:2], 0) + page[k][2]
+            k += 1
+        taken.append(k)
+        if not page:
+            open_ = None  # an empty page ends a table
+            continue
+        rest = [i for i in range(k, len(page)) if page[i][0] != "foot"]
+        if rest:
+            last = page[rest[-1]]
+            open_ = (p, rest[-1], last[1]) if last[0] == "table" else None
+    return taken, gained
 
 
-def pages_of(spark, cases):
-    return spark.createDataFrame([(k, i, t) for k, (texts, _) in cases.items() for i, t in enumerate(texts)], "doc string, page_index int, text string")
+def test_splice(spark):
+    rng = random.Random(12)
+    docs = [pages_of(rng) for _ in range(1000)]
+    text = [(d, p, "\n\n".join(b[3] for b in page)) for d, pages in enumerate(docs) for p, page in enumerate(pages)]
+    got = {}
+    for r in markdown.spliced_blocks(spark.createDataFrame(text, "doc int, page_index int, text string"), ["doc"]).collect():
+        got.setdefault(r.doc, {})[r.page_index, r.block_idx] = r
+    n_gained = 0
+    for d, pages in enumerate(docs):
+        taken, gained = spliced(pages)
+        n_gained += len(gained)
+        want = {}
+        for p, page in enumerate(pages):
+            for i, (kind, n, k, own) in enumerate(page or [("prose", 0, 0, "")]):
+                if i >= taken[p]:
+                    want[p, i - taken[p]] = (own, gained.get((p, i), 0))
+        assert {k: r.added_rows for k, r in got[d].items()} == {k: v[1] for k, v in want.items()}
+        for k, (own, more) in want.items():
+            assert got[d][k].block.startswith(own) and len(got[d][k].block.split("\n")) == len(own.split("\n")) + more
+    assert n_gained > 50
+
+
+MANIFEST = """# MANIFEST
+
+Port of Kotka
+
+of the steamer Aino
+
+## 1. Hold
+
+1. Sealed on 3 May.
+- Swept.
+
+| Cargo | Tonnes | Berth |
+|:--|--:|---|
+| grain | 12 |
+| ore | 7 | 4 | spare |
+| salt | 1 | 2 |
+
+[TABLE — STRUCTURE UNCERTAIN, REVIEW]
+half a line
+another
+
+Sayfa 4
+son"""
+
+
+def test_elements(spark):
+    p = spark.createDataFrame([(1, 2, MANIFEST), (1, 3, "Later prose\n\n## 2. End"), (1, 4, ""), (2, 0, "alone")], "doc int, page_index int, text string")
+    kinds = markdown.with_kinds(markdown.page_blocks(p, ["doc"]), ["doc"])
+    rows = sorted(markdown.elements(kinds, ["doc"], page_breaks=True).collect(), key=lambda r: (r.doc, r.page_index, r.block_idx, r.item_idx))
+    said = [(r.style, r.text if r.cells is None else r.cells) for r in rows]
+    assert said == [
+        ("h1", "MANIFEST"), ("caption", "Port of Kotka"), ("caption", "of the steamer Aino"), ("h2", "1. Hold"), ("body", "1. Sealed on 3 May."), ("body", "- Swept."),
+        ("flag", blocks.UNEVEN_FLAG), ("header_row", ["Cargo", "Tonnes", "Berth"]), ("row", ["grain", "12", ""]), ("row", ["ore", "7", "4"]), ("row", ["salt", "1", "2"]),
+        ("flag", blocks.REVIEW_MARKER), ("body", "half a line"), ("body", "another"), ("footer", "Sayfa 4"), ("footer", "son"),
+        ("body", "Later prose"), ("h2", "2. End"), ("body", "alone"),
+    ]
+    assert [r.text for r in rows if r.break_before] == ["Later prose"]
+    assert not any(r.break_before for r in markdown.elements(kinds, ["doc"]).collect())
+    assert {r.kind for r in kinds.where("flag").collect()} == {"table", "review"}
+
+
+LINES = {
+    "|---|": (True, True, ["---"]),
+    "  | --:| :-: |  ": (True, True, ["--:", ":-:"]),
+    "-": (True, False, ["-"]),
+    "| tar | 4 |": (False, True, ["tar", "4"]),
+    "tar | 4": (False, False, ["tar", "4"]),
+    "| tar |  | 4": (False, False, ["tar", "", "4"]),
+    "|": (False, False, []),
+    "||": (False, True, [""]),
+    " | tar | ": (False, True, ["tar"]),
+    "": (False, False, []),
+}
 
 
-def test_splice(spark):
-    out = markdown.spliced_blocks(pages_of(spark, CASES), ["doc"]).collect()
-    added = {}
-    for r in out:
-        added[r.doc] = added.get(r.doc, 0) + r.added_rows
-    assert {k: added.get(k, 0) for k in CASES} == {k: n for k, (_, n) in CASES.items()}
-    first = [r for r in out if r.doc == "rows after a footer"]
-    table = next(r for r in first if r.page_index == 0 and r.block_idx == 1)
-    assert len(table.block.split("\n")) == 6
-    assert [r.block for r in first if r.page_index == 1] == ["## V. NEXT"]
-
-
-PAGES = [
-    "# COURT\n\nParty A, Petitioner,\n\n## I. FINDINGS\n\n1.1. A body paragraph.\n\n| Item | Amount |\n| :--- | :--- |\n| support | $1 |\n\nSayfa 1 — x",
-    "| Payor | [PERSON_1] |\n| Payee | [PERSON_2] |\n| Date | July 1 |\n| Method | order |\n| Health | kept |\n| Medical | shared |\n\n## II. SIGNATURES\n\n[TABLE — STRUCTURE UNCERTAIN, REVIEW]\nAttorney One\n\nA ragged table follows:\n\n| A | B | C |\n| :--- | :--- | :--- |\n| only two | cells |\n| three | proper | cells |\n\nSayfa 2 — x",
-]
-
-
-def test_render(spark):
-    p = spark.createDataFrame([(1, i, t) for i, t in enumerate(PAGES)], "doc int, page_index int, text string")
-    kinds = markdown.with_kinds(markdown.spliced_blocks(p, ["doc"]), ["doc"])
-    k = sorted(kinds.select("page_index", "block_idx", "kind", "flag", "in_caption").collect())
-    assert [r.kind for r in k] == ["h1", "paragraph", "h2", "paragraph", "table", "footer", "h2", "review", "paragraph", "table", "footer"]
-    assert sum(r.flag for r in k) == 2 and [r.in_caption for r in k][:3] == [True, True, False] and not any(r.in_caption for r in k[3:])
-    items = sorted(markdown.elements(kinds, ["doc"]).collect(), key=lambda r: (r.page_index, r.block_idx, r.item_idx))
-    styles = [r.style for r in items]
-    assert styles.count("header_row") == 2 and styles.count("flag") == 2 and styles.count("row") == 7 + 2
-    first = [r.cells for r in items if r.style in ("header_row", "row")][:8]
-    assert first[1] == ["support", "$1"] and first[7] == ["Medical", "shared"]
-    assert ["only two", "cells", ""] in [r.cells for r in items]
-    assert not any((r.text or "").startswith("|") for r in items)
-    assert [r.text for r in items if r.style == "caption"] == ["Party A, Petitioner,"]
-
-
-@pytest.mark.parametrize(
-    "line, sep, pipe, cells",
-    [("| :--- | :--- |", True, True, [":---", ":---"]), ("| a | b |", False, True, ["a", "b"]), ("| - | - |", True, True, ["-", "-"]), ("---", True, False, ["---"]), ("a | b", False, False, ["a", "b"]), ("|", False, False, []), ("||", False, True, [""]), ("| a | |", False, True, ["a", ""]), ("", False, False, [])],
-)
-def test_lines(spark, line, sep, pipe, cells):
+@pytest.mark.parametrize("line", LINES)
+def test_lines(spark, line):
     c = F.lit(line)
-    r = spark.range(1).select(blocks.is_separator(c), blocks.is_pipe_row(c), blocks.cells(c)).first()
-    assert tuple(r) == (sep, pipe, cells)
+    assert tuple(spark.range(1).select(blocks.is_separator(c), blocks.is_pipe_row(c), blocks.cells(c)).first()) == LINES[line]
 
 
-def test_tables_next_to_each_other_become_one(spark):
-    two = f"{TABLE}\n\n{TABLE}"
-    assert spark.range(1).select(blocks.split_blocks(F.lit(two)).alias("b")).first().b == [f"{TABLE}\n{TABLE}"]
+def test_blocks_of_pipe_rows_that_follow_each_other_are_one(spark):
+    rng = random.Random(2)
+    a, b = block(rng, "table")[3], block(rng, "rows")[3]
+    got = spark.range(1).select(blocks.split_blocks(F.lit(f"{a}\n\n{b}\n \nend")).alias("b")).first().b
+    assert got == [f"{a}\n{b}", "end"]
 
 
-def test_widths_have_a_floor(spark):
-    rows = blocks.table_rows(F.lit("| " + "x" * 97 + " | abc |\n| - | - |\n| y |"))
-    assert spark.range(1).select(blocks.column_widths(rows)).first()[0] == [9079, 720]
+@pytest.mark.parametrize("sizes", [[10, 10], [1, 200], [5, 30, 65], [3]])
+def test_widths(spark, sizes):
+    text = "| " + " | ".join("h" * min(n, 2) for n in sizes) + " |\n|" + "-|" * len(sizes) + "\n| " + " | ".join("c" * n for n in sizes) + " |"
+    got = spark.range(1).select(blocks.column_widths(blocks.table_rows(F.lit(text)))).first()[0]
+    assert got == [max(720, 9360 * n // sum(sizes)) for n in sizes]

@@ -22,9 +22,9 @@ def stream(spark, tmp_path, rows):
 
 
 def test_documents_come_out_once_complete(spark, tmp_path):
-    rows = [("a", 1, 2, "two"), ("b", 0, 3, "x"), ("a", 0, 2, "one"), ("b", 0, 3, "again")]
+    rows = [("a", 1, 2, "two"), ("b", 0, 3, "x"), ("a", 0, 2, "one"), ("b", 0, 3, "again"), ("c", 2, 3, "z"), ("c", 1, 2, "y"), ("c", 0, 2, "x")]
     out = run(spark, pages.complete_documents(stream(spark, tmp_path, rows)), "complete")
-    assert [(r.doc_id, r.page_count, r.text) for r in out] == [("a", 2, "one\ftwo")]
+    assert sorted((r.doc_id, r.page_count, r.text) for r in out) == [("a", 2, "one\ftwo"), ("c", 3, "x\fy\fz")]
 
 
 def test_detection_runs_on_streams(spark, tmp_path):
@@ -32,7 +32,42 @@ def test_detection_runs_on_streams(spark, tmp_path):
     assert [r.n for r in out] == [1]
 
 
-def test_only_approved_drafts_go_on(spark, tmp_path):
-    ok = spark.createDataFrame([("a", True), ("b", False)], "doc_id string, approved boolean")
-    s = stream(spark, tmp_path, [("a", 0, 1, "x"), ("b", 0, 1, "y"), ("c", 0, 1, "z")])
-    assert [r.doc_id for r in run(spark, pages.approved(s, ok), "approved")] == ["a"]
+APPROVAL = "doc_id string, approved boolean"
+
+
+def test_drafts_wait_for_their_approval(spark, tmp_path):
+    """Batch by batch: before it, with it, after it; a refusal and silence are no approval."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "said").mkdir()
+    drafts = spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/in")
+    said = spark.readStream.schema(APPROVAL).parquet(f"{tmp_path}/said")
+    q = pages.approved(drafts, said).writeStream.format("memory").queryName("waiting").outputMode("append").option("checkpointLocation", f"{tmp_path}/state").start()
+    seen = []
+
+    def step(new=(), approvals=()):
+        for rows, schema, name in ((new, SCHEMA, "in"), (approvals, APPROVAL, "said")):
+            if rows:
+                spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/{name}")
+        q.processAllAvailable()
+        out = sorted((r.doc_id, r.text) for r in spark.sql("SELECT * FROM waiting").collect())
+        fresh = [x for x in out if x not in seen]
+        seen.extend(fresh)
+        return fresh
+
+    try:
+        assert step([("a", 0, 1, "early"), ("b", 0, 1, None), ("c", 0, 1, "never")]) == []
+        assert step([("a", 1, 2, "second")], [("b", False)]) == []
+        assert step([], [("a", True), ("d", True)]) == [("a", "early"), ("a", "second")]
+        assert step([("d", 0, 1, "late"), ("a", 2, 3, "third")]) == [("a", "third"), ("d", "late")]
+        assert step([], [("b", True)]) == [("b", None)]
+    finally:
+        q.stop()
+
+
+def test_pages_of_two_streams_are_paired(spark, tmp_path):
+    schema = "doc_id string, page_index int, at timestamp, v string"
+    for side, rows in (("l", [("a", 0, "2024-01-01 00:00:00", "x"), ("a", 1, "2024-01-01 00:00:00", "y"), ("b", 0, "2024-01-01 00:00:00", "z")]), ("r", [("a", 0, "2024-01-01 00:03:00", "p"), ("a", 1, "2024-01-01 09:00:00", "q"), ("c", 0, "2024-01-01 00:00:00", "s")])):
+        spark.createDataFrame(rows, "doc_id string, page_index int, at string, v string").withColumn("at", F.to_timestamp("at")).write.parquet(f"{tmp_path}/{side}")
+    left, right = (spark.readStream.schema(schema).parquet(f"{tmp_path}/{side}") for side in "lr")
+    out = pages.paired(left, right, ["doc_id", "page_index"], "at", "10 minutes").select("a.doc_id", "a.v", F.col("b.v").alias("w"))
+    assert [tuple(r) for r in run(spark, out, "paired")] == [("a", "x", "p")]

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veilspan.functions.text import is_alnum, let, literal_array, lstrip, newlines, piece, rstrip, strip
+from veilspan.functions.text import literal_array, lstrip, newlines, piece, rstrip, strip
 
 #: Words that aren't part of a span of this type, at its start and at its end.
 LEADING = {"DATE_TIME": ("on", "or", "about", "at", "from", "through", "until", "since", "by", "before", "after", "in", "within", "commencing", "effective", "date", "dated", "this", "beginning", "starting", "the", "of", "as")}
@@ -41,53 +41,54 @@ def _peeled(value: Column, words: Column, name: str, front: bool) -> Column:
     return F.aggregate(tokens, begin, step)
 
 
-def normalize(text: Column, e: Column, leading: dict = LEADING, trailing: dict = TRAILING) -> Column:
-    """start, end and actions of one entity's normalized span.
+def splits_word(text: Column, at: Column) -> Column:
+    """A letter or digit is on both sides of a place in the text."""
+    return F.when(at > 0, F.substr(text, at, F.lit(2)).rlike(r"^[\p{L}\p{N}]{2}\z")).otherwise(F.lit(False))
+
+
+def cut_out(text: Column, e: Column) -> Column:
+    """What ``normalized`` needs of a text for one of its entities: the piece, and whether its ends split a word. The text itself needn't go along."""
+    return F.struct(
+        e["entity_type"].alias("entity_type"), e["start"].alias("start"), e["end"].alias("end"), e["score"].alias("score"),
+        piece(text, e["start"], e["end"]).alias("cut"), splits_word(text, e["start"]).alias("mid_start"), splits_word(text, e["end"]).alias("mid_end"),
+    )
+
+
+def normalized(rows: DataFrame, leading: dict = LEADING, trailing: dict = TRAILING) -> DataFrame:
+    """Adds new_start, new_end, actions and text of each span to rows of what ``cut_out`` gives.
 
     White space at both ends goes first, then listed words: all at the start before any at
     the end, compared as whole tokens in lower case. A span is never emptied: one of white
     space only stays as it is, one of listed words only keeps its trimmed form, and then
     its trims aren't reported. Newlines of the final span are counted for re-emission.
+    Each step is a column, so that what later steps ask several times is computed once.
     """
-    s0, e0 = e["start"], e["end"]
-
-    def splits(at: Column) -> Column:
-        return (at > 0) & (at < F.length(text)) & is_alnum(F.substr(text, at, F.lit(1))) & is_alnum(F.substr(text, at + 1, F.lit(1)))
-
     nothing = F.array().cast(f"array<{ACTION}>")
+    names = rows.columns
 
     def only(cond: Column, action: Column) -> Column:
         return F.when(cond, F.array(action)).otherwise(nothing)
 
-    def trimmed(v0: Column) -> Column:
-        return F.struct(v0.alias("v0"), strip(v0).alias("v1"), (s0 + F.length(v0) - F.length(lstrip(v0))).alias("s1"))
-
-    def peeled(t: Column) -> Column:
-        front = _peeled(t["v1"], _listed(e["entity_type"], leading), "leading_trim", True)
-        return let(front, lambda f: F.struct(t.alias("t"), f.alias("front"), _peeled(f["left"], _listed(e["entity_type"], trailing), "trailing_trim", False).alias("back")))
-
-    def placed(p: Column) -> Column:
-        v1, s1 = p["t"]["v1"], p["t"]["s1"]
-        e1 = s1 + F.length(v1)
-        s2 = e1 - F.length(p["front"]["left"])
-        blank, emptied = v1 == "", p["back"]["left"] == ""
-        start = F.when(blank, s0).when(emptied, s1).otherwise(s2)
-        end = F.when(blank, e0).when(emptied, e1).otherwise(s2 + F.length(p["back"]["left"]))
-        moved = (s1 != s0) | (e1 != e0)
-        trims = F.when(blank, nothing).when(emptied, F.array(_action("abort_empty_span", False, reason="every token blacklisted"))).otherwise(F.concat(p["front"]["actions"], p["back"]["actions"]))
-        return F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"), blank.alias("blank"), (~blank & moved).alias("moved"), trims.alias("trims"))
-
-    def told(q: Column) -> Column:
-        lines = newlines(piece(text, q["start"], q["end"]))
-        actions = F.concat(
-            only(splits(s0), _action("mid_word_start", False)),
-            only(splits(e0), _action("mid_word_end", False)),
-            only(q["blank"], _action("abort_empty_span", False, reason="span is whitespace-only")),
-            only(q["moved"], _action("whitespace_trim", True)),
-            q["trims"],
-            only(lines > 0, _action("newline_reemit", True, count=lines)),
-        )
-        return F.struct(q["start"].alias("start"), q["end"].alias("end"), actions.alias("actions"))
-
-    cut = let(piece(text, s0, e0), trimmed)
-    return let(let(let(cut, peeled), placed), told)
+    def peel(value: Column, lists: dict, name: str, front: bool) -> Column:
+        """Only types with a list are looked at."""
+        same = F.struct(value.alias("left"), nothing.alias("actions"))
+        done = _peeled(value, _listed(F.col("entity_type"), lists), name, front)
+        return F.when(F.col("entity_type").isin(*lists), F.struct(done["left"].alias("left"), done["actions"].alias("actions"))).otherwise(same)
+
+    r = rows.withColumn("v1", strip(F.col("cut"))).withColumn("skip", F.length("cut") - F.length(lstrip(F.col("cut"))))
+    r = r.withColumn("front", peel(F.col("v1"), leading, "leading_trim", True))
+    r = r.withColumn("back", peel(F.col("front.left"), trailing, "trailing_trim", False))
+    blank, emptied = F.col("v1") == "", F.col("back.left") == ""
+    cut_front = F.col("skip") + F.length("v1") - F.length("front.left")
+    r = r.withColumn("lo", F.when(blank, 0).when(emptied, F.col("skip")).otherwise(cut_front))
+    r = r.withColumn("hi", F.when(blank, F.length("cut")).when(emptied, F.col("skip") + F.length("v1")).otherwise(cut_front + F.length("back.left")))
+    r = r.withColumn("text", piece(F.col("cut"), F.col("lo"), F.col("hi"))).withColumn("lines", newlines(F.col("text")))
+    actions = F.concat(
+        only(F.col("mid_start"), _action("mid_word_start", False)),
+        only(F.col("mid_end"), _action("mid_word_end", False)),
+        only(blank, _action("abort_empty_span", False, reason="span is whitespace-only")),
+        only(~blank & (F.length("v1") < F.length("cut")), _action("whitespace_trim", True)),
+        F.when(blank, nothing).when(emptied, F.array(_action("abort_empty_span", False, reason="every token blacklisted"))).otherwise(F.concat("front.actions", "back.actions")),
+        only(F.col("lines") > 0, _action("newline_reemit", True, count=F.col("lines"))),
+    )
+    return r.select(*names, (F.col("start") + F.col("lo")).alias("new_start"), (F.col("start") + F.col("hi")).alias("new_end"), actions.alias("actions"), "text")

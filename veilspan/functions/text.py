@@ -13,17 +13,21 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+#: Fixed value: characters that count as white space, as regular expressions of Unicode have it.
+BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def lstrip(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+", "")
+    return F.ltrim(text, F.lit(BLANKS))
 
 
 def rstrip(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)\s+\z", "")
+    return F.rtrim(text, F.lit(BLANKS))
 
 
 def strip(text: Column) -> Column:
     """Without white space (of Unicode) at both ends."""
-    return lstrip(rstrip(text))
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def is_blank(text: Column) -> Column:

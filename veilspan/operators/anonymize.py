@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from veilspan.functions import boundary, spans
-from veilspan.functions.text import newlines, piece
+from veilspan.functions.text import let, newlines, piece
 
 
 def square(entity_type: Column, n: Column) -> Column:
@@ -30,13 +30,20 @@ FORMATS: dict[str, Callable[[Column, Column], Column]] = {
 
 
 def normalized_rows(pages: DataFrame, key: list[str], floor: float = spans.SCORE_FLOOR, boundaries: bool = True) -> DataFrame:
-    """A row for each surviving entity of pages (key, text, entities): entity_type, start, end, score, original span, actions, value, line breaks. Without ``boundaries``, spans stay as they were detected."""
-    done = pages.withColumn("resolved", spans.resolve(spans.above_floor(F.col("entities"), floor))["resolved"])
-    rows = done.select(*key, "text", F.explode("resolved").alias("e"))
-    same = F.struct(F.col("e.start").alias("start"), F.col("e.end").alias("end"), F.array().cast(f"array<{boundary.ACTION}>").alias("actions"))
-    rows = rows.withColumn("n", boundary.normalize(F.col("text"), F.col("e")) if boundaries else same)
-    cut = piece(F.col("text"), F.col("n.start"), F.col("n.end"))
-    return rows.select(*key, "e.entity_type", "n.start", "n.end", "e.score", F.col("e.start").alias("start0"), F.col("e.end").alias("end0"), "n.actions", F.replace(cut, F.lit("\n"), F.lit(" ")).alias("value"), newlines(cut).alias("breaks"))
+    """A row for each surviving entity of pages (key, text, entities): entity_type, start, end, score, original span, actions, value, line breaks. Without ``boundaries``, spans stay as they were detected.
+
+    Only an entity's own piece of the text goes with its row. The outer explode keeps the
+    optimizer from asking for the size of the list first, which would resolve each page twice.
+    """
+    kept = spans.resolve(spans.above_floor(F.col("entities"), floor))["resolved"]
+    pieces = F.transform(kept, lambda e: boundary.cut_out(F.col("text"), e))
+    own = [F.col(k).alias(f"__key{i}") for i, k in enumerate(key)]
+    rows = pages.select(*own, F.explode_outer(pieces).alias("e")).where("e is not null").select(*[f"__key{i}" for i in range(len(key))], "e.*")
+    if boundaries:
+        rows = boundary.normalized(rows)
+    else:
+        rows = rows.withColumns({"new_start": F.col("start"), "new_end": F.col("end"), "actions": F.array().cast(f"array<{boundary.ACTION}>"), "text": F.col("cut")})
+    return rows.select(*[F.col(f"__key{i}").alias(k) for i, k in enumerate(key)], "entity_type", F.col("new_start").alias("start"), F.col("new_end").alias("end"), "score", F.col("start").alias("start0"), F.col("end").alias("end0"), "actions", F.replace("text", F.lit("\n"), F.lit(" ")).alias("value"), newlines(F.col("text")).alias("breaks"))
 
 
 def numbered(rows: DataFrame, key: list[str], fmt: Callable[[Column, Column], Column] = square) -> DataFrame:
@@ -62,15 +69,24 @@ def propose(pages: DataFrame, key: list[str], fmt: Callable[[Column, Column], Co
 
 def apply(text: Column, substitutions: Column) -> Column:
     """The text with each span replaced; a missing replacement is its placeholder. Overlapping spans are an error."""
-    subs = F.array_sort(substitutions, lambda a, b: F.when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1).otherwise(a["end"] - b["end"]))
 
-    def part(s: Column, i: Column) -> Column:
-        before = F.when(i == 0, F.lit(0)).otherwise(F.get(subs, i - 1)["end"])
-        bad = s["start"] < before
-        return F.when(bad, F.raise_error(F.lit("substitutions overlap")).cast("string")).otherwise(F.concat(piece(text, before, s["start"]), F.coalesce(s["replacement"], s["placeholder"])))
+    def put(subs: Column) -> Column:
+        def part(s: Column, i: Column) -> Column:
+            before = F.when(i == 0, F.lit(0)).otherwise(F.get(subs, i - 1)["end"])
+            bad = s["start"] < before
+            return F.when(bad, F.raise_error(F.lit("substitutions overlap")).cast("string")).otherwise(F.concat(piece(text, before, s["start"]), F.coalesce(s["replacement"], s["placeholder"])))
 
-    tail = F.substr(text, F.coalesce(F.try_element_at(subs, F.lit(-1))["end"], F.lit(0)) + 1, F.length(text))
-    return F.concat(F.array_join(F.transform(subs, part), ""), tail)
+        tail = F.substr(text, F.coalesce(F.try_element_at(subs, F.lit(-1))["end"], F.lit(0)) + 1, F.length(text))
+        return F.concat(F.array_join(F.transform(subs, part), ""), tail)
+
+    ordered = F.array_sort(substitutions, lambda a, b: F.when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1).otherwise(a["end"] - b["end"]))
+    return let(ordered, put)
+
+
+def overlapping(substitutions: Column) -> Column:
+    """How many substitutions begin before the one before them ends: ``apply`` refuses a list with any."""
+    ordered = F.array_sort(F.transform(substitutions, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    return let(ordered, lambda o: F.size(F.filter(F.transform(o, lambda s, i: (i > 0) & (s["start"] < F.get(o, i - 1)["end"])), lambda bad: bad)))
 
 
 def warnings(pages: DataFrame, key: list[str], floor: float = spans.SCORE_FLOOR) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from veilspan.functions import blocks
-from veilspan.functions.text import count_of, fold_turkish, literal_array, strip
+from veilspan.functions.text import count_of, fold_turkish, let, literal_array, strip
 
 #: Fixed values.
 LANGUAGES = {"en>tr": ("English", "Turkish"), "tr>en": ("Turkish", "English")}
@@ -15,6 +15,14 @@ REQUIRED_FIELDS = ("translator_full_name", "ata_member_number", "source_language
 SECTIONS = ("Translated Document", "Certification of Accuracy", "Source Document")
 TURKISH = "ğĞıİşŞ"
 MAGIC = {"25504446": "pdf", "89504E47": "image", "FFD8FF": "image"}
+#: Rules of the prompt for a translator.
+PROMPT_RULES = (
+    "Give Markdown only: # for the title, ## for sections, a blank line between paragraphs, pipe tables.",
+    "Keep tokens like [PERSON_1] as they are; they may move within their sentence.",
+    "Keep numbers of cases, accounts, sections and clauses as they are.",
+    f"Where a table can't be read with certainty, write {blocks.REVIEW_MARKER} on a line of its own and give its text as lines.",
+    "Write [ILLEGIBLE] for what can't be read.",
+)
 #: Share of letters that are Turkish only from which a text is taken for Turkish.
 TURKISH_FROM = 0.005
 
@@ -79,6 +87,48 @@ def blank_fields(values: Column, required: tuple[str, ...] = REQUIRED_FIELDS) ->
     return F.filter(literal_array(required), lambda k: F.coalesce(F.try_element_at(values, k), F.lit("")) == "")
 
 
+def required(values: Column, required_: tuple[str, ...] = REQUIRED_FIELDS) -> Column:
+    """The map of texts, or an error that names the required fields that are blank."""
+    return let(blank_fields(values, required_), lambda b: F.when(F.size(b) > 0, F.raise_error(F.concat(F.lit("blank fields: "), F.array_join(b, ", "))).cast("map<string,string>")).otherwise(values))
+
+
+def page_counts(pages: DataFrame, doc: list[str]) -> DataFrame:
+    """n_pages of each document."""
+    return pages.groupBy(*doc).agg(F.count(F.lit(1)).alias("n_pages"))
+
+
+def pages_at(pages: DataFrame, wanted: DataFrame, doc: list[str]) -> DataFrame:
+    """The pages that ``wanted`` (doc, page_index) names; an index below 0, or not below the number of the document's pages, is an error."""
+    asked = wanted.join(page_counts(pages, doc), doc, "left")
+    n = F.coalesce("n_pages", F.lit(0))
+    inside = (F.col("page_index") >= 0) & (F.col("page_index") < n)
+    wrong = F.raise_error(F.concat(F.lit("page "), F.col("page_index").cast("string"), F.lit(" of "), n.cast("string"))).cast("int")
+    return asked.withColumn("page_index", F.when(inside, F.col("page_index")).otherwise(wrong)).drop("n_pages").join(pages, [*doc, "page_index"])
+
+
+def readable_parts(parts: DataFrame) -> DataFrame:
+    """Parts of a package (label, pages); one that is missing (null pages) or has no pages is an error."""
+    bad = F.col("pages").isNull() | (F.col("pages") < 1)
+    return parts.withColumn("pages", F.when(bad, F.raise_error(F.concat(F.col("label"), F.lit(" can't be read or is empty"))).cast("long")).otherwise(F.col("pages").cast("long")))
+
+
+def package(jobs: DataFrame, doc: list[str]) -> DataFrame:
+    """The parts of each package in order, a row for each: part, label, pages, first_page (from 0), and the values of its certificate.
+
+    jobs: doc, translated_pages, certificate_pages, source_pages, direction, date and profile
+    (a map of texts). The certificate names the languages of the direction and the pages of
+    the approved translation. An unknown direction, a blank value, and a part without pages
+    are errors, so that no package comes out incomplete.
+    """
+    both = languages(F.col("direction"))
+    more = F.create_map(F.lit("source_language"), both["source"], F.lit("target_language"), both["target"], F.lit("page_count"), F.col("translated_pages").cast("string"), F.lit("date"), F.col("date").cast("string"))
+    own = F.map_filter("profile", lambda k, _: ~k.isin("source_language", "target_language", "page_count", "date"))
+    filled = jobs.withColumn("certificate", required(F.map_concat(own, more)))
+    counts = F.array(*[F.col(c).cast("long") for c in ("translated_pages", "certificate_pages", "source_pages")])
+    rows = filled.select(*doc, "certificate", F.posexplode(F.arrays_zip(literal_array(SECTIONS).alias("label"), counts.alias("pages"))).alias("part", "p")).select(*doc, "certificate", "part", "p.label", "p.pages")
+    return bookmarks(readable_parts(rows), doc).select(*doc, "part", "label", "pages", "first_page", F.map_from_entries(F.array_sort(F.map_entries("certificate"))).alias("certificate"))
+
+
 def sniffed(content: Column) -> Column:
     """pdf or image by the leading bytes; an empty or any other content is an error."""
     head = F.hex(F.substring(content, 1, 8))
@@ -109,6 +159,24 @@ def rendered(template: Column, slots: Column) -> Column:
     return F.aggregate(slots, template, lambda a, s: F.replace(a, F.concat(F.lit("{"), s["name"], F.lit("}")), s["token"]))
 
 
+def expected_tokens(template: Column, slots: Column) -> Column:
+    """What a text made from the template must have: each slot's token once for each time that the slot stands in it."""
+    return F.flatten(F.transform(slots, lambda s: F.array_repeat(s["token"], occurrences(template, s["name"]))))
+
+
+def failed_cases(rows: DataFrame, by: list[str], cases: Column) -> DataFrame:
+    """For each format the cases of a list that lost a token, sorted. rows: by, case_id, text, token."""
+    lost = F.collect_set(F.when(~F.contains("text", F.col("token")), F.col("case_id")))
+    return rows.groupBy(*by).agg(lost.alias("lost")).select(*by, F.array_sort(F.array_intersect("lost", cases)).alias("failed"))
+
+
+def prompt(text: Column, direction_: Column) -> Column:
+    """What a translator is asked: the languages of the direction, the rules that the steps after it count on, and the text."""
+    both = languages(direction_)
+    rules = "\n".join(f"- {r}" for r in PROMPT_RULES)
+    return F.concat(F.lit("Translate this legal document from "), both["source"], F.lit(" into "), both["target"], F.lit(f".\n{rules}\n\n"), text)
+
+
 def outcome(text: Column, marker: str, tables: Column) -> Column:
     """hatch if the marker occurs, table if any block is one, else prose."""
     return F.when(F.contains(text, F.lit(marker)), "hatch").when(tables, "table").otherwise("prose")

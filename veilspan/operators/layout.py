@@ -12,6 +12,12 @@ from veilspan.functions.blocks import PAGE_FOOTER
 GAP, TOLERANCE, LEAST_RUN, FOOTER_FROM = 150, 25, 2, 0.92
 SWEEP = tuple(range(60, 421, 20))
 QUANTILES = (50, 75, 90, 95, 98, 99)
+#: Marks a hint, so that one that leaks into a translation is seen; and what each style asks for.
+SENTINEL = "[[TABLE GOES ON]]"
+HINTS = {
+    "full": "Give the whole table: header, separator, then a row for each record.",
+    "headerless": "Give a row for each record, with a pipe at both ends; no header and no separator.",
+}
 
 
 def gaps(words: DataFrame, line: list[str]) -> DataFrame:
@@ -21,7 +27,7 @@ def gaps(words: DataFrame, line: list[str]) -> DataFrame:
 
 
 def bands(gapped: DataFrame, line: list[str], threshold: Column, keep: tuple[str, ...] = ()) -> DataFrame:
-    """For each line, the left edges of its bands in order; a gap wider than the threshold begins one."""
+    """For each line, the left edges of its bands in order; a gap wider than the threshold begins one. ``keep``: columns that a line's words share."""
     begins = F.col("gap").isNull() | (F.col("gap") > threshold)
     return gapped.groupBy(*line).agg(F.array_sort(F.collect_list(F.when(begins, F.col("x")))).alias("bands"), *[F.first(c).alias(c) for c in keep])
 
@@ -75,7 +81,14 @@ def verdicts(pages: DataFrame, doc: list[str], order: str = "page_index") -> Dat
     return p.withColumn("fires", F.coalesce(fires & bands_match(F.col("tail_bands"), F.col("next_head_bands")), F.lit(False)))
 
 
-def sweep(gapped: DataFrame, page: list[str], doc: list[str], thresholds: tuple[int, ...] = SWEEP, keep: tuple[str, ...] = ()) -> DataFrame:
+def line_texts(words: DataFrame, line: list[str]) -> DataFrame:
+    """Adds line_y and line_text, what ``content_lines`` asks of a line, to its words."""
+    over = Window.partitionBy(*line)
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "text")).over(over)), lambda x: x["text"]), " ")
+    return words.withColumn("line_y", F.min("y").over(over)).withColumn("line_text", text)
+
+
+def sweep(gapped: DataFrame, page: list[str], doc: list[str], thresholds: tuple[int, ...] = SWEEP) -> DataFrame:
     """Verdicts for each threshold: the list of thresholds multiplies the lines after they are gathered, not the words."""
     line = [*page, "line_no"]
     words = gapped.groupBy(*line).agg(F.array_sort(F.collect_list(F.struct("x", "gap"))).alias("ws"))
@@ -84,9 +97,14 @@ def sweep(gapped: DataFrame, page: list[str], doc: list[str], thresholds: tuple[
     return verdicts(runs(each.withColumn("bands", b), [*page, "threshold"]), [*doc, "threshold"])
 
 
-def hint(bands_: Column, style: str = "full") -> Column:
-    """The text that tells a translator that a table goes on."""
-    n = F.size(bands_).cast("string")
-    rows = F.concat(F.lit("[[TABLE CONTINUES: "), n, F.lit(" columns; give rows only, no header]]"))
-    full = F.concat(F.lit("[[TABLE CONTINUES: "), n, F.lit(" columns; repeat the header]]"))
-    return full if style == "full" else rows
+def content_lines(rows: DataFrame, height: Column, y: str = "line_y", text: str = "line_text") -> DataFrame:
+    """Lines, or words with what ``line_texts`` adds, that are no footers."""
+    return rows.where(~is_footer(F.col(y), height, F.coalesce(text, F.lit(""))))
+
+
+def hint(header: Column, style: str = "full") -> Column:
+    """What tells a translator that a table goes on: its columns' names, and whether to give the header again (``full``) or rows only (``headerless``), between two lines of SENTINEL. Any other style is an error."""
+    if style not in HINTS:
+        raise ValueError(f"unknown style of hint: {style}")
+    names = F.array_join(F.transform(header, lambda h: F.concat(F.lit('"'), h, F.lit('"'))), " | ")
+    return F.concat(F.lit(f"{SENTINEL}\nThe table of the page before goes on here. Columns: "), names, F.lit(f". {HINTS[style]}\n{SENTINEL}\n\n"))

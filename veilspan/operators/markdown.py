@@ -40,8 +40,12 @@ def with_kinds(blocks: DataFrame, doc: list[str]) -> DataFrame:
     return b.where(~is_blank(F.col("block"))).drop("first_h2", "first_page")
 
 
-def elements(kinds: DataFrame, doc: list[str]) -> DataFrame:
-    """What is written, in order: a row for each paragraph, heading, footer line, flag, and table row (padded or cut to the header's cells)."""
+#: A page of a written document, in twips, and its type.
+PAGE_SETUP = {"width": 12240, "height": 15840, "margin": 1440, "font": "Times New Roman", "points": 11}
+
+
+def elements(kinds: DataFrame, doc: list[str], page_breaks: bool = False) -> DataFrame:
+    """What is written, in order: a row for each paragraph, heading, footer line, flag, and table row (padded or cut to the header's cells). With ``page_breaks``, break_before is set for the first element of each page but a document's first; list items are paragraphs whose numbers are text."""
     body = F.regexp_replace(F.regexp_replace("block", r"^\n+", ""), r"\n+\z", "")
     lines = F.transform(nonblank_lines(body), strip)
     none = F.lit(None).cast("array<string>")
@@ -62,4 +66,9 @@ def elements(kinds: DataFrame, doc: list[str]) -> DataFrame:
         .when(F.col("kind") == "footer", F.transform(lines, lambda x: item("footer", x)))
         .otherwise(F.transform(lines, lambda x: F.when(F.col("in_caption"), item("caption", x)).otherwise(item("body", x))))
     )
-    return kinds.select(*doc, "page_index", "block_idx", F.posexplode(made).alias("item_idx", "item")).select(*doc, "page_index", "block_idx", "item_idx", "item.*")
+    rows = kinds.select(*doc, "page_index", "block_idx", F.posexplode(made).alias("item_idx", "item")).select(*doc, "page_index", "block_idx", "item_idx", "item.*")
+    if not page_breaks:
+        return rows.withColumn("break_before", F.lit(False))
+    place = F.struct("block_idx", "item_idx")
+    first = F.min(place).over(Window.partitionBy(*doc, "page_index")) == place
+    return rows.withColumn("break_before", first & (F.col("page_index") > F.min("page_index").over(Window.partitionBy(*doc))))

@@ -18,6 +18,12 @@ def redaction_boxes(words: DataFrame, entities: DataFrame, page: list[str], floo
     return met.groupBy(*page, "seq").agg(*[F.first(c).alias(c) for c in ("text", "x", "y", "w", "h")], F.array_join(F.array_sort(F.collect_set("entity_type")), ",").alias("entity_types"))
 
 
+def unmatched(words: DataFrame, entities: DataFrame, page: list[str]) -> DataFrame:
+    """Pages that one side lacks, which the join by page leaves out: page and ``missing``, words or entities, a row for each."""
+    a, b = words.select(*page).distinct(), entities.select(*page).distinct()
+    return b.join(a, page, "left_anti").withColumn("missing", F.lit("words")).unionByName(a.join(b, page, "left_anti").withColumn("missing", F.lit("entities")))
+
+
 def with_pads(boxes: DataFrame, width: Column, height: Column, pad: int = 3) -> DataFrame:
     """Adds left, top, right and bottom of the padded boxes."""
     box = spans.padded(F.struct("x", "y", "w", "h"), width, height, pad)

@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veilspan import scratch
 from veilspan.functions import blocks, spans
 from veilspan.functions.text import literal_array
-from veilspan.operators import anonymize, detect, docs, layout, markdown, redact, regions, restore, words
+from veilspan.operators import anonymize, detect, docs, ink, layout, markdown, redact, regions, restore, words
 from veilspan.plans.oracles import ORACLES
+from veilspan.sources import files
 from veilspan.sources import relations as R
 
 PAGE, LINE = R.PAGE, [*R.PAGE, "line_no"]
@@ -173,15 +175,60 @@ def conf_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words.confidence_summary(_words(spark, sf_dir), PAGE)
 
 
+def _detected(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Words with spans, written once, and the entities of their pages."""
+    w = scratch.written(_spans(spark, sf_dir), "words")
+    pages = words.page_text(words.line_rows(w, PAGE), PAGE)
+    return w, pages.select(*PAGE, F.explode_outer(detect.detect(F.col("text"))).alias("e")).where("e is not null").select(*PAGE, "e.entity_type", "e.start", "e.end", "e.score")
+
+
 @query
 def redaction_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = _spans(spark, sf_dir)
-    pages = words.page_text(words.line_rows(w, PAGE), PAGE)
-    found = pages.select(*PAGE, F.explode(detect.detect(F.col("text"))).alias("e")).select(*PAGE, "e.entity_type", "e.start", "e.end", "e.score")
+    w, found = _detected(spark, sf_dir)
     boxes = redact.with_pads(redact.redaction_boxes(w, found, PAGE), F.lit(2550), F.lit(3300))
     return boxes.select(*PAGE, *long("seq"), "text", *[F.col(c).cast("long").alias(f"box_{c}") for c in ("left", "top", "right", "bottom")], "entity_types")
 
 
+@query
+def unmatched_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w, found = _detected(spark, sf_dir)
+    return redact.unmatched(w.where("doc_id % 3 > 0"), found, PAGE)
+
+
+@query
+def page_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = _spans(spark, sf_dir)
+    pages = words.nested_pages(w, words.line_rows(w, PAGE), PAGE)
+    last, line = F.element_at("words", -1), F.element_at("lines", -1)
+    return pages.select(*PAGE, "text", F.size("words").cast("long").alias("n_words"), F.size("lines").cast("long").alias("n_lines"), last["text"].alias("last_word"), last["char_span"]["end"].alias("last_end"), line["line_id"].alias("last_line"), line["box"]["y"].cast("long").alias("last_y"))
+
+
+@query
+def raster_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The guard passes where sizes are equal or not known."""
+    known = F.when(F.col("doc_id") % 3 > 0, F.struct((2550 + F.col("doc_id") % 2).alias("width"), F.lit(3300).alias("height")))
+    return R.table(spark, sf_dir, "documents").select("doc_id", redact.same_raster(2550 + F.col("doc_id") % 2, F.lit(3300), known).alias("same"))
+
+
+@query
+def pages_in_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first and the last page of each document."""
+    pages = scratch.written(R.page_texts(spark, sf_dir), "pages")
+    counts = docs.page_counts(pages, ["doc_id"])
+    wanted = counts.select("doc_id", F.explode(F.array_distinct(F.array(F.lit(0), (F.col("n_pages") - 1).cast("int")))).alias("page_index"))
+    return docs.pages_at(pages, wanted, ["doc_id"]).select(*PAGE, "text")
+
+
+@query
+def page_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return docs.page_counts(R.page_texts(spark, sf_dir), ["doc_id"])
+
+
+@query
+def ink_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ink.ink_regions(R.page_images(spark, sf_dir)).select("path", "page_index", "x", "y", "w", "h")
+
+
 def _regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     y = 40 * F.col("line_no")
 
@@ -204,6 +251,20 @@ def regions_unaccounted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return regions.unaccounted(_regions(spark, sf_dir), _words(spark, sf_dir), PAGE)
 
 
+@query
+def region_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    top = (1470 + 10 * F.col("line_no") + F.col("doc_id") % 20).cast("int")
+    truth = R.page_lines(spark, sf_dir).select(*PAGE, "line_no", F.lit(5).alias("left"), top.alias("top"), F.lit(10).alias("right"), (top + 5).alias("bottom"))
+    return regions.scored(_regions(spark, sf_dir), truth, PAGE).select(*PAGE, *long("line_no"), "detected")
+
+
+@query
+def point_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x, y = [(F.col(c) % 600).cast("double") / 2 for c in ("l_partkey", "l_suppkey")]
+    b = spans.box_of_points(x, y, x + 4.5, y + 9, F.lit(792.0))
+    return R.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", b.alias("b")).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "b.left", "b.top", "b.right", "b.bottom").withColumnsRenamed({c: f"box_{c}" for c in ("left", "top", "right", "bottom")})
+
+
 def _gapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.gaps(_words(spark, sf_dir), LINE)
 
@@ -223,15 +284,29 @@ def largest_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.largest_gaps(_gapped(spark, sf_dir)).select("gap", *PAGE, "text")
 
 
+def _content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of lines that are no footers. Every fifth document's height isn't known."""
+    height = F.when(F.col("doc_id") % 5 == 0, 0).otherwise(R.HEIGHT)
+    return layout.content_lines(layout.line_texts(_gapped(spark, sf_dir), LINE), height)
+
+
+@query
+def footer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = words.line_rows(_words(spark, sf_dir), PAGE)
+    said = F.when(F.col("doc_id") % 7 == 3, F.concat("text", F.lit(" page 4 - x"))).otherwise(F.col("text"))
+    height = F.when(F.col("doc_id") % 5 == 0, 0).otherwise(R.HEIGHT)
+    return lines.where(layout.is_footer(F.col("y"), height, said)).select(*PAGE, "line_id")
+
+
 @query
 def continuation_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = layout.bands(_gapped(spark, sf_dir), LINE, F.lit(layout.GAP))
+    lines = layout.bands(_content(spark, sf_dir), LINE, F.lit(layout.GAP))
     return layout.verdicts(layout.runs(lines, PAGE), ["doc_id"]).select(*PAGE, "next_page_index", "tail_lines", "next_head_lines", "fires")
 
 
 @query
 def threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = layout.sweep(_gapped(spark, sf_dir), PAGE, ["doc_id"])
+    v = layout.sweep(_content(spark, sf_dir), PAGE, ["doc_id"])
     return v.groupBy("threshold").agg(F.count(F.lit(1)).alias("boundaries"), F.count_if("fires").alias("firing"))
 
 
@@ -325,4 +400,105 @@ def table_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select(*PAGE, "s.n_rows", "s.n_separators", F.array_join("s.col_counts", ",").alias("col_counts"), "s.hatch_fired", "s.hint_leaked")
 
 
+@query
+def md_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = markdown.elements(_blocks(spark, sf_dir), ["doc_id"], page_breaks=True)
+    return rows.select(*PAGE, "block_idx", "style", F.coalesce("text", F.array_join("cells", "/")).alias("said"), "break_before")
+
+
+@query
+def continuation_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = _blocks(spark, sf_dir).where("kind = 'table'")
+    return tables.select(*PAGE, "block_idx", *[layout.hint(F.col("rows.header"), style).alias(style) for style in layout.HINTS])
+
+
+@query
+def translation_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    direction = F.when(F.col("doc_id") % 2 == 0, "tr>en").otherwise("en>tr")
+    return R.markdown_pages(spark, sf_dir).select(*PAGE, F.sha2(docs.prompt(F.col("text"), direction), 256).alias("prompt_sha256"))
+
+
+@query
+def direction_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = docs.languages(F.when(F.col("doc_id") % 3 == 0, "tr>en").otherwise("en>tr"))
+    return R.table(spark, sf_dir, "documents").select("doc_id", both["source"].alias("source_language"), both["target"].alias("target_language"))
+
+
+@query
+def blank_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = F.expr(f"map({', '.join(f'{k!r}, {v}' for k, v in R.PROFILE)})")
+    return R.table(spark, sf_dir, "customer").select("c_custkey", F.array_join(docs.blank_fields(values), ",").alias("blank"))
+
+
+@query
+def labelled_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("o_orderkey").cast("string")
+    sources = F.array(*[F.concat(F.lit(f"{x}-"), key) for x in "abc"])
+    labels = F.when(F.col("o_orderkey") % 2 == 0, F.array(*[F.concat(F.lit(f"L{x} "), key) for x in "abc"]))
+    return R.table(spark, sf_dir, "orders").select("o_orderkey", F.posexplode(docs.labelled_parts(sources, labels)).alias("part", "p")).select("o_orderkey", "part", "p.source", "p.label")
+
+
+@query
+def package_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    profile = F.create_map(F.lit("translator_full_name"), F.concat(F.lit("T"), (k % 9).cast("string")), F.lit("ata_member_number"), F.lit("7"), F.lit("state_name"), F.lit("S"), F.lit("city"), F.lit("C"))
+    jobs = R.table(spark, sf_dir, "orders").select(k.alias("doc_id"), (1 + k % 6).alias("translated_pages"), F.lit(1).alias("certificate_pages"), (1 + k % 4).alias("source_pages"), F.when(k % 2 == 0, "tr>en").otherwise("en>tr").alias("direction"), F.lit("2024-05-06").alias("date"), profile.alias("profile"))
+    said = F.array_join(F.transform(F.map_entries("certificate"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
+    return docs.package(jobs, ["doc_id"]).withColumn("certificate", said)
+
+
+@query
+def overlap_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.span_pages(spark, sf_dir).select("doc_id", anonymize.overlapping(F.col("entities")).cast("long").alias("n_overlaps"))
+
+
+@query
+def warning_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = anonymize.warnings(R.decrees(spark, sf_dir), PAGE)
+    return rows.select("doc_id", "kind", F.col("pos").cast("long").alias("pos"), F.get_json_object("warning", "$.entity_type").alias("entity_type"))
+
+
+@query
+def placeholder_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _numbered(spark, sf_dir)
+    return rows.select("doc_id", F.col("start").alias("span_start"), *[f(F.col("entity_type"), F.col("number")).alias(name) for name, f in anonymize.FORMATS.items()])
+
+
+@query
+def expected_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    template = F.concat(F.repeat(F.lit("{p1} met {p2}. "), (1 + k % 3).cast("int")), F.lit("{p2} left."))
+    slots = F.array(*[F.struct(F.lit(f"p{i}").alias("name"), F.concat(F.lit(f"[PERSON_{i}"), (k % 5).cast("string"), F.lit("]")).alias("token")) for i in (1, 2)])
+    return R.table(spark, sf_dir, "orders").select("o_orderkey", docs.rendered(template, slots).alias("said"), F.array_join(docs.expected_tokens(template, slots), ",").alias("expected"))
+
+
+@query
+def newline_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A translator that loses a token of each 7th document; the cases that are watched are three of ten."""
+    r = _numbered(spark, sf_dir)
+    said = F.when(F.col("doc_id") % 7 > 0, F.concat(F.lit("x "), "placeholder")).otherwise("x")
+    rows = r.select("entity_type", (F.col("doc_id") % 10).cast("string").alias("case_id"), said.alias("text"), F.col("placeholder").alias("token"))
+    return docs.failed_cases(rows, ["entity_type"], literal_array(["1", "3", "8", "none"])).select("entity_type", F.array_join("failed", ",").alias("failed"))
+
+
+@query
+def retry_delays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    message = F.when(k % 3 == 0, F.concat(F.lit("busy; Retry in "), (k % 90).cast("string"), F.lit(".5s, please"))).when(k % 3 == 1, F.lit("retry in a while")).otherwise(F.lit(""))
+    return R.table(spark, sf_dir, "orders").select("o_orderkey", docs.retry_seconds(message).alias("seconds"))
+
+
+@query
+def payload_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sent = F.to_json(F.struct("doc_id", "page_index", F.split("text", " ").alias("words"), F.lit(1).alias("more")))
+    got = files.payload(sent, "doc_id BIGINT, page_index INT, words ARRAY<STRING>", ("doc_id", "page_index", "words"))
+    return R.page_texts(spark, sf_dir).select(got.alias("p")).select("p.doc_id", "p.page_index", F.size("p.words").cast("long").alias("n_words"), F.array_join("p.words", " ").alias("text"))
+
+
+@query
+def sniffed_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    magic = F.element_at(literal_array(["255044462D", "89504E470D0A", "FFD8FFE0"]), (F.col("doc_id") % 3 + 1).cast("int"))
+    return R.table(spark, sf_dir, "documents").select("doc_id", docs.sniffed(F.unhex(F.concat(magic, F.hex(F.coalesce("text", F.lit("")))))).alias("format"))
+
+
 __all__ = ["ORACLES", "QUERIES"]

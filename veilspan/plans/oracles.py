@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from veilspan.functions.boundary import LEADING, TRAILING
+from veilspan.operators.docs import PROMPT_RULES, REQUIRED_FIELDS
+from veilspan.operators.layout import HINTS, SENTINEL
 from veilspan.sources import relations as R
 
 _SPANS = "ents AS (SELECT " + ", ".join(f"{x} AS {n}" for n, x in R.SPAN_COLUMNS.items()) + " FROM lineitem)"
@@ -117,6 +119,13 @@ pagetext AS (SELECT doc_id, page_index, string_agg(text, chr(10) ORDER BY line_s
 _GAPS = _RAW + ",\ngapped AS (SELECT *, x - lag(x + w) OVER (PARTITION BY doc_id, page_index, line_no ORDER BY x, seq) AS gap FROM words)"
 
 
+_LINE_KEY = "doc_id, page_index, line_no"
+_NO_FOOTER = rf"""NOT ((CASE WHEN doc_id % 5 = 0 THEN 0 ELSE {R.HEIGHT} END <> 0 AND line_y > 0.92::DOUBLE * CASE WHEN doc_id % 5 = 0 THEN 0 ELSE {R.HEIGHT} END) OR regexp_matches(line_text, '(?i)(Page\s+\d+\s*[—-]|Sayfa\s+\d+\s*[—-]|FABRICATED DOCUMENT|YAZILIM TEST)'))"""
+_CONTENT = _GAPS.replace("gapped AS", "all_gapped AS") + f""",
+whole AS (SELECT {_LINE_KEY}, min(y) AS line_y, string_agg(text, ' ' ORDER BY seq) AS line_text FROM words GROUP BY ALL),
+gapped AS (SELECT all_gapped.* FROM all_gapped JOIN whole USING ({_LINE_KEY}) WHERE {_NO_FOOTER})"""
+
+
 def _runs(threshold: str, extra: str = "") -> str:
     """CTEs from gapped words to verdicts, for a threshold or a column of thresholds."""
     key = f"doc_id, page_index{extra}"
@@ -233,9 +242,9 @@ FROM r WHERE ev = 'drop' AND (ls < cs OR le > ce)""",
         "SELECT doc_id, page_index, len(g) AS n, " + ", ".join(f"g[CAST(floor(len(g) * {q} / 100.0) AS INT) + 1] AS p{q}" for q in (50, 75, 90, 95, 98, 99)) + " FROM (SELECT doc_id, page_index, list(gap ORDER BY gap) AS g FROM gapped WHERE gap IS NOT NULL GROUP BY ALL)",
     ),
     "largest_gaps": with_(_GAPS, "SELECT gap, doc_id, page_index, text FROM gapped WHERE gap IS NOT NULL ORDER BY gap DESC, doc_id DESC, page_index DESC, text DESC, seq DESC LIMIT 15"),
-    "continuation_verdict": with_(_GAPS + _runs("150"), "SELECT doc_id, page_index, next_page AS next_page_index, tail_lines, next_lines AS next_head_lines, coalesce(fires, false) AS fires FROM verdict"),
+    "continuation_verdict": with_(_CONTENT + _runs("150"), "SELECT doc_id, page_index, next_page AS next_page_index, tail_lines, next_lines AS next_head_lines, coalesce(fires, false) AS fires FROM verdict"),
     "threshold_sweep": with_(
-        _GAPS.replace("gapped AS", "gapped0 AS") + ", gapped AS (SELECT gapped0.*, t AS threshold FROM gapped0, (SELECT unnest(generate_series(60, 420, 20)) AS t))" + _runs("threshold", ", threshold"),
+        _CONTENT.replace("\ngapped AS", "\ngapped0 AS") + ", gapped AS (SELECT gapped0.*, t AS threshold FROM gapped0, (SELECT unnest(generate_series(60, 420, 20)) AS t))" + _runs("threshold", ", threshold"),
         "SELECT threshold, count(*) AS boundaries, count(*) FILTER (coalesce(fires, false)) AS firing FROM verdict GROUP BY threshold",
     ),
     "md_block_kinds": with_(_BLOCKS, "SELECT doc_id, page_index, block_idx, kind FROM kinds"),
@@ -278,4 +287,56 @@ SELECT fold, term, translation, verified FROM f WHERE verified UNION ALL SELECT
     ),
     "regions_accounted": with_(_RAW + _REGIONS, f"SELECT doc_id, page_index, x, y, w, h FROM regions r WHERE EXISTS ({_INSIDE})"),
     "regions_unaccounted": with_(_RAW + _REGIONS, f"SELECT doc_id, page_index, x, y, w, h FROM regions r WHERE NOT EXISTS ({_INSIDE})"),
+    "region_scores": with_(_RAW + _REGIONS + ", truth AS (SELECT doc_id, page_index, line_no, 1470 + 10 * line_no + doc_id % 20 AS top FROM lines)", "SELECT doc_id, page_index, line_no, EXISTS (SELECT 1 FROM regions r WHERE r.doc_id = truth.doc_id AND r.page_index = truth.page_index AND r.x < 10 AND 5 < r.x + r.w AND r.y < top + 5 AND top < r.y + r.h) AS detected FROM truth"),
+    "point_boxes": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, " + ", ".join(f"CAST(round_even({v} * 200 / 72.0::DOUBLE, 0) AS INT) AS box_{n}" for n, v in (("left", "x"), ("top", "(792.0::DOUBLE - (y + 9))"), ("right", "(x + 4.5::DOUBLE)"), ("bottom", "(792.0::DOUBLE - y)"))) + " FROM (SELECT *, (l_partkey % 600)::DOUBLE / 2 AS x, (l_suppkey % 600)::DOUBLE / 2 AS y FROM lineitem)",
+    "unmatched_pages": with_(
+        _CHARS + ",\n" + found("pagetext", key="doc_id, page_index") + ", a AS (SELECT DISTINCT doc_id, page_index FROM spans WHERE doc_id % 3 > 0), b AS (SELECT DISTINCT doc_id, page_index FROM hits)",
+        "(SELECT *, 'words' AS missing FROM b WHERE (doc_id, page_index) NOT IN (SELECT (doc_id, page_index) FROM a)) UNION ALL (SELECT *, 'entities' FROM a WHERE (doc_id, page_index) NOT IN (SELECT (doc_id, page_index) FROM b))",
+    ),
+    "page_envelopes": with_(
+        _CHARS,
+        "SELECT doc_id, page_index, any_value(pagetext.text) AS text, count(*) AS n_words, count(DISTINCT line_id) AS n_lines, arg_max(spans.text, e) AS last_word, max(e) AS last_end, arg_max(line_id, e) AS last_line, arg_max(y, e) AS last_y FROM spans JOIN pagetext USING (doc_id, page_index) GROUP BY doc_id, page_index",
+    ),
+    "raster_parity": "SELECT doc_id, TRUE AS same FROM documents",
+    "page_counts": with_(_LINES, "SELECT doc_id, count(DISTINCT page_index) AS n_pages FROM lines GROUP BY doc_id"),
+    "pages_in_bounds": with_(
+        _LINES + ", p AS (SELECT doc_id, page_index, string_agg(text, chr(10) ORDER BY line_no) AS text FROM lines GROUP BY ALL)",
+        "SELECT doc_id, page_index, text FROM (SELECT *, max(page_index) OVER (PARTITION BY doc_id) AS top FROM p) WHERE page_index IN (0, top)",
+    ),
+    "payload_roundtrip": with_(_LINES, "SELECT doc_id, page_index, len(string_split(text, ' ')) AS n_words, text FROM (SELECT doc_id, page_index, string_agg(text, chr(10) ORDER BY line_no) AS text FROM lines GROUP BY ALL)"),
+    "footer_lines": with_(_CHARS, "SELECT doc_id, page_index, line_id FROM (SELECT doc_id, page_index, line_id, y AS line_y, text || CASE WHEN doc_id % 7 = 3 THEN ' page 4 - x' ELSE '' END AS line_text FROM linerows) WHERE NOT (" + _NO_FOOTER + ")"),
+    "ink_regions": """WITH bars AS (SELECT doc_id, unnest([""" + ", ".join(f"{{'k': {k}, 'x': {x}, 'y': {y}, 'w': {w}, 'h': {h}}}" for k, (x, y, w, h) in enumerate(R.IMAGE_BARS)) + f"""]) AS b FROM documents),
+wide AS (SELECT doc_id, b.k AS k, greatest(b.x - 14, 0) AS x0, greatest(b.y - 8, 0) AS y0, least(b.x + b.w + 14, {R.IMAGE[0]}) AS x1, least(b.y + b.h + 8, {R.IMAGE[1]}) AS y1 FROM bars),
+met AS (SELECT doc_id, min(x0) AS x, min(y0) AS y, max(x1) - min(x0) AS w, max(y1) - min(y0) AS h FROM wide GROUP BY doc_id, CASE WHEN k = 3 AND doc_id % 4 <> 0 THEN 2 ELSE k END)
+SELECT CAST(doc_id AS VARCHAR) AS path, 0 AS page_index, x, y, w, h FROM met WHERE w * h BETWEEN 400 AND 0.45 * {R.IMAGE[0] * R.IMAGE[1]}""",
+    "md_elements": with_(
+        _BLOCKS
+        + """, item AS (SELECT *, CASE kind WHEN 'review' THEN CASE WHEN i = 1 THEN 'flag' ELSE 'body' END WHEN 'table' THEN CASE WHEN i = 0 THEN 'flag' WHEN i = 1 THEN 'header_row' ELSE 'row' END WHEN 'paragraph' THEN CASE WHEN page_index = first_page AND block_idx < h2 THEN 'caption' ELSE 'body' END ELSE kind END AS style
+  FROM (SELECT *, unnest(generate_series(CASE WHEN kind = 'table' AND list_contains(list_transform(widths[3:], lambda w: w <> widths[1]), true) THEN 0 ELSE 1 END, len(ls))) AS i, min(page_index) OVER (PARTITION BY doc_id) AS first_page, min(CASE WHEN kind = 'h2' OR starts_with(ls[1], '## ') THEN block_idx END) OVER (PARTITION BY doc_id, page_index) AS h2 FROM kinds) WHERE NOT (kind = 'table' AND i = 2))""",
+        """SELECT doc_id, page_index, block_idx, style, CASE WHEN kind = 'table' AND i = 0 THEN '[TABLE ROWS UNEVEN — auto-aligned, REVIEW cell placement]' WHEN kind = 'table' THEN array_to_string(list_transform(list_resize(string_split(ls[i], '|')[2:-2], widths[1], ''), lambda c: trim(c)), '/') WHEN kind = 'h1' THEN trim(ls[i][3:]) WHEN kind = 'h2' THEN trim(ls[i][4:]) ELSE trim(ls[i]) END AS said,
+  page_index > first_page AND row_number() OVER (PARTITION BY doc_id, page_index ORDER BY block_idx, i) = 1 AS break_before FROM item""",
+    ),
+    "continuation_hints": with_(
+        _BLOCKS,
+        "SELECT doc_id, page_index, block_idx, " + ", ".join(f"'{SENTINEL}' || chr(10) || 'The table of the page before goes on here. Columns: \"Item\" | \"Supplier\". {said}' || chr(10) || '{SENTINEL}' || chr(10) || chr(10) AS {style}" for style, said in HINTS.items()) + " FROM kinds WHERE kind = 'table'",
+    ),
+    "translation_prompts": with_(
+        _MD,
+        "SELECT doc_id, page_index, sha256('Translate this legal document from ' || CASE WHEN doc_id % 2 = 0 THEN 'Turkish into English.' ELSE 'English into Turkish.' END || chr(10) || " + " || chr(10) || ".join("'- " + r.replace("'", "''") + "'" for r in PROMPT_RULES) + " || chr(10) || chr(10) || text) AS prompt_sha256 FROM md",
+    ),
+    "direction_languages": "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'Turkish' ELSE 'English' END AS source_language, CASE WHEN doc_id % 3 = 0 THEN 'English' ELSE 'Turkish' END AS target_language FROM documents",
+    "blank_fields": "SELECT c_custkey, concat_ws(',', " + ", ".join(f"CASE WHEN coalesce({dict(R.PROFILE).get(k, 'NULL')}, '') = '' THEN '{k}' END" for k in REQUIRED_FIELDS) + ") AS blank FROM customer",
+    "labelled_sources": "SELECT o_orderkey, CAST(part AS INT) AS part, substr('abc', part + 1, 1) || '-' || o_orderkey AS source, CASE WHEN o_orderkey % 2 = 0 THEN 'L' || substr('abc', part + 1, 1) || ' ' || o_orderkey ELSE ['Translated Document', 'Certification of Accuracy', 'Source Document'][part + 1] END AS label FROM orders, (SELECT unnest([0, 1, 2]) AS part)",
+    "package_manifest": """SELECT o_orderkey AS doc_id, part, ['Translated Document', 'Certification of Accuracy', 'Source Document'][part + 1] AS label, [1 + o_orderkey % 6, 1, 1 + o_orderkey % 4][part + 1] AS pages, [0, 1 + o_orderkey % 6, 2 + o_orderkey % 6][part + 1] AS first_page,
+  'ata_member_number=7;city=C;date=2024-05-06;page_count=' || (1 + o_orderkey % 6) || ';source_language=' || CASE WHEN o_orderkey % 2 = 0 THEN 'Turkish;state_name=S;target_language=English' ELSE 'English;state_name=S;target_language=Turkish' END || ';translator_full_name=T' || o_orderkey % 9 AS certificate FROM orders, (SELECT unnest([0, 1, 2]) AS part)""",
+    "overlap_guard": f"WITH {_SPANS} SELECT doc_id, count(*) FILTER (s < before) AS n_overlaps FROM (SELECT *, lag(e) OVER (PARTITION BY doc_id ORDER BY s, e) AS before FROM ents) GROUP BY doc_id",
+    "warning_list": with_(
+        _NORM,
+        r"""SELECT doc_id, 'boundary_normalization' AS kind, row_number() OVER (PARTITION BY doc_id ORDER BY ns, ne) - 1 AS pos, entity_type FROM val WHERE (s > 0 AND regexp_matches(substring(text, s, 2), '^[\pL\pN][\pL\pN]$')) OR (e > 0 AND regexp_matches(substring(text, e, 2), '^[\pL\pN][\pL\pN]$')) OR v1 <> v0 OR v1 = '' OR v3 = '' OR v2 <> v1 OR v3 <> v2 OR contains(cutout, chr(10))""",
+    ),
+    "placeholder_formats": with_(_NORM, "SELECT doc_id, ns AS span_start, '[' || t || ']' AS square, '⟦' || t || '⟧' AS double_bracket, '<<' || t || '>>' AS angle, 'XPIIX_' || t AS opaque FROM (SELECT *, entity_type || '_' || number AS t FROM subs)"),
+    "expected_tokens": "SELECT o_orderkey, repeat(a || ' met ' || b || '. ', 1 + k) || b || ' left.' AS said, a || repeat(',' || a, k) || repeat(',' || b, 2 + k) AS expected FROM (SELECT o_orderkey, CAST(o_orderkey % 3 AS INT) AS k, '[PERSON_1' || o_orderkey % 5 || ']' AS a, '[PERSON_2' || o_orderkey % 5 || ']' AS b FROM orders)",
+    "newline_failures": with_(_NORM, "SELECT entity_type, coalesce(string_agg(DISTINCT doc_id % 10, ',' ORDER BY doc_id % 10) FILTER (doc_id % 7 = 0 AND doc_id % 10 IN (1, 3, 8)), '') AS failed FROM subs GROUP BY entity_type"),
+    "retry_delays": "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN (o_orderkey % 90)::DOUBLE + 0.5 END AS seconds FROM orders",
+    "sniffed_formats": "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'pdf' ELSE 'image' END AS format FROM documents",
 }

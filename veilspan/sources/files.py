@@ -16,11 +16,12 @@ def documents(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 
 
 def pages_json(spark: SparkSession, path: str) -> DataFrame:
-    """Recognised pages of saved envelopes, an object or a list with one, a row for each page: doc_id (the file), page_index (its place where it is missing) and the page's fields. A page without words is an error."""
+    """Recognised pages of saved envelopes, an object or a list with one, a row for each page, a document's in order: doc_id (the file), page_index (its place where it is missing) and the page's fields. A page without words is an error."""
     raw = spark.read.schema(schema.ENVELOPE).option("multiLine", True).option("mode", "FAILFAST").json(path)
     rows = raw.select(F.input_file_name().alias("doc_id"), F.posexplode("pages").alias("pos", "p"))
     checked = F.when(F.size("p.words") > 0, F.col("p.words")).otherwise(F.raise_error(F.lit("page without words")).cast(T.ArrayType(schema.WORD)))
-    return rows.select("doc_id", F.coalesce("p.page_index", "pos").alias("page_index"), "p.image_dimensions", "p.text", "p.lines", checked.alias("words"))
+    pages = rows.select("doc_id", F.coalesce("p.page_index", "pos").alias("page_index"), "p.image_dimensions", "p.text", "p.lines", checked.alias("words"))
+    return pages.sortWithinPartitions("doc_id", "page_index")
 
 
 def payload(text: Column, ddl: str, required: tuple[str, ...]) -> Column:

@@ -6,6 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PAGE = ["doc_id", "page_index"]
+#: A page height that makes its tenth line a footer.
+HEIGHT = 700
+#: Fields of a certificate, from customer; SQL that Spark and DuckDB read alike.
+PROFILE = (
+    ("translator_full_name", "c_name"),
+    ("ata_member_number", "CASE WHEN c_custkey % 3 = 0 THEN '' ELSE '12' END"),
+    ("source_language", "'English'"),
+    ("target_language", "CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE 'Turkish' END"),
+    ("page_count", "'0'"),
+    ("date", "CASE WHEN c_custkey % 5 = 0 THEN '' ELSE '2024' END"),
+    ("state_name", "' '"),
+)
 LINES_ON_PAGE = 10
 
 #: SQL that Spark and DuckDB read alike: spans with long chains of overlaps.
@@ -18,13 +30,13 @@ SPAN_COLUMNS = {
 }
 #: A court record for each order. The later columns use the earlier ones.
 DECREE_COLUMNS = (
-    ("name", "'Riley' || chr(10) || 'Q. N' || CAST(o_custkey % 7 AS STRING)"),
-    ("flat", "'Riley Q. N' || CAST(o_custkey % 7 AS STRING)"),
+    ("name", "'Ilgin' || chr(10) || 'Q. N' || CAST(o_custkey % 7 AS STRING)"),
+    ("flat", "'Ilgin Q. N' || CAST(o_custkey % 7 AS STRING)"),
     ("dt", "'On or about January ' || CAST(1 + o_orderkey % 28 AS STRING) || ', 2024 through'"),
     ("alpha", "lpad(CAST(o_orderkey % 9973 AS STRING), 4, '0') || '-CV-' || lpad(CAST(o_custkey AS STRING), 6, '0')"),
     ("numeric_no", "'24-' || lpad(CAST(o_custkey % 10000 AS STRING), 4, '0') || '-' || lpad(CAST(o_orderkey % 100000 AS STRING), 5, '0')"),
     ("label", "CASE o_orderkey % 3 WHEN 0 THEN 'docket' WHEN 1 THEN 'Esas No' ELSE 'sheet' END"),
-    ("body", "'In ' || alpha || ' and ' || label || ' ' || numeric_no || ', ' || name || ' appeared  ' || dt || ' Sunday; later ' || flat || ' met Millbrook and left at about.'"),
+    ("body", "'In ' || alpha || ' and ' || label || ' ' || numeric_no || ', ' || name || ' appeared  ' || dt || ' Sunday; later ' || flat || ' met Ostrava and left at about.'"),
 )
 #: (entity_type, start, length, score, condition) of the record's spans.
 DECREE_SPANS = (
@@ -32,7 +44,7 @@ DECREE_SPANS = (
     ("'PERSON'", "instr(body, '; later ') + 7 - CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END", "length(flat) + CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END", "0.9", "TRUE"),
     ("'DATE_TIME'", "instr(body, dt) - 1", "length(dt)", "0.6", "TRUE"),
     ("'DATE_TIME'", "instr(body, 'left at about') + 7", "5", "0.5", "TRUE"),
-    ("'PERSON'", "instr(body, 'Millbrook') - 1", "4", "0.4", "o_orderkey % 5 = 0"),
+    ("'PERSON'", "instr(body, 'Ostrava') - 1", "4", "0.4", "o_orderkey % 5 = 0"),
     ("'LOCATION'", "instr(body, 'appeared  ') + 8", "1", "0.3", "o_orderkey % 4 = 0"),
     ("'ORG'", "instr(body, ' Sunday') - 1", "7", "0.2", "TRUE"),
 )
@@ -81,6 +93,40 @@ def raw_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Width and height of the made images; the bars on them: x, y, w and h, in SQL that Spark and DuckDB read alike.
+IMAGE = (200, 120)
+IMAGE_BARS = (
+    ("20", "20", "1 + doc_id % 40", "1 + doc_id % 7"),
+    ("150 + doc_id % 3", "15", "1 + doc_id % 5", "1 + doc_id % 30"),
+    ("60", "90", "2", "2"),
+    ("CASE WHEN doc_id % 4 = 0 THEN 130 ELSE 80 END", "92", "4 + doc_id % 60", "5"),
+    ("199", "0", "1", "1"),
+)
+
+
+def page_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """path, page_index, image, width, height: gray pages of documents with bars of ink."""
+    import numpy as np
+    import pyarrow as pa
+
+    width, height = IMAGE
+    cells = [F.expr(f"CAST({x} AS INT)") for bar in IMAGE_BARS for x in bar]
+    df = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), F.array(*cells).alias("bars"))
+
+    def run(batches):
+        for batch in batches:
+            images = []
+            for bars in batch.column("bars").to_pylist():
+                page = np.full((height, width), 0xF0, np.uint8)
+                for x, y, w, h in zip(bars[0::4], bars[1::4], bars[2::4], bars[3::4], strict=True):
+                    page[y : y + h, x : x + w] = 0x10
+                images.append(page.tobytes())
+            n = batch.num_rows
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array([0] * n, pa.int32()), pa.array(images, pa.binary()), pa.array([width] * n, pa.int32()), pa.array([height] * n, pa.int32())], ["path", "page_index", "image", "width", "height"])
+
+    return df.mapInArrow(run, "path string, page_index int, image binary, width int, height int")
+
+
 def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, page_index, text of whole pages."""
     lines = page_lines(spark, sf_dir)

@@ -1,4 +1,4 @@
-"""Streams of pages: the same column functions, and documents that are emitted once complete."""
+"""Streams of pages: the same column functions, documents that are emitted once complete, drafts that wait for approval."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from veilspan.operators import anonymize, detect
+from veilspan.operators import detect
 
 
 def anonymized(stream: DataFrame, recognizers: tuple = detect.DEFAULT) -> DataFrame:
@@ -28,27 +28,47 @@ def paired(left: DataFrame, right: DataFrame, key: list[str], time: str, delay:
 
 
 def complete_documents(pages: DataFrame) -> DataFrame:
-    """A document's texts, once as many pages as page_count have come: doc_id, page_count, pages (JSON of page_index and text, in order). A page that comes again replaces itself. There is no timeout: an incomplete document waits."""
+    """A document's text, once as many pages as page_count have come: doc_id, page_count, text (its pages in order, with form feeds between them).
+
+    A page that comes again replaces itself; of several page_counts the largest counts. There
+    is no timeout: an incomplete document waits. What comes after a document was given out
+    begins it anew.
+    """
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        seen: dict[int, str] = dict(zip(*state.get, strict=True)) if state.exists else {}
-        want = 0
+        idx, texts, want = state.get if state.exists else ([], [], 0)
+        seen: dict[int, str] = dict(zip(idx, texts, strict=True))
         for pdf in batches:
-            want = int(pdf["page_count"].max())
+            want = max(want, int(pdf["page_count"].max()))
             seen.update(zip(pdf["page_index"].tolist(), pdf["text"].tolist(), strict=True))
         if len(seen) >= want:
             state.remove()
-            order = sorted(seen)
-            yield pd.DataFrame({"doc_id": [key[0]], "page_count": [want], "text": ["\f".join(seen[i] for i in order)]})
+            yield pd.DataFrame({"doc_id": [key[0]], "page_count": [want], "text": ["\f".join(seen[i] for i in sorted(seen))]})
         else:
-            state.update((list(seen), list(seen.values())))
+            state.update((list(seen), list(seen.values()), want))
 
-    return pages.groupBy("doc_id").applyInPandasWithState(run, "doc_id string, page_count int, text string", "idx array<int>, texts array<string>", "append", GroupStateTimeout.NoTimeout)
+    return pages.groupBy("doc_id").applyInPandasWithState(run, "doc_id string, page_count int, text string", "idx array<int>, texts array<string>, want int", "append", GroupStateTimeout.NoTimeout)
 
 
 def approved(drafts: DataFrame, approvals: DataFrame) -> DataFrame:
-    """Drafts of a stream that a table of approvals names; there is no default."""
-    return drafts.join(approvals.where("approved").select("doc_id"), "doc_id", "left_semi")
+    """Drafts of a stream whose document a stream of approvals (doc_id, approved) approves, before or after they come.
 
+    A draft waits in the state until then, with no timeout and no default; what isn't an
+    approval changes nothing. Once a document is approved, later drafts of it go on at once.
+    """
+    schema = drafts.schema
+    waiting = drafts.select(F.col("doc_id").cast("string").alias("key"), F.to_json(F.struct(*drafts.columns), {"ignoreNullFields": "false"}).alias("draft"))
+    said = approvals.where("approved").select(F.col("doc_id").cast("string").alias("key"), F.lit(None).cast("string").alias("draft"))
 
-__all__ = ["anonymize", "anonymized", "approved", "complete_documents", "paired"]
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        ok, held = state.get if state.exists else (False, [])
+        held = list(held)
+        for pdf in batches:
+            ok = ok or bool(pdf["draft"].isna().any())
+            held += pdf["draft"].dropna().tolist()
+        state.update((ok, [] if ok else held))
+        if ok and held:
+            yield pd.DataFrame({"draft": held})
+
+    out = waiting.union(said).groupBy("key").applyInPandasWithState(run, "draft string", "ok boolean, held array<string>", "append", GroupStateTimeout.NoTimeout)
+    return out.select(F.from_json("draft", schema).alias("d")).select("d.*")
