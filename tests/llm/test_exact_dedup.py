@@ -2,6 +2,7 @@ import hashlib
 import re
 
 import pyspark.sql.functions as F
+import pytest
 
 from veilspan.llm.exact_dedup import DigestIndex, exact_dedup
 
@@ -51,6 +52,19 @@ def test_index_takes_several_memtables(spark, make_docs):
     index.compact()
     assert sorted((r.keep_id, r.n) for r in index.level().collect()) == [(1, 2), (5, 1), (6, 1)]
     assert index.contains("p\nq") and not index.contains("t")
+    index.compact()  # nothing new
+    index.flush(make_docs([(0, "r"), (7, "t"), (None, "s")]))
+    index.compact()
+    assert sorted((r.keep_id, r.n) for r in index.level().collect()) == [(0, 2), (1, 2), (6, 2), (7, 1)]
+    assert index.contains("t")
+
+
+def test_the_level_decides_and_texts_confirm_it(make_docs, monkeypatch):
+    """A level with another identifier than the texts have is an error, not a result."""
+    level = DigestIndex.level
+    monkeypatch.setattr(DigestIndex, "level", lambda self: level(self).withColumn("keep_id", F.col("keep_id") - 1))
+    with pytest.raises(Exception, match="the index and the texts differ"):
+        exact_dedup(make_docs([(4, "p q"), (5, "p q")])).collect()
 
 
 def test_against_whole_table(spark, small):

@@ -1,11 +1,13 @@
 """Exact deduplication through a log-structured merge index of text digests.
 
 A memtable is the rows of one task: it is flushed as a run, a Parquet file sorted by
-digest that carries a Bloom filter of its digests. Compaction merges all runs into one
-level that keeps the smallest identifier and the count of each digest. A fixed-size
-bitmap of the digests that occur more than once is the filter of that level: only rows
-that pass it move their text, and these hits are verified byte by byte, by grouping on
-the text itself.
+digest that carries a Bloom filter of its digests, by which point lookups skip runs.
+Compaction merges the runs that are new into the level, which keeps the smallest identifier
+and the count of each digest. A bitmap of bounded size of the digests that occur more than
+once is the filter of that level: only rows that pass it move their text, and these hits are
+verified byte by byte, by grouping on the text itself. A digest that one text has is answered
+by the level, whose identifier and count must be the texts' own; one that several texts share
+is told apart by them.
 
 Everything here is DataFrame code. Defined results:
 
@@ -28,8 +30,8 @@ from veilspan import scratch
 
 #: A digest with at least this share of all rows is joined by broadcast: there are at most 1/share of them.
 HEAVY_SHARE = 0.001
-#: Bits of the filter, as powers of two: it never takes more than 1 MB.
-FILTER_BITS = (12, 23)
+#: Bits of the filter, as powers of two: it never takes more than 8 MB, 16 bits for each of four million digests.
+FILTER_BITS = (12, 26)
 
 
 def normalised(text: Column) -> Column:
@@ -41,11 +43,11 @@ def sha256(norm: Column) -> Column:
 
 
 class DigestIndex:
-    """The index in one folder of the shared store: ``runs`` and one compacted ``level``."""
+    """The index in one folder of the shared store: ``runs``, and the ``level`` that they are merged into."""
 
     def __init__(self, spark: SparkSession, digest: Callable[[Column], Column] = sha256):
         self.spark, self.digest, self.path = spark, digest, scratch.fresh(spark, "digest-index")
-        self.flushed = 0
+        self.flushed = self.merged = self.levels = 0
 
     def rows(self, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         norm = normalised(F.col(text_col))
@@ -63,22 +65,23 @@ class DigestIndex:
         )
         self.flushed += 1
 
-    def runs(self) -> DataFrame:
-        return self.spark.read.schema("digest binary, id long").parquet(*[f"{self.path}/runs/{k}" for k in range(self.flushed)])
+    def runs(self, since: int = 0) -> DataFrame:
+        return self.spark.read.schema("digest binary, id long").parquet(*[f"{self.path}/runs/{k}" for k in range(since, self.flushed)])
 
     def compact(self) -> None:
-        """Merge all runs: the smallest identifier and the number of rows of each digest. Equal digests meet first within each task."""
-        (
-            self.runs()
-            .groupBy("digest")
-            .agg(F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
-            .sortWithinPartitions("digest")
-            .write.mode("overwrite")
-            .parquet(f"{self.path}/level")
-        )
+        """Merge the runs that are new with the level: the smallest identifier and the number of rows of each digest. Equal digests meet first within each task."""
+        if self.merged == self.flushed:
+            return
+        rows = self.runs(self.merged).select("digest", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("n"))
+        before = self.level().unionByName(rows) if self.levels else rows
+        merged = before.groupBy("digest").agg(F.min("keep_id").alias("keep_id"), F.sum("n").alias("n"))
+        merged.sortWithinPartitions("digest").write.parquet(f"{self.path}/level-{self.levels}")
+        if self.levels:
+            scratch.remove(self.spark, f"{self.path}/level-{self.levels - 1}")
+        self.merged, self.levels = self.flushed, self.levels + 1
 
     def level(self) -> DataFrame:
-        return self.spark.read.schema("digest binary, keep_id long, n long").parquet(f"{self.path}/level")
+        return self.spark.read.schema("digest binary, keep_id long, n long").parquet(f"{self.path}/level-{self.levels - 1}")
 
     def contains(self, text: str) -> bool:
         """Point lookup: the runs' Bloom filters and footers skip those that can't hold it."""
@@ -126,8 +129,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     bitmap, bits = repeated_filter(level)
     hits = passing(index.rows(docs, id_col, text_col), scratch.written(bitmap, "digest-filter"), bits)
     by_text = hits.groupBy("digest", "norm").agg(F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
-    verified = scratch.written(by_text.select("digest", F.xxhash64("norm").alias("norm_hash"), "keep_id", "n"), "digest-verified")
-    collided = verified.groupBy("digest").count().where("count > 1").select("digest")
+    verified = scratch.written(by_text.select("digest", F.col("keep_id").alias("text_id"), F.col("n").alias("text_n")), "digest-verified")
+    texts = verified.groupBy("digest").agg(F.count(F.lit(1)).alias("texts"), F.min("text_id").alias("text_id"), F.sum("text_n").alias("text_n"))
+    groups = level.where("n > 1").join(texts, "digest", "left")
+    agree = (F.col("texts") >= 1) & F.col("keep_id").eqNullSafe(F.col("text_id")) & (F.col("n") == F.col("text_n"))
+    checked = F.when(F.coalesce(agree, F.lit(False)), F.col("n")).otherwise(F.raise_error(F.lit("the index and the texts differ")).cast("long"))
+    groups = scratch.written(groups.select("digest", "keep_id", checked.alias("n"), "texts"), "digest-groups")
+    collided = groups.where("texts > 1").select("digest")
 
     rows = index.runs()
     found = rows
@@ -137,7 +145,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         told = told.select("digest", "id", "keep_id", "n")
     else:
         told = None
-    out = _joined(found, verified.drop("norm_hash"), heavy_from).select("digest", "id", F.when(F.col("n").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"), F.coalesce("n", F.lit(1).cast("long")).alias("n"))
+    out = _joined(found, groups.where("texts = 1").drop("texts"), heavy_from).select("digest", "id", F.when(F.col("n").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"), F.coalesce("n", F.lit(1).cast("long")).alias("n"))
     if told is not None:
         out = out.unionByName(told)
     return out.select(
