@@ -26,6 +26,62 @@ def test_pooling_covers_the_whole_text():
         np.testing.assert_allclose(out[first[d] : first[d + 1]], naive(t.encode(), table), rtol=1e-4, atol=1e-4)
 
 
+def test_scores_are_those_of_the_definition():
+    rng = np.random.default_rng(7)
+    net = q.Network(rng.normal(size=(q.WIDTH, 256, q.FILTERS)), rng.normal(size=2 * q.FILTERS), 0.3)
+    texts = ["", "a", "plain prose", "é" * 900, "ab" * 3000, None]
+    for t, score in zip(texts, net.scores(pa.array(texts)), strict=True):
+        top = np.maximum(naive((t or "").encode(), net.table), 0)
+        want = 1 / (1 + np.exp(-(np.concatenate([top.mean(0), top.max(0)]) @ net.weight + net.bias)))
+        assert abs(score - want) < 1e-4
+
+
+def test_training_sees_what_scoring_sees():
+    """Chunks, ends and padding in training give the maxima of the definition."""
+    from veilspan.llm.arrow import text_bytes
+
+    texts = ["", "a", "abc", "é" * 700, "x" * 508 + "é", "z" * q.STEP, "end"]
+    data, at = text_bytes(pa.array(texts))
+    starts, first = q.pieces(data, at)
+    padded, ends = np.append(data, np.zeros(q.CHUNK, np.uint8)), np.repeat(at[1:], np.diff(first))
+    x = q.chunk_bytes(padded, starts, ends)
+    for k, (s, e) in enumerate(zip(starts, ends, strict=True)):
+        assert x[k].tobytes() == data[s : min(e, s + q.CHUNK)].tobytes().ljust(q.CHUNK, b"\0")
+
+
+def test_gradient_is_that_of_the_loss(monkeypatch):
+    """A signal that only the last chunk of long texts has is learned."""
+    monkeypatch.setattr(q, "STEPS", 120)
+    monkeypatch.setattr(q, "BLOCK", 7)
+    rng = np.random.default_rng(3)
+    body = lambda n: bytes(rng.integers(97, 105, n).astype(np.uint8))
+    texts = [body(20_000 if k % 7 == 0 else 300) + (b"WXYZ" if k % 2 else b"") for k in range(60)]
+    net = q.train(texts, np.arange(60) % 2.0)
+    scores = net.scores(pa.array([t.decode() for t in texts]))
+    assert ((scores > 0.5) == (np.arange(60) % 2 == 1)).mean() > 0.95
+
+
+def test_labels_without_documents_take_up_no_sample(spark, make_docs):
+    docs = make_docs([(k, ("good prose here " if k % 2 else "x#!? ") * 9) for k in range(1, 60)], clash=False)
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(1, 20_000)], "doc_id long, quality int, toxic int")
+    net = q.fit(docs, labels, sample=40)
+    out = {r.doc_id: r.score for r in q.classify(docs, net).collect()}
+    assert np.mean([out[k] > 0.5 for k in out if k % 2]) > 0.9 > 0.1 > np.mean([out[k] > 0.5 for k in out if k % 2 == 0])
+
+
+def test_sample_is_bounded_and_of_distinct_rows(spark, make_docs):
+    from pyspark.sql import functions as F
+
+    from veilspan.llm.sample import sampled
+
+    docs = make_docs([(k % 40, "same") for k in range(4000)] + [(k, "y" * k) for k in range(100, 200)] + [(7, "z" * 50_000)], clash=False)
+    pick = lambda n, size, d=docs: sampled(lambda below: d.where(below).select("doc_id", "text"), d.count(), n, size)
+    a = {(r.doc_id, r.text) for r in pick(30, 10_000).collect()}
+    assert len(a) == 30 == pick(30, 10_000).count() and a == {(r.doc_id, r.text) for r in pick(30, 10_000, docs.repartition(5)).collect()}
+    assert pick(10_000, 1 << 20).count() == 141 and pick(10_000, 49_999).where(F.length("text") > 1000).count() == 0
+    assert sum(len(r.text) for r in pick(10_000, 3000).collect()) <= 3000 and pick(10, 0) is None
+
+
 def test_learns_on_held_out_documents(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")

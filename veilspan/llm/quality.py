@@ -6,9 +6,9 @@ filters (an embedding of the byte at each of ``WIDTH`` places, summed) run over
 place; each filter is max-pooled within each chunk; the means and the maxima over the
 document's chunks are combined by a logistic layer into one probability.
 
-Training takes a bounded sample: the ``SAMPLE`` labelled documents with the smallest
-hash of their id, and at most ``TRAIN_CHUNKS`` chunks of each, spread over the whole
-text. Scoring has no bounds.
+Training takes a bounded sample of labelled rows that have a document: at most ``SAMPLE``
+distinct ones with the smallest hash of their id, as long as their texts fit into
+``SAMPLE_BYTES``, with all chunks of their whole texts. Scoring has no bounds.
 
 Defined results:
 
@@ -17,7 +17,8 @@ Defined results:
 * rows with a null or repeated doc_id are scored like others; a null id isn't held out
 * without any usable label, or with one class only, each score is the share of label 1
   (0.5 without labels)
-* where a document has several labels, all of them teach; null labels don't
+* where a document has several labels, or an id several texts, each pair of them teaches;
+  null labels and labels without a document don't, nor do they take up the sample
 """
 
 from __future__ import annotations
@@ -26,16 +27,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veilspan.llm.arrow import get, slices, text_bytes
+from veilspan.llm.sample import sampled
 
 WIDTH, FILTERS, CHUNK = 4, 8, 512
 #: Places that begin in a chunk.
 STEP = CHUNK - WIDTH + 1
-SAMPLE, TRAIN_CHUNKS, STEPS, RATE, SEED = 3000, 24, 900, 0.01, 5
+SAMPLE, SAMPLE_BYTES, STEPS, RATE, SEED = 3000, 24 << 20, 900, 0.01, 5
+#: Chunks whose places are computed at once in training.
+BLOCK = 1024
 THRESHOLD = 0.3
 
 
@@ -114,15 +118,24 @@ def constant(p: float) -> Network:
     return Network(np.zeros((WIDTH, 256, FILTERS)), np.zeros(2 * FILTERS), float(np.log(p / (1 - p))))
 
 
-def train(texts: list[list[bytes]], labels: np.ndarray) -> Network:
-    """texts: for each document its chunks of CHUNK bytes (the last may be shorter)."""
+def chunk_bytes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The CHUNK bytes from each start on, zero from the text's end on."""
+    place = starts[:, None] + np.arange(CHUNK)[None, :]
+    return np.where(place < ends[:, None], data[np.minimum(place, len(data) - 1)], 0).astype(np.uint8)
+
+
+def train(texts: list[bytes], labels: np.ndarray) -> Network:
+    """Learn from whole texts."""
     if not len(labels) or labels.min() == labels.max():
         return constant(float(labels.mean()) if len(labels) else 0.5)
     rng = np.random.default_rng(SEED)
-    rows = [np.frombuffer(c.ljust(CHUNK, b"\0"), np.uint8) for doc in texts for c in doc]
-    places = np.array([max(1, len(c) - WIDTH + 1) for doc in texts for c in doc])
-    chunks = np.stack(rows)
-    first = np.concatenate([[0], np.cumsum([len(d) for d in texts])])
+    sizes = np.array([len(t) for t in texts], np.int64)
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    starts, first = pieces(np.zeros(0, np.uint8), at)
+    places = np.clip(np.repeat(at[1:], np.diff(first)) - starts - WIDTH + 1, 1, STEP)
+    data = np.frombuffer(b"".join(texts) + bytes(CHUNK), np.uint8)
+    ends = np.repeat(at[1:], np.diff(first))
+    chunks = np.concatenate([chunk_bytes(data, starts[k : k + BLOCK], ends[k : k + BLOCK]) for k in range(0, len(starts), BLOCK)])
     table = rng.normal(0, 0.3, (WIDTH, 256, FILTERS)).astype(np.float32)
     weight, bias = rng.normal(0, 0.3, 2 * FILTERS), 0.0
     params = [table, weight, np.zeros(1)]
@@ -133,11 +146,14 @@ def train(texts: list[list[bytes]], labels: np.ndarray) -> Network:
         for part in np.array_split(order, max(1, len(order) // 64)):
             take = np.concatenate([np.arange(first[d], first[d + 1]) for d in part])
             own = np.concatenate([[0], np.cumsum(first[part + 1] - first[part])])
-            x, lens = chunks[take], places[take]
-            act = sum(table[p][x[:, p : STEP + p]] for p in range(WIDTH))
-            act[np.arange(STEP)[None, :] >= lens[:, None]] = -1e9
-            best = act.argmax(1)
-            top = np.take_along_axis(act, best[:, None, :], 1)[:, 0, :]
+            best, top = np.empty((len(take), FILTERS), np.int64), np.empty((len(take), FILTERS), np.float32)
+            for lo in range(0, len(take), BLOCK):
+                some = take[lo : lo + BLOCK]
+                x = chunks[some]
+                act = sum(table[p][x[:, p : STEP + p]] for p in range(WIDTH))
+                act[np.arange(STEP)[None, :] >= places[some][:, None]] = -1e9
+                best[lo : lo + BLOCK] = act.argmax(1)
+                top[lo : lo + BLOCK] = act.max(1)
             relu, count = np.maximum(top, 0), np.diff(own)
             peak = np.maximum.reduceat(relu, own[:-1], axis=0)
             feats = np.concatenate([np.add.reduceat(relu, own[:-1], axis=0) / count[:, None], peak], 1)
@@ -149,9 +165,9 @@ def train(texts: list[list[bytes]], labels: np.ndarray) -> Network:
             is_peak = relu == peak[doc]
             g_top = (g_top + g_feat[doc, FILTERS:] * is_peak / np.maximum(np.add.reduceat(is_peak, own[:-1], axis=0), 1)[doc]) * (top > 0)
             g_table = np.zeros_like(table)
-            f = np.arange(FILTERS)[None, :].repeat(len(x), 0)
+            f = np.arange(FILTERS)[None, :].repeat(len(take), 0)
             for p in range(WIDTH):
-                byte = np.take_along_axis(x, best + p, 1)
+                byte = chunks[take[:, None], best + p]
                 np.add.at(g_table[p], (byte.ravel(), f.ravel()), g_top.ravel())
             step += 1
             for k, g in enumerate((g_table + 1e-5 * table, feats.T @ err + 1e-4 * weight, np.array([err.sum()]))):
@@ -161,32 +177,21 @@ def train(texts: list[list[bytes]], labels: np.ndarray) -> Network:
     return Network(table, weight, float(params[2][0]))
 
 
-def _sampled_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each training document at most TRAIN_CHUNKS of its chunks, spread evenly."""
-    for batch in slices(batches, "text"):
-        data, at = text_bytes(get(batch, "text"))
-        starts, first = pieces(data, at)
-        rows = []
-        for d in range(batch.num_rows):
-            own = starts[first[d] : first[d + 1]]
-            own = own[np.unique(np.linspace(0, len(own) - 1, min(len(own), TRAIN_CHUNKS)).round().astype(int))]
-            rows.append([data[s : min(s + CHUNK, at[d + 1])].tobytes() for s in own])
-        yield pa.RecordBatch.from_arrays([get(batch, "doc_id"), get(batch, "quality"), pa.array(rows, pa.list_(pa.binary()))], ["doc_id", "quality", "chunks"])
-
-
 def remainder(modulus: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> Network:
     """Learn from ``labels`` of documents whose crc32(doc_id) mod 5 isn't 0."""
     usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality in (0, 1)").where(remainder(5) != 0)
-    chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    joined = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text")
-    found = joined.mapInArrow(_sampled_chunks, "doc_id long, quality int, chunks array<binary>").collect()
-    found.sort(key=lambda r: (r["doc_id"], r["quality"], r["chunks"]))
-    return train([[bytes(c) for c in r["chunks"]] for r in found], np.array([r["quality"] for r in found], float))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+
+    def rows(below: Column) -> DataFrame:
+        return texts.where(below).join(usable.where(below), "doc_id").select("doc_id", "quality", "text")
+
+    some = sampled(rows, usable.count(), sample, sample_bytes)
+    found = [] if some is None else sorted(some.select("doc_id", "quality", "text").collect())
+    return train([r["text"].encode("utf-8", "replace") for r in found], np.array([r["quality"] for r in found], float))
 
 
 def score(docs: DataFrame, network: Network, text: str = "text", out: str = "score") -> DataFrame:
