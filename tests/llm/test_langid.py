@@ -1,9 +1,12 @@
+import random
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from veilspan.llm import langid
+from veilspan.llm.arrow import text_bytes
 
 
 def test_held_out_accuracy(spark):
@@ -15,21 +18,64 @@ def test_held_out_accuracy(spark):
     assert np.mean([r.lang_pred == lang[r.doc_id] for r in held]) > 0.97
 
 
-def test_a_text_scores_the_same_alone_and_in_a_batch(monkeypatch):
-    monkeypatch.setattr(langid, "WINDOW", 64)
+def model_of(counts, rows):
+    counts = np.array(counts)
+    lang, bucket = np.nonzero(counts)
+    return langid.Model([f"l{k:04d}" for k in range(len(counts))], np.array(rows), lang, bucket, counts[lang, bucket])
+
+
+TEXTS = ["hello there " * 20, "", "x", None, "😀 öä", "123", "word" * 50, "", "ab"]
+
+
+@pytest.mark.parametrize("langs, part", [(3, 64), (150, 64), (150, 7)])
+def test_against_bayes_rule(monkeypatch, langs, part):
+    """Every prediction and score from the whole matrix of probabilities, text by text, gram by gram."""
+    monkeypatch.setattr(langid, "WINDOW", 640)
+    monkeypatch.setattr(langid, "LANGS", part)
     rng = np.random.default_rng(1)
-    model = langid.Model(["a", "b", "c"], rng.integers(0, 9, (3, langid.BUCKETS)))
-    texts = ["hello there " * 20, "", "x", None, "😀 öä", "123", "word" * 50, ""]
-    langs, scores = model.predict(pa.array(texts))
-    for t, l, s in zip(texts, langs, scores, strict=True):
+    counts, rows = rng.integers(0, 9, (langs, langid.BUCKETS)) * (rng.random((langs, langid.BUCKETS)) < 0.3), rng.integers(1, 9, langs)
+    got, scores = model_of(counts, rows).predict(pa.array(TEXTS))
+    p = (counts + langid.ALPHA) / (counts + langid.ALPHA).sum(1, keepdims=True)
+    for t, lang, score in zip(TEXTS, got, scores, strict=True):
+        if not any(c.isalpha() for c in t or ""):
+            assert lang == "und" and score == 0
+            continue
+        ids, _, _ = langid.grams(*langid.code_points(*text_bytes(pa.array([t]))))
+        own = [k for k in ids.ravel().tolist() if k < langid.BUCKETS]
+        z = np.log(rows / rows.sum()) + np.log(p[:, own]).sum(1)
+        want = np.exp((z - z.max()) * langid.TEMPERATURE)
+        assert lang == f"l{z.argmax():04d}" and abs(score - 1 / want.sum()) < 1e-5
+
+
+def test_a_text_scores_the_same_alone_and_in_a_batch(monkeypatch):
+    monkeypatch.setattr(langid, "WINDOW", 192)
+    model = model_of(np.random.default_rng(1).integers(0, 9, (3, langid.BUCKETS)), [3, 2, 2])
+    langs, scores = model.predict(pa.array(TEXTS))
+    for t, l, s in zip(TEXTS, langs, scores, strict=True):
         one, own = model.predict(pa.array([t], pa.string()))
         assert one == [l] and abs(own[0] - s) < 1e-6
     assert [langs[i] for i in (1, 3, 5, 7)] == ["und"] * 4 and scores[1] == 0
 
 
-def test_grams_keep_to_their_text():
-    from veilspan.llm.arrow import text_bytes
+def test_shares_of_languages_decide_where_grams_do_not():
+    same = np.ones((2, langid.BUCKETS), int)
+    assert model_of(same, [1, 5]).predict(pa.array(["abc"]))[0] == ["l0001"]
+    assert model_of(same, [5, 5]).predict(pa.array(["abc"]))[0] == ["l0000"]
+
 
+def test_over_a_thousand_languages(make_docs):
+    """Each document in a language of its own: those that were learned from are found again."""
+    rng = random.Random(6)
+    rows = [(k, " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(9)) for _ in range(12)), f"x{k:05d}") for k in range(1500)]
+    docs = make_docs(rows, clash=False)
+    model = langid.fit(docs)
+    out = langid.identify(docs, model).collect()
+    learned = [r for r in out if not r.held_out]
+    assert len(model.langs) == len(learned) > 1000
+    assert np.mean([r.lang_pred == f"x{r.doc_id:05d}" for r in learned]) > 0.99
+
+
+def test_grams_keep_to_their_text():
     ids, at, has = langid.grams(*langid.code_points(*text_bytes(pa.array(["ab", "c", "1"]))))
     assert at.tolist() == [0, 2, 3, 4] and has.tolist() == [True, True, False]
     assert (ids[0, 1:] == langid.BUCKETS).all() and ids[1, 1] < langid.BUCKETS and ids[1, 2] == langid.BUCKETS

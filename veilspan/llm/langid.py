@@ -1,13 +1,14 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
 The n-grams of 1 to 3 code points of the lower-cased text are hashed into ``BUCKETS``
-columns. Training adds up their counts by language over a bounded sample: the
-``SAMPLE`` eligible documents with the smallest hash of their id, whole texts. The
-matrix of log probabilities (languages x buckets, at most ``MOST_LANGS`` languages) is
-broadcast; a batch is scored as sparse rows, by gathering the matrix columns of its
-n-grams and summing them for each document. The score is the posterior probability of
-the language that is predicted, tempered by ``TEMPERATURE`` so that long texts don't
-all score 1.
+columns. Training adds up their counts by language over a bounded sample: the distinct
+(doc_id, text, lang) rows among the eligible ones with the ``SAMPLE`` smallest hashes, whole
+texts, with their copies. So there are at most ``SAMPLE`` languages. The counts that aren't
+zero are broadcast, and make the matrix of log probabilities (languages x buckets) in the
+worker, ``LANGS`` languages at a time; a batch is scored as sparse rows, by gathering the
+matrix columns of its n-grams and summing them for each document, on top of the logarithm of
+the language's share of the sample's rows. The score is the posterior probability of the
+language that is predicted, tempered by ``TEMPERATURE`` so that long texts don't all score 1.
 
 Defined results:
 
@@ -29,9 +30,11 @@ from pyspark.sql import functions as F
 from veilspan.llm.arrow import get, slices, text_bytes
 from veilspan.llm.quality import remainder
 
-BUCKETS, SAMPLE, MOST_LANGS, ALPHA, TEMPERATURE = 1 << 15, 8000, 1000, 0.5, 0.1
-#: A long text is scored in windows of so many code points, which share no n-gram.
-WINDOW = 1 << 20
+BUCKETS, SAMPLE, ALPHA, TEMPERATURE = 1 << 15, 8000, 0.5, 0.1
+#: Languages whose part of the matrix is made at once (8 MB), and parts that a worker keeps.
+LANGS, KEPT = 64, 8
+#: Numbers gathered at once: a long text is scored in windows of so many by the number of languages.
+WINDOW = 1 << 23
 _tables: list[np.ndarray] = []
 
 
@@ -83,67 +86,101 @@ def grams(points: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 
 class Model:
-    def __init__(self, langs: list[str], counts: np.ndarray):
-        """counts: languages x BUCKETS."""
-        self.langs = langs
-        smooth = counts + ALPHA
-        logs = np.log(smooth / smooth.sum(1, keepdims=True)) if len(langs) else np.zeros((0, BUCKETS))
-        self.logs = np.vstack([logs.T, np.zeros((1, len(langs)))]).astype(np.float32)
+    def __init__(self, langs: list[str], rows: np.ndarray, lang: np.ndarray, bucket: np.ndarray, n: np.ndarray):
+        """rows: how many the sample has of each language; lang, bucket, n: the counts that aren't zero, by language."""
+        self.langs, self.prior = langs, np.log(np.maximum(rows, 1) / max(1, rows.sum()))
+        self.first = np.searchsorted(lang, np.arange(len(langs) + 1))
+        self.bucket, self.n = bucket.astype(np.int32), n.astype(np.float64)
+        self.parts: dict[int, np.ndarray] = {}
+
+    def logs(self, lo: int) -> np.ndarray:
+        """Log probabilities of LANGS languages from ``lo`` on, with a column of zeros for what isn't an n-gram."""
+        if lo not in self.parts:
+            if len(self.parts) == KEPT:
+                self.parts.pop(next(iter(self.parts)))
+            hi = min(lo + LANGS, len(self.langs))
+            counts = np.full((hi - lo, BUCKETS), ALPHA)
+            for k in range(lo, hi):
+                own = slice(self.first[k], self.first[k + 1])
+                counts[k - lo, self.bucket[own]] += self.n[own]
+            logs = np.log(counts / counts.sum(1, keepdims=True))
+            self.parts[lo] = np.vstack([logs.T, np.zeros((1, hi - lo))]).astype(np.float32)
+        return self.parts[lo]
 
     def predict(self, column: pa.Array) -> tuple[list[str], np.ndarray]:
         if not self.langs:
             return ["und"] * len(column), np.zeros(len(column))
         points, at = code_points(*text_bytes(column))
         ids, at, has = grams(points, at)
-        sums = np.zeros((len(column), len(self.langs)))
-        if len(ids):
-            for lo in range(0, len(ids), WINDOW):
-                hi = min(len(ids), lo + WINDOW)
-                got = self.logs[ids[lo:hi, 0]]
-                got += self.logs[ids[lo:hi, 1]]
-                got += self.logs[ids[lo:hi, 2]]
+        best, top = np.zeros(len(column), np.int64), np.full(len(column), -np.inf)
+        weight = np.zeros(len(column))  # of all languages so far, as a multiple of the best one's
+        for first in range(0, len(self.langs), LANGS):
+            logs = self.logs(first)
+            sums = np.repeat(self.prior[None, first : first + logs.shape[1]], len(column), 0)
+            window = max(1, WINDOW // logs.shape[1])
+            for lo in range(0, len(ids), window):
+                hi = min(len(ids), lo + window)
+                got = logs[ids[lo:hi, 0]]
+                got += logs[ids[lo:hi, 1]]
+                got += logs[ids[lo:hi, 2]]
                 d0, d1 = int(np.searchsorted(at, lo, "right")) - 1, int(np.searchsorted(at, hi, "left"))
                 inside = np.arange(d0, d1)
                 inside = inside[(at[inside] < at[inside + 1])]
                 marks = np.maximum(at[inside], lo) - lo
                 sums[inside] += np.add.reduceat(got.astype(np.float64), marks, axis=0)
-        z = (sums - sums.max(1, keepdims=True)) * TEMPERATURE
-        p = np.exp(z)
-        best = sums.argmax(1)
-        score = np.where(has, 1 / p.sum(1), 0.0)
+            own = sums.argmax(1)
+            high = sums[np.arange(len(own)), own]
+            new = np.maximum(top, high)
+            weight = weight * np.exp((top - new) * TEMPERATURE) + np.exp((sums - new[:, None]) * TEMPERATURE).sum(1)
+            best, top = np.where(high > top, first + own, best), new
+        score = np.where(has, 1 / weight, 0.0)
         return [self.langs[b] if h else "und" for b, h in zip(best.tolist(), has.tolist(), strict=True)], score
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of one task: a row for each language and bucket that occurs."""
+    """Counts of one task: a row for each language and bucket that occurs, and the number of texts as bucket -1. A language may come several times."""
     total: dict[str, np.ndarray] = {}
+
+    def out() -> Iterator[pa.RecordBatch]:
+        for lang, own in total.items():
+            some = np.append(np.flatnonzero(own[:BUCKETS]), -1)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(some.astype(np.int32)), pa.array(own[some])], ["lang", "bucket", "n"])
+        total.clear()
+
     for batch in slices(batches, "text"):
         ids, at, _ = grams(*code_points(*text_bytes(get(batch, "text"))))
         for d, lang in enumerate(get(batch, "lang").to_pylist()):
-            own = total.setdefault(lang, np.zeros(BUCKETS + 1, np.int64))
-            own += np.bincount(ids[at[d] : at[d + 1]].ravel(), minlength=BUCKETS + 1)
-    for lang, own in total.items():
-        some = np.flatnonzero(own[:BUCKETS])
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(some.astype(np.int32)), pa.array(own[some])], ["lang", "bucket", "n"])
+            own = total.setdefault(lang, np.zeros(BUCKETS + 2, np.int64))  # the last two: no n-gram, texts
+            own[: BUCKETS + 1] += np.bincount(ids[at[d] : at[d + 1]].ravel(), minlength=BUCKETS + 1)
+            own[-1] += 1
+            if len(total) > LANGS:
+                yield from out()
+    yield from out()
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """Learn from text and lang of documents whose crc32(doc_id) mod 4 isn't 2."""
+    """Learn from text and lang of documents whose crc32(doc_id) mod 4 isn't 2. The driver gets at most BUCKETS + 1 counts for each language of the sample, as Arrow columns."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.where("doc_id is not null and text is not null and lang is not null").where(remainder(4) != 2)
-    h = F.xxhash64("doc_id")
-    limit = rows.select(h.alias("h")).orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    h = F.xxhash64("doc_id", "text", "lang")
+    limit = rows.select(h.alias("h")).distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
     if limit is None:
-        return Model([], np.zeros((0, BUCKETS)))
+        none = np.zeros(0, np.int64)
+        return Model([], none, none, none, none)
     counts = rows.where(h <= limit).mapInArrow(_counts, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    found = counts.collect()  # at most languages of the sample x BUCKETS rows
-    langs = sorted({r["lang"] for r in found}, key=lambda s: s.encode("utf-8", "surrogatepass"))
-    if len(langs) > MOST_LANGS:
-        raise ValueError(f"over {MOST_LANGS} languages")
-    matrix, place = np.zeros((len(langs), BUCKETS)), {s: k for k, s in enumerate(langs)}
-    for r in found:
-        matrix[place[r["lang"]], r["bucket"]] = r["n"]
-    return Model(langs, matrix)
+    found = counts.toArrow()
+    langs = sorted(found["lang"].unique().to_pylist(), key=lambda s: s.encode("utf-8", "surrogatepass"))
+    code = found["lang"].combine_chunks().dictionary_encode()
+    code = code.combine_chunks() if isinstance(code, pa.ChunkedArray) else code
+    place = {s: k for k, s in enumerate(langs)}
+    lang = np.array([place[s] for s in code.dictionary.to_pylist()], np.int64)[code.indices.to_numpy(zero_copy_only=False)]
+    bucket, n = found["bucket"].to_numpy(), found["n"].to_numpy()
+    texts = bucket < 0
+    each = np.zeros(len(langs), np.int64)
+    each[lang[texts]] = n[texts]
+    lang, bucket, n = lang[~texts], bucket[~texts], n[~texts]
+    by = np.lexsort((bucket, lang))
+    return Model(langs, each, lang[by], bucket[by], n[by])
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
