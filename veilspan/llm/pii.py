@@ -8,13 +8,20 @@ The field labels tokens (runs without white space, less punctuation around them)
 have a digit, ``@`` or ``+``, or lie in a base span. All other tokens carry no evidence
 and are fixed to ``O``, which cuts the chain; base spans' tokens are fixed to their kind.
 Neighbouring tokens share chain potentials. Tokens of one document with the same key (an
-address's local part, the last seven digits, or the whole token) share skip potentials,
-each with the next one of its key, so that there are never more edges than tokens. Loopy
-sum-product message passing gives each token's beliefs; a run of tokens believed to be of
-one kind, that overlaps no base span, is an added span.
-
-Weights are learned by pseudo-likelihood from the base spans of a bounded sample: the
-``SAMPLE`` documents with the smallest hash of their id among those with a digit or ``@``.
+address's local part, the last seven digits, or the whole token; of a number's last token,
+the last seven digits of the whole number) share skip potentials, each with the next one of
+its key, so that there are never more edges than tokens. Loopy
+sum-product message passing gives each token's beliefs; it stops for each document by itself,
+so that what else is in a batch doesn't matter. A run of tokens believed to be of one kind,
+that overlaps no base span, is an added span.
+
+Weights are learned by pseudo-likelihood from the base spans, and from mentions that are
+added to the sample's texts for learning only: each base span again in another notation
+(``NOTATIONS``), with its kind as label, and the same notation of made-up digits or names, with
+no label. So the field learns that a shape alone is no evidence and that a shared key is.
+The base spans are those of a bounded sample: at most
+``SAMPLE`` distinct documents with a digit or ``@``, those with the smallest hash of their
+id, as long as their texts fit into ``SAMPLE_BYTES``.
 
 Defined results:
 
@@ -26,6 +33,7 @@ Defined results:
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections.abc import Iterator
 
@@ -35,9 +43,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veilspan.llm.arrow import get, slices, text_bytes
+from veilspan.llm.sample import sampled
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE, FEATURES, SWEEPS, DAMPING, STEPS, RATE, BELIEF, SEED = 2000, 1 << 12, 12, 0.3, 150, 0.1, 0.9, 3
+SAMPLE, SAMPLE_BYTES = 2000, 4 << 20
+#: Longest name of a feature that is remembered with its number.
+NAME = 60
+FEATURES, SWEEPS, DAMPING, STEPS, RATE, BELIEF, SEED = 1 << 12, 12, 0.3, 150, 0.1, 0.9, 3
 
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
@@ -91,7 +103,7 @@ def stable(name: str) -> int:
 
 
 def shape(token: str) -> str:
-    return _RUNS.sub(lambda m: f"9{min(len(m[0]), 9)}" if m[0][0].isdigit() else "a", token[:40])
+    return _RUNS.sub(lambda m: f"9{min(len(m[0]), 9)}" if m[0][0].isdigit() else "a", token)
 
 
 def key(token: str) -> str:
@@ -114,11 +126,15 @@ class Graph:
         self.known: dict[str, int] = {}
 
     def feature(self, name: str) -> int:
-        if name not in self.known:
-            self.known[name] = stable(name)
-        return self.known[name]
+        if name in self.known:
+            return self.known[name]
+        number = stable(name)
+        if len(name) <= NAME:
+            self.known[name] = number
+        return number
 
     def add(self, doc: int, text: str, base: list[tuple[int, int, int]]) -> None:
+        """``base``: (kind, start, end) of what is known."""
         spans = sorted((a, b, k + 1) for k, a, b in base)
         at, before, was_in, last = 0, "^", False, {}
         rows = []
@@ -145,6 +161,8 @@ class Graph:
             if was_in:
                 self.chain.append((here - 1, here))
             k = key(core)
+            if label > 2 and m.end() >= spans[at][1]:
+                k = key(text[spans[at][0] : spans[at][1]])
             if k in last:
                 self.skip.append((last[k], here))
             last[k] = here
@@ -176,16 +194,20 @@ class Field:
         pot = np.concatenate([pot, pot.transpose(0, 2, 1)])
         back = np.concatenate([np.arange(len(a)) + len(a), np.arange(len(a))])
         msg = np.zeros((len(src), L))
+        doc = np.unique(np.array(graph.doc, np.int64), return_inverse=True)[1][src] if len(src) else src
+        open_ = np.arange(len(src))  # the edges of documents whose messages still move
         for _ in range(SWEEPS if len(src) else 0):
             total = local.copy()
             np.add.at(total, dst, msg)
-            out = (total[src] - msg[back])[:, :, None] + pot
+            out = (total[src[open_]] - msg[back[open_]])[:, :, None] + pot[open_]
             top = out.max(1, keepdims=True)
             new = (top + np.log(np.exp(out - top).sum(1, keepdims=True)))[:, 0, :]
             new -= new.max(1, keepdims=True)
-            moved = np.abs(new - msg).max()
-            msg = DAMPING * msg + (1 - DAMPING) * new
-            if moved < 1e-4:
+            moved = np.zeros(doc.max() + 1)
+            np.maximum.at(moved, doc[open_], np.abs(new - msg[open_]).max(1))
+            msg[open_] = DAMPING * msg[open_] + (1 - DAMPING) * new
+            open_ = open_[moved[doc[open_]] >= 1e-4]
+            if not len(open_):
                 break
         total = local.copy()
         np.add.at(total, dst, msg)
@@ -194,6 +216,46 @@ class Field:
         return p / p.sum(1, keepdims=True)
 
 
+#: Other ways to write what is found, by kind, from its digits (an address's local part and host): {0} to {3} are groups of them.
+NOTATIONS = (
+    ("{0}@{1}", "<{0}@{1}>", "{0}@{1},"),
+    (),
+    ("{0}.{1}.{2}.{3}", "{0}/{1}/{2}/{3}", "{0}_{1}_{2}_{3}", "({0}/{1}/{2}/{3})"),
+    ("({0}) {1}-{2}", "{0}-{1}-{2}", "{0}.{1}.{2}", "{0}{1}{2}", "{0}/{1}-{2}", "{0} {1}-{2}"),
+)
+
+
+def again(kind: int, text: str, rng: random.Random) -> list[tuple[str, bool]]:
+    """Two mentions for learning: one of a span in another notation, and one of something made up in the same; whether it is the span."""
+    form = rng.choice(NOTATIONS[kind])
+    if kind == 0:
+        local, host = text.split("@")[0], text.split("@")[1].split(".")[0]
+        other = "".join(rng.choice("0123456789") if c.isdigit() else rng.choice("abcdefghijklmnopqrstuvwxyz") if c.isalpha() else c for c in local)
+        return [(form.format(local, host), True), (form.format(other, host), False)]
+    digits = _NOT_DIGIT.sub("", text)
+    made = "".join(rng.choice("0123456789") for _ in digits)
+    cut = (lambda d: [d[-10:-7], d[-7:-4], d[-4:]]) if kind == 3 else (lambda d: [d[:4], d[4:8], d[8:12], d[12:]])
+    return [(form.format(*cut(digits)), True), (form.format(*cut(made)), False)]
+
+
+def lesson(text: str, rng: random.Random) -> tuple[str, list[tuple[int, int, int]]]:
+    """A text with mentions added for learning, and what is known of it."""
+    known = base_spans(text)
+    more = []
+    for kind, a, b in known:
+        if NOTATIONS[kind]:
+            more += [(kind, *m) for m in again(kind, text[a:b], rng)]
+    rng.shuffle(more)
+    for kind, said, true in more:
+        text += " " + rng.choice(("again", "or", "by", "at", "see"))
+        lo, text = len(text) + 1, f"{text} {said}"
+        if true and not base_spans(said):
+            known.append((kind, lo, len(text)))
+        elif base_spans(said):  # it happens to fit a pattern: then it is known anyway
+            known += [(k, lo + a, lo + b) for k, a, b in base_spans(said)]
+    return text, sorted(known)
+
+
 def train(graph: Graph) -> Field | None:
     """Pseudo-likelihood: each token given its neighbours' labels, base spans being the truth and all else O."""
     feats, fixed, chain, skip = graph.arrays()
@@ -253,38 +315,15 @@ def marked(batch: pa.RecordBatch) -> list[tuple[int, str]]:
     return list(zip(rows.tolist(), texts, strict=True))
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text rlike '[0-9@]'")
-    h = F.xxhash64("doc_id")
-    limit = rows.select(h.alias("h")).orderBy("h").limit(sample).agg(F.max("h")).first()[0]
-    if limit is None:
+def fit(docs: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> Field | None:
+    """Learn from the base spans of a sample, whose texts go to the driver."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text rlike '[0-9@]'")
+    some = sampled(lambda below: texts.where(below), docs.count(), sample, sample_bytes)
+    if some is None:
         return None
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            graph, ids = Graph(), get(batch, "doc_id").to_pylist()
-            for d, text in marked(batch):
-                graph.add(d, text, base_spans(text))
-            doc = [ids[d] for d in graph.doc]
-            left, to = dict((b, a) for a, b in graph.chain), dict((b, a) for a, b in graph.skip)
-            n = len(doc)
-            yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array([s[0] for s in graph.span], pa.int64()), pa.array(graph.fixed, pa.int32()), pa.array(graph.feats, pa.list_(pa.int32())), pa.array([i - left[i] if i in left else 0 for i in range(n)], pa.int32()), pa.array([i - to[i] if i in to else 0 for i in range(n)], pa.int32())], ["doc_id", "start", "fixed", "feats", "left", "to"])
-
-    found = rows.where(h <= limit).mapInArrow(run, "doc_id long, start long, fixed int, feats array<int>, left int, to int").collect()
-    per_doc: dict[int, list] = {}
-    for r in found:
-        per_doc.setdefault(r["doc_id"], []).append(r)
-    graph = Graph()
-    for d in sorted(per_doc):
-        for r in sorted(per_doc[d], key=lambda r: r["start"]):
-            here = len(graph.doc)
-            graph.doc.append(d)
-            graph.fixed.append(r["fixed"])
-            graph.feats.append(list(r["feats"]))
-            if r["left"] and r["left"] <= here:
-                graph.chain.append((here - r["left"], here))
-            if r["to"] and r["to"] <= here:
-                graph.skip.append((here - r["to"], here))
+    graph, rng = Graph(), random.Random(SEED)
+    for d, row in enumerate(sorted(some.select("doc_id", "text").collect())):
+        graph.add(d, *lesson(row["text"], rng))
     return train(graph)
 
 
