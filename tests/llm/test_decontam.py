@@ -1,11 +1,13 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from veilspan.llm import decontam as dc
+from veilspan.llm.arrow import text_bytes
 
 
 def greedy(a, b, least):
@@ -37,6 +39,36 @@ def test_tiles_are_the_greedy_ones(a, b, least):
     assert sorted(got) == sorted(greedy(a, b, least))
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 2), min_size=1, max_size=18), st.lists(st.integers(0, 2), min_size=1, max_size=24), st.integers(1, 4), st.integers(1, 60))
+def test_diagonals_give_the_same_tiles(a, b, least, most):
+    before, dc.MOST_PAIRS = dc.MOST_PAIRS, most
+    try:
+        test_tiles_are_the_greedy_ones.hypothesis.inner_test(a, b, least)
+    finally:
+        dc.MOST_PAIRS = before
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 5), max_size=18), st.lists(st.integers(0, 5), max_size=24), st.integers(1, 4))
+def test_words_are_checked_after_their_hashes(a, b, least):
+    """With hashes that many words share, the words themselves decide."""
+    weak = lambda x: np.array([v % 2 + 1 for v in x], np.uint64)
+    got = dc.tile(weak(a), weak(b), least, lambda i, j, n: np.array([a[i + k] == b[j + k] for k in range(n)]))
+    assert sorted(got) == sorted(greedy(a, b, least))
+
+
+def test_repetitive_texts_take_memory_in_proportion():
+    import tracemalloc
+
+    item, text = (dc.Texts(*text_bytes(pa.array([t]))) for t in ("la la la la " * 500, "la " * 18_000))
+    tracemalloc.start()
+    found = dc.leak(item.words(0), text.words(0), 5, 0.5)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == (1.0, 1, 2000) and most < 120 << 20
+
+
 def passage(rng, n):
     return [f"w{rng.randrange(10**7)}" for _ in range(n)]
 
@@ -104,10 +136,6 @@ def test_empty(spark, make_docs):
 
 def test_whole_table_against_all_pairs(spark, small):
     docs, bench = spark.read.parquet(f"{small}/documents.parquet"), spark.read.parquet(f"{small}/benchmark.parquet")
-    import pyarrow as pa
-
-    from veilspan.llm.arrow import text_bytes
-
     d, b = docs.collect(), bench.collect()
     (h, at), (g, to) = (dc.tokens(*text_bytes(pa.array([r.text for r in rows]))) for rows in (d, b))
     want = set()

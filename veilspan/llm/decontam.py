@@ -4,14 +4,17 @@ Words are compared in lower case (A-Z) without ASCII punctuation; in scripts tha
 spaces between words each character is a word. Documents and test
 items that share a seed, ``least`` words in a row, are tiled: the longest common runs of
 unmarked words are marked one after the other, found by running Karp-Rabin hashes of
-falling lengths, until none of at least ``least`` words is left. Tiles don't overlap and
-may come in any order, so a reordered passage is covered as well. A document leaks an
+falling lengths and checked word by word, until none of at least ``least`` words is left.
+Where repetitive texts have very many equal runs, their words are compared along diagonals
+instead, some at a time, so that memory goes with the maximal runs and not with the pairs of
+places. Tiles don't overlap and may come in any order, so a reordered passage is covered as well. A document leaks an
 item when its tiles cover at least ``coverage`` of the item's words, or when one tile has
 ``long`` words or more, however little of a long item that is.
 
 The items are broadcast up to ``BROADCAST_BYTES`` of text. Beyond that, a bitmap of fixed
 size picks the documents' seeds, these are joined to the items' seeds by shuffle, and the
-pairs are tiled with both texts joined to them.
+pairs that share as many seeds as a leak has at least are tiled with both texts joined to
+them.
 
 Defined results:
 
@@ -27,7 +30,7 @@ Defined results:
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +44,9 @@ from veilspan.llm.near_dedup import mix, powers
 LEAST, COVERAGE, LONG, BROADCAST_BYTES, BITMAP_BITS = 5, 0.5, 16, 32 << 20, 24
 SCHEMA = "doc_id long, text_hash long, item_id long, coverage double, n_tiles int, longest int"
 
+#: Pairs of equal runs that are listed at once; and words that are compared at once, where there are more.
+MOST_PAIRS = 1 << 21
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: Code points of scripts without spaces: Thai to Tibetan, Myanmar, Khmer, Tai, Chinese and Japanese.
@@ -64,22 +70,46 @@ def alone(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(begin), np.concatenate(end)
 
 
+class Texts:
+    """Words of some texts: their hashes, their places in the lower-cased bytes, and the texts' places among them."""
+
+    def __init__(self, data: np.ndarray, at: np.ndarray):
+        self.low = _LOWER[data]
+        word = _WORD[data]
+        bounds = np.zeros(len(data) + 1, bool)
+        bounds[at] = True
+        for cut in alone(data):
+            bounds[cut] = True
+        self.starts = np.flatnonzero(word & (~np.concatenate([[False], word])[:-1] | bounds[:-1]))
+        self.ends = np.flatnonzero(word & (~np.concatenate([word[1:], [False]])[: len(word)] | bounds[1:])) + 1
+        up, down = powers(len(data))
+        total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((self.low.astype(np.uint64) + np.uint64(1)) * up[:-1], out=total[1:])
+        self.h = mix((total[self.ends] - total[self.starts]) * down[self.starts] + (self.ends - self.starts).astype(np.uint64))
+        self.at = np.searchsorted(self.starts, at)
+
+    def words(self, k: int) -> Words:
+        own = slice(self.at[k], self.at[k + 1])
+        return Words(self.h[own], self.low, self.starts[own], self.ends[own])
+
+
+class Words:
+    """The words of one text."""
+
+    def __init__(self, h: np.ndarray, low: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        self.h, self.low, self.starts, self.ends = h, low, starts, ends
+
+    def __len__(self) -> int:
+        return len(self.h)
+
+    def word(self, k: int) -> bytes:
+        return self.low[self.starts[k] : self.ends[k]].tobytes()
+
+
 def tokens(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words, and the documents' places among them."""
-    if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(len(at), np.int64)
-    word = _WORD[data]
-    bounds = np.zeros(len(data) + 1, bool)
-    bounds[at] = True
-    for cut in alone(data):
-        bounds[cut] = True
-    starts = np.flatnonzero(word & (~np.concatenate([[False], word[:-1]]) | bounds[:-1]))
-    ends = np.flatnonzero(word & (~np.concatenate([word[1:], [False]]) | bounds[1:])) + 1
-    up, down = powers(len(data))
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * up[:-1], out=total[1:])
-    h = mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
-    return h, np.searchsorted(starts, at)
+    t = Texts(data, at)
+    return t.h, t.at
 
 
 def rolling(h: np.ndarray, s: int) -> np.ndarray:
@@ -109,6 +139,8 @@ def matches(a: np.ndarray, b: np.ndarray, free_a: np.ndarray, free_b: np.ndarray
     order = ia[np.argsort(ra[ia], kind="stable")]
     lo, hi = np.searchsorted(ra[order], rb[ib], "left"), np.searchsorted(ra[order], rb[ib], "right")
     count = hi - lo
+    if count.sum() > MOST_PAIRS:
+        return diagonals(a, b, free_a, free_b, s)
     j = np.repeat(ib, count)
     i = order[np.repeat(lo, count) + np.arange(len(j)) - np.repeat(np.cumsum(count) - count, count)]
     by = np.lexsort((i, j - i))
@@ -118,8 +150,31 @@ def matches(a: np.ndarray, b: np.ndarray, free_a: np.ndarray, free_b: np.ndarray
     return list(zip((-size).tolist(), i[cut].tolist(), j[cut].tolist(), strict=True))
 
 
-def tile(a: np.ndarray, b: np.ndarray, least: int = LEAST) -> list[tuple[int, int, int]]:
-    """Greedy tiles of a (item) by b (document): (place in a, place in b, length), longest first."""
+def diagonals(a: np.ndarray, b: np.ndarray, free_a: np.ndarray, free_b: np.ndarray, s: int) -> list[tuple[int, int, int]]:
+    """The same runs, from the words themselves, for some differences of places at a time."""
+    n = len(a)
+    view = np.lib.stride_tricks.sliding_window_view
+    padded = np.concatenate([np.zeros(n - 1, np.uint64), b, np.zeros(n - 1, np.uint64)])
+    open_ = np.concatenate([np.zeros(n - 1, bool), free_b, np.zeros(n - 1, bool)])
+    words, frees = view(padded, n), view(open_, n)  # row d: the words of b that face those of a when b begins at d - (n - 1)
+    out: list[tuple[int, int, int]] = []
+    step = max(1, MOST_PAIRS // n)
+    for d in range(0, len(words), step):
+        same = (words[d : d + step] == a[None, :]) & frees[d : d + step] & free_a[None, :]
+        edge = np.diff(np.pad(same, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+        row, lo = np.nonzero(edge == 1)
+        hi = np.nonzero(edge == -1)[1]
+        long = hi - lo >= s
+        row, lo, hi = row[long] + d, lo[long], hi[long]
+        out += zip((lo - hi).tolist(), lo.tolist(), (lo + row - (n - 1)).tolist(), strict=True)
+    return out
+
+
+Same = Callable[[int, int, int], np.ndarray]
+
+
+def tile(a: np.ndarray, b: np.ndarray, least: int = LEAST, same: Same | None = None) -> list[tuple[int, int, int]]:
+    """Greedy tiles of a (item) by b (document): (place in a, place in b, length), longest first. ``same`` tells from place in a, place in b and length which words are equal indeed."""
     free_a, free_b = np.ones(len(a), bool), np.ones(len(b), bool)
     out: list[tuple[int, int, int]] = []
     s = max(least, min(len(a), len(b)))
@@ -129,6 +184,8 @@ def tile(a: np.ndarray, b: np.ndarray, least: int = LEAST) -> list[tuple[int, in
         while heap:
             size, i, j = heapq.heappop(heap)
             free = free_a[i : i - size] & free_b[j : j - size]
+            if free.all() and same is not None:
+                free = same(i, j, -size)
             if free.all():
                 free_a[i : i - size] = free_b[j : j - size] = False
                 out.append((i, j, -size))
@@ -147,9 +204,9 @@ class Items:
 
     def __init__(self, ids: list[int | None], texts: list[str | None], least: int):
         self.least, self.ids = least, ids
-        h, at = tokens(*text_bytes(pa.array(texts, pa.string())))
-        self.words = [h[x:y] for x, y in zip(at[:-1], at[1:], strict=True)]
-        seeds = [own_seeds(w, least) for w in self.words]
+        all_ = Texts(*text_bytes(pa.array(texts, pa.string())))
+        self.words = [all_.words(k) for k in range(len(texts))]
+        seeds = [own_seeds(w.h, least) for w in self.words]
         self.lengths = sorted({min(least, len(w)) for w in self.words if len(w)})
         flat = np.concatenate([*seeds, np.zeros(0, np.uint64)])
         owner = np.repeat(np.arange(len(seeds)), [len(s) for s in seeds])
@@ -158,7 +215,7 @@ class Items:
         self.bitmap = np.zeros(1 << BITMAP_BITS, bool)
         self.bitmap[(flat >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)] = True
 
-    def leaks(self, words: np.ndarray, shared: np.ndarray, coverage: float, long: int = LONG) -> Iterator[tuple[int, float, int, int]]:
+    def leaks(self, words: Words, shared: np.ndarray, coverage: float, long: int = LONG) -> Iterator[tuple[int, float, int, int]]:
         """shared: seeds of the document that may be the items'. Yields item number, coverage, tiles, longest tile."""
         got = np.unique(shared)
         lo, hi = np.searchsorted(self.seeds, got, "left"), np.searchsorted(self.seeds, got, "right")
@@ -175,14 +232,14 @@ def own_seeds(item: np.ndarray, least: int) -> np.ndarray:
     return np.unique(rolling(item, min(least, len(item)))) if len(item) else np.zeros(0, np.uint64)
 
 
-def leak(item: np.ndarray, words: np.ndarray, least: int, coverage: float, long: int = LONG) -> tuple[float, int, int] | None:
+def leak(item: Words, words: Words, least: int, coverage: float, long: int = LONG) -> tuple[float, int, int] | None:
     """Coverage, number of tiles and longest tile, if the document leaks the item."""
     if not len(item):
         return None
     if len(item) < least:
         least, coverage = len(item), 1.0
-    seeds = rolling(item, least)
-    hit = np.flatnonzero(np.isin(seeds, rolling(words, least)))
+    seeds = rolling(item.h, least)
+    hit = np.flatnonzero(np.isin(seeds, rolling(words.h, least)))
     reach = np.zeros(len(item) + 1, np.int64)
     np.add.at(reach, hit, 1)
     np.add.at(reach, hit + least, -1)
@@ -190,7 +247,7 @@ def leak(item: np.ndarray, words: np.ndarray, least: int, coverage: float, long:
     edge = np.flatnonzero(np.diff(np.concatenate([[False], held, [False]]).astype(np.int8)))
     if held.sum() < coverage * len(item) and np.diff(edge)[::2].max(initial=0) < long:  # tiles can't cover more than shared seeds do
         return None
-    tiles = tile(item, words, least)
+    tiles = tile(item.h, words.h, least, lambda i, j, n: np.array([item.word(i + k) == words.word(j + k) for k in range(n)]))
     covered = sum(t[2] for t in tiles) / len(item)
     return (covered, len(tiles), tiles[0][2]) if tiles and (covered >= coverage or tiles[0][2] >= long) else None
 
@@ -215,7 +272,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, coverage: f
             held[0] = Items([r[0] for r in shared.value], [r[1] for r in shared.value], least)
         own = held[0]
         for batch in slices(batches, "text"):
-            h, at = tokens(*text_bytes(get(batch, "text")))
+            texts = Texts(*text_bytes(get(batch, "text")))
+            h, at = texts.h, texts.at
             of, shared_seeds = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
             for length in own.lengths:
                 seeds = rolling(h, length)
@@ -225,7 +283,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, coverage: f
                 of.append(doc[inside])
                 shared_seeds.append(seeds[maybe[inside]])
             doc, seeds = np.concatenate(of), np.concatenate(shared_seeds)
-            out = [(int(d), *found) for d in np.unique(doc) for found in own.leaks(h[at[d] : at[d + 1]], seeds[doc == d], coverage, long)]
+            out = [(int(d), *found) for d in np.unique(doc) for found in own.leaks(texts.words(int(d)), seeds[doc == d], coverage, long)]
             if out:
                 d = pa.array([x[0] for x in out])
                 yield pa.RecordBatch.from_arrays([get(batch, "doc_id").take(d), get(batch, "text_hash").take(d), pa.array([own.ids[x[1]] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.float64()), pa.array([x[3] for x in out], pa.int32()), pa.array([x[4] for x in out], pa.int32())], ["doc_id", "text_hash", "item_id", "coverage", "n_tiles", "longest"])
@@ -234,30 +292,34 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, coverage: f
 
 
 def _seeds(rows: DataFrame, key: list[str], text: str, lengths: list[int], bitmap: np.ndarray | None) -> DataFrame:
-    """key columns, seed and its length, for each distinct seed of each row: of these lengths and in the bitmap, or where there is none, an item's own seeds with one length as the least."""
+    """key columns, seed, its length and weight (at how many places it is), and words of the text, for each distinct seed of each row: of these lengths and in the bitmap, or where there is none, an item's own seeds with one length as the least."""
     shared = rows.sparkSession.sparkContext.broadcast(bitmap)
     kinds = dict(rows.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
             h, at = tokens(*text_bytes(get(batch, text)))
-            own, count, row, size = [np.zeros(0, np.int64)], [], [], []
+            own, weight, count, row, size, words = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [], [], [], []
             for k, (x, y) in enumerate(zip(at[:-1], at[1:], strict=True)):
                 for length in lengths:
                     if shared.value is None:
-                        s, length = own_seeds(h[x:y], length), min(length, int(y - x))
-                    else:
-                        s = np.unique(rolling(h[x:y], length))
+                        length = min(length, int(y - x))
+                    s, n = np.unique(rolling(h[x:y], length) if length else np.zeros(0, np.uint64), return_counts=True)
+                    if shared.value is not None:
                         bit = (s >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
-                        s = s[(shared.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1]
+                        some = (shared.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+                        s, n = s[some], n[some]
                     own.append(s.view(np.int64))
+                    weight.append(n)
                     count.append(len(s))
                     row.append(k)
                     size.append(length)
-            take = pa.array(np.repeat(np.array(row, np.int64), count))
-            yield pa.RecordBatch.from_arrays([*[get(batch, k).take(take) for k in key], pa.array(np.concatenate(own)), pa.array(np.repeat(np.array(size, np.int32), count))], [*key, "seed", "length"])
+                    words.append(int(y - x))
+            each = lambda x: np.repeat(np.array(x, np.int64), count)
+            take = pa.array(each(row))
+            yield pa.RecordBatch.from_arrays([*[get(batch, k).take(take) for k in key], pa.array(np.concatenate(own)), pa.array(each(size)), pa.array(np.concatenate(weight)), pa.array(each(words))], [*key, "seed", "length", "weight", "words"])
 
-    return rows.mapInArrow(run, ", ".join(f"{k} {kinds[k]}" for k in key) + ", seed long, length int")
+    return rows.mapInArrow(run, ", ".join(f"{k} {kinds[k]}" for k in key) + ", seed long, length long, weight long, words long")
 
 
 def _leaks_by_join(rows: DataFrame, items: DataFrame, least: int, coverage: float, long: int) -> DataFrame:
@@ -269,7 +331,11 @@ def _leaks_by_join(rows: DataFrame, items: DataFrame, least: int, coverage: floa
     for r in bits.toLocalIterator():  # at most 2 MB of bits, whatever the benchmark's size
         bitmap[r["at"]] = r["b"]
     lengths = sorted(r["length"] for r in item_seeds.select("length").distinct().collect())  # at most as many as least
-    pairs = _seeds(rows, ["doc_id", "text_hash"], "text", lengths, bitmap).join(item_seeds, ["seed", "length"]).select("doc_id", "text_hash", "item_id", "item_hash").distinct()
+    met = _seeds(rows, ["doc_id", "text_hash"], "text", lengths, bitmap).drop("weight", "words").join(item_seeds, ["seed", "length"])
+    pairs = met.groupBy("doc_id", "text_hash", "item_id", "item_hash").agg(F.sum("weight").alias("weight"), F.max("words").alias("words"))
+    # a tile of n words holds n - least + 1 seeds, which is n / least at the least
+    enough = F.least(F.ceil(F.col("words") * coverage / least - 1e-6), F.lit(long - least + 1))
+    pairs = pairs.where(F.col("weight") >= enough).drop("weight", "words")
     a, b = pairs.alias("p"), rows.alias("r")
     same = F.expr("p.doc_id <=> r.doc_id and p.text_hash = r.text_hash")
     texts = a.join(b, same).select("p.*", "r.text")
@@ -277,8 +343,8 @@ def _leaks_by_join(rows: DataFrame, items: DataFrame, least: int, coverage: floa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            (h, at), (g, to) = tokens(*text_bytes(get(batch, "text"))), tokens(*text_bytes(get(batch, "item")))
-            found = [leak(g[to[k] : to[k + 1]], h[at[k] : at[k + 1]], least, coverage, long) for k in range(batch.num_rows)]
+            texts, own = Texts(*text_bytes(get(batch, "text"))), Texts(*text_bytes(get(batch, "item")))
+            found = [leak(own.words(k), texts.words(k), least, coverage, long) for k in range(batch.num_rows)]
             take = pa.array([k for k, x in enumerate(found) if x], pa.int64())
             got = [x for x in found if x]
             yield pa.RecordBatch.from_arrays([*[get(batch, k).take(take) for k in ("doc_id", "text_hash", "item_id")], pa.array([x[0] for x in got], pa.float64()), pa.array([x[1] for x in got], pa.int32()), pa.array([x[2] for x in got], pa.int32())], ["doc_id", "text_hash", "item_id", "coverage", "n_tiles", "longest"])
@@ -288,7 +354,10 @@ def _leaks_by_join(rows: DataFrame, items: DataFrame, least: int, coverage: floa
 
 def clean(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, coverage: float = COVERAGE) -> DataFrame:
     """The rows of ``docs`` that leak no item."""
-    found = scratch.written(leaks(docs, benchmark, least, coverage).select(F.col("doc_id").alias("leak_id"), F.col("text_hash").alias("leak_hash")).distinct(), "decontam-leaks")
+    mine, h = "leak_id", "leak_hash"
+    while mine in docs.columns or h in docs.columns:
+        mine, h = mine + "_", h + "_"
+    found = scratch.written(leaks(docs, benchmark, least, coverage).select(F.col("doc_id").alias(mine), F.col("text_hash").alias(h)).distinct(), "decontam-leaks")
     small = found.limit(1_000_001).count() <= 1_000_000
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("leak_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("leak_hash"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(mine)) & (F.xxhash64(F.col("text").cast("string")) == F.col(h))
     return docs.join(F.broadcast(found) if small else found, same, "left_anti")
