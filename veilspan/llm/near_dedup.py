@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veilspan import scratch
+from veilspan.llm import sums
 from veilspan.llm.arrow import get, slices, small_batches, text_bytes
 
 K, SHORT, MISS = 64, 24, 1e-10
@@ -295,14 +296,14 @@ def _between(groups: DataFrame, texts: Callable[[DataFrame], DataFrame], words:
     Nodes outside the main component are compared with all, in blocks of bounded size, by
     products of matrices; a block gives only the links that join components in it.
     """
-    outer = groups.where("not main").groupBy("lead").agg(F.count(F.lit(1)).alias("m_out"), F.sum("n").alias("n_out"))
-    inner = groups.where("main").groupBy("lead").agg(F.count(F.lit(1)).alias("m_in"), F.sum("n").alias("n_in"))
+    outer, own = ~F.col("main"), F.col("main")
+    sizes = groups.groupBy("lead").agg(*[f.alias(c) for f, c in ((F.count_if(outer), "m_out"), (F.sum(F.when(outer, F.col("n"))), "n_out"), (F.count_if(own), "m_in"), (F.sum(F.when(own, F.col("n"))), "n_in"), (F.count(F.lit(1)), "members"))])
 
     def parts(m: str, n: str):
         return F.greatest(F.ceil(F.coalesce(m, F.lit(0)) / F.lit(BLOCK_ROWS)), F.ceil(F.coalesce(n, F.lit(0)) / F.lit(BLOCK_HASHES)), F.lit(1)).cast("int")
 
-    plan = outer.join(inner, "lead", "left").select("lead", parts("m_out", "n_out").alias("k_out"), parts("m_in", "n_in").alias("k_in"))
-    rows = scratch.written(groups.join(plan, "lead"), "near-groups")
+    plan = sizes.where("m_out > 0").select("lead", "members", parts("m_out", "n_out").alias("k_out"), parts("m_in", "n_in").alias("k_in"))
+    rows = scratch.written(sums.lookup(groups, scratch.written(plan, "near-plan"), "lead", "members").drop("members"), "near-groups")
     sets = _sets(texts, scratch.written(rows.select("id").distinct(), "near-ids"), words)
     h = F.xxhash64("id", "lead")
     own = F.pmod(h, F.when(F.col("main"), F.col("k_in")).otherwise(F.col("k_out"))).cast("int")
@@ -348,11 +349,11 @@ def linked(texts: Callable[[DataFrame], DataFrame], nodes: DataFrame, words: int
 
     label = components(links)
     placed = group.join(label, "id", "left").select("lead", "id", "n", F.coalesce("comp", "id").alias("comp"))
-    main = label.select(F.col("id").alias("lead"), F.col("comp").alias("main_comp"))
-    placed = placed.join(main, "lead", "left").withColumn("main", F.col("comp") == F.coalesce("main_comp", "lead")).drop("main_comp")
-    split = placed.where("not main").select("lead").distinct()
-    placed = scratch.written(placed.join(split, "lead", "left_semi"), "near-split")
-    if placed.isEmpty():
+    leads = group.groupBy("lead").agg(F.count(F.lit(1)).alias("members")).join(label.withColumnRenamed("id", "lead"), "lead", "left")
+    leads = scratch.written(leads.select("lead", "members", F.coalesce("comp", "lead").alias("main_comp")), "near-leads")
+    placed = sums.lookup(placed, leads, "lead", "members").select("lead", "id", "n", "comp", (F.col("comp") == F.col("main_comp")).alias("main"))
+    placed = scratch.written(placed, "near-split")
+    if placed.where("not main").isEmpty():
         return links
     return scratch.written(links.union(_between(placed, texts, words, percent)), "near-links")
 

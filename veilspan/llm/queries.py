@@ -61,6 +61,19 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+OP4_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM w),
+e AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n) AS nx, any_value(b.n) AS ny, count(*) AS met FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY ALL),
+l AS (SELECT x, y FROM p WHERE 100 * met >= 80 * (nx + ny - met)),
+links AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+reach AS (SELECT doc_id AS id, doc_id AS r FROM documents UNION SELECT reach.id, links.y FROM reach JOIN links ON links.x = reach.r),
+c AS (SELECT id, min(r) AS component_id FROM reach GROUP BY id)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, component_id, s.doc_id = component_id AS kept FROM s JOIN c ON c.id = s.doc_id
+"""
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pii.detect(docs, pii.fit(docs))
@@ -117,5 +130,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op1_revisits": OP1_SQL,
     "op2_exact_dedup": OP2_SQL,
+    "op4_near_dedup": OP4_SQL,
     "op7_chat": OP7_SQL,
 }
