@@ -112,7 +112,11 @@ def test_cases(spark, make_docs, tmp_path):
     spark.createDataFrame([(1, "a b c d e f g")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     for rows in ([], [(1, None), (None, "x"), (2, ""), (2, ""), (3, "long " * 50_000, None, None), (4, "a b c d e f g")]):
         docs = make_docs(rows)
+        for c in ("gone", "leak_id", "leak_hash"):
+            docs = docs.withColumn(c, docs["lang"])
         for name, fn in cp.STAGES:
             got = fn(spark, docs, str(tmp_path))
             docs = spark.createDataFrame(got.collect(), got.schema)
+            if name != "tokens":  # other columns keep their values
+                assert all(r[c] == r.lang for r in docs.collect() for c in ("id", "score", "gone", "h", "leak_id", "rank"))
         assert docs.count() == 0 or rows
