@@ -17,17 +17,26 @@ from veilspan import scratch
 from veilspan.llm import decontam, mixing, near_dedup, quality, tokens
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """A name that no column of ``docs`` has."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't reject. It learns from the labels of documents that are still there."""
-    network = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score(docs, network, out="__score").where(F.col("__score") >= quality.THRESHOLD).drop("__score")
+    network, score = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), unused(docs, "score")
+    return quality.score(docs, network, out=score).where(F.col(score) >= quality.THRESHOLD).drop(score)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near duplicates, the one with the smallest id."""
-    gone = near_dedup.near_dedup(docs).where("not kept").select(F.col("doc_id").alias("id")).distinct()
+    own = unused(docs, "gone")
+    gone = near_dedup.near_dedup(docs).where("not kept").select(F.col("doc_id").alias(own)).distinct()
     gone = scratch.written(gone, "near-gone")
-    return near_dedup.chosen(docs.withColumn("id", F.col("doc_id").cast("long")), gone, "left_anti").select(*docs.columns)
+    small = gone.limit(near_dedup.BROADCAST_IDS + 1).count() <= near_dedup.BROADCAST_IDS
+    return docs.join(F.broadcast(gone) if small else gone, F.col("doc_id").cast("long") == F.col(own), "left_anti")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
