@@ -120,16 +120,16 @@ def resolve(records: DataFrame) -> DataFrame:
     salts = F.coalesce("salts", F.lit(1))
     revisits = found.join(F.broadcast(hot), (F.col("ref") == F.col("hot_ref")) & (F.col("key") == F.col("hot_key")), "left")
     revisits = revisits.select("record_id", "key", "fresh", "ref", F.pmod(F.xxhash64("record_id", "uid", F.lit("salt")), salts).cast("int").alias("salt"))
-    same = ("record_id", "ts", "uid")
-    for c in same:
-        revisits = revisits.withColumn(f"ref_{c}", F.col(f"ref.{c}"))
-    stored = rows.where("is_full and key is not null and ts is not null").select(F.struct(*same).alias("own"), "key", F.col("headers").alias("stored"), "payload")
+    # the place's columns, none of them null where there is a place, so that one exchange serves the distinct rows and the join
+    place = lambda r: {"at_known": r["record_id"].isNotNull(), "at_id": F.coalesce(r["record_id"], F.lit(0)), "at_ts": r["ts"], "at_uid": r["uid"]}
+    revisits = revisits.withColumns(place(F.col("ref")))
+    stored = rows.where("is_full and key is not null and ts is not null").select(F.struct("record_id", "ts", "uid").alias("own"), "key", F.col("headers").alias("stored"), "payload")
     stored = stored.join(F.broadcast(hot), (F.col("own") == F.col("hot_ref")) & (F.col("key") == F.col("hot_key")), "left")
-    stored = stored.select(*[F.col(f"own.{c}").alias(f"ref_{c}") for c in same], F.col("key").alias("ref_key"), "stored", "payload", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
+    stored = stored.withColumns(place(F.col("own"))).withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    on = ["key", "salt", "at_known", "at_id", "at_ts", "at_uid"]
     # rows of one place are equal in all that counts: one of them is enough
-    stored = stored.dropDuplicates([*[f"ref_{c}" for c in same], "ref_key", "salt"])
-    on = (F.col("key") == F.col("ref_key")) & (revisits.salt == stored.salt) & F.col("near_id").eqNullSafe(stored.ref_record_id) & (revisits.ref_ts == stored.ref_ts) & (revisits.ref_uid == stored.ref_uid)
-    joined = revisits.withColumnRenamed("ref_record_id", "near_id").join(stored, on, "left")
+    stored = stored.select(*on, "stored", "payload").dropDuplicates(on)
+    joined = revisits.join(stored, on, "left")
     status = F.when(F.col("ref").isNull(), "unresolved").otherwise(check(F.col("stored"), F.col("fresh")))
     done = joined.withColumn("status", status)
     good = F.col("status").isin("match", "unchecked")
