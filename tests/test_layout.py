@@ -76,13 +76,13 @@ def test_against_a_plain_computation(spark, seed):
     rng = random.Random(seed)
     rows = [r for d in range(60) for r in document(rng, d)]
     df = spark.createDataFrame(rows, SCHEMA)
-    gapped = layout.content_lines(layout.line_texts(layout.gaps(df, LINE), LINE), F.lit(1000))
-    lines = layout.bands(gapped, LINE, F.lit(150))
+    gapped = layout.gaps(df, LINE)
+    lines = layout.bands(gapped, LINE, F.lit(150), height=F.lit(1000))
     got = {(r.doc_id, r.page_index): (r.fires, r.tail_lines, r.next_head_lines) for r in layout.verdicts(layout.runs(lines, LINE[:2]), ["doc_id"]).collect()}
     want = plain_verdicts(rows, 150)
     assert got == want and {v[0] for v in want.values()} == {True, False}
     swept = {}
-    for r in layout.sweep(gapped, LINE[:2], ["doc_id"]).collect():
+    for r in layout.sweep(gapped, LINE[:2], ["doc_id"], height=F.lit(1000)).collect():
         swept.setdefault(r.threshold, {})[r.doc_id, r.page_index] = r.fires
     assert set(swept) == set(layout.SWEEP)
     for t in (60, 200, 260, 420):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veilspan.functions.text import literal_array, lstrip, newlines, piece, rstrip, strip
+from veilspan.functions.text import BLANKS, lstrip, newlines, piece, strip
 
 #: Words that aren't part of a span of this type, at its start and at its end.
 LEADING = {"DATE_TIME": ("on", "or", "about", "at", "from", "through", "until", "since", "by", "before", "after", "in", "within", "commencing", "effective", "date", "dated", "this", "beginning", "starting", "the", "of", "as")}
@@ -18,27 +18,15 @@ def _action(name: str, fixed: bool, token: Column | None = None, count: Column |
     return F.struct(F.lit(name).alias("action"), (none if token is None else token).cast("string").alias("token"), (none if count is None else count).cast("int").alias("count"), F.lit(reason).cast("string").alias("reason"), F.lit(fixed).alias("fixed")).cast(ACTION)
 
 
-def _listed(entity_type: Column, lists: dict[str, tuple[str, ...]]) -> Column:
-    found = F.array().cast("array<string>")
-    for kind, words in lists.items():
-        found = F.when(entity_type == kind, literal_array(words)).otherwise(found)
-    return found
-
-
-def _peeled(value: Column, words: Column, name: str, front: bool) -> Column:
-    """What is left of ``value`` after listed tokens are taken off one end, and the actions."""
-    tokens = F.split(value, r"(?U)\s+")
-    tokens = tokens if front else F.reverse(tokens)
-    begin = F.struct(value.alias("left"), F.lit(False).alias("stop"), F.array().cast(f"array<{ACTION}>").alias("actions"))
-
-    def step(acc: Column, token: Column) -> Column:
-        n = F.length(acc["left"]) - F.length(token)
-        rest = lstrip(F.substr(acc["left"], F.length(token) + 1)) if front else rstrip(F.substr(acc["left"], F.lit(1), n))
-        taken = F.struct(rest.alias("left"), F.lit(False).alias("stop"), F.concat(acc["actions"], F.array(_action(name, True, token=token))).alias("actions"))
-        over = F.struct(acc["left"].alias("left"), F.lit(True).alias("stop"), acc["actions"].alias("actions"))
-        return F.when(acc["stop"] | (acc["left"] == "") | ~F.array_contains(words, F.lower(token)), over).otherwise(taken)
-
-    return F.aggregate(tokens, begin, step)
+def _peeled(value: Column, words: tuple[str, ...], name: str, front: bool) -> Column:
+    """What is left of ``value`` after listed tokens are taken off one end, and the actions: one match finds them all."""
+    any_of, blank = f"(?i:{'|'.join(words)})", f"[{BLANKS}]"
+    pattern = rf"^(?:{any_of}(?:{blank}+|\z))+" if front else rf"(?:(?:^|{blank}+){any_of})+\z"
+    found = F.regexp_extract(value, pattern, 0)
+    rest = lstrip(F.substr(value, F.length(found) + 1)) if front else F.substr(value, F.lit(1), F.length(value) - F.length(found))
+    tokens = F.filter(F.split(F.translate(found, BLANKS, " " * len(BLANKS)), " "), lambda t: t != "")
+    actions = F.transform(tokens if front else F.reverse(tokens), lambda t: _action(name, True, token=t))
+    return F.when(found == "", F.struct(value.alias("left"), F.array().cast(f"array<{ACTION}>").alias("actions"))).otherwise(F.struct(rest.alias("left"), actions.alias("actions")))
 
 
 def splits_word(text: Column, at: Column) -> Column:
@@ -71,9 +59,10 @@ def normalized(rows: DataFrame, leading: dict = LEADING, trailing: dict = TRAILI
 
     def peel(value: Column, lists: dict, name: str, front: bool) -> Column:
         """Only types with a list are looked at."""
-        same = F.struct(value.alias("left"), nothing.alias("actions"))
-        done = _peeled(value, _listed(F.col("entity_type"), lists), name, front)
-        return F.when(F.col("entity_type").isin(*lists), F.struct(done["left"].alias("left"), done["actions"].alias("actions"))).otherwise(same)
+        out = F.struct(value.alias("left"), nothing.alias("actions"))
+        for kind, words in lists.items():
+            out = F.when(F.col("entity_type") == kind, _peeled(value, words, name, front)).otherwise(out)
+        return out
 
     r = rows.withColumn("v1", strip(F.col("cut"))).withColumn("skip", F.length("cut") - F.length(lstrip(F.col("cut"))))
     r = r.withColumn("front", peel(F.col("v1"), leading, "leading_trim", True))

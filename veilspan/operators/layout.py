@@ -26,10 +26,18 @@ def gaps(words: DataFrame, line: list[str]) -> DataFrame:
     return words.withColumn("gap", F.col("x") - F.lag(F.col("x") + F.col("w")).over(left))
 
 
-def bands(gapped: DataFrame, line: list[str], threshold: Column, keep: tuple[str, ...] = ()) -> DataFrame:
-    """For each line, the left edges of its bands in order; a gap wider than the threshold begins one. ``keep``: columns that a line's words share."""
+def _said() -> list[Column]:
+    """line_y and line_text, what ``content_lines`` asks of a line, from its words."""
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "text"))), lambda x: x["text"]), " ")
+    return [F.min("y").alias("line_y"), text.alias("line_text")]
+
+
+def bands(gapped: DataFrame, line: list[str], threshold: Column, keep: tuple[str, ...] = (), height: Column | None = None) -> DataFrame:
+    """For each line, the left edges of its bands in order; a gap wider than the threshold begins one. ``keep``: columns that a line's words share; ``height``: of the page, where footers are to be left out."""
     begins = F.col("gap").isNull() | (F.col("gap") > threshold)
-    return gapped.groupBy(*line).agg(F.array_sort(F.collect_list(F.when(begins, F.col("x")))).alias("bands"), *[F.first(c).alias(c) for c in keep])
+    edges = F.array_sort(F.collect_list(F.when(begins, F.col("x")))).alias("bands")
+    lines = gapped.groupBy(*line).agg(edges, *[F.first(c).alias(c) for c in keep], *([] if height is None else _said()))
+    return lines if height is None else content_lines(lines, height).drop("line_y", "line_text")
 
 
 def bands_match(a: Column, b: Column, tolerance: int = TOLERANCE) -> Column:
@@ -81,24 +89,19 @@ def verdicts(pages: DataFrame, doc: list[str], order: str = "page_index") -> Dat
     return p.withColumn("fires", F.coalesce(fires & bands_match(F.col("tail_bands"), F.col("next_head_bands")), F.lit(False)))
 
 
-def line_texts(words: DataFrame, line: list[str]) -> DataFrame:
-    """Adds line_y and line_text, what ``content_lines`` asks of a line, to its words."""
-    over = Window.partitionBy(*line)
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "text")).over(over)), lambda x: x["text"]), " ")
-    return words.withColumn("line_y", F.min("y").over(over)).withColumn("line_text", text)
-
-
-def sweep(gapped: DataFrame, page: list[str], doc: list[str], thresholds: tuple[int, ...] = SWEEP) -> DataFrame:
-    """Verdicts for each threshold: the list of thresholds multiplies the lines after they are gathered, not the words."""
+def sweep(gapped: DataFrame, page: list[str], doc: list[str], thresholds: tuple[int, ...] = SWEEP, height: Column | None = None) -> DataFrame:
+    """Verdicts for each threshold: the list of thresholds multiplies the lines after they are gathered, not the words. ``height``: of the page, where footers are to be left out."""
     line = [*page, "line_no"]
-    words = gapped.groupBy(*line).agg(F.array_sort(F.collect_list(F.struct("x", "gap"))).alias("ws"))
+    words = gapped.groupBy(*line).agg(F.array_sort(F.collect_list(F.struct("x", "gap"))).alias("ws"), *([] if height is None else _said()))
+    if height is not None:
+        words = content_lines(words, height).drop("line_y", "line_text")
     each = words.withColumn("threshold", F.explode(F.array(*[F.lit(t) for t in thresholds])))
     b = F.transform(F.filter("ws", lambda w: w["gap"].isNull() | (w["gap"] > F.col("threshold"))), lambda w: w["x"])
     return verdicts(runs(each.withColumn("bands", b), [*page, "threshold"]), [*doc, "threshold"])
 
 
 def content_lines(rows: DataFrame, height: Column, y: str = "line_y", text: str = "line_text") -> DataFrame:
-    """Lines, or words with what ``line_texts`` adds, that are no footers."""
+    """Lines that are no footers."""
     return rows.where(~is_footer(F.col(y), height, F.coalesce(text, F.lit(""))))
 
 

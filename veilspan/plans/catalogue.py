@@ -53,7 +53,7 @@ def overlap_exposure_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def detect_regex_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = R.table(spark, sf_dir, "documents").select("doc_id", detect.detect(F.col("text")).alias("found"))
+    df = R.spread(R.table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", detect.detect(F.col("text")).alias("found"))
     return _entities(df, "found", "doc_id")
 
 
@@ -93,7 +93,7 @@ def newline_preservation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _anonymized(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, page_index, text, restore_map, substitutions, anonymized_text of whole documents."""
-    df = R.table(spark, sf_dir, "documents").select("doc_id", F.lit(0).alias("page_index"), F.coalesce("text", F.lit("")).alias("text"))
+    df = R.spread(R.table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.lit(0).alias("page_index"), F.coalesce("text", F.lit("")).alias("text"))
     df = df.withColumn("entities", detect.detect(F.col("text")))
     return anonymize.propose(df, PAGE).withColumn("anonymized_text", anonymize.apply(F.col("text"), F.col("substitutions")))
 
@@ -284,29 +284,27 @@ def largest_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.largest_gaps(_gapped(spark, sf_dir)).select("gap", *PAGE, "text")
 
 
-def _content(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words of lines that are no footers. Every fifth document's height isn't known."""
-    height = F.when(F.col("doc_id") % 5 == 0, 0).otherwise(R.HEIGHT)
-    return layout.content_lines(layout.line_texts(_gapped(spark, sf_dir), LINE), height)
+def _height():
+    """Every fifth document's height isn't known."""
+    return F.when(F.col("doc_id") % 5 == 0, 0).otherwise(R.HEIGHT)
 
 
 @query
 def footer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = words.line_rows(_words(spark, sf_dir), PAGE)
     said = F.when(F.col("doc_id") % 7 == 3, F.concat("text", F.lit(" page 4 - x"))).otherwise(F.col("text"))
-    height = F.when(F.col("doc_id") % 5 == 0, 0).otherwise(R.HEIGHT)
-    return lines.where(layout.is_footer(F.col("y"), height, said)).select(*PAGE, "line_id")
+    return lines.where(layout.is_footer(F.col("y"), _height(), said)).select(*PAGE, "line_id")
 
 
 @query
 def continuation_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = layout.bands(_content(spark, sf_dir), LINE, F.lit(layout.GAP))
+    lines = layout.bands(_gapped(spark, sf_dir), LINE, F.lit(layout.GAP), height=_height())
     return layout.verdicts(layout.runs(lines, PAGE), ["doc_id"]).select(*PAGE, "next_page_index", "tail_lines", "next_head_lines", "fires")
 
 
 @query
 def threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = layout.sweep(_content(spark, sf_dir), PAGE, ["doc_id"])
+    v = layout.sweep(_gapped(spark, sf_dir), PAGE, ["doc_id"], height=_height())
     return v.groupBy("threshold").agg(F.count(F.lit(1)).alias("boundaries"), F.count_if("fires").alias("firing"))
 
 

@@ -50,13 +50,19 @@ DECREE_SPANS = (
 )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table whose files give fewer parts than there are cores is dealt out over all of them, as what follows is much work for each row; a larger one stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def span_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, entity_type, s, e, score: a row for each line of an order."""
-    return table(spark, sf_dir, "lineitem").selectExpr(*[f"{x} AS {n}" for n, x in SPAN_COLUMNS.items()])
+    return spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")).selectExpr(*[f"{x} AS {n}" for n, x in SPAN_COLUMNS.items()])
 
 
 def span_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +73,7 @@ def span_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def decrees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, page_index, text, entities."""
-    df = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    df = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"))
     for name, x in DECREE_COLUMNS:
         df = df.withColumn(name, F.expr(x))
     made = [F.expr(f"CASE WHEN {cond} THEN named_struct('entity_type', {t}, 'start', CAST({s} AS INT), 'end', CAST({s} + {n} AS INT), 'score', CAST({p} AS DOUBLE), 'text', substr(body, {s} + 1, {n})) END") for t, s, n, p, cond in DECREE_SPANS]
@@ -76,7 +82,7 @@ def decrees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, page_index, line_no, line_id, text: documents cut into pages of ten lines."""
-    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("i", "text"))
+    lines = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("i", "text"))
     no = F.col("i") % LINES_ON_PAGE
     return lines.select("doc_id", F.expr(f"CAST(i DIV {LINES_ON_PAGE} AS INT)").alias("page_index"), no.alias("line_no"), F.expr(f"concat_ws(':', i % {LINES_ON_PAGE} DIV 4, i % 4 DIV 2, i % {LINES_ON_PAGE})").alias("line_id"), "text")
 
