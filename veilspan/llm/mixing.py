@@ -154,6 +154,9 @@ class Mix:
         self.sized = rows.withColumn("at", F.col("bucket_at") + F.col("upto") - F.col("size")).drop("bucket_at", "upto", "spot", "h")
 
         plan = draws(sources.select("sid", "quota"), recipe)
+        # a row of the plan is many slots: they are dealt out before they are made
+        spark = docs.sparkSession
+        plan = plan.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), "shard", "sid")
         slots = plan.select("shard", "sid", F.explode(F.expr("sequence(first, first + n - 1)")).alias("count"))
         held = scratch.written(plan.groupBy("sid").agg(F.sum("n").alias("n")).join(sources.select("sid", "blocks", "quota", "cut_to"), "sid"), "mix-slots")
         slots = sums.lookup(slots, held, "sid", "n").drop("n")
