@@ -92,3 +92,16 @@ def test_empty(make_docs):
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 60)] + [(100, 101)], "a long, b long")
     assert {(r.id, r.comp) for r in nd.components(links).collect()} == {(i, 1) for i in range(1, 61)} | {(100, 100), (101, 100)}
+
+
+def test_sql_gives_the_same(small):
+    import duckdb
+
+    from veilspan.llm.queries import OP4_SQL
+
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW documents AS SELECT * FROM '{small}/documents.parquet'")
+    rows = c.execute("SELECT doc_id, text FROM documents").fetchall()
+    got = c.execute(OP4_SQL)
+    assert [d[0] for d in got.description] == ["doc_id", "n_shingles", "component_id", "kept"]
+    assert sorted(got.fetchall()) == brute(rows, 2)
