@@ -143,6 +143,14 @@ def line_parity(text: Column, n_lines: Column) -> Column:
     return F.size(F.split(text, "\n")) == n_lines
 
 
+def line_pairs(pages: DataFrame, lines: DataFrame, page: list[str]) -> DataFrame:
+    """Lines of a page's text beside the recognised ones, by place: page, line_no, line_id, original, anonymized. A page whose numbers of lines differ has none. lines: page, line_seq, line_id, text."""
+    own = lines.groupBy(*page).agg(F.array_sort(F.collect_list(F.struct("line_seq", "line_id", F.col("text").alias("original")))).alias("own"))
+    both = pages.join(own, page).where(line_parity(F.col("text"), F.size("own")))
+    pairs = F.arrays_zip(F.split("text", "\n").alias("anonymized"), F.col("own").alias("line"))
+    return both.select(*page, F.posexplode_outer(pairs).alias("line_no", "p")).where("p is not null").select(*page, "line_no", "p.line.line_id", "p.line.original", "p.anonymized")
+
+
 def survival(rows: DataFrame, by: list[str]) -> DataFrame:
     """Presence checks of tokens by format: rows with text and token."""
     ok = F.contains("text", F.col("token")).cast("int")

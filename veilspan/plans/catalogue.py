@@ -203,6 +203,15 @@ def page_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select(*PAGE, "text", F.size("words").cast("long").alias("n_words"), F.size("lines").cast("long").alias("n_lines"), last["text"].alias("last_word"), last["char_span"]["end"].alias("last_end"), line["line_id"].alias("last_line"), line["box"]["y"].cast("long").alias("last_y"))
 
 
+@query
+def line_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A step that changes letters, and joins the lines of each fifth document."""
+    lines = scratch.written(words.line_rows(_words(spark, sf_dir), PAGE), "lines")
+    changed = F.replace("text", F.lit("e"), F.lit("3"))
+    said = F.when(F.col("doc_id") % 5 == 0, F.replace(changed, F.lit("\n"), F.lit(" "))).otherwise(changed)
+    return docs.line_pairs(words.page_text(lines, PAGE).withColumn("text", said), lines, PAGE)
+
+
 @query
 def raster_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The guard passes where sizes are equal or not known."""

@@ -297,6 +297,10 @@ SELECT fold, term, translation, verified FROM f WHERE verified UNION ALL SELECT
         _CHARS,
         "SELECT doc_id, page_index, any_value(pagetext.text) AS text, count(*) AS n_words, count(DISTINCT line_id) AS n_lines, arg_max(spans.text, e) AS last_word, max(e) AS last_end, arg_max(line_id, e) AS last_line, arg_max(y, e) AS last_y FROM spans JOIN pagetext USING (doc_id, page_index) GROUP BY doc_id, page_index",
     ),
+    "line_pairs": with_(
+        _CHARS,
+        "SELECT doc_id, page_index, row_number() OVER (PARTITION BY doc_id, page_index ORDER BY line_seq) - 1 AS line_no, line_id, text AS original, replace(text, 'e', '3') AS anonymized FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, page_index) AS n FROM linerows) WHERE doc_id % 5 <> 0 OR n = 1",
+    ),
     "raster_parity": "SELECT doc_id, TRUE AS same FROM documents",
     "page_counts": with_(_LINES, "SELECT doc_id, count(DISTINCT page_index) AS n_pages FROM lines GROUP BY doc_id"),
     "pages_in_bounds": with_(
