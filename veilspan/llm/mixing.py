@@ -126,7 +126,9 @@ class Mix:
         self.recipe = recipe
         own = F.struct(*docs.columns).alias("row")
         base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), F.xxhash64("text", "source").alias("h"), *([own] if keep_text else []))
-        base = scratch.written(base.withColumn("spot", F.xxhash64(F.lit(recipe.seed), "doc_id", "h")), "mix-sized")
+        base = base.withColumn("spot", F.xxhash64(F.lit(recipe.seed), "doc_id", "h"))
+        if not keep_text:  # with texts, a copy would be as large as the documents: they are read twice
+            base = scratch.written(base, "mix-sized")
 
         # sources by code point: their targets, blocks and slots
         sources = base.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
@@ -202,7 +204,7 @@ class Mix:
 
 
 def mixed_documents(docs: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
-    """The mix: a row for each piece, with all columns of its document, its own words as ``text`` and their ``n_chars``, and PLACE.
+    """The mix of a written table: a row for each piece, with all columns of its document, its own words as ``text`` and their ``n_chars``, and PLACE.
 
     PLACE is the shard, the slot in it, the word of the slot at which the piece begins, and
     whether the piece ends its document: in the order of the first three, the pieces are the
