@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from veilspan.llm import chat, decontam, exact_dedup, langid, mixing, near_dedup, pii, quality, tokens, warc
+from veilspan.llm import chat, decontam, exact_dedup, langid, line_dedup, mixing, near_dedup, pii, quality, tokens, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -114,6 +115,20 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+OP12_SQL = r"""
+WITH l AS (SELECT doc_id, pos, lines[pos] AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents), unnest(generate_series(1, len(lines))) AS t(pos)),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+m AS (SELECT *, length(key) < 10 OR doc_id = min(doc_id) OVER (PARTITION BY key) AS stays FROM k)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (stays), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_revisits": op1_revisits,
     "op2_exact_dedup": op2_exact_dedup,
@@ -125,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_mix_sources": op9_mix_sources,
     "op10_decontamination": op10_decontamination,
+    "op12_line_dedup": op12_line_dedup,
 }
 
 ORACLES: dict[str, str] = {
@@ -132,4 +148,5 @@ ORACLES: dict[str, str] = {
     "op2_exact_dedup": OP2_SQL,
     "op4_near_dedup": OP4_SQL,
     "op7_chat": OP7_SQL,
+    "op12_line_dedup": OP12_SQL,
 }
