@@ -9,7 +9,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _libc = ctypes.CDLL(None)
 
@@ -44,6 +44,12 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 2 << 20) ->
     release()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table whose files give fewer parts than there are cores, dealt out over all of them; a larger one as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 2000) -> Iterator[None]:
     """Within it, Arrow batches of what is planned and run have at most so many rows."""

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilspan.llm import chat, decontam, exact_dedup, langid, line_dedup, mixing, near_dedup, pii, quality, tokens, warc
+from veilspan.llm import alignment, chat, decontam, exact_dedup, langid, line_dedup, mixing, near_dedup, periodic_runs, pii, quality, tokens, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -115,6 +117,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(table(spark, sf_dir, "documents"))
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -129,6 +135,21 @@ FROM m GROUP BY doc_id
 """
 
 
+def planted(doc_id: int | None, n: int) -> np.ndarray | None:
+    """Makes every tenth document periodic from one of its words on, by a hash of its id."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return np.concatenate([np.arange(a), a + np.arange(n - a) % p])
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest(periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), reading=planted))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_revisits": op1_revisits,
     "op2_exact_dedup": op2_exact_dedup,
@@ -140,7 +161,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_mix_sources": op9_mix_sources,
     "op10_decontamination": op10_decontamination,
+    "op11_alignment": op11_alignment,
     "op12_line_dedup": op12_line_dedup,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {

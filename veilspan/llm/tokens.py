@@ -76,15 +76,16 @@ def default_path() -> str:
 
 
 class Encoder:
-    """Ids of whole texts. Distinct parts are encoded by the library once, until too many are remembered."""
+    """Ids of whole texts. Distinct parts are encoded by the library once, until too many are remembered. ``plain``: strings of added tokens are plain text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = plain
         # texts that hold an added token are encoded whole
-        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = [] if plain else [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         # a byte-level token has a character for each of its bytes
         size = self.tokenizer.get_vocab_size()
         self.lengths = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)])
