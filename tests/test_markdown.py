@@ -152,3 +152,20 @@ def test_widths(spark, sizes):
     text = "| " + " | ".join("h" * min(n, 2) for n in sizes) + " |\n|" + "-|" * len(sizes) + "\n| " + " | ".join("c" * n for n in sizes) + " |"
     got = spark.range(1).select(blocks.column_widths(blocks.table_rows(F.lit(text)))).first()[0]
     assert got == [max(720, 9360 * n // sum(sizes)) for n in sizes]
+
+
+def test_blank_and_fused_blocks_keep_their_line_breaks(spark):
+    cases = {"": [""], "a": ["a"], "| a |\n\n\n| b |\n\nc\n\n| d |": ["| a |\n| b |", "c", "| d |"], "x\n| a |\n\n| b |\ny\n\n| c |": ["x\n| a |\n| b |\ny", "| c |"]}
+    df = spark.createDataFrame([(t,) for t in cases], "t string")
+    assert {r.t: r.b for r in df.select("t", blocks.split_blocks(F.col("t")).alias("b")).collect()} == cases
+
+
+def test_a_document_of_100_000_pages(spark):
+    """A table goes over most of them: each page is a row of its own in all steps but the table itself."""
+    n = 100_000
+    text = F.when(F.col("id") == 1, "intro\n\n| k | v |\n|---|---|\n| 0 | 0 |\n\nPage 1").when(F.col("id") == n - 5, "prose closes it").when(F.col("id") % 1000 == 7, "Page of footers\n\nSayfa 3").otherwise(F.concat(F.lit("| "), F.col("id").cast("string"), F.lit(" | 1 |\n\nPage "), F.col("id").cast("string")))
+    pages = spark.range(1, n + 1).repartition(8).select(F.lit("d").alias("doc"), F.col("id").cast("int").alias("page_index"), F.when(F.col("id") % 1000 == 7, F.lit("Sayfa 3")).otherwise(text).alias("text"))
+    got = markdown.splices(pages, ["doc"]).agg(F.sum("taken").alias("taken"), F.max("target_page").alias("to"), F.max(F.when(F.col("taken") > 0, F.col("page_index"))).alias("last")).first()
+    footers = len(range(7, n - 5, 1000))
+    assert tuple(got) == (n - 5 - 2 - footers, 1, n - 6)
+    assert markdown.spliced_blocks(pages, ["doc"]).agg(F.max("added_rows")).first()[0] == got.taken

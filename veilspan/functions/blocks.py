@@ -53,15 +53,22 @@ def split_blocks(text: Column) -> Column:
     """Blocks of one page: parted by blank lines, but a block that begins with a pipe row is joined to one that ends with a pipe row (so two real tables next to each other become one)."""
     parts = F.split(strip(text), r"\n(?U:\s*)\n")
 
-    def step(acc: Column, block: Column) -> Column:
-        last = F.try_element_at(acc, F.lit(-1))
-        before, here = nonblank_lines(last), nonblank_lines(block)
-        fuse = F.coalesce(is_pipe_row(F.try_element_at(before, F.lit(-1))) & is_pipe_row(F.try_element_at(here, F.lit(1))), F.lit(False))
-        joined = F.concat(F.regexp_replace(last, r"\n+\z", ""), F.lit("\n"), F.regexp_replace(block, r"^\n+", ""))
-        head = F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))
-        return F.when(fuse, F.concat(head, F.array(joined))).otherwise(F.concat(acc, F.array(block)))
+    def edges(b: Column) -> Column:
+        return let(nonblank_lines(b), lambda n: F.struct(is_pipe_row(F.try_element_at(n, F.lit(1))).alias("first"), is_pipe_row(F.try_element_at(n, F.lit(-1))).alias("last")))
 
-    return F.aggregate(parts, F.array().cast("array<string>"), step)
+    def fused(all_: Column, e: Column) -> Column:
+        goes_on = lambda i: F.coalesce((i > 0) & F.get(e, i - 1)["last"] & F.get(e, i)["first"], F.lit(False))
+        starts = F.filter(F.sequence(F.lit(0), F.size(all_) - 1), lambda i: ~goes_on(i))
+
+        def block(at: Column, start: Column, k: Column) -> Column:
+            own = F.slice(all_, start + 1, F.coalesce(F.get(at, k + 1), F.size(all_)) - start)
+            before = lambda x, i: F.when(i > 0, F.regexp_replace(x, r"^\n+", "")).otherwise(x)
+            after = lambda x, i: F.when(i < F.size(own) - 1, F.regexp_replace(x, r"\n+\z", "")).otherwise(x)
+            return F.array_join(F.transform(F.transform(own, before), after), "\n")
+
+        return let(starts, lambda at: F.transform(at, lambda start, k: block(at, start, k)))
+
+    return let(parts, lambda all_: let(F.transform(all_, edges), lambda e: fused(all_, e)))
 
 
 def kind(block: Column) -> Column:
@@ -104,59 +111,31 @@ def column_widths(rows: Column) -> Column:
     return F.transform(most, lambda m: F.greatest(F.floor(F.lit(float(WIDTH_TWIPS)) * m / total).cast("int"), F.lit(LEAST_TWIPS)))
 
 
-STATE = "struct<open_page:int,open_block:int,ncols:int,popped:array<struct<page:int,n:int>>,added:array<struct<page:int,block:int,rows:array<string>>>>"
-
+def summary(blocks: Column) -> Column:
+    """What a page's blocks do to a table that is open before it.
 
-def splice(pages: Column) -> Column:
-    """Tables that go over pages. ``pages``: array of struct(page, blocks) in page order.
-
-    Returns popped (blocks taken from the start of each page) and added (rows for the block
-    of a page, numbered before any block was taken). A table stays open at a page's end if
-    it is the last block but for footers; blocks of rows only, with its number of cells, at
-    the start of the next page continue it. A page of footers only leaves it open; any
-    other page without an open table at its end, also an empty one, closes it.
+    lead: how many blocks at the start are rows only, of one number of cells, ``cells``, and
+    lead_rows, their rows; last: the last block that isn't a footer (null: there is none, the
+    table stays open); is_table and ncols, the cells of its first line. If ``lead`` reaches
+    ``last``, the page passes on a table of its own number of cells and closes any other.
     """
-    begin = F.struct(F.lit(None).cast("int").alias("open_page"), F.lit(None).cast("int").alias("open_block"), F.lit(None).cast("int").alias("ncols"), F.array().cast("array<struct<page:int,n:int>>").alias("popped"), F.array().cast("array<struct<page:int,block:int,rows:array<string>>>").alias("added"))
 
     def read(b: Column, i: Column) -> Column:
-        """What the fold asks of a block: once for each, outside of it. ncols: cells of a continuation's rows, -1 where they differ; or of a table's first line."""
-
         def of(x: Column) -> Column:
-            lines, counts = x["lines"], F.transform(x["lines"], lambda r: F.size(cells(r)))
-            return let(counts, lambda n: F.struct(i.alias("i"), lines.alias("lines"), x["cont"].alias("cont"), is_footerish(b).alias("foot"), is_table(lines).alias("table"), F.when(x["cont"] & (F.array_min(n) != F.array_max(n)), -1).otherwise(F.try_element_at(n, F.lit(1))).alias("ncols")))
+            counts = F.transform(x["lines"], lambda r: F.size(cells(r)))
+            uneven = lambda n: x["cont"] & (F.array_min(n) != F.array_max(n))
+            return let(counts, lambda n: F.struct(i.alias("i"), x["lines"].alias("lines"), x["cont"].alias("cont"), is_footerish(b).alias("foot"), is_table(x["lines"]).alias("table"), F.when(uneven(n), -1).otherwise(F.try_element_at(n, F.lit(1))).alias("ncols")))
 
         return let(F.struct(nonblank_lines(b).alias("lines"), is_continuation(b).alias("cont")), of)
 
-    ready = F.transform(pages, lambda p: F.struct(p["page"].alias("page"), F.transform(p["blocks"], read).alias("blocks")))
-
-    def step(acc: Column, page: Column) -> Column:
-        blocks = page["blocks"]
-
-        def lead(a: Column, b: Column) -> Column:
-            go = ~a["stop"] & F.coalesce(b["cont"] & (b["ncols"] == acc["ncols"]), F.lit(False))
-            return F.struct((a["n"] + F.when(go, 1).otherwise(0)).alias("n"), (~go).alias("stop"))
-
-        taken = F.when(acc["open_page"].isNull(), F.lit(0)).otherwise(F.aggregate(blocks, F.struct(F.lit(0).alias("n"), F.lit(False).alias("stop")), lead, lambda a: a["n"]))
-
-        def left(n: Column) -> Column:
-            # the last block that isn't a footer, among those that are left
-            return F.struct(n.alias("n"), F.try_element_at(F.filter(blocks, lambda x: (x["i"] >= n) & ~x["foot"]), F.lit(-1)).alias("last"))
-
-        def moved(t: Column) -> Column:
-            last = t["last"]
-
-            def pick(old: Column, new: Column) -> Column:
-                return F.when(last.isNull(), old).otherwise(F.when(last["table"], new))
-
-            rows = F.flatten(F.transform(F.slice(blocks, F.lit(1), t["n"]), lambda b: b["lines"]))
-            return F.struct(
-                pick(acc["open_page"], page["page"]).cast("int").alias("open_page"),
-                pick(acc["open_block"], last["i"]).cast("int").alias("open_block"),
-                pick(acc["ncols"], last["ncols"]).cast("int").alias("ncols"),
-                F.when(t["n"] > 0, F.concat(acc["popped"], F.array(F.struct(page["page"].alias("page"), t["n"].alias("n"))))).otherwise(acc["popped"]).alias("popped"),
-                F.when(t["n"] > 0, F.concat(acc["added"], F.array(F.struct(acc["open_page"].alias("page"), acc["open_block"].alias("block"), rows.alias("rows"))))).otherwise(acc["added"]).alias("added"),
-            ).cast(STATE)
-
-        return let(let(taken, left), moved)
-
-    return F.aggregate(ready, begin.cast(STATE), step, lambda a: F.struct(a["popped"].alias("popped"), a["added"].alias("added")))
+    def whole(all_: Column) -> Column:
+        first = F.try_element_at(all_, F.lit(1))
+        other = F.filter(all_, lambda b: ~F.coalesce(b["cont"] & (b["ncols"] == first["ncols"]), F.lit(False)))
+        lead = F.coalesce(F.try_element_at(other, F.lit(1))["i"], F.size(all_))
+        last = F.try_element_at(F.filter(all_, lambda b: ~b["foot"]), F.lit(-1))
+        return F.struct(
+            lead.alias("lead"), F.when(lead > 0, first["ncols"]).alias("cells"), F.flatten(F.transform(F.slice(all_, F.lit(1), lead), lambda b: b["lines"])).alias("lead_rows"),
+            last["i"].alias("last"), last["table"].alias("is_table"), last["ncols"].alias("ncols"),
+        )
+
+    return let(F.transform(blocks, read), whole)

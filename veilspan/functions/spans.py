@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from veilspan.functions.text import scan
+
 SCORE_FLOOR = 0.30
 #: An entity, and the warning of a drop that leaves text uncovered.
 ENTITY = "struct<entity_type:string,start:int,end:int,score:double,text:string>"
@@ -26,6 +28,11 @@ def priority(e: Column) -> Column:
     return F.struct((-e["score"]).alias("a"), (e["start"] - e["end"]).alias("b"), e["start"].alias("c"), e["entity_type"].alias("d"))
 
 
+def priority_columns() -> list[Column]:
+    """The same key, from columns of rows, for the order of a window."""
+    return [-F.col("score"), F.col("start") - F.col("end"), F.col("start"), F.col("entity_type")]
+
+
 def uncovered(lo: Column, hi: Column, by_lo: Column, by_hi: Column) -> Column:
     """Up to two pieces of [lo, hi) that an overlapping [by_lo, by_hi) leaves over."""
     left = F.when(lo < by_lo, F.struct(lo.alias("start"), by_lo.alias("end")))
@@ -42,12 +49,9 @@ def resolve(entities: Column) -> Column:
     without a better neighbour nor a best-first choice is the same.
     """
     ordered = F.transform(F.array_sort(F.transform(entities, lambda e: F.struct(e["start"].alias("at"), priority(e).alias("key"), e.alias("e")))), lambda x: x["e"])
-    none = F.lit(None).cast(ENTITY)
-    begin = F.struct(none.alias("cur"), F.array().cast(f"array<{ENTITY}>").alias("done"), F.array().cast(f"array<{WARNING}>").alias("warnings"))
 
-    def step(acc: Column, nxt: Column) -> Column:
-        cur = acc["cur"]
-        met = overlap(cur["start"], cur["end"], nxt["start"], nxt["end"])
+    def step(cur: Column, nxt: Column) -> tuple[Column, dict[str, Column]]:
+        met = cur.isNotNull() & overlap(cur["start"], cur["end"], nxt["start"], nxt["end"])
         wins = priority(nxt) < priority(cur)
         winner, loser = F.when(wins, nxt).otherwise(cur), F.when(wins, cur).otherwise(nxt)
         bare = uncovered(loser["start"], loser["end"], winner["start"], winner["end"])
@@ -56,14 +60,16 @@ def resolve(entities: Column) -> Column:
             winner["entity_type"].alias("winner_type"), winner["start"].alias("winner_start"), winner["end"].alias("winner_end"), winner["score"].alias("winner_score"),
             bare.alias("exposed"),
         )
-        kept = F.struct(winner.alias("cur"), acc["done"].alias("done"), F.when(F.size(bare) > 0, F.concat(acc["warnings"], F.array(note))).otherwise(acc["warnings"]).alias("warnings"))
-        moved = F.struct(nxt.alias("cur"), F.when(cur.isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(cur))).alias("done"), acc["warnings"].alias("warnings"))
-        return F.when(cur.isNotNull() & met, kept).otherwise(moved)
+        none_done, none_said = F.array().cast(f"array<{ENTITY}>"), F.array().cast(f"array<{WARNING}>")
+        closed = F.when(met | cur.isNull(), none_done).otherwise(F.array(cur))
+        said = F.when(met & (F.size(bare) > 0), F.array(note)).otherwise(none_said)
+        return F.when(met, winner).otherwise(nxt), {"resolved": closed, "warnings": said}
 
     def finish(acc: Column) -> Column:
-        return F.struct(F.when(acc["cur"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["cur"]))).alias("resolved"), acc["warnings"].alias("warnings"))
+        last = F.when(acc["state"].isNull(), acc["resolved"]).otherwise(F.concat(acc["resolved"], F.array(acc["state"])))
+        return F.struct(last.alias("resolved"), acc["warnings"].alias("warnings"))
 
-    return F.aggregate(ordered, begin, step, finish)
+    return scan(ordered, F.lit(None).cast(ENTITY), {"resolved": ENTITY, "warnings": WARNING}, step, finish)
 
 
 def center(box: Column) -> tuple[Column, Column]:

@@ -13,8 +13,36 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def scan(items: Column, state: Column, gives: dict[str, str], step: Callable[[Column, Column], tuple[Column, dict[str, Column]]], finish: Callable[[Column], Column]) -> Column:
+    """A left fold that gives out elements on its way.
+
+    ``step`` of the state and an item returns the next state and arrays of what it gives out,
+    by name; ``gives`` has the types of their elements; ``finish`` makes the result of a struct
+    of ``state`` and the lists. An array can't be appended to without a copy, so items go
+    in blocks: n of them cost n to the power of 1.5 copied elements, not n squared.
+    """
+
+    def begin(at: Column, nested: str) -> Column:
+        return F.struct(at.alias("state"), *[F.array().cast(f"array<{nested.format(t)}>").alias(n) for n, t in gives.items()])
+
+    def within(acc: Column, item: Column) -> Column:
+        after, out = step(acc["state"], item)
+        return F.struct(after.alias("state"), *[F.when(F.size(out[n]) > 0, F.concat(acc[n], out[n])).otherwise(acc[n]).alias(n) for n in gives])
+
+    def block(acc: Column, some: Column) -> Column:
+        inner = F.aggregate(some, begin(acc["state"], "{}"), within)
+        return let(inner, lambda r: F.struct(r["state"].alias("state"), *[F.concat(acc[n], F.array(r[n])).alias(n) for n in gives]))
+
+    def cut(all_: Column) -> Column:
+        size = F.ceil(F.sqrt(F.greatest(F.size(all_), F.lit(1)))).cast("int")
+        return F.transform(F.sequence(F.lit(0), F.floor((F.greatest(F.size(all_), F.lit(1)) - 1) / size).cast("int")), lambda k: F.slice(all_, k * size + 1, size))
+
+    done = F.aggregate(let(items, cut), begin(state, "array<{}>"), block)
+    return let(done, lambda r: finish(F.struct(r["state"].alias("state"), *[F.flatten(r[n]).alias(n) for n in gives])))
+
+
 #: Fixed value: characters that count as white space, as regular expressions of Unicode have it.
-BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def lstrip(text: Column) -> Column:

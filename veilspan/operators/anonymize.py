@@ -57,7 +57,11 @@ def numbered(rows: DataFrame, key: list[str], fmt: Callable[[Column, Column], Co
 
 def propose(pages: DataFrame, key: list[str], fmt: Callable[[Column, Column], Column] = square, floor: float = spans.SCORE_FLOOR, boundaries: bool = True) -> DataFrame:
     """For each page: substitutions in order of start, and restore_map as an array in order of first appearance. A page without entities has empty arrays."""
-    rows = numbered(normalized_rows(pages, key, floor, boundaries), key, fmt)
+    return gathered(pages, numbered(normalized_rows(pages, key, floor, boundaries), key, fmt), key)
+
+
+def gathered(pages: DataFrame, rows: DataFrame, key: list[str]) -> DataFrame:
+    """The rows of ``numbered`` as lists of their pages."""
     sub = F.struct("start", "end", "placeholder", "replacement", "entity_type", "value")
     entry = F.struct("first_start", "placeholder", "value")
     found = rows.groupBy(*key).agg(F.array_sort(F.collect_list(sub)).alias("substitutions"), F.array_sort(F.collect_set(entry)).alias("restore_map"))

@@ -15,16 +15,50 @@ def page_blocks(pages: DataFrame, doc: list[str]) -> DataFrame:
     return pages.select(*doc, "page_index", F.posexplode(B.split_blocks(F.coalesce("text", F.lit("")))).alias("block_idx", "block"))
 
 
+def splices(pages: DataFrame, doc: list[str]) -> DataFrame:
+    """How tables go on over pages: doc, page_index, pos (place of the page, from 1), blocks, taken (blocks at its start that go on with an open table), taken_rows, and the table's target_page, target_pos and target_block.
+
+    A table stays open at a page's end if it is the last block but for footers; blocks of rows
+    only, with its number of cells, at the start of the next page continue it. A page of
+    footers only leaves it open, and so does one that it takes whole; any other page without an
+    open table at its end closes it. So a page sets what is open, passes on what has its own
+    number of cells, or passes on all: what is open before a page is what the last page before
+    it set, unless one since then has stopped it. Both are windows over a document's pages; no
+    row has more than one page. Pages come by page_index (missing ones count as 0), then by text.
+    """
+    rows = pages.select(*doc, F.coalesce("page_index", F.lit(0)).alias("page_index"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.withColumn("blocks", B.split_blocks(F.col("text"))).withColumn("s", B.summary(F.col("blocks")))
+    order = Window.partitionBy(*doc).orderBy("page_index", "text")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    whole = F.col("s.lead") > F.col("s.last")  # all but footers may be taken
+    sets = F.coalesce(~whole, F.lit(False))
+    rows = rows.withColumn("pos", F.row_number().over(order)).withColumn("sets", sets)
+    opened = F.struct("pos", "page_index", F.col("s.last").alias("block"), F.col("s.ncols").alias("ncols"), F.col("s.is_table").alias("is_table"))
+    rows = rows.withColumn("open", F.last(F.when(F.col("sets"), opened), ignorenulls=True).over(before)).withColumn("since", F.count_if("sets").over(before))
+    fits = F.coalesce(F.col("open.is_table") & (F.col("s.cells") == F.col("open.ncols")), F.lit(False))
+    rows = rows.withColumn("fits", fits).withColumn("stops", F.coalesce(whole, F.lit(False)) & ~F.col("fits"))
+    stopped = F.max("stops").over(Window.partitionBy(*doc, "since").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1))
+    goes_on = F.col("fits") & ~F.coalesce("stopped", F.lit(False))
+    rows = rows.withColumn("stopped", stopped).withColumn("goes_on", goes_on)
+    own = {n: F.when(F.col("goes_on"), c) for n, c in (("taken_rows", F.col("s.lead_rows")), ("target_page", F.col("open.page_index")), ("target_pos", F.col("open.pos")), ("target_block", F.col("open.block")))}
+    return rows.select(*doc, "page_index", "pos", "blocks", F.when(F.col("goes_on"), F.col("s.lead")).otherwise(0).alias("taken"), *[c.alias(n) for n, c in own.items()])
+
+
 def spliced_blocks(pages: DataFrame, doc: list[str]) -> DataFrame:
-    """Blocks after tables that go over pages are put together: doc, page_index, block_idx, block, added_rows. A document's pages are folded in order; a missing page_index counts as 0."""
-    page = F.struct(F.coalesce("page_index", F.lit(0)).alias("page"), B.split_blocks(F.coalesce("text", F.lit(""))).alias("blocks"))
-    docs = pages.groupBy(*doc).agg(F.array_sort(F.collect_list(page)).alias("pages")).withColumn("s", B.splice(F.col("pages")))
-    rows = docs.select(*doc, "s", F.explode("pages").alias("p")).select(*doc, "s", F.col("p.page").alias("page_index"), F.posexplode("p.blocks").alias("block_idx", "block"))
-    popped = F.coalesce(F.aggregate(F.filter("s.popped", lambda x: x["page"] == F.col("page_index")), F.lit(0), lambda a, x: a + x["n"]), F.lit(0))
-    mine = F.flatten(F.transform(F.filter("s.added", lambda x: (x["page"] == F.col("page_index")) & (x["block"] == F.col("block_idx"))), lambda x: x["rows"]))
-    rows = rows.where(F.col("block_idx") >= popped).withColumn("more", mine)
+    """Blocks after tables that go over pages are put together: doc, page_index, block_idx, block, added_rows. Each page gives its blocks to itself and the rows that are taken from it to the table's page; what meets there is one block, by the partitioning that the windows made."""
+    rows = splices(pages, doc)
+    none = F.lit(None)
+    kept = F.transform(F.slice("blocks", F.col("taken") + 1, F.size("blocks")), lambda b, i: F.struct(F.col("pos").alias("pos"), (i + F.col("taken")).alias("block_idx"), b.alias("block"), none.cast("int").alias("from"), none.cast("array<string>").alias("more")))
+    sent = F.struct(F.col("target_pos").alias("pos"), F.col("target_block").alias("block_idx"), none.cast("string").alias("block"), F.col("pos").alias("from"), F.col("taken_rows").alias("more"))
+    rows = rows.select(*doc, "page_index", "taken", F.explode(F.when(F.col("taken") > 0, F.concat(kept, F.array(sent))).otherwise(kept)).alias("b")).select(*doc, "page_index", "taken", "b.*")
+    own = F.col("block").isNotNull()
+    met = rows.groupBy(*doc, "pos", "block_idx").agg(
+        F.max(F.when(own, F.col("page_index"))).alias("page_index"), F.max(F.when(own, F.col("taken"))).alias("taken"), F.max("block").alias("block"),
+        F.array_sort(F.collect_list(F.when(~own, F.struct("from", "more")))).alias("parts"),
+    )
+    met = met.withColumn("more", F.flatten(F.transform("parts", lambda x: x["more"])))
     joined = F.concat(F.regexp_replace("block", r"\n+\z", ""), F.lit("\n"), F.array_join("more", "\n"))
-    return rows.select(*doc, "page_index", (F.col("block_idx") - popped).alias("block_idx"), F.when(F.size("more") > 0, joined).otherwise(F.col("block")).alias("block"), F.size("more").alias("added_rows"))
+    return met.select(*doc, "page_index", (F.col("block_idx") - F.col("taken")).alias("block_idx"), F.when(F.size("more") > 0, joined).otherwise(F.col("block")).alias("block"), F.size("more").alias("added_rows"))
 
 
 def with_kinds(blocks: DataFrame, doc: list[str]) -> DataFrame:

@@ -6,15 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilspan.functions import spans
+from veilspan.operators import bins
 
 
 def redaction_boxes(words: DataFrame, entities: DataFrame, page: list[str], floor: float = spans.SCORE_FLOOR) -> DataFrame:
     """For each word that an entity of its page overlaps: its whole box, text, and the sorted distinct types, comma-joined.
 
-    An equi-join on the page with the overlap as a condition, pre-aggregated by word.
+    A join on page and bin of offsets with the overlap as a condition, so that words far from an
+    entity don't meet it; pre-aggregated by word.
     """
     e = entities.where(F.coalesce("score", F.lit(0.0)) >= F.lit(floor)).select(*page, "entity_type", F.col("start").alias("e_start"), F.col("end").alias("e_end"))
-    met = words.join(e, page).where(spans.overlap(F.col("start"), F.col("end"), F.col("e_start"), F.col("e_end")))
+    met = bins.met_intervals(words.select(*page, "seq", "start", "end", "text", "x", "y", "w", "h"), e, page, ("start", "end"), ("e_start", "e_end"))
     return met.groupBy(*page, "seq").agg(*[F.first(c).alias(c) for c in ("text", "x", "y", "w", "h")], F.array_join(F.array_sort(F.collect_set("entity_type")), ",").alias("entity_types"))
 
 

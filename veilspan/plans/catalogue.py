@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from veilspan import scratch
 from veilspan.functions import blocks, spans
 from veilspan.functions.text import literal_array
-from veilspan.operators import anonymize, detect, docs, ink, layout, markdown, redact, regions, restore, words
+from veilspan.operators import anonymize, detect, docs, edits, ink, layout, markdown, overlaps, redact, regions, restore, words
 from veilspan.plans.oracles import ORACLES
 from veilspan.sources import files
 from veilspan.sources import relations as R
@@ -38,17 +38,21 @@ def score_floor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _entities(df, "kept", "doc_id").drop("span_text")
 
 
+def _span_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.span_rows(spark, sf_dir).withColumnsRenamed({"s": "start", "e": "end"}).withColumn("text", F.lit(""))
+
+
 @query
 def resolve_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = R.span_pages(spark, sf_dir).select("doc_id", spans.resolve(spans.above_floor(F.col("entities")))["resolved"].alias("kept"))
-    return _entities(df, "kept", "doc_id").drop("span_text")
+    kept = overlaps.resolved(_span_rows(spark, sf_dir), ["doc_id"])
+    return kept.select("doc_id", "entity_type", F.col("start").alias("span_start"), F.col("end").alias("span_end"), "score")
 
 
 @query
 def overlap_exposure_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = R.span_pages(spark, sf_dir).select("doc_id", F.explode(spans.resolve(spans.above_floor(F.col("entities")))["warnings"]).alias("w"))
-    exposed = F.array_join(F.transform("w.exposed", lambda x: F.concat(x["start"].cast("string"), F.lit("-"), x["end"].cast("string"))), ",")
-    return df.select("doc_id", "w.dropped_type", "w.dropped_start", "w.dropped_end", "w.winner_type", "w.winner_start", "w.winner_end", exposed.alias("exposed"))
+    df = overlaps.exposures(_span_rows(spark, sf_dir), ["doc_id"])
+    exposed = F.array_join(F.transform("exposed", lambda x: F.concat(x["start"].cast("string"), F.lit("-"), x["end"].cast("string"))), ",")
+    return df.select("doc_id", "dropped_type", "dropped_start", "dropped_end", "winner_type", "winner_start", "winner_end", exposed.alias("exposed"))
 
 
 @query
@@ -85,6 +89,17 @@ def placeholder_numbering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _numbered(spark, sf_dir).select("doc_id", "entity_type", F.col("start").alias("span_start"), "value", "placeholder", "first_start")
 
 
+@query
+def reviewed_proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proposals after a log of edits by formula: conflicting versions, moves that leave nothing, and edits of spans that don't exist."""
+    pages = R.decrees(spark, sf_dir)
+    proposed = scratch.written(edits.proposals(pages, PAGE), "proposals")
+    reviewed = edits.merged(pages, proposed, R.edit_log(proposed), PAGE)
+    rows = scratch.written(reviewed, "reviewed")
+    named = edits.numbered(rows, PAGE).select(*PAGE, "proposal_id", "placeholder")
+    return rows.join(named, [*PAGE, "proposal_id"], "left").select("doc_id", "proposal_id", "status", "entity_type", F.col("start").alias("span_start"), F.col("end").alias("span_end"), "value", "placeholder", "version", F.col("n_edits").cast("long").alias("n_edits"))
+
+
 @query
 def newline_preservation(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = anonymize.propose(R.decrees(spark, sf_dir), PAGE).withColumn("new_text", anonymize.apply(F.col("text"), F.col("substitutions")))
@@ -328,12 +343,8 @@ def md_block_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def table_splice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    page = F.struct(F.col("page_index").alias("page"), blocks.split_blocks(F.col("text")).alias("blocks"))
-    df = R.markdown_pages(spark, sf_dir).groupBy("doc_id").agg(F.array_sort(F.collect_list(page)).alias("pages")).withColumn("s", blocks.splice(F.col("pages")))
-    events = F.arrays_zip(F.col("s.popped").alias("popped"), F.col("s.added").alias("added"))
-    df = df.select("doc_id", F.explode("pages.page").alias("page_index"), events.alias("events"))
-    mine = F.try_element_at(F.filter("events", lambda x: x["popped"]["page"] == F.col("page_index")), F.lit(1))
-    return df.select("doc_id", "page_index", mine.alias("m")).select("doc_id", "page_index", F.coalesce("m.popped.n", F.lit(0)).alias("popped_blocks"), F.coalesce(F.size("m.added.rows"), F.lit(0)).alias("spliced_rows"), F.coalesce("m.added.page", F.lit(-1)).alias("target_page")).withColumn("spliced_rows", F.greatest("spliced_rows", F.lit(0)))
+    df = markdown.splices(R.markdown_pages(spark, sf_dir), ["doc_id"])
+    return df.select("doc_id", "page_index", F.col("taken").alias("popped_blocks"), F.greatest(F.size("taken_rows"), F.lit(0)).alias("spliced_rows"), F.coalesce("target_page", F.lit(-1)).alias("target_page"))
 
 
 @query

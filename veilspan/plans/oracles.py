@@ -95,6 +95,24 @@ done AS (SELECT doc_id, string_agg(substring(text, upto + 1, s - upto) || placeh
 anon AS (SELECT src.doc_id, src.text, coalesce(new_text, src.text) AS new_text, coalesce(n_subs, 0) AS n_subs FROM src LEFT JOIN done USING (doc_id))
 """
 
+_EDIT_ROWS = " UNION ALL ".join(f"SELECT doc_id, {i} AS id, {v} AS version, {act} AS action, CAST({s} AS INT) AS es, CAST({e} AS INT) AS ee, CAST({t} AS VARCHAR) AS et FROM prop WHERE {cond}" for cond, i, v, act, s, e, t in R.EDITS)
+_REVIEW = (
+    _NORM
+    + f""",
+prop AS (SELECT doc_id, text, sha256(doc_id || '|0|' || s || '|' || e || '|' || entity_type)[1:16] AS proposal_id, entity_type, ns AS a, ne AS b, value FROM val),
+log AS ({_EDIT_ROWS}),
+last_ AS (SELECT *, row_number() OVER (PARTITION BY doc_id, id ORDER BY version DESC) AS k, count(*) OVER (PARTITION BY doc_id, id) AS n_edits FROM log),
+met AS (SELECT coalesce(prop.doc_id, l.doc_id) AS doc_id, coalesce(proposal_id, id) AS proposal_id, prop.entity_type, a, b, value, action, version, es, ee, et, coalesce(n_edits, 0) AS n_edits, dec.body AS whole
+  FROM prop FULL JOIN (SELECT * FROM last_ WHERE k = 1) l ON l.doc_id = prop.doc_id AND l.id = prop.proposal_id JOIN dec ON dec.o_orderkey = coalesce(prop.doc_id, l.doc_id)),
+told AS (SELECT *, CASE WHEN action IS NULL THEN 'proposed' WHEN a IS NULL AND action <> 'add' THEN 'stale' WHEN action IN ('move', 'add') AND NOT (es >= 0 AND es < ee AND ee <= length(whole)) THEN 'invalid'
+  WHEN action = 'accept' THEN 'accepted' WHEN action = 'reject' THEN 'rejected' WHEN action = 'move' THEN 'moved' WHEN action = 'retype' THEN 'retyped' ELSE 'added' END AS status FROM met),
+res AS (SELECT doc_id, proposal_id, status, version, n_edits, CASE WHEN status IN ('rejected', 'stale') THEN NULL WHEN status IN ('retyped', 'added') THEN et ELSE entity_type END AS entity_type,
+  CASE WHEN status IN ('rejected', 'stale') THEN NULL WHEN status IN ('moved', 'added') THEN es ELSE a END AS ns, CASE WHEN status IN ('rejected', 'stale') THEN NULL WHEN status IN ('moved', 'added') THEN ee ELSE b END AS ne,
+  CASE WHEN status IN ('rejected', 'stale') THEN NULL WHEN status IN ('moved', 'added') THEN replace(substring(whole, es + 1, ee - es), chr(10), ' ') ELSE value END AS value FROM told),
+res0 AS (SELECT *, min(ns) OVER (PARTITION BY doc_id, entity_type, value) AS first_start FROM res WHERE ns IS NOT NULL),
+res1 AS (SELECT *, '[' || entity_type || '_' || dense_rank() OVER (PARTITION BY doc_id, entity_type ORDER BY first_start) || ']' AS placeholder FROM res0)"""
+)
+
 _LINES = f"""
 lines AS (SELECT doc_id, CAST(i // {R.LINES_ON_PAGE} AS INT) AS page_index, CAST(i % {R.LINES_ON_PAGE} AS INT) AS line_no, line AS text,
    (i % {R.LINES_ON_PAGE}) // 4 || ':' || (i % 4) // 2 || ':' || i % {R.LINES_ON_PAGE} AS line_id
@@ -212,6 +230,7 @@ FROM r WHERE ev = 'drop' AND (ls < cs OR le > ce)""",
   CASE WHEN contains(cutout, chr(10)) THEN 'newline_reemit:' || (length(cutout) - length(replace(cutout, chr(10), ''))) END) AS actions FROM val""",
     ),
     "placeholder_numbering": with_(_NORM, "SELECT doc_id, entity_type, ns AS span_start, value, placeholder, first_start FROM subs"),
+    "reviewed_proposals": with_(_REVIEW, "SELECT res.doc_id, res.proposal_id, res.status, res.entity_type, res.ns AS span_start, res.ne AS span_end, res.value, res1.placeholder, res.version, res.n_edits FROM res LEFT JOIN res1 USING (doc_id, proposal_id)"),
     "newline_preservation": with_(
         _NORM + ", gaps AS (SELECT *, lag(ne, 1, 0) OVER (PARTITION BY doc_id ORDER BY ns) AS upto FROM subs), done AS (SELECT doc_id, any_value(text) AS text, string_agg(substring(text, upto + 1, ns - upto) || replacement, '' ORDER BY ns) || substring(any_value(text), max(ne) + 1) AS new_text FROM gaps GROUP BY doc_id)",
         "SELECT doc_id, new_text, len(string_split(text, chr(10))) = len(string_split(new_text, chr(10))) AS same_lines FROM done",

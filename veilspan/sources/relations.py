@@ -80,6 +80,26 @@ def decrees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select(F.col("o_orderkey").alias("doc_id"), F.lit(0).alias("page_index"), F.col("body").alias("text"), F.array_compact(F.array(*made)).alias("entities"))
 
 
+#: SQL that Spark and DuckDB read alike: edits of a proposal (condition, id, version, action, start, end, type), its columns being named a for start and b for end.
+EDITS = (
+    ("(doc_id + a) % 5 = 0", "proposal_id", "1", "'reject'", "NULL", "NULL", "NULL"),
+    ("(doc_id + a) % 5 = 0 AND doc_id % 2 = 0", "proposal_id", "2", "'accept'", "NULL", "NULL", "NULL"),
+    ("(doc_id + a) % 5 = 1", "proposal_id", "4", "'retype'", "NULL", "NULL", "'REVIEWED'"),
+    ("(doc_id + a) % 5 = 1", "proposal_id", "3", "'reject'", "NULL", "NULL", "NULL"),
+    ("(doc_id + a) % 5 = 2", "proposal_id", "1", "'move'", "a", "b - 1 - doc_id % 3", "NULL"),
+    ("(doc_id + a) % 5 = 3 AND doc_id % 3 = 0", "'gone' || proposal_id", "1", "'retype'", "NULL", "NULL", "'REVIEWED'"),
+    ("entity_type = 'ORG' AND doc_id % 3 = 1", "'head'", "1", "'add'", "0", "2", "'HEADING'"),
+    ("entity_type = 'ORG' AND doc_id % 7 = 1", "'beyond'", "1", "'add'", "5", "100000", "'HEADING'"),
+)
+
+
+def edit_log(proposed: DataFrame) -> DataFrame:
+    """doc_id, page_index, proposal_id, version, action, start, end, entity_type, from proposals."""
+    made = [f"CASE WHEN {cond} THEN named_struct('proposal_id', {i}, 'version', {v}, 'action', {act}, 'start', CAST({s} AS INT), 'end', CAST({e} AS INT), 'entity_type', CAST({t} AS STRING)) END" for cond, i, v, act, s, e, t in EDITS]
+    rows = proposed.select("doc_id", "page_index", "proposal_id", "entity_type", F.col("start").alias("a"), F.col("end").alias("b"))
+    return rows.select("doc_id", "page_index", F.explode(F.array_compact(F.array(*[F.expr(m) for m in made]))).alias("e")).select("doc_id", "page_index", "e.*")
+
+
 def page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, page_index, line_no, line_id, text: documents cut into pages of ten lines."""
     lines = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("i", "text"))
