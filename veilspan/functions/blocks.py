@@ -120,22 +120,33 @@ def summary(blocks: Column) -> Column:
     ``last``, the page passes on a table of its own number of cells and closes any other.
     """
 
-    def read(b: Column, i: Column) -> Column:
-        def of(x: Column) -> Column:
-            counts = F.transform(x["lines"], lambda r: F.size(cells(r)))
-            uneven = lambda n: x["cont"] & (F.array_min(n) != F.array_max(n))
-            return let(counts, lambda n: F.struct(i.alias("i"), x["lines"].alias("lines"), x["cont"].alias("cont"), is_footerish(b).alias("foot"), is_table(x["lines"]).alias("table"), F.when(uneven(n), -1).otherwise(F.try_element_at(n, F.lit(1))).alias("ncols")))
+    widths = lambda lines: F.transform(lines, lambda r: F.size(cells(r)))
+    even = lambda n: F.when(F.array_min(n) == F.array_max(n), F.element_at(n, 1)).otherwise(-1)
 
-        return let(F.struct(nonblank_lines(b).alias("lines"), is_continuation(b).alias("cont")), of)
+    def lead(acc: Column, b: Column) -> Column:
+        """Goes on until a block isn't of the kind: what comes after isn't read."""
+        own = F.when(is_continuation(b), let(widths(nonblank_lines(b)), even))
+        more = lambda n: F.struct((acc["n"] + F.when(F.coalesce(n == F.coalesce(acc["cells"], n), F.lit(False)), 1).otherwise(0)).alias("n"), F.coalesce(acc["cells"], n).alias("cells"), (n.isNull() | F.coalesce(n != acc["cells"], F.lit(False))).alias("stop"))
+        return F.when(acc["stop"], acc).otherwise(let(own, more))
+
+    def tail(acc: Column, b: Column) -> Column:
+        """The same from the end, for the last block that isn't a footer."""
+        foot = is_footerish(b)
+        found = lambda f: F.struct((acc["n"] + F.when(f, 1).otherwise(0)).alias("n"), (~f).alias("stop"))
+        return F.when(acc["stop"], acc).otherwise(let(foot, found))
 
     def whole(all_: Column) -> Column:
-        first = F.try_element_at(all_, F.lit(1))
-        other = F.filter(all_, lambda b: ~F.coalesce(b["cont"] & (b["ncols"] == first["ncols"]), F.lit(False)))
-        lead = F.coalesce(F.try_element_at(other, F.lit(1))["i"], F.size(all_))
-        last = F.try_element_at(F.filter(all_, lambda b: ~b["foot"]), F.lit(-1))
-        return F.struct(
-            lead.alias("lead"), F.when(lead > 0, first["ncols"]).alias("cells"), F.flatten(F.transform(F.slice(all_, F.lit(1), lead), lambda b: b["lines"])).alias("lead_rows"),
-            last["i"].alias("last"), last["table"].alias("is_table"), last["ncols"].alias("ncols"),
-        )
-
-    return let(F.transform(blocks, read), whole)
+        nothing = F.lit(None).cast("int")
+        front = F.aggregate(all_, F.struct(F.lit(0).alias("n"), nothing.alias("cells"), F.lit(False).alias("stop")), lead)
+        back = F.aggregate(F.reverse(all_), F.struct(F.lit(0).alias("n"), F.lit(False).alias("stop")), tail)
+        return let(F.struct(front.alias("front"), back["n"].alias("feet")), lambda x: said(all_, x["front"], F.size(all_) - x["feet"] - 1))
+
+    def said(all_: Column, front: Column, last: Column) -> Column:
+        lines = nonblank_lines(F.get(all_, last))
+        rows = F.flatten(F.transform(F.slice(all_, F.lit(1), front["n"]), nonblank_lines))
+        return let(lines, lambda x: F.struct(
+            front["n"].alias("lead"), F.when(front["n"] > 0, front["cells"]).alias("cells"), rows.alias("lead_rows"),
+            F.when(last >= 0, last).alias("last"), F.when(last >= 0, is_table(x)).alias("is_table"), F.when(last >= 0, F.size(cells(F.try_element_at(x, F.lit(1))))).alias("ncols"),
+        ))
+
+    return let(blocks, whole)

@@ -48,28 +48,33 @@ def resolve(entities: Column) -> Column:
     dropped for a winner that is dropped itself later on: neither the set of entities
     without a better neighbour nor a best-first choice is the same.
     """
-    ordered = F.transform(F.array_sort(F.transform(entities, lambda e: F.struct(e["start"].alias("at"), priority(e).alias("key"), e.alias("e")))), lambda x: x["e"])
+    item = f"struct<at:int,key:struct<a:double,b:int,c:int,d:string>,e:{ENTITY}>"
+    ordered = F.array_sort(F.transform(entities, lambda e: F.struct(e["start"].alias("at"), priority(e).alias("key"), e.alias("e")).cast(item)))
+    none_done, none_said = F.array().cast(f"array<{ENTITY}>"), F.array().cast(f"array<{WARNING}>")
 
-    def step(cur: Column, nxt: Column) -> tuple[Column, dict[str, Column]]:
-        met = cur.isNotNull() & overlap(cur["start"], cur["end"], nxt["start"], nxt["end"])
-        wins = priority(nxt) < priority(cur)
-        winner, loser = F.when(wins, nxt).otherwise(cur), F.when(wins, cur).otherwise(nxt)
+    def note(winner: Column, loser: Column) -> Column:
         bare = uncovered(loser["start"], loser["end"], winner["start"], winner["end"])
-        note = F.struct(
+        said = F.struct(
             loser["entity_type"].alias("dropped_type"), loser["start"].alias("dropped_start"), loser["end"].alias("dropped_end"), loser["score"].alias("dropped_score"),
             winner["entity_type"].alias("winner_type"), winner["start"].alias("winner_start"), winner["end"].alias("winner_end"), winner["score"].alias("winner_score"),
             bare.alias("exposed"),
         )
-        none_done, none_said = F.array().cast(f"array<{ENTITY}>"), F.array().cast(f"array<{WARNING}>")
-        closed = F.when(met | cur.isNull(), none_done).otherwise(F.array(cur))
-        said = F.when(met & (F.size(bare) > 0), F.array(note)).otherwise(none_said)
-        return F.when(met, winner).otherwise(nxt), {"resolved": closed, "warnings": said}
+        leaves = (loser["start"] < winner["start"]) | (loser["end"] > winner["end"])
+        return F.when(leaves, F.array(said)).otherwise(none_said)
+
+    def step(cur: Column, nxt: Column) -> tuple[Column, dict[str, Column]]:
+        met = cur.isNotNull() & overlap(cur["e"]["start"], cur["e"]["end"], nxt["e"]["start"], nxt["e"]["end"])
+        wins = nxt["key"] < cur["key"]
+        closed = F.when(met | cur.isNull(), none_done).otherwise(F.array(cur["e"]))
+        said = F.when(~met, none_said).when(wins, note(nxt["e"], cur["e"])).otherwise(note(cur["e"], nxt["e"]))
+        return F.when(met & ~wins, cur).otherwise(nxt), {"resolved": closed, "warnings": said}
 
     def finish(acc: Column) -> Column:
-        last = F.when(acc["state"].isNull(), acc["resolved"]).otherwise(F.concat(acc["resolved"], F.array(acc["state"])))
+        last = F.when(acc["state"].isNull(), acc["resolved"]).otherwise(F.concat(acc["resolved"], F.array(acc["state"]["e"])))
         return F.struct(last.alias("resolved"), acc["warnings"].alias("warnings"))
 
-    return scan(ordered, F.lit(None).cast(ENTITY), {"resolved": ENTITY, "warnings": WARNING}, step, finish)
+    alone = F.struct(entities.cast(f"array<{ENTITY}>").alias("resolved"), none_said.alias("warnings"))
+    return F.when(F.size(entities) <= 1, alone).otherwise(scan(ordered, F.lit(None).cast(item), {"resolved": ENTITY, "warnings": WARNING}, step, finish))
 
 
 def center(box: Column) -> tuple[Column, Column]:

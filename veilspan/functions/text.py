@@ -35,7 +35,8 @@ def scan(items: Column, state: Column, gives: dict[str, str], step: Callable[[Co
 
     def cut(all_: Column) -> Column:
         size = F.ceil(F.sqrt(F.greatest(F.size(all_), F.lit(1)))).cast("int")
-        return F.transform(F.sequence(F.lit(0), F.floor((F.greatest(F.size(all_), F.lit(1)) - 1) / size).cast("int")), lambda k: F.slice(all_, k * size + 1, size))
+        many = F.transform(F.sequence(F.lit(0), F.floor((F.greatest(F.size(all_), F.lit(1)) - 1) / size).cast("int")), lambda k: F.slice(all_, k * size + 1, size))
+        return F.when(F.size(all_) <= 64, F.array(all_)).otherwise(many)
 
     done = F.aggregate(let(items, cut), begin(state, "array<{}>"), block)
     return let(done, lambda r: finish(F.struct(r["state"].alias("state"), *[F.flatten(r[n]).alias(n) for n in gives])))
