@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from veilspan import scratch
 from veilspan.functions.blocks import PAGE_FOOTER
+from veilspan.operators import ranks
 
 #: Fixed values.
 GAP, TOLERANCE, LEAST_RUN, FOOTER_FROM = 150, 25, 2, 0.92
@@ -51,16 +53,24 @@ def is_footer(y: Column, height: Column, text: Column) -> Column:
     return low | text.rlike(PAGE_FOOTER)
 
 
-def gap_quantiles(gapped: DataFrame, page: list[str]) -> DataFrame:
-    """For each page the gaps at index int(n*q/100) of their sorted list: not interpolated."""
-    g = gapped.where("gap is not null").groupBy(*page).agg(F.sort_array(F.collect_list("gap")).alias("g"))
-    n = F.size("g")
-    return g.select(*page, n.alias("n"), *[F.get("g", F.floor(n * q / F.lit(100.0)).cast("int")).alias(f"p{q}") for q in QUANTILES])
+def gap_quantiles(gapped: DataFrame, key: list[str]) -> DataFrame:
+    """For each key (a document; none: over all) its gaps' number, least and greatest, and those at index int(n*q/100) of their sorted list: not interpolated."""
+    return ranks.order_statistics(gapped, key, "gap", {f"p{q}": F.floor(F.col("n") * q / F.lit(100.0)) for q in QUANTILES})
 
 
-def largest_gaps(gapped: DataFrame, k: int = 15) -> DataFrame:
-    """The k widest gaps with the page and the word to the right, ties by page and text, both descending."""
-    return gapped.where("gap is not null").orderBy(F.desc("gap"), F.desc("doc_id"), F.desc("page_index"), F.desc("text"), F.desc("seq")).limit(k)
+def largest_gaps(gapped: DataFrame, line: list[str], k: int = 15) -> DataFrame:
+    """The k widest gaps with their page and the text of their line, ties by document, page and text, all descending. ``line``: the columns that name a line, its document and page first.
+
+    Texts are made for the lines that may be among them only: of gaps as wide as the k-th on
+    the k-th's page, and of wider ones.
+    """
+    g = gapped.where("gap is not null")
+    place = F.struct("gap", *line[:2])
+    edge = g.select(place.alias("p")).orderBy(F.desc("p")).limit(k).agg(F.min("p").alias("p"))
+    near = scratch.written(g.where(place >= edge.scalar()).select("gap", *line), "widest-gaps")
+    said = gapped.join(F.broadcast(near.select(*line).distinct()), line, "left_semi").groupBy(*line).agg(_said()[1])
+    found = near.join(said, line).select("gap", *line[:2], F.col("line_text").alias("text"))
+    return found.orderBy(*[F.desc(c) for c in ("gap", *line[:2], "text")]).limit(k)
 
 
 def runs(lines: DataFrame, page: list[str]) -> DataFrame:
@@ -105,6 +115,21 @@ def content_lines(rows: DataFrame, height: Column, y: str = "line_y", text: str
     return rows.where(~is_footer(F.col(y), height, F.coalesce(text, F.lit(""))))
 
 
+def carried_headers(pages: DataFrame, boundaries: DataFrame, doc: list[str]) -> DataFrame:
+    """For each page that a table goes on to: doc, page_index, header, the column names of that table.
+
+    ``pages``: doc, page_index, header (of the table that is open at the page's end, null
+    without one, or without a header); ``boundaries``: the rows of ``verdicts``. A header is
+    carried over pages until a verdict ends the table or a page has a later header, so that the
+    third page of a table gets what the first one has.
+    """
+    onto = boundaries.select(*doc, F.col("next_page_index").alias("page_index"), "fires")
+    rows = pages.join(onto, [*doc, "page_index"], "left").withColumn("goes_on", F.coalesce("fires", F.lit(False)))
+    rows = rows.withColumn("table", F.count_if(~F.col("goes_on")).over(Window.partitionBy(*doc).orderBy("page_index")))
+    before = Window.partitionBy(*doc, "table").orderBy("page_index").rowsBetween(Window.unboundedPreceding, -1)
+    return rows.withColumn("header", F.last("header", ignorenulls=True).over(before)).where(F.col("goes_on") & F.col("header").isNotNull()).select(*doc, "page_index", "header")
+
+
 def hint(header: Column, style: str = "full") -> Column:
     """What tells a translator that a table goes on: its columns' names, and whether to give the header again (``full``) or rows only (``headerless``), between two lines of SENTINEL. Any other style is an error."""
     if style not in HINTS:

@@ -15,6 +15,12 @@ def page_blocks(pages: DataFrame, doc: list[str]) -> DataFrame:
     return pages.select(*doc, "page_index", F.posexplode(B.split_blocks(F.coalesce("text", F.lit("")))).alias("block_idx", "block"))
 
 
+def open_headers(pages: DataFrame, doc: list[str]) -> DataFrame:
+    """doc, page_index, header: of the table that ends a page, but for footers; null without one."""
+    rows = pages.select(*doc, "page_index", B.split_blocks(F.coalesce("text", F.lit(""))).alias("blocks")).withColumn("s", B.summary(F.col("blocks")))
+    return rows.select(*doc, "page_index", F.when(F.col("s.is_table"), B.table_rows(F.get("blocks", F.col("s.last")))["header"]).alias("header"))
+
+
 def splices(pages: DataFrame, doc: list[str]) -> DataFrame:
     """How tables go on over pages: doc, page_index, pos (place of the page, from 1), blocks, taken (blocks at its start that go on with an open table), taken_rows, and the table's target_page, target_pos and target_block.
 

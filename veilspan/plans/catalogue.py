@@ -300,12 +300,28 @@ def line_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gap_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layout.gap_quantiles(_gapped(spark, sf_dir), PAGE)
+    """Of each document's gaps, on all its pages."""
+    return layout.gap_quantiles(_gapped(spark, sf_dir), ["doc_id"])
+
+
+@query
+def corpus_gap_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.gap_quantiles(_gapped(spark, sf_dir), [])
 
 
 @query
 def largest_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layout.largest_gaps(_gapped(spark, sf_dir)).select("gap", *PAGE, "text")
+    return layout.largest_gaps(_gapped(spark, sf_dir), LINE)
+
+
+@query
+def verdict_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hints for pages that a ledger's table goes on to, by the bands of its words: each with the header that is open there."""
+    pages = scratch.written(R.ledger_pages(spark, sf_dir), "ledger")
+    lines = layout.bands(layout.gaps(R.ledger_words(pages), LINE), LINE, F.lit(layout.GAP), height=F.lit(R.HEIGHT))
+    found = layout.verdicts(layout.runs(lines, PAGE), ["doc_id"])
+    onto = layout.carried_headers(markdown.open_headers(pages, ["doc_id"]), found, ["doc_id"])
+    return onto.select(*PAGE, F.array_join("header", "/").alias("header"), layout.hint(F.col("header")).alias("hint"))
 
 
 def _height():

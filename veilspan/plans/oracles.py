@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from veilspan.functions.boundary import LEADING, TRAILING
 from veilspan.operators.docs import PROMPT_RULES, REQUIRED_FIELDS
-from veilspan.operators.layout import HINTS, SENTINEL
+from veilspan.operators.layout import HINTS, QUANTILES, SENTINEL
 from veilspan.sources import relations as R
 
 _SPANS = "ents AS (SELECT " + ", ".join(f"{x} AS {n}" for n, x in R.SPAN_COLUMNS.items()) + " FROM lineitem)"
@@ -137,6 +137,17 @@ pagetext AS (SELECT doc_id, page_index, string_agg(text, chr(10) ORDER BY line_s
 _GAPS = _RAW + ",\ngapped AS (SELECT *, x - lag(x + w) OVER (PARTITION BY doc_id, page_index, line_no ORDER BY x, seq) AS gap FROM words)"
 
 
+_QUANTILES = "len(g) AS n, g[1] AS least, g[-1] AS most, " + ", ".join(f"g[CAST(floor(len(g) * {q} / 100.0) AS INT) + 1] AS p{q}" for q in QUANTILES)
+_LEDGER = f"""
+ranked AS (SELECT l_orderkey, l_partkey, l_suppkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) - 1 AS k FROM lineitem),
+ledrows AS (SELECT l_orderkey, CAST(k // 2 AS INT) AS page, string_agg('| part ' || l_partkey || ' | ' || l_suppkey || ' |', chr(10) ORDER BY k) AS rows FROM ranked GROUP BY ALL),
+led AS (SELECT l_orderkey AS doc_id, page AS page_index, {R.LEDGER_TEXT} AS text FROM ledrows),
+ledlines AS (SELECT doc_id, page_index, unnest(ls) AS line, unnest(generate_series(0, len(ls) - 1)) AS line_no FROM (SELECT *, string_split(text, chr(10)) AS ls FROM led)),
+ledcells AS (SELECT doc_id, page_index, line_no, CASE WHEN line[1] = '|' THEN string_split(line, '|')[2:-2] ELSE [line] END AS cs FROM ledlines WHERE line <> '' AND line NOT LIKE '|--%' AND line NOT LIKE 'Page %'),
+ledwords AS (SELECT doc_id, page_index, line_no, unnest(generate_series(0, len(cs) - 1)) AS k FROM ledcells),
+gapped AS (SELECT doc_id, page_index, line_no, 300 + 600 * k AS x, CASE WHEN k > 0 THEN 500 END AS gap FROM ledwords)"""
+
+
 _LINE_KEY = "doc_id, page_index, line_no"
 _NO_FOOTER = rf"""NOT ((CASE WHEN doc_id % 5 = 0 THEN 0 ELSE {R.HEIGHT} END <> 0 AND line_y > 0.92::DOUBLE * CASE WHEN doc_id % 5 = 0 THEN 0 ELSE {R.HEIGHT} END) OR regexp_matches(line_text, '(?i)(Page\s+\d+\s*[—-]|Sayfa\s+\d+\s*[—-]|FABRICATED DOCUMENT|YAZILIM TEST)'))"""
 _CONTENT = _GAPS.replace("gapped AS", "all_gapped AS") + f""",
@@ -256,11 +267,20 @@ FROM r WHERE ev = 'drop' AND (ls < cs OR le > ce)""",
         "SELECT spans.doc_id, spans.page_index, seq, any_value(text) AS text, greatest(0, any_value(x) - 3) AS box_left, greatest(0, any_value(y) - 3) AS box_top, least(2550, any_value(x + w) + 3) AS box_right, least(3300, any_value(y + h) + 3) AS box_bottom, string_agg(DISTINCT entity_type, ',' ORDER BY entity_type) AS entity_types FROM spans JOIN hits ON hits.doc_id = spans.doc_id AND hits.page_index = spans.page_index AND NOT (spans.e <= hits.s OR spans.s >= hits.e) WHERE hits.score >= 0.3 GROUP BY spans.doc_id, spans.page_index, seq",
     ),
     "line_bands": with_(_GAPS, "SELECT doc_id, page_index, line_no, array_to_string(list(x ORDER BY x) FILTER (gap IS NULL OR gap > 150), ',') AS bands FROM gapped GROUP BY ALL"),
-    "gap_quantiles": with_(
-        _GAPS,
-        "SELECT doc_id, page_index, len(g) AS n, " + ", ".join(f"g[CAST(floor(len(g) * {q} / 100.0) AS INT) + 1] AS p{q}" for q in (50, 75, 90, 95, 98, 99)) + " FROM (SELECT doc_id, page_index, list(gap ORDER BY gap) AS g FROM gapped WHERE gap IS NOT NULL GROUP BY ALL)",
+    "gap_quantiles": with_(_GAPS, f"SELECT doc_id, {_QUANTILES} FROM (SELECT doc_id, list(gap ORDER BY gap) AS g FROM gapped WHERE gap IS NOT NULL GROUP BY doc_id)"),
+    "corpus_gap_quantiles": with_(_GAPS, f"SELECT {_QUANTILES} FROM (SELECT list(gap ORDER BY gap) AS g FROM gapped WHERE gap IS NOT NULL)"),
+    "largest_gaps": with_(
+        _GAPS + ", said AS (SELECT doc_id, page_index, line_no, string_agg(text, ' ' ORDER BY seq) AS line_text FROM words GROUP BY ALL)",
+        "SELECT gap, doc_id, page_index, line_text AS text FROM gapped JOIN said USING (doc_id, page_index, line_no) WHERE gap IS NOT NULL ORDER BY gap DESC, doc_id DESC, page_index DESC, text DESC LIMIT 15",
+    ),
+    "verdict_hints": with_(
+        _LEDGER + _runs("150") + """,
+pages AS (SELECT led.doc_id, led.page_index, coalesce(fires, false) AS goes_on, CASE WHEN doc_id % 4 = 1 AND led.page_index = 1 THEN NULL WHEN led.page_index = 0 THEN 'Item ' || doc_id || '/Supplier' WHEN doc_id % 7 = 3 AND led.page_index = 1 THEN 'Piece ' || doc_id || '/Maker' END AS header
+  FROM led LEFT JOIN (SELECT doc_id, next_page AS page_index, fires FROM verdict) v USING (doc_id, page_index)),
+tabs AS (SELECT *, count(*) FILTER (NOT goes_on) OVER (PARTITION BY doc_id ORDER BY page_index) AS tab FROM pages),
+kept AS (SELECT *, last_value(header IGNORE NULLS) OVER (PARTITION BY doc_id, tab ORDER BY page_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS carried FROM tabs)""",
+        f"""SELECT doc_id, page_index, carried AS header, '{SENTINEL}' || chr(10) || 'The table of the page before goes on here. Columns: "' || replace(carried, '/', '" | "') || '". {HINTS['full']}' || chr(10) || '{SENTINEL}' || chr(10) || chr(10) AS hint FROM kept WHERE goes_on AND carried IS NOT NULL""",
     ),
-    "largest_gaps": with_(_GAPS, "SELECT gap, doc_id, page_index, text FROM gapped WHERE gap IS NOT NULL ORDER BY gap DESC, doc_id DESC, page_index DESC, text DESC, seq DESC LIMIT 15"),
     "continuation_verdict": with_(_CONTENT + _runs("150"), "SELECT doc_id, page_index, next_page AS next_page_index, tail_lines, next_lines AS next_head_lines, coalesce(fires, false) AS fires FROM verdict"),
     "threshold_sweep": with_(
         _CONTENT.replace("\ngapped AS", "\ngapped0 AS") + ", gapped AS (SELECT gapped0.*, t AS threshold FROM gapped0, (SELECT unnest(generate_series(60, 420, 20)) AS t))" + _runs("threshold", ", threshold"),

@@ -181,3 +181,33 @@ MARKDOWN_TEXT = """CASE WHEN page = 0 THEN '# ORDER ' || CAST(l_orderkey AS STRI
  || CASE WHEN l_orderkey % 4 = 1 THEN chr(10) || chr(10) || 'Closing [PERSON_2] davac row' || chr(10) || '[PERSON_3] daval row' ELSE '' END
  || CASE WHEN l_orderkey % 6 = 2 AND page = 0 THEN chr(10) || chr(10) || '[TABLE — STRUCTURE UNCERTAIN, REVIEW]' || chr(10) || 'loose row' ELSE '' END
  || chr(10) || chr(10) || CASE WHEN l_orderkey % 2 = 0 THEN 'Sayfa ' ELSE 'Page ' END || CAST(page + 1 AS STRING)"""
+
+
+def ledger_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, page_index, text: a table of an order's lines, two on a page, over up to four pages, at times with a second header or closing prose."""
+    from pyspark.sql.window import Window
+
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    rank = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")) - 1
+    li = li.withColumn("k", rank).withColumn("page", F.expr("CAST(k DIV 2 AS INT)"))
+    row = F.expr("'| part ' || CAST(l_partkey AS STRING) || ' | ' || CAST(l_suppkey AS STRING) || ' |'")
+    rows = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", row.alias("r")))), lambda x: x["r"]), "\n")
+    return li.groupBy("l_orderkey", "page").agg(rows.alias("rows")).select(F.col("l_orderkey").alias("doc_id"), F.col("page").alias("page_index"), F.expr(LEDGER_TEXT).alias("text"))
+
+
+def ledger_words(pages: DataFrame) -> DataFrame:
+    """Words of ledger pages as a recogniser gives them: a cell is a word, 600 pixels from the one before it; the page's number is at its foot."""
+    from veilspan.functions import blocks
+
+    lines = pages.select("doc_id", "page_index", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).where("line <> '' AND line NOT LIKE '|--%'")
+    parts = F.when(F.col("line").startswith("|"), blocks.cells(F.col("line"))).otherwise(F.array("line"))
+    w = lines.select("doc_id", "page_index", "line_no", "line", F.posexplode(parts).alias("k", "text"))
+    y = F.when(F.col("line").startswith("Page "), F.lit(670)).otherwise(100 + 20 * F.col("line_no"))
+    return w.select("doc_id", "page_index", "line_no", (F.col("line_no") * 100 + F.col("k")).alias("seq"), "text", (300 + 600 * F.col("k")).alias("x"), y.alias("y"), F.lit(100).alias("w"), F.lit(15).alias("h"))
+
+
+#: SQL that Spark and DuckDB read alike: the text of a ledger page from l_orderkey, page and rows.
+LEDGER_TEXT = """CASE WHEN page = 0 THEN 'Ledger of goods' || chr(10) || chr(10) || '| Item ' || CAST(l_orderkey AS STRING) || ' | Supplier |' || chr(10) || '|---|---|' || chr(10) ELSE '' END
+ || CASE WHEN l_orderkey % 7 = 3 AND page = 1 THEN '| Piece ' || CAST(l_orderkey AS STRING) || ' | Maker |' || chr(10) || '|---|---|' || chr(10) ELSE '' END
+ || rows || CASE WHEN l_orderkey % 4 = 1 AND page = 1 THEN chr(10) || chr(10) || 'Closing prose' ELSE '' END
+ || chr(10) || chr(10) || 'Page ' || CAST(page + 1 AS STRING)"""
