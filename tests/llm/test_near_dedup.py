@@ -105,3 +105,43 @@ def test_sql_gives_the_same(small):
     got = c.execute(OP4_SQL)
     assert [d[0] for d in got.description] == ["doc_id", "n_shingles", "component_id", "kept"]
     assert sorted(got.fetchall()) == brute(rows, 2)
+
+
+def thue_morse(n, a, b):
+    return "".join((a, b)[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_words_that_sums_of_powers_do_not_tell_apart(make_docs):
+    """Such a word and its complement have equal polynomial hashes modulo 2**64, whatever the multiplier."""
+    t = [(thue_morse(n, *ab), thue_morse(n, *reversed(ab))) for n in (1024, 2048, 4096) for ab in ("ab", "xy")]
+    rows = [(2 * i + k, f"{w} tail{i}" if i % 2 else w) for i, pair in enumerate(t) for k, w in enumerate(pair)]
+    rows += [(100 + i, " ".join(thue_morse(64, *p) + str(j) for j in range(30))) for i, p in enumerate(("ab", "ba"))]
+    assert got(nd.near_dedup(make_docs(rows), 2)) == brute(rows, 2)
+
+
+def test_word_places_and_hashes(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from veilspan.llm.arrow import text_bytes
+
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("aAb \n\u00e9\x0b") for _ in range(rng.randrange(30))) for _ in range(300)] + ["q" * 255, "q" * 256, "q" * 257, "Q" * 257 + " r", ""]
+    want = [re.findall(r"[^\x20\x09-\x0D]+", t.translate(LOW)) for t in texts]
+    for size in (1, 7, 1 << 22):
+        monkeypatch.setattr(nd, "SEARCHED", size)
+        h, at = nd.word_hashes(*text_bytes(pa.array(texts)), (5, 6))
+        assert np.diff(at).tolist() == [len(w) for w in want]
+        by = {}
+        for word, x in zip([x for w in want for x in w], h.tolist(), strict=True):
+            assert by.setdefault(word, x) == x
+        assert len(set(by.values())) == len(by)
+    other, _ = nd.word_hashes(*text_bytes(pa.array(texts)), (5, 7))
+    assert not set(other.tolist()) & set(h.tolist())
+
+
+def test_one_very_long_text(make_docs):
+    words = [f"w{i}" for i in range(400_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:-9])), (3, "y" * 5_000_000), (4, "y" * 5_000_001)]
+    out = {r.doc_id: (r.n_shingles, r.component_id) for r in nd.near_dedup(make_docs(rows), 2).collect()}
+    assert out == {1: (399_999, 1), 2: (399_990, 1), 3: (1, 3), 4: (1, 4)}

@@ -1,7 +1,8 @@
 """Near-duplicate documents by bottom-k sketches from one hash function.
 
-1. A document's set is its distinct word shingles, hashed to 64 bits. Its sketch is the
-   ``K`` smallest hashes. Rows with equal sets are one node, named by a number of one of its rows.
+1. A document's set is its distinct word shingles, hashed to 64 bits by a key that is drawn
+   from all rows: words and shingles that differ have equal hashes by chance only (2**-64 for
+   each two), also where somebody wrote them to that end. Its sketch is the ``K`` smallest hashes. Rows with equal sets are one node, named by a number of one of its rows.
 2. Inverted lists of retained values: two sketches of sets with a Jaccard index of 0.8
    share many values (for sets of at most K all that the index asks for; beyond, fewer
    than ``least_shared`` in K have a chance below 1e-10). So it is enough to list a
@@ -22,11 +23,14 @@ Defined results:
 * a null doc_id has a null component and is kept
 * rows with equal doc_ids count as one document: links of any of them link it
 * equal sets are linked whatever their size
+* a text of any length is one row of one task, which takes some 2 bytes for each of its bytes
+  and 40 for each of its words
 * other columns of the input don't matter, whatever their names
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Callable, Iterator
 
@@ -81,53 +85,84 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def word_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+#: Bytes that are searched for words together; words up to so many bytes are hashed 8 bytes at a time, all words at once.
+SEARCHED, LONG_WORD = 4 << 20, 256
+#: What hashes are drawn by: two numbers that nobody who wrote a text could know.
+Key = tuple[int, int]
+
+
+def key_of(docs: DataFrame) -> Key:
+    """From hashes (``h``) of all rows: the same in each run over the same rows, and not to be known from some of them. Hashes by it don't meet but by chance, whatever texts are made for."""
+    r = docs.agg(F.count("h").alias("n"), F.bit_xor("h").alias("x"), F.min("h").alias("a"), F.max("h").alias("b"), F.bit_xor(F.xxhash64("h")).alias("y")).first()
+    digest = hashlib.sha256(repr(tuple(r)).encode()).digest()
+    return int.from_bytes(digest[:8], "little"), int.from_bytes(digest[8:16], "little")
+
+
+def word_places(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of all texts begin and end. ``at``: places where texts begin, and the end of the last."""
+    starts, ends = [], []
+    for lo in range(0, len(data), SEARCHED):
+        word = ~_SPACE[data[lo : lo + SEARCHED]]
+        before = np.concatenate([[lo > 0 and not _SPACE[data[lo - 1]]], word[:-1]])
+        own = at[np.searchsorted(at, lo) : np.searchsorted(at, lo + len(word))] - lo
+        cut = np.unique(own[word[own] & before[own]])  # a text begins within what would be one word
+        starts.append(np.union1d(np.flatnonzero(word & ~before), cut) + lo)
+        ends.append(np.union1d(np.flatnonzero(~word & before), cut) + lo)
+    if len(data) and not _SPACE[data[-1]]:
+        ends.append(np.array([len(data)]))
+    none = [np.zeros(0, np.int64)]
+    return np.concatenate(starts or none), np.concatenate(ends or none)
+
+
+def word_hashes(data: np.ndarray, at: np.ndarray, key: Key) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words (A-Z lower-cased), and the documents' places among them."""
-    if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(len(at), np.int64)
-    b = _LOWER[data]
-    word = ~_SPACE[b]
-    bounds = np.zeros(len(b) + 1, bool)
-    bounds[at] = True
-    before = np.concatenate([[False], word[:-1]])
-    after = np.concatenate([word[1:], [False]])
-    starts = np.flatnonzero(word & (~before | bounds[:-1]))
-    ends = np.flatnonzero(word & (~after | bounds[1:])) + 1
-    up, down = powers(len(b))
-    total = np.zeros(len(b) + 1, np.uint64)
-    np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[:-1], out=total[1:])
-    h = mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    return h, np.searchsorted(starts, at)
-
-
-def shingle_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
+    starts, ends = word_places(data, at)
+    low = np.zeros(len(data) + 8, np.uint8)
+    low[:-8] = _LOWER[data]
+    eight = np.ndarray(len(data) + 1, "<u8", low, strides=(1,))  # the 8 bytes from each place on
+    size = ends - starts
+    k1, k2 = np.uint64(key[0]), np.uint64(key[1])
+    h = mix(size.astype(np.uint64) + k1)
+    open_ = np.flatnonzero(size <= LONG_WORD)
+    done = 0
+    while len(open_):
+        left = size[open_] - done
+        own = eight[starts[open_] + done] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (8 * np.maximum(8 - left, 0)).astype(np.uint64))
+        h[open_] = mix(h[open_] ^ own) + k2
+        done += 8
+        open_ = open_[left > 8]
+    secret = k1.tobytes() + k2.tobytes()
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        h[i] = int.from_bytes(hashlib.blake2b(low[starts[i] : ends[i]], digest_size=8, key=secret).digest(), "little")
+    return mix(h), np.searchsorted(starts, at)
+
+
+def shingle_sets(column: pa.Array, words: int, key: Key) -> Iterator[np.ndarray]:
     """For each text its sorted distinct shingle hashes."""
-    h, at = word_hashes(*text_bytes(column))
+    h, at = word_hashes(*text_bytes(column), key)
     if len(h) >= words:
         s = np.zeros(len(h) - words + 1, np.uint64)
         for j in range(words):
-            s = s * np.uint64(0xA0761D6478BD642F) + h[j : len(h) - words + 1 + j]
-        s = mix(s)
+            s = mix(s + h[j : len(h) - words + 1 + j])
     for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
         if b - a >= words:
             yield np.unique(s[a : b - words + 1])
         elif b > a:  # the whole sequence is one shingle
-            one = np.uint64(b - a)
-            with np.errstate(over="ignore"):
-                for x in h[a:b]:
-                    one = one * np.uint64(0xA0761D6478BD642F) + x
-            yield mix(np.array([one], np.uint64) ^ np.uint64(0x5851F42D4C957F2D))
+            one = np.array([b - a], np.uint64)
+            for x in h[a:b]:
+                one = mix(one + x)
+            yield mix(one ^ np.uint64(0x5851F42D4C957F2D))
         else:
             yield np.zeros(0, np.uint64)
 
 
-def sketches(docs: DataFrame, words: int, k: int = K) -> DataFrame:
+def sketches(docs: DataFrame, words: int, key: Key, k: int = K) -> DataFrame:
     """For each row: id and h, as they come, n (set size), d1 and d2 (a digest of the set), sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
             n, d1, d2, low = [], [], [], []
-            for own in shingle_sets(get(batch, "text"), words):
+            for own in shingle_sets(get(batch, "text"), words, key):
                 n.append(len(own))
                 d1.append(int(mix(own + np.uint64(1)).sum(dtype=np.uint64).astype(np.int64)))
                 d2.append(int(mix(own ^ np.uint64(0x2545F4914F6CDD1D)).sum(dtype=np.uint64).astype(np.int64)))
@@ -203,7 +238,7 @@ def texts_of(docs: DataFrame, rows: DataFrame) -> Callable[[DataFrame], DataFram
     return texts
 
 
-def _confirmed(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], words: int, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], words: int, percent: int, key: Key) -> DataFrame:
     """Pairs whose whole sets reach the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,7 +252,7 @@ def _confirmed(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], words:
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     ids = scratch.written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "near-ids")
-    found = _sets(texts, ids, words)
+    found = _sets(texts, ids, words, key)
     joined = pairs.join(found.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(found.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
     links = scratch.written(joined.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long").distinct(), "near-links")
     scratch.drop(found)
@@ -239,12 +274,12 @@ def components(links: DataFrame) -> DataFrame:
             return label
 
 
-def _sets(texts: Callable[[DataFrame], DataFrame], ids: DataFrame, words: int) -> DataFrame:
+def _sets(texts: Callable[[DataFrame], DataFrame], ids: DataFrame, words: int, key: Key) -> DataFrame:
     """id, s (sorted hashes as bytes) for the nodes that ``ids``, a written table, names."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([get(batch, "id"), pa.array([s.tobytes() for s in shingle_sets(get(batch, "text"), words)], pa.binary())], ["id", "s"])
+            yield pa.RecordBatch.from_arrays([get(batch, "id"), pa.array([s.tobytes() for s in shingle_sets(get(batch, "text"), words, key)], pa.binary())], ["id", "s"])
 
     with small_batches(ids.sparkSession):
         return scratch.written(texts(ids).mapInArrow(run, "id long, s binary"), "near-sets")
@@ -290,7 +325,7 @@ def block_links(sides: np.ndarray, ids: np.ndarray, comps: np.ndarray, sets: lis
     return out
 
 
-def _between(groups: DataFrame, texts: Callable[[DataFrame], DataFrame], words: int, percent: int) -> DataFrame:
+def _between(groups: DataFrame, texts: Callable[[DataFrame], DataFrame], words: int, percent: int, key: Key) -> DataFrame:
     """Links between different components of one list's nodes. groups: lead, id, n, comp, main (of the lead's component).
 
     Nodes outside the main component are compared with all, in blocks of bounded size, by
@@ -304,7 +339,7 @@ def _between(groups: DataFrame, texts: Callable[[DataFrame], DataFrame], words:
 
     plan = sizes.where("m_out > 0").select("lead", "members", parts("m_out", "n_out").alias("k_out"), parts("m_in", "n_in").alias("k_in"))
     rows = scratch.written(sums.lookup(groups, scratch.written(plan, "near-plan"), "lead", "members").drop("members"), "near-groups")
-    sets = _sets(texts, scratch.written(rows.select("id").distinct(), "near-ids"), words)
+    sets = _sets(texts, scratch.written(rows.select("id").distinct(), "near-ids"), words, key)
     h = F.xxhash64("id", "lead")
     own = F.pmod(h, F.when(F.col("main"), F.col("k_in")).otherwise(F.col("k_out"))).cast("int")
     rows = rows.withColumn("own", own)
@@ -329,7 +364,7 @@ def _between(groups: DataFrame, texts: Callable[[DataFrame], DataFrame], words:
     return links
 
 
-def linked(texts: Callable[[DataFrame], DataFrame], nodes: DataFrame, words: int, percent: int) -> DataFrame:
+def linked(texts: Callable[[DataFrame], DataFrame], nodes: DataFrame, words: int, percent: int, key: Key) -> DataFrame:
     """Links between nodes, enough for their components: a, b, each of them confirmed."""
     lists = scratch.written(index(nodes, percent), "near-index")
     # the lead of a list: the node that shares most of its retained values with others, by far the middle one of a group of copies
@@ -343,7 +378,7 @@ def linked(texts: Callable[[DataFrame], DataFrame], nodes: DataFrame, words: int
     group = scratch.written(rows.where(F.col("m") > SHORT).select("lead", "id", "n").distinct(), "near-groups")
     star = group.where("id <> lead").select(F.least("lead", "id").alias("a"), F.greatest("lead", "id").alias("b"))
     first = scratch.written(_estimated(pairs.union(star).distinct(), nodes, percent), "near-pairs")
-    links = _confirmed(first, texts, words, percent)
+    links = _confirmed(first, texts, words, percent, key)
     if group.isEmpty():
         return links
 
@@ -355,14 +390,15 @@ def linked(texts: Callable[[DataFrame], DataFrame], nodes: DataFrame, words: int
     placed = scratch.written(placed, "near-split")
     if placed.where("not main").isEmpty():
         return links
-    return scratch.written(links.union(_between(placed, texts, words, percent)), "near-links")
+    return scratch.written(links.union(_between(placed, texts, words, percent, key)), "near-links")
 
 
 def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """For each row of ``docs``: doc_id, n_shingles, component_id, kept. See the module for the cases."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text")).withColumn("h", F.xxhash64("doc", "text"))
+    key = key_of(docs)
     with small_batches(docs.sparkSession):
-        all_ = sketches(docs.withColumnRenamed("doc", "id"), words).withColumnRenamed("id", "doc")
+        all_ = sketches(docs.withColumnRenamed("doc", "id"), words, key).withColumnRenamed("id", "doc")
         all_ = scratch.written(all_.withColumn("id", F.monotonically_increasing_id()), "near-sketches")  # id: the row's number
     some = all_.where("n > 0 and doc is not null")
     classes = scratch.written(some.groupBy("d1", "d2", "n").agg(F.min("id").alias("node"), F.min("doc").alias("first"), F.count(F.lit(1)).alias("m")), "near-classes")
@@ -371,7 +407,7 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     member = scratch.written(member, "near-members")  # row id is one of node, whose smallest doc_id is first
     nodes = chosen(some.select("id", "n", "sketch"), scratch.written(member.where("id <> node").select("id"), "near-copies"), "left_anti")
 
-    links = linked(texts_of(docs, some.select("id", "doc", "h")), nodes, words, percent)
+    links = linked(texts_of(docs, some.select("id", "doc", "h")), nodes, words, percent, key)
     named = some.select(F.col("id").alias("a"), F.col("doc").alias("doc_a")), some.select(F.col("id").alias("b"), F.col("doc").alias("doc_b"))
     between = links.join(named[0], "a").join(named[1], "b").select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))
     edges = scratch.written(between.union(member.select(F.col("first").alias("a"), F.col("doc").alias("b"))).where("a <> b").distinct(), "near-edges")
