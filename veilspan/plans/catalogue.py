@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from veilspan import scratch
 from veilspan.functions import blocks, spans
 from veilspan.functions.text import literal_array
-from veilspan.operators import anonymize, detect, docs, edits, ink, layout, markdown, overlaps, redact, regions, restore, words
+from veilspan.operators import anonymize, detect, docs, edits, ink, layout, markdown, overlaps, redact, regions, restore, terms, words
 from veilspan.plans.oracles import ORACLES
 from veilspan.sources import files
 from veilspan.sources import relations as R
@@ -405,6 +405,12 @@ def glossary_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.glossary_upsert(g, c)
 
 
+@query
+def glossary_harvest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Terms of lines and of their translations, a fifth of which are those of another line."""
+    return terms.harvested(R.translated_lines(spark, sf_dir), ["doc_id", "line_no"])
+
+
 @query
 def bookmark_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = R.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("doc_id"), F.col("o_orderkey").alias("part"), F.lit("part").alias("label"), (1 + F.col("o_orderkey") % 6).cast("long").alias("pages"))

@@ -313,6 +313,18 @@ f AS (SELECT *, lower(replace(replace(term, 'I', 'ı'), 'İ', 'i')) AS fold FROM
 n AS (SELECT fold, arg_min(term, term || '|' || translation) AS term, arg_min(translation, term || '|' || translation) AS translation FROM (SELECT *, lower(replace(replace(term, 'I', 'ı'), 'İ', 'i')) AS fold FROM c) GROUP BY fold),
 free AS (SELECT * FROM n WHERE fold NOT IN (SELECT fold FROM f WHERE verified))
 SELECT fold, term, translation, verified FROM f WHERE verified UNION ALL SELECT fold, term, translation, verified FROM f WHERE NOT verified AND fold NOT IN (SELECT fold FROM free) UNION ALL SELECT fold, term, translation, FALSE FROM free""",
+    "glossary_harvest": f"""WITH l0 AS (SELECT doc_id, unnest(ls) AS line, unnest(generate_series(0, len(ls) - 1)) AS line_no FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
+l1 AS (SELECT *, lag(line) OVER (PARTITION BY doc_id ORDER BY line_no) AS before FROM l0),
+l2 AS (SELECT line AS original, coalesce(CASE WHEN {R.SHIFTED} THEN {R.TRANSLATED.replace('line', 'before')} ELSE {R.TRANSLATED} END, '') AS translated FROM l1),
+p AS (SELECT row_number() OVER () AS id, {", ".join(f"list_distinct(list_filter(regexp_extract_all({c}, '[\\[\\pL\\pN]*[\\pL\\pN_\\]]+'), lambda w: regexp_matches(w, '^\\p{{Lu}}\\pL{{3,}}$'))) AS {n}" for c, n in (("original", "a"), ("translated", "b")))} FROM l2),
+na AS (SELECT term, count(*) AS n_a FROM (SELECT unnest(a) AS term FROM p) GROUP BY term), nb AS (SELECT translation, count(*) AS n_b FROM (SELECT unnest(b) AS translation FROM p) GROUP BY translation),
+met AS (SELECT term, translation, count(*) AS together FROM (SELECT term, unnest(b) AS translation FROM (SELECT unnest(a) AS term, b FROM p)) GROUP BY ALL HAVING count(*) >= 3),
+t AS (SELECT *, (SELECT count(*) FROM p)::DOUBLE AS n FROM met JOIN na USING (term) JOIN nb USING (translation)),
+c AS (SELECT *, unnest([1, 2, 3, 4]) AS cell FROM t WHERE together * n > n_a::DOUBLE * n_b),
+k AS (SELECT *, CASE cell WHEN 1 THEN together WHEN 2 THEN n_a - together WHEN 3 THEN n_b - together ELSE n - n_a - n_b + together END AS o, CASE WHEN cell <= 2 THEN n_a ELSE n - n_a END AS r, CASE WHEN cell IN (1, 3) THEN n_b ELSE n - n_b END AS q FROM c),
+s AS (SELECT term, translation, together, round(2 * sum(CASE WHEN o > 0 THEN o * ln(o * n / (r * q)) ELSE 0 END ORDER BY cell), 6) AS ratio FROM k GROUP BY ALL),
+w AS (SELECT *, row_number() OVER (PARTITION BY term ORDER BY ratio DESC, together DESC, translation) AS x, row_number() OVER (PARTITION BY translation ORDER BY ratio DESC, together DESC, term) AS y FROM s WHERE ratio >= 10.83)
+SELECT term, translation, together, ratio FROM w WHERE x = 1 AND y = 1""",
     "bookmark_offsets": "SELECT o_custkey AS doc_id, o_orderkey AS part, pages, CAST(coalesce(sum(pages) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS first_page FROM (SELECT o_custkey, o_orderkey, 1 + o_orderkey % 6 AS pages FROM orders)",
     "survival_rate": with_(_NORM, "SELECT entity_type, count(*) FILTER (doc_id % 4 <> number % 4) AS survived, count(*) AS total, avg(CASE WHEN doc_id % 4 <> number % 4 THEN 1 ELSE 0 END) AS rate FROM subs GROUP BY entity_type"),
     "outcome_buckets": with_(

@@ -183,6 +183,21 @@ MARKDOWN_TEXT = """CASE WHEN page = 0 THEN '# ORDER ' || CAST(l_orderkey AS STRI
  || chr(10) || chr(10) || CASE WHEN l_orderkey % 2 = 0 THEN 'Sayfa ' ELSE 'Page ' END || CAST(page + 1 AS STRING)"""
 
 
+#: A translator that writes each word by other letters; SQL that Spark and DuckDB read alike.
+TRANSLATED = "translate(line, 'ABEHOSTWaeinorstdh', 'EHTBSOWAeaonirtshd')"
+#: Lines whose translation is that of the line before.
+SHIFTED = "(doc_id + line_no) % 5 = 0"
+
+
+def translated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, line_no, original, translated: lines of documents."""
+    from pyspark.sql.window import Window
+
+    lines = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
+    before = F.lag("line").over(Window.partitionBy("doc_id").orderBy("line_no"))
+    return lines.withColumn("before", before).select("doc_id", "line_no", F.col("line").alias("original"), F.expr(f"CASE WHEN {SHIFTED} THEN {TRANSLATED.replace('line', 'before')} ELSE {TRANSLATED} END").alias("translated"))
+
+
 def ledger_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, page_index, text: a table of an order's lines, two on a page, over up to four pages, at times with a second header or closing prose."""
     from pyspark.sql.window import Window
