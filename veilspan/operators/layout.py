@@ -100,14 +100,38 @@ def verdicts(pages: DataFrame, doc: list[str], order: str = "page_index") -> Dat
 
 
 def sweep(gapped: DataFrame, page: list[str], doc: list[str], thresholds: tuple[int, ...] = SWEEP, height: Column | None = None) -> DataFrame:
-    """Verdicts for each threshold: the list of thresholds multiplies the lines after they are gathered, not the words. ``height``: of the page, where footers are to be left out."""
-    line = [*page, "line_no"]
-    words = gapped.groupBy(*line).agg(F.array_sort(F.collect_list(F.struct("x", "gap"))).alias("ws"), *([] if height is None else _said()))
+    """Verdicts for each threshold. ``height``: of the page, where footers are to be left out.
+
+    A line's bands change only where a threshold passes one of its gaps. So a page's lines are
+    read once for each stretch of thresholds between which no line of the page changes, and
+    only what they come to, a row for each page and stretch, is given for every threshold.
+    """
+    line, limits = [*page, "line_no"], sorted(thresholds)
+    # how many thresholds a gap is wider than: it begins a band for these, the first ones
+    wider = F.when(F.col("gap").isNotNull(), sum(((F.col("gap") > t).cast("int") for t in limits), F.lit(0)))
+    words = gapped.withColumn("wider", wider).groupBy(*line).agg(F.array_sort(F.collect_list(F.struct("x", "gap", "wider"))).alias("ws"), *([] if height is None else _said()))
     if height is not None:
         words = content_lines(words, height).drop("line_y", "line_text")
-    each = words.withColumn("threshold", F.explode(F.array(*[F.lit(t) for t in thresholds])))
-    b = F.transform(F.filter("ws", lambda w: w["gap"].isNull() | (w["gap"] > F.col("threshold"))), lambda w: w["x"])
-    return verdicts(runs(each.withColumn("bands", b), [*page, "threshold"]), [*doc, "threshold"])
+    own = F.array_distinct(F.filter(F.transform("ws", lambda w: w["wider"]), lambda n: (n > 0) & (n < len(limits))))
+    all_ = F.array_sort(F.array_distinct(F.flatten(F.collect_list("changes").over(Window.partitionBy(*page)))))
+    lines = words.withColumn("changes", own).withColumn("cuts", F.concat(F.array(F.lit(0)), all_, F.array(F.lit(len(limits)))))
+    stretch = F.explode(F.transform(F.slice("cuts", F.lit(1), F.size("cuts") - 1), lambda c, i: F.struct(c.alias("from"), F.get("cuts", i + 1).alias("to"))))
+    each = lines.withColumn("stretch", stretch)
+    b = F.transform(F.filter("ws", lambda w: w["wider"].isNull() | (w["wider"] > F.col("stretch.from"))), lambda w: w["x"])
+    found = runs(each.withColumn("bands", b).select(*line, "stretch", "bands"), [*page, "stretch"])
+    of_page = F.explode(F.slice(F.array(*[F.lit(t) for t in limits]), F.col("stretch.from") + 1, F.col("stretch.to") - F.col("stretch.from")))
+    return verdicts(found.withColumn("threshold", of_page).drop("stretch"), [*doc, "threshold"])
+
+
+def sweep_report(swept: DataFrame, doc: list[str]) -> DataFrame:
+    """For each document and threshold its boundaries that fire and how many it has: doc, threshold, fires (``3->4`` and so on, comma-joined in order of pages), n_boundaries; and steady, at how many thresholds in a row up to this one the same boundaries have fired."""
+    label = F.concat(F.col("page_index").cast("string"), F.lit("->"), F.col("next_page_index").cast("string"))
+    cells = F.array_sort(F.collect_list(F.when(F.col("fires"), F.struct("page_index", label.alias("l")))))
+    rows = swept.groupBy(*doc, "threshold").agg(F.array_join(F.transform(cells, lambda c: c["l"]), ",").alias("fires"), F.count(F.lit(1)).alias("n_boundaries"))
+    order = Window.partitionBy(*doc).orderBy("threshold")
+    changed = F.coalesce(F.col("fires") != F.lag("fires").over(order), F.lit(True)).cast("int")
+    rows = rows.withColumn("changed", changed).withColumn("same", F.sum("changed").over(order))
+    return rows.withColumn("steady", F.row_number().over(Window.partitionBy(*doc, "same").orderBy("threshold"))).select(*doc, "threshold", "fires", "n_boundaries", "steady")
 
 
 def content_lines(rows: DataFrame, height: Column, y: str = "line_y", text: str = "line_text") -> DataFrame:

@@ -348,6 +348,13 @@ def threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.groupBy("threshold").agg(F.count(F.lit(1)).alias("boundaries"), F.count_if("fires").alias("firing"))
 
 
+@query
+def sweep_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledgers' sweep by document: which boundaries fire at each threshold, and how steadily."""
+    words = R.ledger_words(R.ledger_pages(spark, sf_dir), spread=True)
+    return layout.sweep_report(layout.sweep(layout.gaps(words, LINE), PAGE, ["doc_id"], height=F.lit(R.HEIGHT)), ["doc_id"])
+
+
 def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return markdown.with_kinds(markdown.page_blocks(R.markdown_pages(spark, sf_dir), ["doc_id"]), ["doc_id"])
 

@@ -286,6 +286,15 @@ kept AS (SELECT *, last_value(header IGNORE NULLS) OVER (PARTITION BY doc_id, ta
         _CONTENT.replace("\ngapped AS", "\ngapped0 AS") + ", gapped AS (SELECT gapped0.*, t AS threshold FROM gapped0, (SELECT unnest(generate_series(60, 420, 20)) AS t))" + _runs("threshold", ", threshold"),
         "SELECT threshold, count(*) AS boundaries, count(*) FILTER (coalesce(fires, false)) AS firing FROM verdict GROUP BY threshold",
     ),
+    "sweep_pivot": with_(
+        _LEDGER.replace("\ngapped AS (SELECT doc_id, page_index, line_no, 300 + 600 * k AS x, CASE WHEN k > 0 THEN 500 END AS gap FROM ledwords)", "\ngapped AS (SELECT doc_id, page_index, line_no, 300 + (160 + doc_id % 40 * 10) * k AS x, CASE WHEN k > 0 THEN 60 + doc_id % 40 * 10 END AS gap, threshold FROM ledwords, (SELECT unnest(generate_series(60, 420, 20)) AS threshold))")
+        + _runs("threshold", ", threshold")
+        + """,
+cells AS (SELECT doc_id, threshold, coalesce(string_agg(CASE WHEN fires THEN page_index || '->' || next_page END, ',' ORDER BY page_index), '') AS fires, count(*) AS n_boundaries FROM verdict GROUP BY ALL),
+moves AS (SELECT *, coalesce(fires <> lag(fires) OVER (PARTITION BY doc_id ORDER BY threshold), true)::INT AS changed FROM cells),
+sames AS (SELECT *, sum(changed) OVER (PARTITION BY doc_id ORDER BY threshold) AS same FROM moves)""",
+        "SELECT doc_id, threshold, fires, n_boundaries, row_number() OVER (PARTITION BY doc_id, same ORDER BY threshold) AS steady FROM sames",
+    ),
     "md_block_kinds": with_(_BLOCKS, "SELECT doc_id, page_index, block_idx, kind FROM kinds"),
     "table_splice": _SPLICE + "SELECT doc_id, page_index, taken AS popped_blocks, n_rows AS spliced_rows, coalesce(target, -1) AS target_page FROM st",
     "ragged_tables": with_(_BLOCKS, "SELECT doc_id, page_index, block_idx, list_contains(list_transform(widths[3:], lambda w: w <> widths[1]), true) AS ragged FROM kinds WHERE kind = 'table'"),

@@ -210,15 +210,16 @@ def ledger_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.groupBy("l_orderkey", "page").agg(rows.alias("rows")).select(F.col("l_orderkey").alias("doc_id"), F.col("page").alias("page_index"), F.expr(LEDGER_TEXT).alias("text"))
 
 
-def ledger_words(pages: DataFrame) -> DataFrame:
-    """Words of ledger pages as a recogniser gives them: a cell is a word, 600 pixels from the one before it; the page's number is at its foot."""
+def ledger_words(pages: DataFrame, spread: bool = False) -> DataFrame:
+    """Words of ledger pages as a recogniser gives them: a cell is a word, 600 pixels from the one before it; the page's number is at its foot. With ``spread``, cells are nearer to each other by the document's number."""
     from veilspan.functions import blocks
 
     lines = pages.select("doc_id", "page_index", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).where("line <> '' AND line NOT LIKE '|--%'")
     parts = F.when(F.col("line").startswith("|"), blocks.cells(F.col("line"))).otherwise(F.array("line"))
     w = lines.select("doc_id", "page_index", "line_no", "line", F.posexplode(parts).alias("k", "text"))
     y = F.when(F.col("line").startswith("Page "), F.lit(670)).otherwise(100 + 20 * F.col("line_no"))
-    return w.select("doc_id", "page_index", "line_no", (F.col("line_no") * 100 + F.col("k")).alias("seq"), "text", (300 + 600 * F.col("k")).alias("x"), y.alias("y"), F.lit(100).alias("w"), F.lit(15).alias("h"))
+    step = F.expr("CAST(160 + doc_id % 40 * 10 AS INT)") if spread else F.lit(600)
+    return w.select("doc_id", "page_index", "line_no", (F.col("line_no") * 100 + F.col("k")).alias("seq"), "text", (300 + step * F.col("k")).alias("x"), y.alias("y"), F.lit(100).alias("w"), F.lit(15).alias("h"))
 
 
 #: SQL that Spark and DuckDB read alike: the text of a ledger page from l_orderkey, page and rows.
