@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from veilspan import scratch
 from veilspan.functions import blocks, spans
 from veilspan.functions.text import literal_array
-from veilspan.operators import anonymize, detect, docs, edits, ink, layout, markdown, overlaps, redact, regions, restore, terms, words
+from veilspan.operators import anonymize, detect, docs, edits, ink, layout, markdown, overlaps, redact, regions, registry, restore, terms, words
 from veilspan.plans.oracles import ORACLES
 from veilspan.sources import files
 from veilspan.sources import relations as R
@@ -61,6 +61,16 @@ def detect_regex_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _entities(df, "found", "doc_id")
 
 
+@query
+def phrase_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the first two and the first three words of each document stand in all documents, by the number of places."""
+    texts = R.spread(R.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    first = registry.words_of(F.coalesce("text", F.lit("")))
+    phrases = texts.select(F.explode(F.array(*[F.struct(F.lit(f"FIRST_{n}").alias("entity_type"), F.array_join(F.slice(first, 1, n), " ").alias("phrase")) for n in (2, 3)])).alias("p")).select("p.*", F.lit(0.5).alias("score")).where("phrase <> ''")
+    found = registry.found(texts, ["doc_id"], registry.phrase_index(phrases))
+    return found.groupBy("doc_id", "entity_type").agg(F.count(F.lit(1)).alias("n"), F.min("start").alias("first_start"), F.max("end").alias("last_end"))
+
+
 @query
 def case_number_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = R.decrees(spark, sf_dir).select("doc_id", detect.detect(F.col("text"), detect.CASES).alias("found"))

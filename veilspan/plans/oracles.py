@@ -223,6 +223,12 @@ ORACLES: dict[str, str] = {
   concat_ws(',', CASE WHEN ls < cs THEN ls || '-' || cs END, CASE WHEN le > ce THEN ce || '-' || le END) AS exposed
 FROM r WHERE ev = 'drop' AND (ls < cs OR le > ce)""",
     "detect_regex_entities": f"WITH {_DOC_TEXT}, {found('src')} SELECT doc_id, entity_type, s AS span_start, e AS span_end, score, match AS span_text FROM hits",
+    "phrase_entities": rf"""WITH {_DOC_TEXT}, toks AS (SELECT doc_id, list_transform(regexp_extract_all(text, '[\pL\pN]+'), lambda w: lower(w)) AS ws, list_transform(regexp_extract_all(text, '[\pL\pN]+'), lambda w: length(w)) AS ns, list_transform(string_split_regex(text, '[\pL\pN]+'), lambda g: length(g)) AS gs FROM src),
+w AS (SELECT doc_id, unnest(ws) AS t, unnest(ns) AS n, unnest(gs[1:len(ws)]) AS g, unnest(generate_series(1, len(ws))) AS k FROM toks),
+p AS (SELECT doc_id, t, k, CAST(sum(n + g) OVER o - n AS INT) AS s, CAST(sum(n + g) OVER o AS INT) AS e, lead(t) OVER o AS t2, lead(t, 2) OVER o AS t3, n, lead(n) OVER o + lead(g) OVER o AS n2, lead(n, 2) OVER o + lead(g, 2) OVER o AS n3 FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY k)),
+grams AS (SELECT doc_id, 1 AS size, t AS gram, s, e FROM p UNION ALL SELECT doc_id, 2, t || ' ' || t2, s, e + n2 FROM p WHERE t2 IS NOT NULL UNION ALL SELECT doc_id, 3, t || ' ' || t2 || ' ' || t3, s, e + n2 + n3 FROM p WHERE t3 IS NOT NULL),
+ph AS (SELECT DISTINCT 'FIRST_' || m AS entity_type, array_to_string(ws[1:m], ' ') AS gram, least(m, len(ws)) AS size FROM toks, (SELECT unnest([2, 3]) AS m) WHERE len(ws) > 0)
+SELECT doc_id, entity_type, count(*) AS n, min(s) AS first_start, CAST(max(e) AS INT) AS last_end FROM grams JOIN ph USING (gram, size) GROUP BY ALL""",
     "case_number_context": "WITH "
     + f"dec AS (SELECT o_orderkey, o_custkey, {_DECREE_COLS} FROM orders), src AS (SELECT o_orderkey AS doc_id, body AS text FROM dec), "
     + found("src", kinds=(("ALPHA", r"\b\d{2,4}[-/][A-Z]{2,4}[-/]\d{3,6}\b", 0.85), ("NUMERIC", r"\b\d{2,4}[-/]\d{2,4}[-/]\d{3,6}\b", 0.4)))
