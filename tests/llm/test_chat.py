@@ -131,3 +131,40 @@ def test_a_record_that_does_not_parse_is_an_error(spark, monkeypatch):
     monkeypatch.setattr(chat, "PIECE", 1 << 30)
     with pytest.raises(Exception, match="no turns in a record of conversation 7"):
         chat.digest(by_range(spark, [(7, 0, "user", "a", LONG)])).collect()
+
+
+LOOSE = {
+    '{"messages": [{"role": "user", "content": "q", "weight": 0.5}, {"role": "assistant", "content": "r"}]}': ("messages", [("user", "q"), ("assistant", "r")]),
+    '{"system": "s", "conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "r"}]}': ("conversations", [("system", "s"), ("user", "q"), ("assistant", "r")]),
+    '{"messages": [{"role": "user", "content": "q"}], "meta": {"a": [1, {"b": 2}]}}': ("messages", [("user", "q")]),
+    '{"prompt": "q", "chosen": "good", "rejected": "bad"}': ("prompt_chosen", [("user", "q"), ("assistant", "good")]),
+    '{"prompt": [{"role": "system", "content": "s"}, {"role": "user", "content": "q"}], "completion": [{"role": "assistant", "content": "r"}]}': ("prompt_completion", [("system", "s"), ("user", "q"), ("assistant", "r")]),
+    '{"messages": [{"role": "user", "content": [{"type": "text", "text": "a"}, {"type": "image", "url": "u"}, "b"]}, {"role": "assistant", "content": "r"}]}': ("messages", [("user", "ab"), ("assistant", "r")]),
+    '{"text": "alone", "meta": 1}': ("text", [("assistant", "alone")]),
+    '{"instruction": "do", "input": "", "output": "done", "category": "x"}': ("instruction_output", [("user", "do"), ("assistant", "done")]),
+    '{"prompt": "q", "response": "r", "score": 3}': ("prompt_response", [("user", "q"), ("assistant", "r")]),
+    '{"messages": [{"role": "user", "content": null, "x": 1}, {"role": "assistant", "content": "r"}]}': ("messages", [("user", ""), ("assistant", "r")]),
+    '{"title": "no turns"}': (None, None),
+    '{"prompt": 5, "response": "r", "x": 1}': (None, None),
+    '{"messages": [{"role": "user", "content": 7}, {"role": "assistant", "content": "r"}]}': ("messages", [("user", "7"), ("assistant", "r")]),
+    "not json": (None, None),
+}
+
+
+def test_layouts_with_other_fields_are_matched_by_what_they_must_have(spark):
+    df = spark.createDataFrame([(r,) for r in LOOSE], "record string")
+    got = {r.record: (r.layout, r.turns and [tuple(t) for t in r.turns]) for r in chat.canonical(df).collect()}
+    assert got == LOOSE
+    assert sorted(r.n for r in chat.unknown(df.union(df)).collect()) == [2, 2, 2]
+
+
+def test_many_turns(spark):
+    import time
+
+    n = 100_000
+    turns = spark.range(1).select(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.struct(F.when(i % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("t\u00e9xt <| "), i.cast("string")).alias("text"))).alias("turns"))
+    began = time.time()
+    out = chat.formatted(turns).select("formatted", "mask")
+    row = out.select(F.array_join(chat.masked(F.col("formatted"), F.col("mask")), ",").alias("loss"), F.size("mask").alias("n")).first()
+    assert row.n == n // 2 and row.loss == ",".join(f"t\u00e9xt <| {i}" for i in range(1, n, 2))
+    assert time.time() - began < 90

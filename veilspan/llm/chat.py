@@ -3,7 +3,9 @@ r"""Chat formatting by schema fingerprints.
 A record is one JSON text. Its fingerprint is the hash of its nested field paths, which
 ``schema_of_variant`` gives in sorted order. Fingerprints select a declarative mapping
 (``MAPPINGS``); the mapping says where the turns are and how their roles are spelled,
-and everything comes out as canonical turns, role and text.
+and everything comes out as canonical turns, role and text. A fingerprint that isn't known is
+matched by its required paths: the first of ``LOOSE`` whose fields are there is taken, whatever
+other fields a record or its messages have; a ``system`` text beside them is the first turn.
 
 The template is ``<|im_start|>role\ntext<|im_end|>\n`` for each turn. Inside a role or
 text each ``<``, any number of ``\`` and ``|`` gets one more ``\`` before the ``|``, so
@@ -15,8 +17,12 @@ exclusive), one for each assistant turn: its escaped text, without role or end m
 
 All of it is DataFrame code. Defined results:
 
-* a record that isn't JSON or whose fingerprint selects no mapping has null turns; one whose
-  array of turns is empty has no turns
+* a record that isn't JSON or has the required paths of no mapping has null turns (``unknown``
+  counts these by fingerprint); one whose array of turns is empty has no turns
+* a message's content may be a list of parts: their texts are joined; parts without text are
+  left out
+* of a prompt with a chosen and a rejected answer the chosen one counts; a record of a text
+  alone is one turn of the assistant, all of which is learned from
 * a null role or text is the empty one; turns of a record keep their order
 * a conversation without turns is formatted as the empty text
 * rows of one turn number come in the order of role and text; those without a number first
@@ -33,7 +39,10 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veilspan.functions.text import let, scan
+
 START, END = "<|im_start|>", "<|im_end|>"
+MASK = "array<struct<start:int,end:int>>"
 
 
 @dataclass(frozen=True)
@@ -65,6 +74,35 @@ MAPPINGS = (
     Mapping("instruction_input_output", ("input", "instruction", "output"), fields=(("user", ("$.instruction", "$.input")), ("assistant", ("$.output",)))),
     Mapping("system_prompt_response", ("prompt", "response", "system"), fields=(("system", ("$.system",)), ("user", ("$.prompt",)), ("assistant", ("$.response",)))),
 )
+
+
+@dataclass(frozen=True)
+class Loose:
+    """Required paths only. lists: arrays of messages, one after the other; or fields, as in ``Mapping``, the first path of each role being required."""
+
+    name: str
+    lists: tuple[str, ...] = ()
+    fields: tuple[tuple[str, tuple[str, ...]], ...] = ()
+
+
+def _asks(name: str, ask: tuple[str, ...], reply: str) -> Loose:
+    return Loose(name, fields=(("user", tuple(f"$.{a}" for a in ask)), ("assistant", (f"$.{reply}",))))
+
+
+#: Layouts by their required paths; the first that fits counts.
+LOOSE = (
+    Loose("messages", lists=("$.messages",)),
+    Loose("conversations", lists=("$.conversations",)),
+    Loose("prompt_completion", lists=("$.prompt", "$.completion")),
+    Loose("prompt_chosen", lists=("$.prompt", "$.chosen")),
+    _asks("instruction_output", ("instruction", "input"), "output"),
+    _asks("prompt_response", ("prompt",), "response"),
+    _asks("prompt_completion", ("prompt",), "completion"),
+    _asks("prompt_chosen", ("prompt",), "chosen"),
+    Loose("text", fields=(("assistant", ("$.text",)),)),
+)
+#: Names of a message's fields.
+ROLE_FIELDS, TEXT_FIELDS = ("role", "from"), ("content", "value")
 #: Other spellings of roles.
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 #: Layouts that ``records_of`` gives a pair of turns.
@@ -76,7 +114,7 @@ PIECE = 2_000_000
 def field_paths(variant: Column) -> Column:
     """Sorted nested field paths of a variant, comma-joined: the fields' types don't count."""
     schema = F.schema_of_variant(variant)
-    plain = F.regexp_replace(schema, r"(STRING|BIGINT|BOOLEAN|DOUBLE|FLOAT|VOID|DECIMAL\(\d+,\s*\d+\)|DATE|TIMESTAMP(_NTZ)?|BINARY|VARIANT)", "-")
+    plain = F.regexp_replace(schema, r"(STRING|BIGINT|BOOLEAN|DOUBLE|FLOAT|VOID|DECIMAL\(\d+,\s*\d+\)|DATE|TIMESTAMP(_NTZ)?|BINARY)", "-")
     return plain
 
 
@@ -114,6 +152,51 @@ def _joined(texts: list[Column]) -> Column:
     return texts[0] if len(texts) == 1 else F.array_join(F.filter(F.array(*texts), lambda x: x != ""), "\n\n")
 
 
+def _is_text(v: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(v) == "STRING", F.lit(False))
+
+
+def _said(v: Column) -> Column:
+    """The text of a variant: a string (or number), an object with a text, or a list of such parts."""
+
+    def one(p: Column) -> Column:
+        return F.when(F.schema_of_variant(p).startswith("OBJECT"), F.try_variant_get(p, "$.text", "string")).otherwise(F.try_variant_get(p, "$", "string"))
+
+    parts = F.array_join(F.transform(F.try_variant_get(v, "$", "array<variant>"), one), "")
+    return F.when(F.schema_of_variant(v).startswith("ARRAY"), parts).otherwise(one(v))
+
+
+def _first(v: Column, names: tuple[str, ...]) -> Column:
+    return F.coalesce(*[F.try_variant_get(v, f"$.{n}", "variant") for n in names])
+
+
+def _loosely(v: Column) -> tuple[Column, Column]:
+    """layout and turns by the first of LOOSE whose required paths a record has; null without any."""
+    none = F.lit(None).cast("array<struct<role:string,text:string>>")
+    layout, turns = F.lit(None).cast("string"), none
+    for m in reversed(LOOSE):
+        if m.lists:
+            all_ = [F.try_variant_get(v, p, "array<variant>") for p in m.lists]
+            whole = lambda x: _first(x, ROLE_FIELDS).isNotNull() & _first(x, TEXT_FIELDS).isNotNull()
+            fits = [F.coalesce(F.exists(a, whole), F.lit(False)) for a in all_]
+            own = F.transform(F.concat(*all_), lambda x: F.struct(_said(_first(x, ROLE_FIELDS)).alias("role"), _said(_first(x, TEXT_FIELDS)).alias("text")))
+        else:
+            fits = [_is_text(F.try_variant_get(v, paths[0], "variant")) for _, paths in m.fields]
+            own = F.array(*[F.struct(F.lit(r).alias("role"), _joined([F.coalesce(F.try_variant_get(v, p, "string"), F.lit("")) for p in paths]).alias("text")) for r, paths in m.fields])
+        fit = fits[0]
+        for f in fits[1:]:
+            fit = fit & f
+        layout, turns = F.when(fit, m.name).otherwise(layout), F.when(fit, own).otherwise(turns)
+    system = F.try_variant_get(v, "$.system", "variant")
+    before = F.array(F.struct(F.lit("system").alias("role"), F.try_variant_get(v, "$.system", "string").alias("text")))
+    return layout, F.when(turns.isNotNull() & _is_text(system), F.concat(before, turns)).otherwise(turns)
+
+
+def unknown(records: DataFrame, record: str = "record") -> DataFrame:
+    """How many records have no turns, by fingerprint (null: no JSON): fingerprint, n."""
+    return canonical(records, record).where("turns is null").groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n"))
+
+
 def canonical(records: DataFrame, record: str = "record") -> DataFrame:
     """``records`` with fingerprint, layout and turns (array of role and text), for each JSON text in ``record``."""
     spark = records.sparkSession
@@ -128,13 +211,16 @@ def canonical(records: DataFrame, record: str = "record") -> DataFrame:
         else:
             own = F.array(*[F.struct(F.lit(r).alias("role"), _joined([F.try_variant_get("__v", p, "string") for p in paths]).alias("text")) for r, paths in m.fields])
         turns = F.when(F.col("layout") == m.name, own).otherwise(turns)
+    loose, loose_turns = _loosely(F.col("__v"))
+    turns = F.when(F.col("layout").isNotNull(), turns).otherwise(loose_turns)
+    v = v.withColumn("__turns", turns).withColumn("layout", F.coalesce("layout", loose))
     spelled = F.create_map(*[F.lit(x) for pair in ROLES.items() for x in pair])
 
     def clean(t: Column) -> Column:
         role = F.coalesce(t["role"], F.lit(""))
         return F.struct(F.coalesce(spelled[role], role).alias("role"), F.coalesce(t["text"], F.lit("")).alias("text"))
 
-    return v.withColumn("turns", F.transform(turns, clean)).drop("__v")
+    return v.withColumn("turns", F.transform("__turns", clean)).drop("__v", "__turns")
 
 
 def escaped(text: Column) -> Column:
@@ -161,15 +247,15 @@ def formatted(turns: DataFrame) -> DataFrame:
     tail = len(END) + 1
     text = F.array_join(F.transform("__cells", lambda c: F.concat(c["head"], c["body"], F.lit(END + "\n"))), "")
     df = df.withColumn("formatted", F.coalesce(text, F.lit("")))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("mask"))
 
-    def add(acc: Column, c: Column) -> Column:
-        start = acc["at"] + F.length(c["head"])
+    def add(at: Column, c: Column) -> tuple[Column, dict[str, Column]]:
+        start = at + F.length(c["head"])
         end = start + F.length(c["body"])
         one = F.array(F.struct(start.alias("start"), end.alias("end")))
-        return F.struct((end + tail).alias("at"), F.when(c["role"] == "assistant", F.concat(acc["mask"], one)).otherwise(acc["mask"]).alias("mask"))
+        return end + tail, {"mask": F.when(c["role"] == "assistant", one).otherwise(F.array().cast(MASK))}
 
-    return df.withColumn("mask", F.coalesce(F.aggregate("__cells", begin, add, lambda a: a["mask"]), begin["mask"])).drop("__cells")
+    mask = scan(F.col("__cells"), F.lit(0), {"mask": "struct<start:int,end:int>"}, add, lambda a: a["mask"])
+    return df.withColumn("mask", F.coalesce(mask, F.array().cast(MASK))).drop("__cells")
 
 
 def parsed(text: Column) -> Column:
@@ -185,8 +271,20 @@ def parsed(text: Column) -> Column:
 
 
 def masked(text: Column, mask: Column) -> Column:
-    """The unescaped texts under the mask, in order."""
-    return F.transform(mask, lambda s: unescaped(F.substr(text, s["start"] + 1, s["end"] - s["start"])))
+    """The unescaped texts under the mask, in order. A place in a text is found by counting from its start, so that spans are cut out of the pieces that blocks of spans lie in: m spans cost as much as 2 sqrt(m) readings of the text."""
+
+    def cut(all_: Column) -> Column:
+        size = F.ceil(F.sqrt(F.greatest(F.size(all_), F.lit(1)))).cast("int")
+        blocks = F.filter(F.transform(F.sequence(F.lit(0), size), lambda k: F.slice(all_, k * size + 1, size)), lambda b: F.size(b) > 0)
+
+        def of(b: Column) -> Column:
+            base = F.element_at(b, 1)["start"]
+            near = F.substr(text, base + 1, F.element_at(b, -1)["end"] - base)
+            return let(near, lambda t: F.transform(b, lambda s: unescaped(F.substr(t, s["start"] - base + 1, s["end"] - s["start"]))))
+
+        return F.flatten(F.transform(blocks, of))
+
+    return let(mask, cut)
 
 
 def records_of(rows: DataFrame) -> DataFrame:
