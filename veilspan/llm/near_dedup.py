@@ -105,9 +105,11 @@ def word_places(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
         word = ~_SPACE[data[lo : lo + SEARCHED]]
         before = np.concatenate([[lo > 0 and not _SPACE[data[lo - 1]]], word[:-1]])
         own = at[np.searchsorted(at, lo) : np.searchsorted(at, lo + len(word))] - lo
-        cut = np.unique(own[word[own] & before[own]])  # a text begins within what would be one word
-        starts.append(np.union1d(np.flatnonzero(word & ~before), cut) + lo)
-        ends.append(np.union1d(np.flatnonzero(~word & before), cut) + lo)
+        cut = own[word[own] & before[own]]  # a text begins within what would be one word
+        begins, stops = word & ~before, ~word & before
+        begins[cut] = stops[cut] = True
+        starts.append(np.flatnonzero(begins) + lo)
+        ends.append(np.flatnonzero(stops) + lo)
     if len(data) and not _SPACE[data[-1]]:
         ends.append(np.array([len(data)]))
     none = [np.zeros(0, np.int64)]
@@ -146,7 +148,8 @@ def shingle_sets(column: pa.Array, words: int, key: Key) -> Iterator[np.ndarray]
             s = mix(s + h[j : len(h) - words + 1 + j])
     for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
         if b - a >= words:
-            yield np.unique(s[a : b - words + 1])
+            own = np.sort(s[a : b - words + 1])
+            yield own[np.concatenate([[True], own[1:] != own[:-1]])]
         elif b > a:  # the whole sequence is one shingle
             one = np.array([b - a], np.uint64)
             for x in h[a:b]:
