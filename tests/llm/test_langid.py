@@ -89,3 +89,32 @@ def test_cases(make_docs):
     empty = make_docs([])
     assert langid.identify(empty, langid.fit(empty)).count() == 0
     assert {r.lang_pred for r in langid.identify(docs, langid.fit(empty)).collect()} == {"und"}
+
+
+def test_pieces_of_long_texts(monkeypatch):
+    """Pieces of any size have the n-grams and the letters that the whole text has."""
+    rng = np.random.default_rng(5)
+    text = "".join(rng.choice(list("aA\u00e9\u65e5\U0001f600 .b")) for _ in range(400))
+    (whole,) = langid.pieces(*text_bytes(pa.array([text])))
+    ids, _, has = langid.grams(*whole[:2])
+    for size in (2, 3, 5, 64, 399):
+        monkeypatch.setattr(langid, "LONG", size)
+        got = [(langid.grams(points, at), skip) for points, at, skip in langid.pieces(*text_bytes(pa.array([text])))]
+        assert len(got) > 1 and (np.concatenate([g[0][skip:] for g, skip in got]) == ids).all()
+        assert any(g[2][0] for g, _ in got) == has[0]
+
+
+def test_a_long_text_is_predicted_and_counted_like_a_short_one(spark, make_docs, monkeypatch):
+    rows = [(i, ("der und ist " if i % 2 else "the and was ") * 40, "de" if i % 2 else "en") for i in range(40)]
+    docs = make_docs(rows, clash=False)
+    want = {r.doc_id: (r.lang_pred, round(r.score, 9)) for r in langid.identify(docs, langid.fit(docs)).collect()}
+    model = langid.fit(docs)
+    monkeypatch.setattr(langid, "LONG", 50)
+    column = pa.array([r[1] for r in rows])
+    for k in range(len(rows)):
+        (lang,), (score,) = model.predict(column.slice(k, 1))
+        assert (lang, round(float(score), 9)) == want[k]
+    batch = pa.RecordBatch.from_arrays([column.slice(0, 1), pa.array(["en"])], ["text", "lang"])
+    short = next(langid._counts(iter([batch])))
+    monkeypatch.setattr(langid, "LONG", 1 << 20)
+    assert short.equals(next(langid._counts(iter([batch]))))

@@ -16,6 +16,7 @@ Defined results:
 * rows with a null or repeated doc_id are predicted like others; a null id isn't held out
 * without any training text each prediction is ``und`` with score 0
 * ties go to the language that is first by code point
+* a text of any length is read in pieces; beside the batch it comes in it takes some 250 MB
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ BUCKETS, SAMPLE, ALPHA, TEMPERATURE = 1 << 15, 8000, 0.5, 0.1
 LANGS, KEPT = 64, 8
 #: Numbers gathered at once: a long text is scored in windows of so many by the number of languages.
 WINDOW = 1 << 23
+#: Bytes of a text that are made into code points at once; longer texts go in pieces.
+LONG = 4 << 20
 _tables: list[np.ndarray] = []
 
 
@@ -54,6 +57,22 @@ def code_points(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), dtype=np.uint32), upto[at]
 
 
+def pieces(data: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Code points of texts, the texts' places among them, and how many of the first ones were there before. A text of more than LONG bytes comes by itself, in pieces that begin with the two code points before them."""
+    if len(data) <= LONG or len(at) != 2:
+        yield *code_points(data, at), 0
+        return
+    lo, tail = 0, np.zeros(0, np.uint32)
+    while lo < len(data):
+        hi = min(len(data), lo + LONG)
+        while hi < len(data) and data[hi] & 0xC0 == 0x80:
+            hi += 1
+        points, _ = code_points(data[lo:hi], np.array([0, hi - lo]))
+        points = np.concatenate([tail, points])
+        yield points, np.array([0, len(points)]), len(tail)
+        lo, tail = hi, points[-2:]
+
+
 def grams(points: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Buckets of all n-grams, their documents' places among them, and whether each document has a letter. The buckets come by n-gram length within windows of the batch."""
     alpha, lower = _letters()
@@ -110,24 +129,27 @@ class Model:
     def predict(self, column: pa.Array) -> tuple[list[str], np.ndarray]:
         if not self.langs:
             return ["und"] * len(column), np.zeros(len(column))
-        points, at = code_points(*text_bytes(column))
-        ids, at, has = grams(points, at)
+        texts = text_bytes(column)
+        has = np.zeros(len(column), bool)
         best, top = np.zeros(len(column), np.int64), np.full(len(column), -np.inf)
         weight = np.zeros(len(column))  # of all languages so far, as a multiple of the best one's
         for first in range(0, len(self.langs), LANGS):
             logs = self.logs(first)
             sums = np.repeat(self.prior[None, first : first + logs.shape[1]], len(column), 0)
             window = max(1, WINDOW // logs.shape[1])
-            for lo in range(0, len(ids), window):
-                hi = min(len(ids), lo + window)
-                got = logs[ids[lo:hi, 0]]
-                got += logs[ids[lo:hi, 1]]
-                got += logs[ids[lo:hi, 2]]
-                d0, d1 = int(np.searchsorted(at, lo, "right")) - 1, int(np.searchsorted(at, hi, "left"))
-                inside = np.arange(d0, d1)
-                inside = inside[(at[inside] < at[inside + 1])]
-                marks = np.maximum(at[inside], lo) - lo
-                sums[inside] += np.add.reduceat(got.astype(np.float64), marks, axis=0)
+            for points, at, skip in pieces(*texts):
+                ids, at, some = grams(points, at)
+                has |= some.astype(bool)
+                for lo in range(skip, len(ids), window):
+                    hi = min(len(ids), lo + window)
+                    got = logs[ids[lo:hi, 0]]
+                    got += logs[ids[lo:hi, 1]]
+                    got += logs[ids[lo:hi, 2]]
+                    d0, d1 = int(np.searchsorted(at, lo, "right")) - 1, int(np.searchsorted(at, hi, "left"))
+                    inside = np.arange(d0, d1)
+                    inside = inside[(at[inside] < at[inside + 1])]
+                    marks = np.maximum(at[inside], lo) - lo
+                    sums[inside] += np.add.reduceat(got.astype(np.float64), marks, axis=0)
             own = sums.argmax(1)
             high = sums[np.arange(len(own)), own]
             new = np.maximum(top, high)
@@ -148,13 +170,15 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total.clear()
 
     for batch in slices(batches, "text"):
-        ids, at, _ = grams(*code_points(*text_bytes(get(batch, "text"))))
-        for d, lang in enumerate(get(batch, "lang").to_pylist()):
-            own = total.setdefault(lang, np.zeros(BUCKETS + 2, np.int64))  # the last two: no n-gram, texts
-            own[: BUCKETS + 1] += np.bincount(ids[at[d] : at[d + 1]].ravel(), minlength=BUCKETS + 1)
-            own[-1] += 1
-            if len(total) > LANGS:
-                yield from out()
+        langs = get(batch, "lang").to_pylist()
+        for points, at, skip in pieces(*text_bytes(get(batch, "text"))):
+            ids, at, _ = grams(points, at)
+            for d, lang in enumerate(langs):
+                own = total.setdefault(lang, np.zeros(BUCKETS + 2, np.int64))  # the last two: no n-gram, texts
+                own[: BUCKETS + 1] += np.bincount(ids[max(skip, at[d]) : at[d + 1]].ravel(), minlength=BUCKETS + 1)
+                own[-1] += not skip
+                if len(total) > LANGS:
+                    yield from out()
     yield from out()
 
 
