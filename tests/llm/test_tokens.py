@@ -1,4 +1,3 @@
-import random
 import zlib
 
 import numpy as np
@@ -91,15 +90,3 @@ def test_starts_over_groups_of_shards(spark, monkeypatch):
 
 def test_empty(spark, make_docs):
     assert tokens.read(spark, tokens.write(make_docs([]))).count() == 0
-
-
-def test_parts_of_long_texts_are_looked_up_in_turns(monkeypatch):
-    import pyarrow as pa
-
-    rng = random.Random(6)
-    texts = ["".join(rng.choice(["ab", "Q", " ", ",", "\n", "\u00e9", "<|endoftext|>", "\u3000"] if k % 3 == 0 else ["ab", "Q", " ", ".", "\u00e9"]) for _ in range(300)) for k in range(20)] + ["", "x" * 5000, "y " * 500]
-    whole = tokens.Encoder(tokens.default_path()).encode(pa.array(texts))
-    for size in (1, 7, 100, 1000):
-        monkeypatch.setattr(tokens, "LONG", size)
-        got = tokens.Encoder(tokens.default_path()).encode(pa.array(texts))
-        assert all((a == b).all() and len(a) == len(b) for a, b in zip(whole, got, strict=True))

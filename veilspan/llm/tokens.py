@@ -28,8 +28,6 @@ Defined results:
   rows an end id comes: a row without one goes on into the next
 * strings of added tokens in a text are those tokens, as the library has it
 * an empty table gives an empty token table
-* a long text is cut like others and its parts are looked up some 4 MB at a time: it takes about
-  12 bytes for each of its bytes. One that can't be cut goes to the library whole
 """
 
 from __future__ import annotations
@@ -54,8 +52,6 @@ from veilspan.llm.near_dedup import powers
 BLOCK, PERCENTILE, SEGMENT_IDS, END_ID = 1024, 98.0, 1 << 17, 0
 #: Text bytes for each shard, and distinct parts that a worker remembers.
 SHARD_BYTES, REMEMBERED = 24 << 20, 400_000
-#: Bytes of parts that are looked up together.
-LONG = 4 << 20
 #: Most shards whose starts are broadcast (12 bytes each).
 MOST_BROADCAST = 1_000_000
 HEADER = struct.Struct("<IHBH")
@@ -158,46 +154,31 @@ class Encoder:
         data, at = text_bytes(column)
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(at), np.int64)
-        begin = self.cuts(data, at)
-        end = np.append(begin[1:], len(data))
-        ids, counts, lo = [], [], 0
-        while lo < len(begin):
-            hi = max(lo + 1, int(np.searchsorted(end, begin[lo] + LONG, "right")))
-            base = begin[lo]
-            own, count = self.encode_parts(data[base : end[hi - 1]], begin[lo:hi] - base, end[lo:hi] - base)
-            ids.append(own)
-            counts.append(count)
-            lo = hi
-        ends = np.cumsum(np.concatenate(counts))
-        return np.concatenate(ids), np.append(0, ends)[np.searchsorted(begin, at)]
-
-    def encode_parts(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of parts one after the other, and how many each has."""
         if len(self.known) > REMEMBERED:
             self.forget()
-        first = inverse = np.arange(len(begin))
-        if len(begin) > 1:
-            up, down = powers(len(data))
-            total = np.zeros(len(data) + 1, np.uint64)
-            total[1:] = data
-            total[1:] += np.uint64(1)
-            total[1:] *= up[:-1]
-            np.cumsum(total, out=total)
-            h = (total[end] - total[begin]) * down[begin]
-            del total
-            order = np.argsort(h)
-            h = h[order]
-            new = np.concatenate([[True], h[1:] != h[:-1]])
-            first, inverse = order[new], np.empty(len(h), np.int64)
-            inverse[order] = np.cumsum(new) - 1
-            del h, order, new
-            same = begin[first][inverse]
-            # equal hashes must be equal bytes: else each part is looked up by itself
-            size = end - begin
-            gap = np.repeat((same - begin).astype(np.int32), size)
-            if (size != size[first][inverse]).any() or (data != data[np.arange(len(data), dtype=np.int32) + gap]).any():
-                first = inverse = np.arange(len(begin))
-            del gap
+        begin = self.cuts(data, at)
+        end = np.append(begin[1:], len(data))
+        up, down = powers(len(data))
+        total = np.zeros(len(data) + 1, np.uint64)
+        total[1:] = data
+        total[1:] += np.uint64(1)
+        total[1:] *= up[:-1]
+        np.cumsum(total, out=total)
+        h = (total[end] - total[begin]) * down[begin]
+        del total
+        order = np.argsort(h)
+        h = h[order]
+        new = np.concatenate([[True], h[1:] != h[:-1]])
+        first, inverse = order[new], np.empty(len(h), np.int64)
+        inverse[order] = np.cumsum(new) - 1
+        del h, order, new
+        same = begin[first][inverse]
+        # equal hashes must be equal bytes: else each part is looked up by itself
+        size = end - begin
+        gap = np.repeat((same - begin).astype(np.int32), size)
+        if (size != size[first][inverse]).any() or (data != data[np.arange(len(data), dtype=np.int32) + gap]).any():
+            first = inverse = np.arange(len(begin))
+        del gap
         raw, known = data.tobytes(), self.known
         parts = [raw[x:y] for x, y in zip(begin[first].tolist(), end[first].tolist(), strict=True)]
         place = [known.get(p, -1) for p in parts]
@@ -207,7 +188,8 @@ class Encoder:
         place = np.array(place, np.int64)
         start, count = np.frombuffer(self.starts, np.int64)[place][inverse], np.frombuffer(self.sizes, np.int32)[place][inverse].astype(np.int64)
         ends = np.cumsum(count)
-        return self.pool[np.repeat(start - ends + count, count) + np.arange(ends[-1])], count
+        ids = self.pool[np.repeat(start - ends + count, count) + np.arange(ends[-1])]
+        return ids, np.append(0, ends)[np.searchsorted(begin, at)]
 
 
 _encoders: dict[str, Encoder] = {}
