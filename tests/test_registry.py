@@ -1,5 +1,7 @@
 """Recognizers from rows, and phrases found by joins against a plain search."""
 
+import contextlib
+import io
 import random
 import re
 
@@ -77,3 +79,26 @@ def test_bad_tables_are_errors(spark):
 
 def test_separators_are_white_space(spark):
     assert spark.range(1).select(strip(F.lit("\x1c\x1d a\x1eb \x1f"))).first()[0] == "a\x1eb"
+
+
+def test_pages_with_one_key_and_sizes_with_many_phrases(spark, monkeypatch):
+    """Pages that share a key don't meet each other's words, and no word is shuffled; phrases beyond the broadcast pass the bitmap."""
+    rng = random.Random(5)
+    words = ["ash", "birch", "cedar", "elm", "fir"]
+    rows = [(i % 20, rng.choice(["", "("]) + "".join(rng.choice(words) + rng.choice([" ", ", "]) for _ in range(rng.randrange(30)))) for i in range(40)]
+    phrases = sorted({("TREE", " ".join(rng.choice(words) for _ in range(rng.randrange(1, 4))), 0.5) for _ in range(30)})
+    pages = spark.createDataFrame(rows, "page int, text string")
+    index = registry.phrase_index(spark.createDataFrame(phrases, "entity_type string, phrase string, score double"))
+    found = registry.found(pages, ["page"], index)
+    assert sorted(map(tuple, found.collect())) == plain(rows, phrases)
+    assert "hashpartitioning(page" not in explained(found)
+    for most in (6, 0):
+        monkeypatch.setattr(registry, "BROADCAST_PHRASES", most)
+        assert sorted(map(tuple, registry.found(pages, ["page"], index).collect())) == plain(rows, phrases)
+
+
+def explained(df):
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain()
+    return out.getvalue()
