@@ -72,5 +72,6 @@ def nested_pages(words: DataFrame, lines: DataFrame, page: list[str]) -> DataFra
     """The page envelope: text, lines and words of each page as arrays."""
     box = F.struct("x", "y", "w", "h").alias("box")
     w = words.groupBy(*page).agg(F.array_sort(F.collect_list(F.struct("line_seq", "seq", F.struct("text", box, "conf", "line_id", F.struct("start", "end").alias("char_span")).alias("word")))).getField("word").alias("words"))
-    n = lines.groupBy(*page).agg(F.array_sort(F.collect_list(F.struct("line_seq", F.struct("line_id", "text", box).alias("line")))).getField("line").alias("lines"))
-    return page_text(lines, page).join(n, page).join(w, page)
+    n = lines.groupBy(*page).agg(F.array_sort(F.collect_list(F.struct("line_seq", "text", F.struct("line_id", "text", box).alias("line")))).alias("own"))
+    n = n.select(*page, F.array_join(F.col("own.text"), "\n").alias("text"), F.col("own.line").alias("lines"))
+    return n.join(w, page)
