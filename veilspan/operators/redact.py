@@ -13,10 +13,11 @@ def redaction_boxes(words: DataFrame, entities: DataFrame, page: list[str], floo
     """For each word that an entity of its page overlaps: its whole box, text, and the sorted distinct types, comma-joined.
 
     A join on page and bin of offsets with the overlap as a condition, so that words far from an
-    entity don't meet it; pre-aggregated by word.
+    entity don't meet it; pre-aggregated by word. Only words of pages with entities go there.
     """
     e = entities.where(F.coalesce("score", F.lit(0.0)) >= F.lit(floor)).select(*page, "entity_type", F.col("start").alias("e_start"), F.col("end").alias("e_end"))
-    met = bins.met_intervals(words.select(*page, "seq", "start", "end", "text", "x", "y", "w", "h"), e, page, ("start", "end"), ("e_start", "e_end"))
+    own = words.select(*page, "seq", "start", "end", "text", "x", "y", "w", "h").join(e.select(*page).distinct(), page, "left_semi")
+    met = bins.met_intervals(own, e, page, ("start", "end"), ("e_start", "e_end"))
     return met.groupBy(*page, "seq").agg(*[F.first(c).alias(c) for c in ("text", "x", "y", "w", "h")], F.array_join(F.array_sort(F.collect_set("entity_type")), ",").alias("entity_types"))
 
 
