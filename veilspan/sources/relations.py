@@ -60,6 +60,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of a table's files whose rows one task gets, where each becomes many rows later on.
+PART_BYTES = {"documents": 4 << 20, "lineitem": 1 << 20, "orders": 1 << 20}
+#: The same for documents that become images of 24 kB; images that leave Python together.
+IMAGE_PART_BYTES, IMAGES_AT_ONCE = 1 << 20, 64
+
+
+def parts(spark: SparkSession, sf_dir: str, name: str, most: int | None = None) -> int:
+    """To how many parts a table is dealt out, a multiple of the cores. Their number grows with the files, so that what a task sorts stays as large as it is; left to the size of what is shuffled, parts would be as large for rows that become a hundred rows as for others."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+    size = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    cores = spark.sparkContext.defaultParallelism
+    return -(-max(1, size) // ((most or PART_BYTES[name]) * cores)) * cores
+
+
 def span_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, entity_type, s, e, score: a row for each line of an order."""
     return spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")).selectExpr(*[f"{x} AS {n}" for n, x in SPAN_COLUMNS.items()])
@@ -73,7 +87,7 @@ def span_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def decrees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, page_index, text, entities."""
-    df = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"))
+    df = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").repartition(parts(spark, sf_dir, "orders"), "o_orderkey")
     for name, x in DECREE_COLUMNS:
         df = df.withColumn(name, F.expr(x))
     made = [F.expr(f"CASE WHEN {cond} THEN named_struct('entity_type', {t}, 'start', CAST({s} AS INT), 'end', CAST({s} + {n} AS INT), 'score', CAST({p} AS DOUBLE), 'text', substr(body, {s} + 1, {n})) END") for t, s, n, p, cond in DECREE_SPANS]
@@ -101,10 +115,11 @@ def edit_log(proposed: DataFrame) -> DataFrame:
 
 
 def page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, page_index, line_no, line_id, text: documents cut into pages of ten lines."""
-    lines = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("i", "text"))
+    """doc_id, page_index, line_no, line_id, text: documents cut into pages of ten lines, dealt out by page before lines become words: what asks for a page's words then finds them in one part."""
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("i", "text"))
     no = F.col("i") % LINES_ON_PAGE
-    return lines.select("doc_id", F.expr(f"CAST(i DIV {LINES_ON_PAGE} AS INT)").alias("page_index"), no.alias("line_no"), F.expr(f"concat_ws(':', i % {LINES_ON_PAGE} DIV 4, i % 4 DIV 2, i % {LINES_ON_PAGE})").alias("line_id"), "text")
+    lines = lines.select("doc_id", F.expr(f"CAST(i DIV {LINES_ON_PAGE} AS INT)").alias("page_index"), "i", "text").repartition(parts(spark, sf_dir, "documents"), *PAGE)
+    return lines.select(*PAGE, no.alias("line_no"), F.expr(f"concat_ws(':', i % {LINES_ON_PAGE} DIV 4, i % 4 DIV 2, i % {LINES_ON_PAGE})").alias("line_id"), "text")
 
 
 def raw_words(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,10 +152,11 @@ def page_images(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     width, height = IMAGE
     cells = [F.expr(f"CAST({x} AS INT)") for bar in IMAGE_BARS for x in bar]
-    df = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), F.array(*cells).alias("bars"))
+    df = table(spark, sf_dir, "documents").select("doc_id").repartition(parts(spark, sf_dir, "documents", IMAGE_PART_BYTES))  # a part is what an Arrow batch may hold
+    df = df.select(F.col("doc_id").cast("string").alias("path"), F.array(*cells).alias("bars"))
 
     def run(batches):
-        for batch in batches:
+        for batch in (b.slice(k, IMAGES_AT_ONCE) for b in batches for k in range(0, b.num_rows, IMAGES_AT_ONCE)):
             images = []
             for bars in batch.column("bars").to_pylist():
                 page = np.full((height, width), 0xF0, np.uint8)
@@ -162,7 +178,7 @@ def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def markdown_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, page_index, text: a table of an order's lines, three on a page, with all that comes around tables."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity").repartition(parts(spark, sf_dir, "lineitem"), "l_orderkey")
     from pyspark.sql.window import Window
 
     rank = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")) - 1
@@ -202,7 +218,7 @@ def ledger_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, page_index, text: a table of an order's lines, two on a page, over up to four pages, at times with a second header or closing prose."""
     from pyspark.sql.window import Window
 
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity").repartition(parts(spark, sf_dir, "lineitem"), "l_orderkey")
     rank = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")) - 1
     li = li.withColumn("k", rank).withColumn("page", F.expr("CAST(k DIV 2 AS INT)"))
     row = F.expr("'| part ' || CAST(l_partkey AS STRING) || ' | ' || CAST(l_suppkey AS STRING) || ' |'")
