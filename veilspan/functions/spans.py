@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from veilspan.functions.text import scan
+from veilspan.functions.text import let, scan
 
 SCORE_FLOOR = 0.30
 #: An entity, and the warning of a drop that leaves text uncovered.
@@ -46,8 +46,13 @@ def resolve(entities: Column) -> Column:
     The fold holds one entity at a time. One that overlaps it replaces it if its key is
     smaller, and is dropped if not; one that doesn't closes it. So an entity may be
     dropped for a winner that is dropped itself later on: neither the set of entities
-    without a better neighbour nor a best-first choice is the same.
+    without a better neighbour nor a best-first choice is the same. Where no entity overlaps
+    the one before it, nothing is replaced or dropped, and there is no fold.
     """
+    return let(entities, _resolved)
+
+
+def _resolved(entities: Column) -> Column:
     item = f"struct<at:int,key:struct<a:double,b:int,c:int,d:string>,e:{ENTITY}>"
     ordered = F.array_sort(F.transform(entities, lambda e: F.struct(e["start"].alias("at"), priority(e).alias("key"), e.alias("e")).cast(item)))
     none_done, none_said = F.array().cast(f"array<{ENTITY}>"), F.array().cast(f"array<{WARNING}>")
@@ -74,7 +79,14 @@ def resolve(entities: Column) -> Column:
         return F.struct(last.alias("resolved"), acc["warnings"].alias("warnings"))
 
     alone = F.struct(entities.cast(f"array<{ENTITY}>").alias("resolved"), none_said.alias("warnings"))
-    return F.when(F.size(entities) <= 1, alone).otherwise(scan(ordered, F.lit(None).cast(item), {"resolved": ENTITY, "warnings": WARNING}, step, finish))
+
+    def by_order(o: Column) -> Column:
+        meets = F.transform(o, lambda x, i: (i > 0) & overlap(F.get(o, i - 1)["e"]["start"], F.get(o, i - 1)["e"]["end"], x["e"]["start"], x["e"]["end"]))
+        apart = F.struct(F.transform(o, lambda x: x["e"]).alias("resolved"), none_said.alias("warnings"))
+        fold = scan(o, F.lit(None).cast(item), {"resolved": ENTITY, "warnings": WARNING}, step, finish)
+        return F.when(F.forall(meets, lambda m: F.coalesce(~m, F.lit(False))), apart).otherwise(fold)
+
+    return F.when(F.size(entities) <= 1, alone).otherwise(let(ordered, by_order))
 
 
 def center(box: Column) -> tuple[Column, Column]:

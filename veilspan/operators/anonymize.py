@@ -96,7 +96,8 @@ def overlapping(substitutions: Column) -> Column:
 def warnings(pages: DataFrame, key: list[str], floor: float = spans.SCORE_FLOOR) -> DataFrame:
     """All warnings of a page's proposal, overlap exposures first: kind and a JSON text."""
     fold = pages.withColumn("r", spans.resolve(spans.above_floor(F.col("entities"), floor)))
-    over = fold.select(*key, F.posexplode("r.warnings").alias("pos", "w")).select(*key, F.lit("overlap_exposure").alias("kind"), "pos", F.to_json("w").alias("warning"))
+    # the outer explode: see normalized_rows
+    over = fold.select(*key, F.posexplode_outer("r.warnings").alias("pos", "w")).where("w is not null").select(*key, F.lit("overlap_exposure").alias("kind"), "pos", F.to_json("w").alias("warning"))
     rows = normalized_rows(pages, key, floor).where(F.size("actions") > 0)
     rank = F.row_number().over(Window.partitionBy(*key).orderBy("start", "end")) - 1
     note = F.struct("entity_type", "score", "start0", "end0", "start", "end", "value", "actions")
