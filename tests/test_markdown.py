@@ -169,3 +169,42 @@ def test_a_document_of_100_000_pages(spark):
     footers = len(range(7, n - 5, 1000))
     assert tuple(got) == (n - 5 - 2 - footers, 1, n - 6)
     assert markdown.spliced_blocks(pages, ["doc"]).agg(F.max("added_rows")).first()[0] == got.taken
+
+
+def test_against_plain_functions_on_odd_white_space(spark):
+    """Strips, separators, cells and kinds of random lines with blanks of all kinds, against Python's."""
+    import re
+
+    from veilspan.functions import text as T
+
+    rng = random.Random(5)
+    space = "".join(b for b in T.BLANKS if b not in "\x1c\x1d\x1e\x1f")
+    some = [" ", "|", "-", ":", "a", "#", "## ", "# ", "Sayfa", "Page", "1", "\n", "\n\n", "| a | b |", "|---|", "é", "​", "\x00", *T.BLANKS]
+    texts = ["".join(rng.choice(some) for _ in range(rng.randrange(9))) for _ in range(4000)]
+    lines = [t.replace("\n", "") for t in texts]
+
+    def cells(line):
+        p = line.split("|")
+        p = p[1:] if not p[0].strip(T.BLANKS) else p
+        p = p[:-1] if p and not p[-1].strip(T.BLANKS) else p
+        return [x.strip(T.BLANKS) for x in p]
+
+    def kind(block):
+        own = block.strip("\n").split("\n")
+        first = own[0].strip(T.BLANKS)
+        if len(own) > 1 and first.startswith("|") and separator(own[1]):
+            return "table"
+        if len(own) == 1 and first.startswith(("## ", "# ")):
+            return "h2" if first.startswith("## ") else "h1"
+        return "footer" if re.match(f"Sayfa[{space}]+1", first) else "paragraph"
+
+    def separator(line):
+        return "-" in line and not line.strip(space + "|:-") and all(c in space + "|:-" for c in line)
+
+    df = spark.createDataFrame([*zip(texts, lines, strict=True)], "t string, line string")
+    c, line = F.col("t"), F.col("line")
+    got = df.select("t", "line", T.strip(c).alias("strip"), T.is_blank(c).alias("blank"), blocks.is_separator(line).alias("sep"), blocks.is_pipe_row(c).alias("pipe"), blocks.cells(line).alias("cells"), blocks.width(line).alias("width"), blocks.kind(c).alias("kind"))
+    for r in got.collect():
+        s = r.t.strip(T.BLANKS)
+        assert (r.strip, r.blank, r.pipe) == (s, not s, len(s) > 1 and s[0] == s[-1] == "|"), r
+        assert (r.sep, r.cells, r.width, r.kind) == (separator(r.line), cells(r.line), len(cells(r.line)), kind(r.t)), r

@@ -5,15 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from veilspan.functions.text import is_blank, let, lstrip, nonblank_lines, strip
+from veilspan.functions.text import BLANK, LINE_BLANK, LINE_SPACE, ODD_BLANK, is_blank, let, lstrip, nonblank_lines, strip
 
 #: Fixed values.
 REVIEW_MARKER = "[TABLE — STRUCTURE UNCERTAIN, REVIEW]"
 UNEVEN_FLAG = "[TABLE ROWS UNEVEN — auto-aligned, REVIEW cell placement]"
-SEPARATOR = r"(?U)^\s*\|?[\s:|-]*-[\s:|-]*\|?\s*$"
+SEPARATOR = rf"\A[\n:|{LINE_SPACE}]*+-[\n:|\-{LINE_SPACE}]*+\z"
 FOOTER = r"(?U)^Sayfa\s+\d+"
 SPLICE_FOOTER = r"(?iU)^\s*(Sayfa|Page)\s+\d+|^\s*(FABRICATED DOCUMENT|YAZILIM TEST)"
 PAGE_FOOTER = r"(?iU)(Page\s+\d+\s*[—-]|Sayfa\s+\d+\s*[—-]|FABRICATED DOCUMENT|YAZILIM TEST)"
+#: The start of a block's first line, line breaks before it aside.
+_TOP = rf"\A\n*+[{LINE_BLANK}]*+"
+#: Kinds of a block by its text; what comes first holds.
+KINDS = {
+    "review": _TOP + r"\Q" + REVIEW_MARKER + r"\E",
+    "table": rf"{_TOP}\|[^\n]*+\n[:|{LINE_SPACE}]*+-[:|\-{LINE_SPACE}]*+(?:\n|\z)",
+    "h2": rf"{_TOP}## [{LINE_BLANK}]*+[^\n]++\n*+\z",
+    "h1": rf"{_TOP}# [{LINE_BLANK}]*+[^\n]++\n*+\z",
+    "footer": rf"(?U){_TOP}Sayfa[{LINE_SPACE}]++\d",
+}
+#: A table whose blank lines don't count.
+TABLE_TOP = rf"\A[{BLANK}]*+\|[^\n]*+\n(?:[{LINE_BLANK}]*+\n)*+[:|{LINE_SPACE}]*+-[:|\-{LINE_SPACE}]*+(?:\n|\z)"
+#: A gap between blocks with pipes at both sides.
+PIPES_MEET = rf"\|[{LINE_BLANK}]*+\n[{LINE_BLANK}]*+\n[{BLANK}]*+\|"
+#: How a block of footers begins.
+FOOTER_TOP = rf"(?iU)\A[{BLANK}]*+(?:(?:Sayfa|Page)\s+\d|FABRICATED DOCUMENT|YAZILIM TEST)"
 WIDTH_TWIPS, LEAST_TWIPS = 9360, 720
 
 
@@ -22,25 +38,38 @@ def is_separator(line: Column) -> Column:
 
 
 def is_pipe_row(line: Column) -> Column:
-    s = strip(line)
-    return s.startswith("|") & s.endswith("|") & (F.length(s) > 1)
+    return line.rlike(rf"(?s)\A[{BLANK}]*+\|.*\|[{BLANK}]*+\z")
+
+
+def _parts(line: Column) -> Column:
+    """Parts of a row between pipes, without one blank part at each end. Most rows have a pipe at both."""
+    piped = line.startswith("|") & line.endswith("|") & (F.length(line) > 1)
+    inner = F.when(piped, F.substr(line, F.lit(2), F.length(line) - 2)).otherwise(F.regexp_replace(line, rf"\A[{BLANK}]*+\||\|[{BLANK}]*+\z", ""))
+    return F.when(~piped & line.rlike(rf"\A[{BLANK}]*+\|?[{BLANK}]*+\z"), F.array().cast("array<string>")).otherwise(F.split(inner, r"\|"))
 
 
 def cells(line: Column) -> Column:
     """Cells of a row, without one blank part at each end."""
-    parts = F.split(line, r"\|")
-    parts = F.when(is_blank(F.element_at(parts, 1)), F.slice(parts, 2, F.size(parts))).otherwise(parts)
-    parts = F.when((F.size(parts) > 0) & is_blank(F.try_element_at(parts, F.lit(-1))), F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0)))).otherwise(parts)
-    return F.transform(parts, strip)
+    return F.when(line.rlike(f"[{ODD_BLANK}]"), F.transform(_parts(line), strip)).otherwise(F.transform(_parts(line), lambda x: F.trim(x)))
+
+
+def width(line: Column) -> Column:
+    """The number of a row's cells."""
+    return F.size(_parts(line))
 
 
 def is_table(lines: Column) -> Column:
     return F.coalesce((F.size(lines) >= 2) & lstrip(F.try_element_at(lines, F.lit(1))).startswith("|") & is_separator(F.try_element_at(lines, F.lit(2))), F.lit(False))
 
 
+def begins_table(block: Column) -> Column:
+    """``is_table`` of a block's lines that aren't blank."""
+    return block.rlike(TABLE_TOP)
+
+
 def is_footerish(block: Column) -> Column:
     lines = nonblank_lines(block)
-    return (F.size(lines) > 0) & F.forall(lines, lambda x: x.rlike(SPLICE_FOOTER))
+    return block.rlike(FOOTER_TOP) & (F.size(lines) > 0) & F.forall(lines, lambda x: x.rlike(SPLICE_FOOTER))
 
 
 def is_continuation(block: Column) -> Column:
@@ -50,7 +79,7 @@ def is_continuation(block: Column) -> Column:
 
 
 def split_blocks(text: Column) -> Column:
-    """Blocks of one page: parted by blank lines, but a block that begins with a pipe row is joined to one that ends with a pipe row (so two real tables next to each other become one)."""
+    """Blocks of one page: parted by blank lines, but a block that begins with a pipe row is joined to one that ends with a pipe row (so two real tables next to each other become one). Few pages have such blocks; the parts of any other are its blocks."""
     parts = F.split(strip(text), r"\n(?U:\s*)\n")
 
     def edges(b: Column) -> Column:
@@ -68,30 +97,36 @@ def split_blocks(text: Column) -> Column:
 
         return let(starts, lambda at: F.transform(at, lambda start, k: block(at, start, k)))
 
-    return let(parts, lambda all_: let(F.transform(all_, edges), lambda e: fused(all_, e)))
+    whole = let(parts, lambda all_: let(F.transform(all_, edges), lambda e: fused(all_, e)))
+    return F.when(text.rlike(PIPES_MEET), whole).otherwise(parts)
 
 
 def kind(block: Column) -> Column:
     """review, table, h2, h1, footer or paragraph: the first that fits. Line breaks around the block don't count."""
-    body = F.regexp_replace(F.regexp_replace(block, r"^\n+", ""), r"\n+\z", "")
-    lines = F.split(body, "\n")
-    first = strip(F.element_at(lines, 1))
-    one = F.size(lines) == 1
-    return (
-        F.when(first.startswith(REVIEW_MARKER), "review")
-        .when(is_table(lines), "table")
-        .when(one & first.startswith("## "), "h2")
-        .when(one & first.startswith("# "), "h1")
-        .when(first.rlike(FOOTER), "footer")
-        .otherwise("paragraph")
-    )
+    found = F
+    for name, pattern in KINDS.items():
+        found = found.when(block.rlike(pattern), name)
+    return found.otherwise("paragraph")
+
+
+def _lines(block: Column) -> Column:
+    trimmed = F.regexp_replace(F.regexp_replace(block, r"\A\n+", ""), r"\n+\z", "")
+    return F.split(F.when(block.startswith("\n") | block.endswith("\n"), trimmed).otherwise(block), "\n")
+
+
+def _body(lines: Column) -> Column:
+    return F.filter(F.slice(lines, 3, F.greatest(F.size(lines), F.lit(1))), lambda x: ~is_blank(x))
 
 
 def table_rows(block: Column) -> Column:
     """header and body cells of a table block; the separator line is left out."""
-    lines = F.split(F.regexp_replace(F.regexp_replace(block, r"^\n+", ""), r"\n+\z", ""), "\n")
-    body = F.filter(F.slice(lines, 3, F.greatest(F.size(lines), F.lit(1))), lambda x: ~is_blank(x))
-    return F.struct(cells(F.element_at(lines, 1)).alias("header"), F.transform(body, cells).alias("body"))
+    lines = _lines(block)
+    return F.struct(cells(F.substring_index(F.ltrim(block, F.lit("\n")), "\n", 1)).alias("header"), F.transform(_body(lines), cells).alias("body"))
+
+
+def is_uneven(block: Column) -> Column:
+    """``is_ragged`` of a table block's rows, without its cells."""
+    return let(_lines(block), lambda x: let(width(F.element_at(x, 1)), lambda n: F.exists(_body(x), lambda r: width(r) != n)))
 
 
 def is_ragged(rows: Column) -> Column:
@@ -120,7 +155,7 @@ def summary(blocks: Column) -> Column:
     ``last``, the page passes on a table of its own number of cells and closes any other.
     """
 
-    widths = lambda lines: F.transform(lines, lambda r: F.size(cells(r)))
+    widths = lambda lines: F.transform(lines, width)
     even = lambda n: F.when(F.array_min(n) == F.array_max(n), F.element_at(n, 1)).otherwise(-1)
 
     def lead(acc: Column, b: Column) -> Column:
@@ -146,7 +181,7 @@ def summary(blocks: Column) -> Column:
         rows = F.flatten(F.transform(F.slice(all_, F.lit(1), front["n"]), nonblank_lines))
         return let(lines, lambda x: F.struct(
             front["n"].alias("lead"), F.when(front["n"] > 0, front["cells"]).alias("cells"), rows.alias("lead_rows"),
-            F.when(last >= 0, last).alias("last"), F.when(last >= 0, is_table(x)).alias("is_table"), F.when(last >= 0, F.size(cells(F.try_element_at(x, F.lit(1))))).alias("ncols"),
+            F.when(last >= 0, last).alias("last"), F.when(last >= 0, is_table(x)).alias("is_table"), F.when(last >= 0, width(F.try_element_at(x, F.lit(1)))).alias("ncols"),
         ))
 
     return let(blocks, whole)

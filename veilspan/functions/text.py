@@ -44,6 +44,12 @@ def scan(items: Column, state: Column, gives: dict[str, str], step: Callable[[Co
 
 #: Fixed value: characters that count as white space, as regular expressions of Unicode have it.
 BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+#: The same for a character class, those but the space, and those within a line. Letters fail two tests, not one for each character that is blank.
+_LOW, _HIGH = r"\t\x0b\x0c\r\x85\xa0", r"[\u1680-\u3000&&[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]"
+ODD_BLANK = rf"\n{_LOW}\x1c\x1d\x1e\x1f{_HIGH}"
+BLANK, LINE_BLANK = rf"\x20{ODD_BLANK}", rf"\x20{_LOW}\x1c\x1d\x1e\x1f{_HIGH}"
+#: What \\s of Unicode is, within a line.
+LINE_SPACE = rf"\x20{_LOW}{_HIGH}"
 
 
 def lstrip(text: Column) -> Column:
@@ -55,12 +61,12 @@ def rstrip(text: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    """Without white space (of Unicode) at both ends."""
-    return F.btrim(text, F.lit(BLANKS))
+    """Without white space (of Unicode) at both ends. Spaces alone are what is mostly there, and are cut off by bytes; a set of characters is searched for each character of the text."""
+    return F.when(text.rlike(f"[{ODD_BLANK}]"), F.btrim(text, F.lit(BLANKS))).otherwise(F.trim(text))
 
 
 def is_blank(text: Column) -> Column:
-    return strip(text) == ""
+    return text.rlike(rf"\A[{BLANK}]*+\z")
 
 
 def piece(text: Column, start: Column, end: Column) -> Column:

@@ -15,10 +15,11 @@ def page_blocks(pages: DataFrame, doc: list[str]) -> DataFrame:
     return pages.select(*doc, "page_index", F.posexplode(B.split_blocks(F.coalesce("text", F.lit("")))).alias("block_idx", "block"))
 
 
-def open_headers(pages: DataFrame, doc: list[str]) -> DataFrame:
-    """doc, page_index, header: of the table that ends a page, but for footers; null without one."""
-    rows = pages.select(*doc, "page_index", B.split_blocks(F.coalesce("text", F.lit(""))).alias("blocks")).withColumn("s", B.summary(F.col("blocks")))
-    return rows.select(*doc, "page_index", F.when(F.col("s.is_table"), B.table_rows(F.get("blocks", F.col("s.last")))["header"]).alias("header"))
+def open_headers(pages: DataFrame, doc: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc, page_index, header: of the table that ends a page, but for footers; null without one. ``keep``: further columns of the pages."""
+    rows = pages.select(*doc, "page_index", *keep, B.split_blocks(F.coalesce("text", F.lit(""))).alias("blocks"))
+    rows = rows.select(*doc, "page_index", *keep, F.try_element_at(F.filter("blocks", lambda b: ~B.is_footerish(b)), F.lit(-1)).alias("last"))
+    return rows.select(*doc, "page_index", *keep, F.when(B.begins_table(F.col("last")), B.table_rows(F.col("last"))["header"]).alias("header"))
 
 
 def splices(pages: DataFrame, doc: list[str]) -> DataFrame:
@@ -68,15 +69,16 @@ def spliced_blocks(pages: DataFrame, doc: list[str]) -> DataFrame:
 
 
 def with_kinds(blocks: DataFrame, doc: list[str]) -> DataFrame:
-    """Adds kind, flag, in_caption, ragged and widths. Blank blocks are left out, as a renderer writes nothing for them."""
+    """Adds kind, flag, in_caption, ragged and rows (header and body of a table, else null). Blank blocks are left out, as a renderer writes nothing for them."""
     b = blocks.withColumn("kind", B.kind(F.col("block")))
     first_line = strip(F.element_at(F.split(strip(F.col("block")), "\n"), 1))
     h2 = F.min(F.when(first_line.startswith("## "), F.col("block_idx"))).over(Window.partitionBy(*doc, "page_index"))
     first_page = F.min("page_index").over(Window.partitionBy(*doc))
     b = b.withColumn("first_h2", h2).withColumn("first_page", first_page)
-    rows = F.when(F.col("kind") == "table", B.table_rows(F.col("block")))
+    table, made = F.col("kind") == "table", B.table_rows(F.col("block"))
+    rows = F.struct(*[F.when(table, made[c]).alias(c) for c in ("header", "body")])
     b = b.withColumn("rows", rows).withColumn("in_caption", F.coalesce((F.col("page_index") == F.col("first_page")) & (F.col("block_idx") < F.col("first_h2")), F.lit(False)))
-    b = b.withColumn("ragged", F.coalesce(B.is_ragged(F.col("rows")), F.lit(False))).withColumn("flag", (F.col("kind") == "review") | F.col("ragged"))
+    b = b.withColumn("ragged", F.when(table, B.is_uneven(F.col("block"))).otherwise(False)).withColumn("flag", (F.col("kind") == "review") | F.col("ragged"))
     return b.where(~is_blank(F.col("block"))).drop("first_h2", "first_page")
 
 
