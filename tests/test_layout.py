@@ -113,3 +113,17 @@ def test_hints(spark):
     assert full != rows
     with pytest.raises(ValueError, match="unknown style"):
         layout.hint(header, "other")
+
+
+def test_runs_of_whole_pages(spark):
+    """Pages that hold their lines as arrays give what rows of words do."""
+    rng = random.Random(9)
+    df = spark.createDataFrame([r for d in range(60) for r in document(rng, d)], SCHEMA)
+    page, made = LINE[:2], ("head_lines", "head_bands", "tail_lines", "tail_bands")
+    want = layout.runs(layout.bands(layout.gaps(df, LINE), LINE, F.lit(150), height=F.lit(1000)), page)
+    words = F.sort_array(F.collect_list(F.struct("x", "seq", "w", "text")))
+    lines = df.groupBy(*LINE).agg(F.min("y").alias("y"), words.alias("s")).select(*LINE, F.struct("y", *[F.col(f"s.{c}").alias(c) for c in ("x", "w", "text")]).alias("line"))
+    pages = lines.groupBy(*page).agg(F.sort_array(F.collect_list(F.struct("line_no", "line")))["line"].alias("lines"))
+    got = layout.page_runs(pages.withColumn("bands", layout.page_bands(F.col("lines"), F.lit(150), F.lit(1000)))).where("head_lines is not null")
+    plain = lambda rows: {tuple(r[c] for c in page): [r[c] for c in made] for r in rows.collect()}
+    assert plain(got) == plain(want)

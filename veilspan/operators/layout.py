@@ -42,6 +42,17 @@ def bands(gapped: DataFrame, line: list[str], threshold: Column, keep: tuple[str
     return lines if height is None else content_lines(lines, height).drop("line_y", "line_text")
 
 
+def page_bands(lines: Column, threshold: Column, height: Column | None = None) -> Column:
+    """``bands`` of a page that holds its lines as an array in their order, structs of y and, for its words from the left, arrays x, w and text. No row is made for a word or a line."""
+
+    def of_line(x: Column, w: Column) -> Column:
+        return F.filter(x, lambda left, i: (i == 0) | F.coalesce(left - F.get(x, i - 1) - F.get(w, i - 1) > threshold, F.lit(True)))
+
+    if height is not None:
+        lines = F.filter(lines, lambda line: ~is_footer(line["y"], height, F.coalesce(F.array_join(line["text"], " "), F.lit(""))))
+    return F.transform(lines, lambda line: of_line(line["x"], line["w"]))
+
+
 def bands_match(a: Column, b: Column, tolerance: int = TOLERANCE) -> Column:
     near = F.forall(F.zip_with(a, b, lambda x, y: F.abs(x - y) <= tolerance), lambda z: F.coalesce(z, F.lit(False)))
     return (F.size(a) == F.size(b)) & near
@@ -88,6 +99,27 @@ def runs(lines: DataFrame, page: list[str]) -> DataFrame:
     return r.groupBy(*page).agg(F.sum("head_ok").cast("int").alias("head_lines"), F.first("head_ref").alias("head_bands"), F.sum("tail_ok").cast("int").alias("tail_lines"), F.first("tail_ref").alias("tail_bands"))
 
 
+def page_runs(pages: DataFrame) -> DataFrame:
+    """``runs`` of pages whose column bands holds those of their lines in order: adds head_lines, head_bands, tail_lines and tail_bands; null without lines."""
+    n = F.size("bands")
+    alike = F.size(F.array_distinct("bands")) == 1  # as in most pages of a table: nothing is to be compared
+
+    def run(all_: Column) -> tuple[Column, Column]:
+        ref = F.get(all_, F.lit(0))
+        stop = F.array_position(F.transform(all_, lambda b: (F.size(b) >= 2) & bands_match(b, F.get(all_, F.lit(0)))), False)
+        lines = F.when(alike, F.when(F.size(ref) >= 2, n).otherwise(0)).otherwise(F.when(stop == 0, n).otherwise(stop - 1))
+        return F.when(n > 0, lines.cast("int")), F.when(F.size(ref) >= 2, ref)
+
+    rows = pages.withColumn("back", F.reverse("bands"))
+    (head, head_bands), (tail, tail_bands) = run(F.col("bands")), run(F.col("back"))
+    return rows.withColumns({"head_lines": head, "head_bands": head_bands, "tail_lines": tail, "tail_bands": tail_bands}).drop("back")
+
+
+def _fires(tail_lines: Column, tail_bands: Column, head_lines: Column, head_bands: Column) -> Column:
+    fires = (tail_lines >= LEAST_RUN) & (head_lines >= LEAST_RUN) & tail_bands.isNotNull() & head_bands.isNotNull()
+    return F.coalesce(fires & bands_match(tail_bands, head_bands), F.lit(False))
+
+
 def verdicts(pages: DataFrame, doc: list[str], order: str = "page_index") -> DataFrame:
     """For each page but a document's last: whether its table goes on over the boundary to the next page there is."""
     nxt = Window.partitionBy(*doc).orderBy(order)
@@ -95,8 +127,7 @@ def verdicts(pages: DataFrame, doc: list[str], order: str = "page_index") -> Dat
     for c in ("head_lines", "head_bands", order):
         p = p.withColumn(f"next_{c}", F.lead(c).over(nxt))
     p = p.where(F.col(f"next_{order}").isNotNull())
-    fires = (F.col("tail_lines") >= LEAST_RUN) & (F.col("next_head_lines") >= LEAST_RUN) & F.col("tail_bands").isNotNull() & F.col("next_head_bands").isNotNull()
-    return p.withColumn("fires", F.coalesce(fires & bands_match(F.col("tail_bands"), F.col("next_head_bands")), F.lit(False)))
+    return p.withColumn("fires", _fires(*[F.col(c) for c in ("tail_lines", "tail_bands", "next_head_lines", "next_head_bands")]))
 
 
 def sweep(gapped: DataFrame, page: list[str], doc: list[str], thresholds: tuple[int, ...] = SWEEP, height: Column | None = None) -> DataFrame:
@@ -149,6 +180,19 @@ def carried_headers(pages: DataFrame, boundaries: DataFrame, doc: list[str]) ->
     """
     onto = boundaries.select(*doc, F.col("next_page_index").alias("page_index"), "fires")
     rows = pages.join(onto, [*doc, "page_index"], "left").withColumn("goes_on", F.coalesce("fires", F.lit(False)))
+    return _carried(rows, doc)
+
+
+def headers_onto(pages: DataFrame, doc: list[str]) -> DataFrame:
+    """``carried_headers`` from pages that have both: doc, page_index, header and what ``page_runs`` adds. Windows over a document's pages do, without a join: the page before is the last one that has lines."""
+    before = Window.partitionBy(*doc).orderBy("page_index").rowsBetween(Window.unboundedPreceding, -1)
+    tail = F.last(F.when(F.col("tail_lines").isNotNull(), F.struct("tail_lines", "tail_bands")), ignorenulls=True).over(before)
+    rows = pages.withColumn("tail", tail)
+    fires = _fires(*[F.col(c) for c in ("tail.tail_lines", "tail.tail_bands", "head_lines", "head_bands")])
+    return _carried(rows.select(*doc, "page_index", "header", fires.alias("goes_on")), doc)
+
+
+def _carried(rows: DataFrame, doc: list[str]) -> DataFrame:
     rows = rows.withColumn("table", F.count_if(~F.col("goes_on")).over(Window.partitionBy(*doc).orderBy("page_index")))
     before = Window.partitionBy(*doc, "table").orderBy("page_index").rowsBetween(Window.unboundedPreceding, -1)
     return rows.withColumn("header", F.last("header", ignorenulls=True).over(before)).where(F.col("goes_on") & F.col("header").isNotNull()).select(*doc, "page_index", "header")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PAGE = ["doc_id", "page_index"]
@@ -184,7 +184,7 @@ def markdown_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")) - 1
     li = li.withColumn("k", rank).withColumn("page", F.expr("CAST(k DIV 3 AS INT)"))
     row = F.expr("'| part ' || CAST(l_partkey AS STRING) || ' | ' || CAST(l_suppkey AS STRING) || CASE WHEN l_orderkey % 5 = 0 AND k = 4 THEN ' | extra |' ELSE ' |' END")
-    rows = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", row.alias("r")))), lambda x: x["r"]), "\n")
+    rows = F.array_join(F.sort_array(F.collect_list(F.struct("k", row.alias("r"))))["r"], "\n")
     p = li.groupBy("l_orderkey", "page").agg(rows.alias("rows"))
     return p.select(F.col("l_orderkey").alias("doc_id"), F.col("page").alias("page_index"), F.expr(MARKDOWN_TEXT).alias("text"))
 
@@ -222,7 +222,7 @@ def ledger_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")) - 1
     li = li.withColumn("k", rank).withColumn("page", F.expr("CAST(k DIV 2 AS INT)"))
     row = F.expr("'| part ' || CAST(l_partkey AS STRING) || ' | ' || CAST(l_suppkey AS STRING) || ' |'")
-    rows = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", row.alias("r")))), lambda x: x["r"]), "\n")
+    rows = F.array_join(F.sort_array(F.collect_list(F.struct("k", row.alias("r"))))["r"], "\n")
     return li.groupBy("l_orderkey", "page").agg(rows.alias("rows")).select(F.col("l_orderkey").alias("doc_id"), F.col("page").alias("page_index"), F.expr(LEDGER_TEXT).alias("text"))
 
 
@@ -238,6 +238,24 @@ def ledger_words(pages: DataFrame, spread: bool = False) -> DataFrame:
     return w.select("doc_id", "page_index", "line_no", (F.col("line_no") * 100 + F.col("k")).alias("seq"), "text", (300 + step * F.col("k")).alias("x"), y.alias("y"), F.lit(100).alias("w"), F.lit(15).alias("h"))
 
 
+def ledger_lines(text: Column) -> Column:
+    """The same words by page: an array of its lines, structs of y and of x, w and text of its words."""
+    from veilspan.functions import blocks
+    from veilspan.functions.text import let
+
+    def line(said: Column, i: Column) -> Column:
+        parts = F.when(said.startswith("|"), blocks.cells(said)).otherwise(F.array(said))
+        y = F.when(said.startswith("Page "), F.lit(670)).otherwise(100 + 20 * i)
+        return F.when((said != "") & ~said.startswith("|--"), let(parts, lambda words: of_words(y, words)))
+
+    def of_words(y: Column, words: Column) -> Column:
+        n = F.size(words)
+        x = F.when(n > 0, F.sequence(F.lit(300), 600 * n - 300, F.lit(600))).otherwise(F.array().cast("array<int>"))
+        return F.struct(y.alias("y"), x.alias("x"), F.array_repeat(F.lit(100), n).alias("w"), words.alias("text"))
+
+    return F.array_compact(F.transform(F.split(text, "\n"), line))
+
+
 #: SQL that Spark and DuckDB read alike: the text of a ledger page from l_orderkey, page and rows.
 LEDGER_TEXT = """CASE WHEN page = 0 THEN 'Ledger of goods' || chr(10) || chr(10) || '| Item ' || CAST(l_orderkey AS STRING) || ' | Supplier |' || chr(10) || '|---|---|' || chr(10) ELSE '' END
  || CASE WHEN l_orderkey % 7 = 3 AND page = 1 THEN '| Piece ' || CAST(l_orderkey AS STRING) || ' | Maker |' || chr(10) || '|---|---|' || chr(10) ELSE '' END
