@@ -98,8 +98,9 @@ def warnings(pages: DataFrame, key: list[str], floor: float = spans.SCORE_FLOOR)
     fold = pages.withColumn("r", spans.resolve(spans.above_floor(F.col("entities"), floor)))
     # the outer explode: see normalized_rows
     over = fold.select(*key, F.posexplode_outer("r.warnings").alias("pos", "w")).where("w is not null").select(*key, F.lit("overlap_exposure").alias("kind"), "pos", F.to_json("w").alias("warning"))
-    rows = normalized_rows(pages, key, floor).where(F.size("actions") > 0)
-    rank = F.row_number().over(Window.partitionBy(*key).orderBy("start", "end")) - 1
+    # rows without actions go after the window only: before it, the filter would be moved below the steps of normalized_rows and ask for all of them again
+    rows = normalized_rows(pages, key, floor).withColumn("says", F.size("actions") > 0)
+    rank = F.count_if("says").over(Window.partitionBy(*key).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0)) - 1
     note = F.struct("entity_type", "score", "start0", "end0", "start", "end", "value", "actions")
-    bound = rows.select(*key, F.lit("boundary_normalization").alias("kind"), rank.alias("pos"), F.to_json(note).alias("warning"))
+    bound = rows.withColumn("pos", rank.cast("int")).where("says").select(*key, F.lit("boundary_normalization").alias("kind"), "pos", F.to_json(note).alias("warning"))
     return over.unionByName(bound)
