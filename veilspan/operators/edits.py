@@ -24,6 +24,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from veilspan.functions import spans
 from veilspan.functions.text import newlines, piece
@@ -33,6 +34,8 @@ ACTIONS = ("accept", "reject", "move", "retype", "add")
 STATUS = {"accept": "accepted", "reject": "rejected", "move": "moved", "retype": "retyped", "add": "added"}
 #: Columns of an edit besides its page.
 EDIT = ("proposal_id", "version", "action", "start", "end", "entity_type")
+#: Columns of a proposal besides its page and id.
+PROPOSED = ("entity_type", "start", "end", "score", "value", "breaks")
 
 
 def proposal_id(page: list[str], start: Column, end: Column, entity_type: Column) -> Column:
@@ -47,11 +50,10 @@ def proposals(pages: DataFrame, page: list[str], floor: float = spans.SCORE_FLOO
     return rows.select(*page, proposal_id(page, F.col("start0"), F.col("end0"), F.col("entity_type")).alias("proposal_id"), "entity_type", "start", "end", "score", "value", "breaks")
 
 
-def latest(edits: DataFrame, page: list[str]) -> DataFrame:
-    """The edit of each proposal that counts: that of the highest version; of several with one version the last by action, span and type."""
+def spelled(edits: DataFrame, page: list[str]) -> DataFrame:
+    """page, proposal_id, edit: each edit with its proposal's id, also where it names a span only."""
     own = F.coalesce("proposal_id", proposal_id(page, F.col("start"), F.col("end"), F.col("entity_type")))
-    rows = edits.select(*page, own.alias("proposal_id"), F.struct(*[F.col(c) for c in EDIT[1:]]).alias("edit"))
-    return rows.groupBy(*page, "proposal_id").agg(F.max("edit").alias("edit"), F.count(F.lit(1)).alias("n_edits"))
+    return edits.select(*page, own.alias("proposal_id"), F.struct(*[F.col(c) for c in EDIT[1:]]).alias("edit"))
 
 
 def merged(pages: DataFrame, proposed: DataFrame, edits: DataFrame, page: list[str]) -> DataFrame:
@@ -59,9 +61,21 @@ def merged(pages: DataFrame, proposed: DataFrame, edits: DataFrame, page: list[s
 
     status is ``proposed`` (no edit), one of STATUS, ``stale`` or ``invalid``. Rows that are
     rejected or stale have no span; an invalid edit leaves the proposal's, if there is one. The
-    text is only read for spans that an edit gives.
+    text is only read for spans that an edit gives. Of the edits of a proposal that of the highest
+    version counts; of several with one version the last by action, span and type. Edits and proposals meet in windows of a
+    page, so that rows which are dealt out by page stay where they are.
     """
-    both = proposed.join(latest(edits, page), [*page, "proposal_id"], "full")
+    last = spelled(edits, page).join(pages.select(*page, "text"), page, "left")
+    lo, hi = F.col("edit.start"), F.col("edit.end")
+    fits = F.col("edit.action").isin("move", "add") & (lo >= 0) & (lo < hi) & (hi <= F.length("text"))
+    last = last.select(*page, "proposal_id", F.struct("edit", F.when(F.coalesce(fits, F.lit(False)), piece(F.col("text"), lo, hi)).alias("cut")).alias("last"))
+    given = F.struct(*[F.col(c) for c in PROPOSED]).alias("own")
+    met = proposed.select(*page, "proposal_id", given).unionByName(last, allowMissingColumns=True)
+    same = Window.partitionBy(*page, "proposal_id")
+    # edits come to one row of their own only where there is no proposal
+    nth = F.row_number().over(same.orderBy(F.col("own").isNull()))
+    met = met.withColumns({"last": F.max("last").over(same), "n_edits": F.count("last").over(same), "nth": nth}).where("own is not null or nth = 1")
+    both = met.select(*page, "proposal_id", *[F.col(f"own.{c}").alias(c) for c in PROPOSED], "last.edit", "last.cut", "n_edits")
     action, there = F.col("edit.action"), F.col("start").isNotNull()
     gives = action.isin("move", "add")
     known = F.coalesce(action.isin(*ACTIONS), F.lit(False))
@@ -69,10 +83,6 @@ def merged(pages: DataFrame, proposed: DataFrame, edits: DataFrame, page: list[s
         "gives": F.coalesce(gives, F.lit(False)),
         "status": F.when(F.col("edit").isNull(), "proposed").when(~known, "invalid").when(~there & (action != "add"), "stale").otherwise(F.create_map(*[F.lit(x) for kv in STATUS.items() for x in kv])[action]),
     })
-    asked = both.where("gives and status <> 'stale'").select(*page, "proposal_id", F.col("edit.start").alias("s"), F.col("edit.end").alias("e")).join(pages.select(*page, "text"), page)
-    fits = (F.col("s") >= 0) & (F.col("s") < F.col("e")) & (F.col("e") <= F.length("text"))
-    cut = F.when(F.coalesce(fits, F.lit(False)), piece(F.col("text"), F.col("s"), F.col("e")))
-    both = both.join(asked.select(*page, "proposal_id", cut.alias("cut")), [*page, "proposal_id"], "left")
     bad = F.col("gives") & (F.col("status") != "stale") & F.col("cut").isNull()
     bad = bad | (F.col("status").isin("retyped", "added") & (F.coalesce("edit.entity_type", F.lit("")) == ""))
     both = both.withColumn("status", F.when(bad, "invalid").otherwise(F.col("status")))
@@ -95,6 +105,12 @@ def numbered(reviewed: DataFrame, page: list[str], fmt: Callable[[Column, Column
     return anonymize.numbered(reviewed.where("start is not null"), page, fmt)
 
 
+def placed(reviewed: DataFrame, page: list[str], fmt: Callable[[Column, Column], Column] = anonymize.square) -> DataFrame:
+    """All rows of ``merged``, with what ``numbered`` adds; null where nothing is substituted. No row is looked up by another."""
+    rows = anonymize.numbered(reviewed.withColumn("__there", F.col("start").isNotNull()), [*page, "__there"], fmt)
+    return rows.withColumns({c: F.when(F.col("__there"), F.col(c)) for c in ("number", "placeholder", "replacement", "first_start")}).drop("__there")
+
+
 def substitutions(pages: DataFrame, reviewed: DataFrame, page: list[str], fmt: Callable[[Column, Column], Column] = anonymize.square) -> DataFrame:
     """For each page what ``anonymize.apply`` takes, as ``anonymize.propose`` gives it, from the rows of ``merged``; with n_overlaps: how many spans begin before the one before them ends, which ``apply`` refuses."""
     found = anonymize.gathered(pages, numbered(reviewed, page, fmt), page)
