@@ -127,3 +127,17 @@ def test_runs_of_whole_pages(spark):
     got = layout.page_runs(pages.withColumn("bands", layout.page_bands(F.col("lines"), F.lit(150), F.lit(1000)))).where("head_lines is not null")
     plain = lambda rows: {tuple(r[c] for c in page): [r[c] for c in made] for r in rows.collect()}
     assert plain(got) == plain(want)
+
+
+def test_sweep_of_whole_pages(spark):
+    """Pages that hold their lines as arrays give the report that rows of words do."""
+    rng = random.Random(11)
+    df = spark.createDataFrame([r for d in range(60) for r in document(rng, d)], SCHEMA)
+    page = LINE[:2]
+    want = layout.sweep_report(layout.sweep(layout.gaps(df, LINE), page, ["doc_id"], height=F.lit(1000)), ["doc_id"])
+    words = F.sort_array(F.collect_list(F.struct("x", "seq", "w", "text")))
+    lines = df.groupBy(*LINE).agg(F.min("y").alias("y"), words.alias("s")).select(*LINE, F.struct("y", *[F.col(f"s.{c}").alias(c) for c in ("x", "w", "text")]).alias("line"))
+    pages = lines.groupBy(*page).agg(F.sort_array(F.collect_list(F.struct("line_no", "line")))["line"].alias("lines"))
+    got = layout.page_sweep(pages, ["doc_id"], height=F.lit(1000))
+    plain = lambda rows: sorted(tuple(r) for r in rows.collect())
+    assert got.columns == want.columns and plain(got) == plain(want) and any(r.steady > 1 and r.fires for r in got.collect())

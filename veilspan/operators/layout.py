@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from veilspan import scratch
 from veilspan.functions.blocks import PAGE_FOOTER
+from veilspan.functions.text import let
 from veilspan.operators import ranks
 
 #: Fixed values.
@@ -99,19 +100,29 @@ def runs(lines: DataFrame, page: list[str]) -> DataFrame:
     return r.groupBy(*page).agg(F.sum("head_ok").cast("int").alias("head_lines"), F.first("head_ref").alias("head_bands"), F.sum("tail_ok").cast("int").alias("tail_lines"), F.first("tail_ref").alias("tail_bands"))
 
 
-def page_runs(pages: DataFrame) -> DataFrame:
-    """``runs`` of pages whose column bands holds those of their lines in order: adds head_lines, head_bands, tail_lines and tail_bands; null without lines."""
-    n = F.size("bands")
-    alike = F.size(F.array_distinct("bands")) == 1  # as in most pages of a table: nothing is to be compared
+def _edge_run(bands: Column, all_: Column) -> tuple[Column, Column]:
+    """Length and bands of the run that ``all_``, the lines' bands or their reverse, begins with."""
+    n, ref = F.size(bands), F.get(all_, F.lit(0))
+    alike = F.size(F.array_distinct(bands)) == 1  # as in most pages of a table: nothing is to be compared
+    stop = F.array_position(F.transform(all_, lambda b: (F.size(b) >= 2) & bands_match(b, F.get(all_, F.lit(0)))), False)
+    lines = F.when(alike, F.when(F.size(ref) >= 2, n).otherwise(0)).otherwise(F.when(stop == 0, n).otherwise(stop - 1))
+    return F.when(n > 0, lines.cast("int")), F.when(F.size(ref) >= 2, ref)
+
+
+def _edges(bands: Column) -> Column:
+    """What ``page_runs`` adds, as a struct."""
+
+    def both(back: Column) -> Column:
+        (head, head_bands), (tail, tail_bands) = _edge_run(bands, bands), _edge_run(bands, back)
+        return F.struct(head.alias("head_lines"), head_bands.alias("head_bands"), tail.alias("tail_lines"), tail_bands.alias("tail_bands"))
+
+    return let(F.reverse(bands), both)
 
-    def run(all_: Column) -> tuple[Column, Column]:
-        ref = F.get(all_, F.lit(0))
-        stop = F.array_position(F.transform(all_, lambda b: (F.size(b) >= 2) & bands_match(b, F.get(all_, F.lit(0)))), False)
-        lines = F.when(alike, F.when(F.size(ref) >= 2, n).otherwise(0)).otherwise(F.when(stop == 0, n).otherwise(stop - 1))
-        return F.when(n > 0, lines.cast("int")), F.when(F.size(ref) >= 2, ref)
 
+def page_runs(pages: DataFrame) -> DataFrame:
+    """``runs`` of pages whose column bands holds those of their lines in order: adds head_lines, head_bands, tail_lines and tail_bands; null without lines."""
     rows = pages.withColumn("back", F.reverse("bands"))
-    (head, head_bands), (tail, tail_bands) = run(F.col("bands")), run(F.col("back"))
+    (head, head_bands), (tail, tail_bands) = _edge_run(F.col("bands"), F.col("bands")), _edge_run(F.col("bands"), F.col("back"))
     return rows.withColumns({"head_lines": head, "head_bands": head_bands, "tail_lines": tail, "tail_bands": tail_bands}).drop("back")
 
 
@@ -154,6 +165,61 @@ def sweep(gapped: DataFrame, page: list[str], doc: list[str], thresholds: tuple[
     return verdicts(found.withColumn("threshold", of_page).drop("stretch"), [*doc, "threshold"])
 
 
+def page_sweep(pages: DataFrame, doc: list[str], thresholds: tuple[int, ...] = SWEEP, height: Column | None = None) -> DataFrame:
+    """``sweep_report`` of pages that hold their lines as ``page_bands`` takes them, in the column lines: doc, page_index, lines.
+
+    No row is made for a word or a line, nor for a page and a threshold. A page, a boundary and
+    a document each have one entry for a stretch of thresholds over which nothing of theirs
+    changes; only the report's own rows are made for each threshold.
+    """
+    limits = sorted(thresholds)
+
+    def wider(x: Column, w: Column, i: Column) -> Column:
+        return let(F.get(x, i) - F.get(x, i - 1) - F.get(w, i - 1), lambda gap: sum(((gap > t).cast("int") for t in limits), F.lit(0)))
+
+    def of_line(line: Column) -> Column:
+        return F.struct(line["x"].alias("x"), F.transform(line["x"], lambda _, i: F.when(i > 0, wider(line["x"], line["w"], i))).alias("wider"))
+
+    def of_stretch(lines: Column, begins: Column) -> Column:
+        edges = F.transform(lines, lambda line: F.filter(line["x"], lambda _, i: F.coalesce(F.get(line["wider"], i) > begins, F.lit(True))))
+        return F.struct(begins.alias("from"), let(edges, _edges).alias("runs"))
+
+    def begins(all_: Column) -> Column:
+        return F.array_sort(F.array_distinct(all_))
+
+    def at(stretches: Column, place: Column) -> Column:
+        return F.element_at(F.filter(stretches, lambda s: s["from"] <= place), -1)
+
+    said = F.filter("lines", lambda line: F.size(line["x"]) > 0)
+    if height is not None:
+        said = F.filter(said, lambda line: ~is_footer(line["y"], height, F.coalesce(F.array_join(line["text"], " "), F.lit(""))))
+    own = F.concat(F.array(F.lit(0)), F.filter(F.flatten(F.col("lines.wider")), lambda n: (n > 0) & (n < len(limits))))
+    rows = pages.select(*doc, "page_index", F.transform(said, of_line).alias("lines")).where(F.size("lines") > 0)
+    rows = rows.withColumn("cuts", begins(own)).select(*doc, "page_index", F.transform("cuts", lambda c: of_stretch(F.col("lines"), c)).alias("here"))
+    nxt = Window.partitionBy(*doc).orderBy("page_index")
+    rows = rows.withColumns({"next_page_index": F.lead("page_index").over(nxt), "onto": F.lead("here").over(nxt)}).where("next_page_index is not null")
+
+    def verdict(c: Column) -> Column:
+        return F.struct(c.alias("from"), let(F.struct(at(F.col("here"), c)["runs"].alias("a"), at(F.col("onto"), c)["runs"].alias("b")), lambda p: _fires(p["a"]["tail_lines"], p["a"]["tail_bands"], p["b"]["head_lines"], p["b"]["head_bands"])).alias("fires"))
+
+    label = F.concat(F.col("page_index").cast("string"), F.lit("->"), F.col("next_page_index").cast("string"))
+    both = F.transform(begins(F.concat(F.col("here.from"), F.col("onto.from"))), verdict)
+    docs = rows.select(*doc, F.struct("page_index", label.alias("label"), both.alias("parts")).alias("cell")).groupBy(*doc).agg(F.array_sort(F.collect_list("cell")).alias("cells"))
+
+    def report(c: Column) -> Column:
+        firing = F.filter("cells", lambda x: at(x["parts"], c)["fires"])
+        return F.struct(c.alias("from"), F.array_join(F.transform(firing, lambda x: x["label"]), ",").alias("fires"))
+
+    cuts = begins(F.flatten(F.transform("cells", lambda x: x["parts"]["from"])))
+    docs = docs.select(*doc, F.size("cells").cast("long").alias("n_boundaries"), F.transform(cuts, report).alias("all"))
+    changes = F.filter("all", lambda s, i: (i == 0) | (s["fires"] != F.get(F.col("all"), i - 1)["fires"]))
+    docs = docs.select(*doc, "n_boundaries", F.posexplode(changes).alias("nth", "s"), changes.alias("each"))
+    ends = F.coalesce(F.get("each", F.col("nth") + 1)["from"], F.lit(len(limits)))
+    named = F.slice(F.array(*[F.lit(t) for t in limits]), F.col("s.from") + 1, ends - F.col("s.from"))
+    docs = docs.select(*doc, "n_boundaries", "s.fires", F.posexplode(named).alias("since", "threshold"))
+    return docs.select(*doc, "threshold", "fires", "n_boundaries", (F.col("since") + 1).alias("steady"))
+
+
 def sweep_report(swept: DataFrame, doc: list[str]) -> DataFrame:
     """For each document and threshold its boundaries that fire and how many it has: doc, threshold, fires (``3->4`` and so on, comma-joined in order of pages), n_boundaries; and steady, at how many thresholds in a row up to this one the same boundaries have fired."""
     label = F.concat(F.col("page_index").cast("string"), F.lit("->"), F.col("next_page_index").cast("string"))

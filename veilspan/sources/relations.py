@@ -234,11 +234,15 @@ def ledger_words(pages: DataFrame, spread: bool = False) -> DataFrame:
     parts = F.when(F.col("line").startswith("|"), blocks.cells(F.col("line"))).otherwise(F.array("line"))
     w = lines.select("doc_id", "page_index", "line_no", "line", F.posexplode(parts).alias("k", "text"))
     y = F.when(F.col("line").startswith("Page "), F.lit(670)).otherwise(100 + 20 * F.col("line_no"))
-    step = F.expr("CAST(160 + doc_id % 40 * 10 AS INT)") if spread else F.lit(600)
-    return w.select("doc_id", "page_index", "line_no", (F.col("line_no") * 100 + F.col("k")).alias("seq"), "text", (300 + step * F.col("k")).alias("x"), y.alias("y"), F.lit(100).alias("w"), F.lit(15).alias("h"))
+    return w.select("doc_id", "page_index", "line_no", (F.col("line_no") * 100 + F.col("k")).alias("seq"), "text", (300 + ledger_step(spread) * F.col("k")).alias("x"), y.alias("y"), F.lit(100).alias("w"), F.lit(15).alias("h"))
 
 
-def ledger_lines(text: Column) -> Column:
+def ledger_step(spread: bool) -> Column:
+    """Pixels from a cell to the next."""
+    return F.expr("CAST(160 + doc_id % 40 * 10 AS INT)") if spread else F.lit(600)
+
+
+def ledger_lines(text: Column, spread: bool = False) -> Column:
     """The same words by page: an array of its lines, structs of y and of x, w and text of its words."""
     from veilspan.functions import blocks
     from veilspan.functions.text import let
@@ -250,7 +254,7 @@ def ledger_lines(text: Column) -> Column:
 
     def of_words(y: Column, words: Column) -> Column:
         n = F.size(words)
-        x = F.when(n > 0, F.sequence(F.lit(300), 600 * n - 300, F.lit(600))).otherwise(F.array().cast("array<int>"))
+        x = F.when(n > 0, F.sequence(F.lit(300), 300 + ledger_step(spread) * (n - 1), ledger_step(spread))).otherwise(F.array().cast("array<int>"))
         return F.struct(y.alias("y"), x.alias("x"), F.array_repeat(F.lit(100), n).alias("w"), words.alias("text"))
 
     return F.array_compact(F.transform(F.split(text, "\n"), line))
