@@ -102,3 +102,12 @@ def explained(df):
     with contextlib.redirect_stdout(out):
         df.explain()
     return out.getvalue()
+
+
+def test_texts_are_cut_only_where_they_are_asked_for(spark):
+    """Without texts, a page is split by its words once, to place them, and pieces of it don't go with each word."""
+    pages = spark.createDataFrame([(1, "Ash, birch and ASH birch"), (2, None)], "page int, text string")
+    index = registry.phrase_index(spark.createDataFrame([("TREE", "ash birch", 0.5)], "entity_type string, phrase string, score double"))
+    got = registry.found(pages, ["page"], index, texts=False)
+    assert got.columns == ["page", "entity_type", "start", "end", "score"]
+    assert sorted(map(tuple, got.collect())) == [r[:-1] for r in plain([(1, "Ash, birch and ASH birch")], [("TREE", "ash birch", 0.5)])]
